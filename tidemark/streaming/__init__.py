@@ -1,0 +1 @@
+"""The metrics layer is batch only: late rows are handled by re-running a date range and upserting."""
