@@ -17,7 +17,7 @@ class Ratio:
     ``num_sub`` restricts the numerator to one sub_category. ``den_sub`` names the
     denominator's when it differs. ``missing`` says what an absent side counts as: None drops
     the ratio, a number stands in for it. ``otherwise`` is the result for a denominator that
-    is not positive.
+    is not positive; ``drop_zero`` leaves zero results out.
     """
 
     name: str
@@ -28,6 +28,7 @@ class Ratio:
     den_scale: float = 1.0
     missing: float | None = None
     otherwise: float | None = 0.0
+    drop_zero: bool = False
 
 
 def _pick(metric: str, sub: str | None) -> Column:
@@ -37,7 +38,7 @@ def _pick(metric: str, sub: str | None) -> Column:
     return F.max(F.when(hit, F.col("metric_value")))
 
 
-def ratio_rows(rows: DataFrame, keys: list[str], ratios: list[Ratio], drop_zero: bool = False) -> DataFrame:
+def ratio_rows(rows: DataFrame, keys: list[str], ratios: list[Ratio]) -> DataFrame:
     """Ratio metric rows from long rows, instead of one self-join per ratio.
 
     ``keys`` group numerator with denominator. Without ``sub_category`` among them every
@@ -61,7 +62,8 @@ def ratio_rows(rows: DataFrame, keys: list[str], ratios: list[Ratio], drop_zero:
             num, den = F.coalesce(num, F.lit(r.missing)), F.coalesce(den, F.lit(r.missing))
             present = F.lit(True)
         scaled = den if r.den_scale == 1.0 else den / F.lit(r.den_scale)
-        return F.when(present, safe_ratio(num, scaled, r.otherwise))
+        result = F.when(present, safe_ratio(num, scaled, r.otherwise))
+        return F.nullif(result, F.lit(0.0)) if r.drop_zero else result
 
     by_sub = "sub_category" in keys
     structs = [
@@ -72,5 +74,8 @@ def ratio_rows(rows: DataFrame, keys: list[str], ratios: list[Ratio], drop_zero:
         )
         for r in ratios
     ]
-    out = wide.select(*keys, F.inline(F.array(*structs))).where(F.col("metric_value").isNotNull())
-    return out.where(F.col("metric_value") != 0) if drop_zero else out
+    return wide.select(*keys, F.inline(F.array(*structs))).where(F.col("metric_value").isNotNull())
+
+
+def with_ratios(rows: DataFrame, keys: list[str], ratios: list[Ratio]) -> DataFrame:
+    return rows.unionByName(ratio_rows(rows, keys, ratios))
