@@ -14,8 +14,12 @@ def sunday_of(day: Column) -> Column:
 
 
 def plan_week(text: Column) -> Column:
-    """Budget files write dates as two-digit day/month/year (MM is the month, mm would be minutes)."""
-    return F.to_date(text, "dd/MM/yy")
+    """Budget files write dates as two-digit day/month/year (MM is the month, mm would be minutes).
+
+    Spark reads every two-digit year as 20xx; years from 46 on are meant as 19xx.
+    """
+    parsed = F.to_date(text, "dd/MM/yy")
+    return F.when(F.year(parsed) > 2045, F.add_months(parsed, -1200)).otherwise(parsed)
 
 
 def year_month(day: Column) -> Column:

@@ -15,6 +15,15 @@ def plain_ratio(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
+def round_half_up(value: Column, digits: int) -> Column:
+    """Round a quotient as written in decimals.
+
+    A quotient meant to end in exactly 5 lands a hair above or below it as a double; nine
+    decimals drop that hair first, so ties always go up, on any engine.
+    """
+    return F.round(value.cast("decimal(38,9)"), digits).cast("double")
+
+
 def currency_pick(
     gbp: Column, eur: Column, product_pl: str = "product_pl", region: str | None = None, total: str = "EUR"
 ) -> Column:

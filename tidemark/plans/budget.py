@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.ratio import safe_ratio
+from tidemark.functions.ratio import round_half_up, safe_ratio
 from tidemark.functions.taxonomy import plan_region
 from tidemark.operators.spread import complete_weeks_only, spread_budget, weekday_weights
 from tidemark.params import DAY, WEEK, MartConfig, RunParams
@@ -21,7 +21,7 @@ SPREAD = {
 
 
 def _finish(df: DataFrame, scope: str, p: RunParams) -> DataFrame:
-    money = [F.col(c).cast(BUDGET_DECIMAL).alias(c) for c in BUDGET_MEASURES]
+    money = [round_half_up(F.col(c), 2).cast(BUDGET_DECIMAL).alias(c) for c in BUDGET_MEASURES]
     stamped = df.withColumns({"date_scope": F.lit(scope), "last_modified": F.lit(p.run_ts)})
     return stamped.select(*BUDGET_KEY, "last_modified", *money)
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.money import from_units, merge_units, sum_units
+from tidemark.functions.ratio import round_half_up
 from tidemark.operators.region import region_fanout
 from tidemark.params import MartConfig
 from tidemark.sources.catalog import Sources
@@ -63,4 +64,4 @@ def region_totals(
 
 
 def round4(value: Column) -> Column:
-    return F.round(value.cast("double"), 4)
+    return round_half_up(value, 4)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import plan_week
 from tidemark.functions.money import from_units, merge_units, sum_units, to_units
-from tidemark.functions.ratio import currency_pick, plain_ratio, safe_ratio
+from tidemark.functions.ratio import currency_pick, plain_ratio, round_half_up, safe_ratio
 from tidemark.functions.taxonomy import journey_type
 from tidemark.operators.calendar import in_run
 from tidemark.operators.gate import to_mart
@@ -106,7 +106,7 @@ def conversion_budget(src: Sources, p: RunParams) -> DataFrame:
         F.sum(to_units(F.col("gross_sales_budget"))).alias("sales"), F.sum("gross_transactions_budget").alias("orders")
     )
     sales, orders = from_units(F.col("sales")), F.col("orders")
-    value = F.round(plain_ratio(sales, F.coalesce(orders, F.lit(1))), 5)
+    value = round_half_up(plain_ratio(sales, F.coalesce(orders, F.lit(1))), 5)
     return unpivot_metrics(totals, ["week_commencing_date", "product_pl", "region"], {
         "Avg Trans Value Budget": value,
         "Gross Transactions Budget": orders,

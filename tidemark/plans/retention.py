@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.money import from_units, merge_units, sum_units
-from tidemark.functions.ratio import currency_pick, plain_ratio
+from tidemark.functions.ratio import currency_pick, plain_ratio, round_half_up
 from tidemark.functions.taxonomy import journey_class
 from tidemark.operators.calendar import in_run
 from tidemark.operators.gate import to_mart
@@ -184,7 +184,7 @@ def journey_metrics(src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
             "Total number of Orders": F.col("orders"),
             "Net Sales Amount": round4(F.col("sales")),
             # a two-decimal quotient, as the daily mart stores it
-            "Transactions per Customer": F.round(plain_ratio(F.col("orders"), F.col("customers")), 2),
+            "Transactions per Customer": round_half_up(plain_ratio(F.col("orders"), F.col("customers")), 2),
         }.items()
     ])
     category = F.when(F.col("sub_category") == ALL, ALL).otherwise(F.col("_category"))
