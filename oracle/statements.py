@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import oracle.marts  # noqa: F401  (registers the CTEs)
-import oracle.reports  # noqa: F401
+import oracle.checks
+import oracle.marts
+import oracle.reports  # noqa: F401  (registers the CTEs)
 from oracle.base import assemble
 from tidemark.schema import BUDGET_KEY, BUDGET_MEASURES
 
@@ -40,3 +41,6 @@ statement("metrics_journey_search_metrics", f"select {UNLABELLED} from ({oracle.
 statement("report_breakout", "select * from x_breakout")
 statement("report_overview", "select * from x_overview")
 statement("report_dashboard", "select * from x_dashboard")
+
+for _name, _sql in oracle.checks.CHECKS.items():
+    statement(f"check_{_name}", _sql)

@@ -70,7 +70,7 @@ def _filed(df: DataFrame, category: str, sub_category: str) -> DataFrame:
 
 # --- order lines -----------------------------------------------------------------------------
 
-def _fee_key(fee: str) -> str:
+def fee_key(fee: str) -> str:
     return fee.lower().replace(" ", "_")
 
 
@@ -79,7 +79,7 @@ def line_extract(src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
     lines = qualifying_lines(src, cfg).where(in_run(F.col("year_month_day"), p, cfg.line_lookback_days))
     money = both_currencies({
         "total": "m_revenue_total", "fees": "m_revenue_total_fees", "net_sales": "m_net_sales_amount",
-        **{_fee_key(fee): column for fee, (column, _) in FEES.items()},
+        **{fee_key(fee): column for fee, (column, _) in FEES.items()},
     })
     for cur in ("gbp", "eur"):
         money[f"non_fee_{cur}"] = F.col(f"m_revenue_total_{cur}") - F.col(f"m_revenue_total_fees_{cur}")
@@ -87,7 +87,7 @@ def line_extract(src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
     counts = {"tickets": tickets}
     for fee in TICKET_FEES:
         column = FEES[fee][0]
-        counts[f"{_fee_key(fee)}_tickets"] = F.when(F.col(f"{column}_eur") + F.col(f"{column}_gbp") > 0, tickets)
+        counts[f"{fee_key(fee)}_tickets"] = F.when(F.col(f"{column}_eur") + F.col(f"{column}_gbp") > 0, tickets)
     return region_totals(lines, ["year_month_day"], LINE_PL, LINE_REGION, src.region_map, money, counts)
 
 
@@ -143,9 +143,9 @@ def transaction_pairs(cfg: MartConfig) -> Pairs:
 
     pairs: Pairs = []
     for fee in FEES:
-        amount = _picked(_fee_key(fee), cfg)
+        amount = _picked(fee_key(fee), cfg)
         if fee in TICKET_FEES:
-            covered = F.col(f"{_fee_key(fee)}_tickets")
+            covered = F.col(f"{fee_key(fee)}_tickets")
             pairs.append((_labels("Trx", fee, "Number of Tickets"), covered))
             pairs.append((_labels("Trx", fee, "Percent of Tickets"), round4(plain_ratio(covered, tickets))))
         pairs.append((_labels("Trx", fee, "Take Rate"), known(fee, round4(plain_ratio(amount, sales)))))
@@ -255,8 +255,8 @@ def _remap(rows: DataFrame, src: Sources) -> DataFrame:
     return mapped.groupBy(*keys).agg(stable_sum(F.col("metric_value")).alias("metric_value"))
 
 
-def hotel_bookings(src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
-    """Distinct bookings per day and region; a booking counts on the day of its latest version."""
+def placed_bookings(src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
+    """Each booking's latest version, feed and manual file together, with its country's region."""
     feed = hotel_feed(src, p, cfg).select(
         F.col("event_booking_orders_id").cast("string").alias("booking_id"), "event_created", "event_id",
         "event_accommodation_details_location_country",
@@ -266,7 +266,7 @@ def hotel_bookings(src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
     )
     latest_feed = latest_per_key(feed, ["booking_id"], ["event_created", "event_id"])
     latest_manual = latest_per_key(manual, ["booking_id"], ["event_time"])
-    both = (
+    return (
         _place_feed(latest_feed, src)
         .select(F.to_date("event_created").alias("year_month_day"), "product_pl", "region", "booking_id")
         .unionByName(
@@ -274,8 +274,13 @@ def hotel_bookings(src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
             .select(F.col("booking_date").alias("year_month_day"), "product_pl", "region", "booking_id")
         )
     )
-    counts = distinct_then_count(both, DAY_KEYS, "booking_id", "bookings")
-    return _remap(_filed(unpivot_metrics(counts, DAY_KEYS, {"No. of Hotel Bookings": F.col("bookings")}), "Non Trx", PARTNER), src)
+
+
+def hotel_bookings(src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
+    """Distinct bookings per day and region; a booking counts on the day of its latest version."""
+    counts = distinct_then_count(placed_bookings(src, p, cfg), DAY_KEYS, "booking_id", "bookings")
+    rows = unpivot_metrics(counts, DAY_KEYS, {"No. of Hotel Bookings": F.col("bookings")})
+    return _remap(_filed(rows, "Non Trx", PARTNER), src)
 
 
 def hotel_commissions(src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:

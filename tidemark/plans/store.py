@@ -6,10 +6,13 @@ scope first gets the earlier ones stored. Within an application a stored scope i
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.params import DAY, FYTD, WEEK, MartConfig, RunParams
-from tidemark.plans.refresh import MARTS
+from tidemark.plans.refresh import MARTS, METRIC_MARTS
+from tidemark.plans.reports import breakout_report, overview_status
 from tidemark.session import scratch_table
 from tidemark.sources.catalog import Sources
 
@@ -35,10 +38,22 @@ class MartStore:
     def whole(self, mart: str) -> DataFrame:
         return self.stored(mart, [DAY, WEEK, FYTD])
 
+    @property
+    def marts(self) -> dict[str, DataFrame]:
+        return {name: self.whole(name) for name in METRIC_MARTS}
+
+    def report(self, name: str) -> DataFrame:
+        """A stored report: breakout_report or overview_status."""
+        build = {"breakout_report": breakout_report, "overview_status": overview_status}[name]
+        return self.spark.read.parquet(self._keep(name, "report", lambda: build(self.marts, self.p)))
+
     def _path(self, mart: str, scope: str) -> str:
-        key = (self.spark.sparkContext.applicationId, self.label, mart, scope)
+        return self._keep(mart, scope, lambda: self.build(mart, scope))
+
+    def _keep(self, name: str, scope: str, build: Callable[[], DataFrame]) -> str:
+        key = (self.spark.sparkContext.applicationId, self.label, name, scope)
         if key not in _paths:
-            path = scratch_table(self.spark, f"{mart}-{scope}")
-            self.build(mart, scope).write.parquet(path)
+            path = scratch_table(self.spark, f"{name}-{scope}")
+            build().write.parquet(path)
             _paths[key] = path
         return _paths[key]

@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.params import DAY, FYTD, WEEK
+from tidemark.checks import campaigns, quality
+from tidemark.checks import monetisation as mon_checks
+from tidemark.checks import retention as ret_checks
+from tidemark.checks.reconcile import tally
+from tidemark.params import DAY, FYTD, PRODUCT_LINES, WEEK
 from tidemark.plans import acquisition as acq
 from tidemark.plans import monetisation as mon
 from tidemark.plans import reports, retention, supply
 from tidemark.plans.refresh import METRIC_MARTS
 from tidemark.plans.store import MartStore
-from tidemark.schema import BUDGET_KEY, BUDGET_MEASURES
+from tidemark.schema import BREAKOUT_KEY, BUDGET_KEY, BUDGET_MEASURES, MART_KEY, OVERVIEW_KEY
 from tidemark.sources.fixtures import CONFIG, RUN, fixture_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,7 +34,10 @@ class Setup:
 
     @property
     def marts(self) -> dict[str, DataFrame]:
-        return {name: self.store.whole(name) for name in METRIC_MARTS}
+        return self.store.marts
+
+    def mart_days(self, mart: str) -> DataFrame:
+        return self.store.stored(mart, [DAY])
 
 
 def query(name: str):
@@ -85,4 +92,56 @@ query("metrics_growth_week")(lambda s: retention.growth_metrics(s.src, s.p, s.cf
 
 query("report_breakout")(lambda s: reports.breakout_report(s.marts, s.p))
 query("report_overview")(lambda s: reports.overview_status(s.marts, s.p))
-query("report_dashboard")(lambda s: reports.dashboard_pivot(reports.overview_status(s.marts, s.p)))
+query("report_dashboard")(lambda s: reports.dashboard_pivot(s.store.report("overview_status")))
+
+# --- checks ----------------------------------------------------------------------------------
+
+def _check(name: str):
+    return query(f"check_{name}")
+
+
+for _name, _spec in campaigns.CHECKS.items():
+    _check(_name)(lambda s, c=_spec: campaigns.campaign_check(c, s.store.whole("acquisition_mart"), s.src, s.p, s.cfg))
+for _name in mon_checks.FEE_CHECKS:
+    _check(_name)(lambda s, n=_name: mon_checks.fee_check(n, s.mart_days("monetisation_mart"), s.src, s.p, s.cfg))
+for _metric in mon_checks.ADS_METRICS:
+    _check(f"ads_{_metric.lower()}")(lambda s, m=_metric: mon_checks.ads_check(m, s.mart_days("monetisation_mart"), s.src, s.p))
+_check("hotel_bookings")(lambda s: mon_checks.hotel_bookings_check(s.mart_days("monetisation_mart"), s.src, s.p, s.cfg))
+for _metric in ("CTR", "Impressions"):
+    _check(f"hotel_{_metric.lower()}")(
+        lambda s, m=_metric: mon_checks.hotel_web_check(m, s.mart_days("monetisation_mart"), s.src, s.p, s.cfg)
+    )
+for _stage in retention.STAGES:
+    _check(f"lifecycle_{_stage.lower().replace(' ', '_')}")(
+        lambda s, g=_stage: ret_checks.lifecycle_check(g, s.mart_days("retention_mart"), s.src, s.p)
+    )
+for _journey in ret_checks.JOURNEYS:
+    _check(f"journey_{_journey}")(
+        lambda s, j=_journey: ret_checks.journey_check(j, s.mart_days("retention_mart"), s.src, s.p, s.cfg)
+    )
+for _mart in METRIC_MARTS:
+    _check(f"foreign_travel_{_mart.removesuffix('_mart')}")(
+        lambda s, m=_mart: quality.foreign_travel_check(m, s.store.whole(m))
+    )
+for _column in ("category", "sub_category"):
+    _check(f"{_column}_completeness")(
+        lambda s, c=_column: quality.completeness_check(s.mart_days("supply_mart"), c, s.p)
+    )
+_check("unique_keys")(lambda s: quality.unique_key_tally({
+    **{name: (mart, MART_KEY) for name, mart in s.marts.items()},
+    "budget_mart": (s.store.stored("budget_mart", [DAY, WEEK]), BUDGET_KEY),
+    "breakout_report": (s.store.report("breakout_report"), BREAKOUT_KEY),
+    "overview_status": (s.store.report("overview_status"), OVERVIEW_KEY),
+}))
+_check("not_null")(lambda s: quality.not_null_check(s.marts))
+_check("accepted_regions")(lambda s: quality.accepted_values_check(s.marts))
+_check("accepted_product_lines")(lambda s: quality.accepted_values_check(s.marts, "product_pl", PRODUCT_LINES))
+_check("region_count")(lambda s: quality.distinct_count_check(s.marts))
+_check("breakout_values")(lambda s: tally(
+    quality.report_check(s.store.report("breakout_report"), s.store.whole("acquisition_mart"), s.p, True),
+    ["date_scope", "metric"],
+))
+_check("overview_values")(lambda s: tally(
+    quality.report_check(s.store.report("overview_status"), s.store.whole("acquisition_mart"), s.p, False),
+    ["date_scope", "metric"],
+))
