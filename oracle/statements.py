@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import oracle.checks
 import oracle.marts
-import oracle.reports  # noqa: F401  (registers the CTEs)
+import oracle.reports
+import oracle.steps
 from oracle.base import assemble
 from tidemark.schema import BUDGET_KEY, BUDGET_MEASURES
 
@@ -44,3 +45,6 @@ statement("report_dashboard", "select * from x_dashboard")
 
 for _name, _sql in oracle.checks.CHECKS.items():
     statement(f"check_{_name}", _sql)
+for _name, _sql in oracle.steps.STEPS.items():
+    statement(_name, _sql)
+statement("stored_budget_mart", f"select {_budget} from x_budget_day union all select {_budget} from x_budget_week")

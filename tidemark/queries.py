@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,14 +13,30 @@ from tidemark.checks import campaigns, quality
 from tidemark.checks import monetisation as mon_checks
 from tidemark.checks import retention as ret_checks
 from tidemark.checks.reconcile import tally
+from tidemark.functions.money import from_units, sum_units
+from tidemark.functions.taxonomy import journey_class, journey_type, payback_category, payback_sub_category
+from tidemark.operators.calendar import attach_calendar, in_run, outside
+from tidemark.operators.compare import number_weeks
+from tidemark.operators.customers import customer_flags
+from tidemark.operators.pivot import kpi_pivot
+from tidemark.operators.region import region_fanout
+from tidemark.operators.rollup import grouping_levels
+from tidemark.operators.scopes import SERIES, lag_previous_present, roll_to_week, running_ytd
+from tidemark.operators.spread import weekday_weights
 from tidemark.params import DAY, FYTD, PRODUCT_LINES, WEEK
 from tidemark.plans import acquisition as acq
 from tidemark.plans import monetisation as mon
 from tidemark.plans import reports, retention, supply
-from tidemark.plans.refresh import METRIC_MARTS
+from tidemark.plans import single_metrics as single
+from tidemark.plans.common import DAY_KEYS, LINE_PL, LINE_REGION, qualifying_lines
+from tidemark.plans.conversion import conversion_budget
+from tidemark.plans.refresh import METRIC_MARTS, refresh_mart
 from tidemark.plans.store import MartStore
 from tidemark.schema import BREAKOUT_KEY, BUDGET_KEY, BUDGET_MEASURES, MART_KEY, OVERVIEW_KEY
-from tidemark.sources.fixtures import CONFIG, RUN, fixture_sources
+from tidemark.session import scratch_table
+from tidemark.sinks.upsert import upsert
+from tidemark.sources.fixtures import CONFIG, KPIS, RUN, fixture_sources
+from tidemark.sources.profile import PROFILES, profile
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -145,3 +163,190 @@ _check("overview_values")(lambda s: tally(
     quality.report_check(s.store.report("overview_status"), s.store.whole("acquisition_mart"), s.p, False),
     ["date_scope", "metric"],
 ))
+
+# --- sources ---------------------------------------------------------------------------------
+
+for _table, _profile in PROFILES.items():
+    query(f"source_{_table}")(lambda s, t=_table, f=_profile: profile(getattr(s.src, t), f))
+
+# --- metrics one at a time -------------------------------------------------------------------
+
+for _name in single.LINE_METRICS:
+    query("single_" + _name.lower().replace(" / ", "_per_").replace(" ", "_").replace("-", "_"))(
+        lambda s, n=_name: single.line_metric(n, s.src, s.p, s.cfg)
+    )
+for _name in single.AD_METRICS:
+    query(f"single_ads_{_name}")(lambda s, n=_name: single.ad_metric(n, s.src, s.p, s.cfg))
+query("single_lifecycle_by_currency")(lambda s: single.lifecycle_by_currency(s.src, s.p, DAY))
+
+# --- steps -----------------------------------------------------------------------------------
+
+CAMPAIGN_ATTRIBUTES = ["kpi", "channel", "sub_channel", "channel_source", "device"]
+
+
+@query("label_campaigns")
+def _(s: Setup) -> DataFrame:
+    labels = [v.alias(k) for k, v in acq.campaign_labels().items()]
+    return s.src.marketing.groupBy(*CAMPAIGN_ATTRIBUTES, *labels).agg(F.count("*").alias("records"))
+
+
+@query("label_payback_channels")
+def _(s: Setup) -> DataFrame:
+    channel = F.col("channel_0")
+    return s.src.payback.groupBy(
+        channel, payback_category(channel).alias("category"), payback_sub_category(channel, F.col("channel_1")).alias("sub_category")
+    ).agg(F.count("*").alias("records"))
+
+
+@query("label_journeys")
+def _(s: Setup) -> DataFrame:
+    train = F.col("fare_train_classification_name_longest_duration")
+    kind = journey_type(F.col(LINE_PL), F.col(LINE_REGION), train, F.col("product_train_speed_code"))
+    return s.src.order_lines.groupBy(
+        "year_month_day", kind.alias("journey_type"),
+        journey_class(train, F.col("product_travel_classification_name")).alias("journey_class"),
+    ).agg(F.count("*").alias("records"))
+
+
+@query("label_new_customers")
+def _(s: Setup) -> DataFrame:
+    lines = qualifying_lines(s.src, s.cfg).where(F.col("product_gross_sales_flag") == "Y")
+    bought = lines.select(
+        F.col("order_customer_id").alias("customer_id"), "year_month_day", "product_issued_date",
+        F.col(LINE_PL).alias("product_pl"), F.col(LINE_REGION).alias("region"),
+    )
+    flags = customer_flags(bought, s.src.customer_accounts, "year_month_day")
+    return flags.groupBy("year_month_day", "product_pl", "region").agg(
+        F.count("*").alias("purchases"), F.sum("is_new").alias("new_purchases")
+    )
+
+
+@query("filter_qualifying_lines")
+def _(s: Setup) -> DataFrame:
+    kept = qualifying_lines(s.src, s.cfg).where(in_run(F.col("year_month_day"), s.p, s.cfg.line_lookback_days))
+    return kept.groupBy("year_month_day", "product_type_code", "source_system", "order_managed_group_id").agg(F.count("*").alias("records"))
+
+
+@query("filter_outage_days")
+def _(s: Setup) -> DataFrame:
+    kept = s.src.web_events.where(in_run(F.col("event_date"), s.p, 1) & outside(F.col("event_date"), s.cfg.web_outages))
+    return kept.groupBy("event_date").agg(F.count("*").alias("records"))
+
+
+@query("join_region_fanout")
+def _(s: Setup) -> DataFrame:
+    lines = s.src.order_lines.groupBy("year_month_day", LINE_PL, LINE_REGION).agg(F.count("*").alias("records"))
+    mapped = region_fanout(lines, LINE_PL, LINE_REGION, s.src.region_map)
+    return mapped.groupBy("year_month_day", "product_pl", "region").agg(F.sum("records").alias("records"))
+
+
+@query("join_calendar")
+def _(s: Setup) -> DataFrame:
+    daily = s.src.order_lines.groupBy("year_month_day").agg(F.count("*").alias("records"))
+    dated = attach_calendar(daily, s.src.calendar, DAY)
+    return dated.groupBy("financial_year", "week_number", "week_commencing_date").agg(F.sum("records").alias("records"))
+
+
+@query("join_origin_country")
+def _(s: Setup) -> DataFrame:
+    origin = F.split("search_odpair_country_name", " - ", 2)[0]
+    searches = s.src.journey_searches.groupBy(origin.alias("origin")).agg(F.sum("m_search_result_journey_count").alias("journeys"))
+    return searches.join(s.src.countries, F.col("origin") == F.col("country_code")).select("origin", "country_name", "product_pl", "region", "journeys")
+
+
+query("join_booking_countries")(lambda s: mon.placed_bookings(s.src, s.p, s.cfg))
+query("join_exchange_rates")(lambda s: mon.hotel_commissions(s.src, s.p, s.cfg))
+query("join_budget_regions")(lambda s: conversion_budget(s.src, s.p))
+query("join_margin_and_spend")(
+    lambda s: acq.margin_totals(s.src, s.p, s.cfg).join(acq.spend_totals(s.src, s.p, s.cfg), DAY_KEYS).withColumn(
+        "margin_after_spend", F.col("margin") - F.col("spend")
+    )
+)
+query("join_visits")(
+    lambda s: mon.line_extract(s.src, s.p, s.cfg).join(mon.visit_totals(s.src, s.p), DAY_KEYS).select(*DAY_KEYS, "non_fee_gbp", "non_fee_eur", "visits")
+)
+query("count_orders")(lambda s: mon.order_counts(s.src, s.p, s.cfg))
+query("count_customers_day")(lambda s: acq.customer_totals(s.src, s.p, s.cfg, "year_month_day"))
+query("count_customers_week")(lambda s: acq.customer_totals(s.src, s.p, s.cfg, "week_commencing_date"))
+query("count_web_events")(lambda s: mon.hotel_web_counts(s.src, s.p, s.cfg))
+query("sum_line_extract")(lambda s: mon.line_extract(s.src, s.p, s.cfg))
+query("sum_journey_classes")(lambda s: retention.journey_totals(s.src, s.p, s.cfg))
+
+
+@query("latest_ad_rows")
+def _(s: Setup) -> DataFrame:
+    kept = mon.ad_rows(s.src, s.p)
+    return kept.groupBy("event_date", "event_line_item_name").agg(
+        F.count("*").alias("records"), F.sum("revenue_micros").alias("micros"), F.max("header_eventtime").cast("string").alias("latest")
+    )
+
+
+@query("pivot_campaign_kpis")
+def _(s: Setup) -> DataFrame:
+    daily = s.src.marketing.groupBy("activity_date", "kpi").agg(from_units(sum_units(F.col("value"))).alias("value"))
+    return kpi_pivot(daily, ["activity_date"], "kpi", "value", {k.lower().replace(" ", "_"): k for k in KPIS})
+
+
+@query("unpivot_weekly_budget")
+def _(s: Setup) -> DataFrame:
+    return supply.weekly_budget(s.src, s.p)
+
+
+@query("level_sets")
+def _(s: Setup) -> DataFrame:
+    """Every level of three line attributes, with line counts and distinct orders."""
+    lines = qualifying_lines(s.src, s.cfg)
+    return grouping_levels(
+        lines, ["year_month_day"], ["order_region_name", "record_type", "product_train_speed_code"],
+        [F.count("*").alias("records"), F.countDistinct("order_id").alias("orders")],
+    )
+
+
+query("window_running_year")(lambda s: running_ytd(s.store.stored("supply_mart", [DAY, WEEK]), s.p, supply.ADDITIVE))
+
+
+@query("window_previous_present")
+def _(s: Setup) -> DataFrame:
+    growth = retention.growth_metrics(s.src, s.p, s.cfg, DAY)
+    return lag_previous_present(growth, SERIES, "year_month_day", "metric_value", "previous").select(
+        "year_month_day", *SERIES, "metric_value", "previous"
+    )
+
+
+query("window_week_numbers")(lambda s: number_weeks(reports.collate(s.marts, reports.BREAKOUT_METRICS)))
+query("weights_by_weekday")(lambda s: weekday_weights(s.src.order_lines, s.src.plan_calendar, s.p.as_of))
+query("sum_weeks")(lambda s: roll_to_week(s.store.stored("conversion_mart", [DAY]), s.p, ("Gross Sales", "Total Visits")))
+
+
+@query("report_overview_with_future")
+def _(s: Setup) -> DataFrame:
+    late = replace(s.p, as_of=date(2025, 12, 1))
+    return reports.overview_status(s.marts, late, s.src.calendar, include_future=True)
+
+
+# --- stored tables ---------------------------------------------------------------------------
+
+@query("stored_supply_mart")
+def _(s: Setup) -> DataFrame:
+    """The supply mart as a run leaves it, over a table that held stale and missing values."""
+    folder = scratch_table(s.spark, "stored")
+    day = s.store.stored("supply_mart", [DAY])
+    stale = day.where(F.col("year_month_day") < F.lit(date(1999, 1, 1))).withColumn("metric_value", F.col("metric_value") + 1)
+    upsert(f"{folder}/supply_mart", stale)
+    return refresh_mart(s.spark, "supply_mart", s.src, s.p, s.cfg, folder)
+
+
+@query("stored_budget_mart")
+def _(s: Setup) -> DataFrame:
+    folder = scratch_table(s.spark, "stored")
+    return _plain(refresh_mart(s.spark, "budget_mart", s.src, s.p, s.cfg, folder))
+
+
+@query("stored_overview_report")
+def _(s: Setup) -> DataFrame:
+    """The overview written twice: the second write replaces every non-key column."""
+    path = scratch_table(s.spark, "overview")
+    report = s.store.report("overview_status")
+    upsert(path, report.withColumns({"metric_value": F.lit(0.0), "yoy": F.lit(None).cast("double")}), OVERVIEW_KEY, None)
+    upsert(path, report, OVERVIEW_KEY, None)
+    return s.spark.read.parquet(path)

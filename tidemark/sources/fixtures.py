@@ -16,6 +16,7 @@ from tidemark.sources import lookups
 from tidemark.sources.catalog import Sources
 
 TABLES = ("nation", "customer", "orders", "lineitem", "events")
+FACT_IDS = {"lineitem": "l_orderkey", "events": "event_id"}
 
 # orders run 1995 to 2001 and events through January 2024; the whole of both is one run
 RUN = RunParams(date(1995, 1, 1), date(2024, 12, 31), as_of=date(2001, 8, 1))
@@ -212,9 +213,21 @@ select cast(ts as date) - 9000 as activity_date, {_CUSTOMER_REGION.format(c='use
 def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
     """Every source table over one directory of test data, opened lazily."""
 
+    cores = spark.sparkContext.defaultParallelism
+    opened: dict[str, DataFrame] = {}
+
+    def table(name: str) -> DataFrame:
+        """A test table. The two fact tables, when they come as fewer splits than there are
+        cores, are dealt to all cores by id; one large enough for the cluster is left alone."""
+        if name not in opened:
+            df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+            if name in FACT_IDS and df.rdd.getNumPartitions() < cores:
+                df = df.repartition(cores, FACT_IDS[name])
+            opened[name] = df
+        return opened[name]
+
     def derive(sql: str):
-        used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if "{" + t + "}" in sql}
-        return spark.sql(sql, **used)
+        return spark.sql(sql, **{t: table(t) for t in TABLES if "{" + t + "}" in sql})
 
     calendar = lookups.calendar(spark)
     tables = {name: (lambda sql=sql: derive(sql)) for name, sql in SQL.items()}
