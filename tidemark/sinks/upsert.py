@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from tidemark.schema import MART_KEY, MART_UPDATE, PARTITION
 
 
-def read_table(spark: SparkSession, path: str, like: DataFrame) -> DataFrame | None:
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The stored table, or None before its first write."""
     try:
         return spark.read.parquet(path)
@@ -47,22 +47,23 @@ def upsert(
 ) -> None:
     """Merge ``new`` into the table at ``path``, rewriting only the weeks it touches.
 
-    The new rows are staged first, which fixes them and cuts their lineage, and tells which
-    weeks to read. The merged weeks are staged too and then replace theirs by dynamic
-    partition overwrite, so the job never reads what it is writing, a lost executor only
-    repeats tasks, and repeating the whole upsert gives the same table. Staging sits beside
-    the table, on storage all executors share.
+    The new rows are staged first, which fixes them and cuts their lineage. The merged weeks
+    are staged too and then replace theirs by dynamic partition overwrite, so the job never
+    reads what it is writing, a lost executor only repeats tasks, and repeating the whole
+    upsert gives the same table. Staging sits beside the table, on storage all executors
+    share.
     """
     spark = new.sparkSession
     staged, merged = f"{path.rstrip('/')}__new", f"{path.rstrip('/')}__merged"
-    # one task per week: each partition directory gets one file, and AQE splits what is too big
-    by_week = lambda df: df.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition)
-    by_week(new).option("partitionOverwriteMode", "static").parquet(staged)
+    new.write.mode("overwrite").parquet(staged)
     rows = spark.read.schema(new.schema).parquet(staged)
-    stored = read_table(spark, path, new)
+    stored = read_table(spark, path)
     if stored is not None:
-        weeks = rows.select(partition).distinct()
-        touched = stored.join(weeks, partition, "left_semi")
-        by_week(merge_rows(touched, rows, key, update)).option("partitionOverwriteMode", "static").parquet(merged)
+        # one date per reporting week, 53 a year: listed here so the table scan is pruned to them
+        weeks = [row[0] for row in rows.select(partition).distinct().collect()]
+        merge_rows(stored.where(F.col(partition).isin(weeks)), rows, key, update).write.mode("overwrite").parquet(merged)
         rows = spark.read.parquet(merged)
-    rows.write.mode("overwrite").partitionBy(partition).option("partitionOverwriteMode", "dynamic").parquet(path)
+    # rows of a week meet in one task, which writes the week's file; AQE splits a week too big for that
+    rows.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        partition
+    ).parquet(path)
