@@ -116,6 +116,8 @@ def test_quality_checks_notice_bad_tables(store):
     odd = mart.withColumn("region", F.lit("Atlantis"))
     assert failing(quality.accepted_values_check({"m": odd})).first().value == "Atlantis"
     assert quality.distinct_count_check({"m": odd}).first().failed
-    bad = damaged(store.whole("supply_mart"), F.col("region") == "RoE")
-    assert failing(quality.foreign_travel_check("supply_mart", store.whole("supply_mart"))).count() == 0
+    # year to date is left out: a region without a row in a week has no running total there
+    added_up = store.stored("supply_mart", ["DAY", "WEEK"])
+    bad = damaged(added_up, F.col("region") == "RoE")
+    assert failing(quality.foreign_travel_check("supply_mart", added_up)).count() == 0
     assert failing(quality.foreign_travel_check("supply_mart", bad)).count() > 0
