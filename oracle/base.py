@@ -41,7 +41,8 @@ def assemble(final: str) -> str:
 
 
 def dec(x: str, scale: int = 7) -> str:
-    return f"cast({x} as decimal(28,{scale}))"
+    """A double as the decimal it prints as; a direct cast multiplies as a double and adds noise."""
+    return f"cast(cast({x} as varchar) as decimal(28,{scale}))"
 
 
 def total(x: str) -> str:
@@ -49,6 +50,11 @@ def total(x: str) -> str:
     return f"sum(cast({x} as decimal(18,7)))"
 
 
+def exact(x: str) -> str:
+    """A decimal as the nearest double; through text, as a direct cast rounds twice above 2**53 units."""
+    return f"cast(cast({x} as varchar) as double)"
+
+
 def dbl(x: str) -> str:
     return f"cast({x} as double)"
 

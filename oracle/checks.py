@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import oracle.marts as m
-from oracle.base import END, OUT, START, cte, dec, div, fan, money4, pick, round4, total
+from oracle.base import END, OUT, START, cte, dec, div, exact, fan, money4, pick, round4, total
 
 DPR = "year_month_day, product_pl, region"
 CHECKS: dict[str, str] = {}
@@ -124,7 +124,7 @@ for _mart in MARTS:
     CHECKS[f"foreign_travel_{_mart}"] = f"""select {_k5}, parts, foreign_travel, abs(parts - foreign_travel) as difference,
  case when parts is null then 'no parts' when foreign_travel is null then 'no foreign travel' else 'compared' end as status,
  coalesce(abs(parts - foreign_travel) > 10, false) as failed
-from (select {_k5}, cast(sum({dec('metric_value', 8)}) as double) as parts from x_{_mart}_mart where product_pl = 'EU' and region in ('Inbound','RoE','UK>EU') and {_skip[_mart]} group by all) p
+from (select {_k5}, {exact('sum(' + dec('metric_value', 8) + ')')} as parts from x_{_mart}_mart where product_pl = 'EU' and region in ('Inbound','RoE','UK>EU') and {_skip[_mart]} group by all) p
 full join (select {_k5}, metric_value as foreign_travel from x_{_mart}_mart where product_pl = 'EU' and region = 'Foreign Travel' and {_skip[_mart]}) f using ({_k5})"""
 for _c in ("category", "sub_category"):
     CHECKS[f"{_c}_completeness"] = f"""select n as nulls, r as records, coalesce(n / nullif(r, 0) > 0.10, false) as failed

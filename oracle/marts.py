@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracle.base import (
-    CUTOVER, END, OUT, START, cte, dbl, dec, div, div0, fan, longform, mart_rows, money4, pick, round4, total,
+    CUTOVER, END, OUT, START, cte, dbl, dec, div, div0, exact, fan, longform, mart_rows, money4, pick, round4, total,
 )
 
 IN_RUN = f"between date '{START}' and date '{END}'"
@@ -17,7 +17,7 @@ SERIES = "product_pl, region, category, sub_category, metric_name"
 def week_sum(mart: str, metrics: list[str]) -> str:
     names = ", ".join(f"'{m}'" for m in metrics)
     return (
-        f"select week_commencing_date, {SERIES}, cast(sum({dec('metric_value', 8)}) as double) as metric_value from {mart} "
+        f"select week_commencing_date, {SERIES}, {exact('sum(' + dec('metric_value', 8) + ')')} as metric_value from {mart} "
         f"where date_scope = 'DAY' and metric_name in ({names}) group by all"
     )
 
@@ -25,8 +25,9 @@ def week_sum(mart: str, metrics: list[str]) -> str:
 def ytd(mart: str, metrics: list[str]) -> str:
     names = ", ".join(f"'{m}'" for m in metrics)
     return (
-        f"select financial_year, week_number, week_commencing_date, {SERIES}, cast(sum({dec('metric_value', 8)}) over "
-        f"(partition by financial_year, {SERIES} order by week_commencing_date rows unbounded preceding) as double) as metric_value "
+        f"select financial_year, week_number, week_commencing_date, {SERIES}, "
+        + exact(f"sum({dec('metric_value', 8)}) over (partition by financial_year, {SERIES} order by week_commencing_date rows unbounded preceding)")
+        + " as metric_value "
         f"from {mart} where date_scope = 'WEEK' and metric_name in ({names})"
     )
 

@@ -15,14 +15,13 @@ def weekday_weights(lines: DataFrame, calendar: DataFrame, as_of: date, months:
     """Average net sales of each weekday over the last months, relative to the average day.
 
     The look-back runs from the start of the reporting week six months ago to the end of the
-    current one. Its bounds come from the calendar as scalar subqueries, so Spark resolves
-    them first and prunes the fact scan with them.
+    current one. The calendar's one row of bounds is read while planning: as literals they
+    reach the fact scan, which then skips everything older.
     """
     edge = calendar.where(F.col("report_date").isin(F.lit(as_of), F.add_months(F.lit(as_of), -months)))
-    first = edge.agg(F.min("report_week_commencing")).scalar()
-    last = edge.agg(F.max("report_week_ending")).scalar()
+    bounds = edge.agg(F.min("report_week_commencing").alias("first_day"), F.max("report_week_ending").alias("last_day")).first()
     daily = (
-        lines.where(F.col("year_month_day").between(first, last))
+        lines.where(F.col("year_month_day").between(F.lit(bounds.first_day), F.lit(bounds.last_day)))
         .groupBy("year_month_day")
         .agg(sum_units(F.col("m_net_sales_amount_gbp")).alias("net_units"))
     )
