@@ -67,7 +67,7 @@ def refresh(
     chosen = list(marts)
     stored = {name: refresh_mart(spark, name, src, p, cfg, folder, scopes) for name in chosen}
     if with_reports:
-        tables = {name: stored.get(name, None) or spark.read.parquet(f"{folder}/{name}") for name in METRIC_MARTS}
+        tables = {n: stored[n] if n in stored else spark.read.parquet(f"{folder}/{n}") for n in METRIC_MARTS}
         for name, build, key in (
             ("breakout_report", reports.breakout_report, BREAKOUT_KEY),
             ("overview_status", reports.overview_status, OVERVIEW_KEY),
