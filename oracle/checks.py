@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import oracle.marts as m
-from oracle.base import END, OUT, START, cte, dec, div, exact, fan, money4, pick, round4, total
+from oracle.base import END, START, cte, dec, div, exact, money4, pick, round4, total
 
 DPR = "year_month_day, product_pl, region"
 CHECKS: dict[str, str] = {}

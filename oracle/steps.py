@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import oracle.marts as m
 import oracle.reports  # noqa: F401
-from oracle.base import OUT, dbl, dec, div0, fan, longform, pick, round4, total
+from oracle.base import OUT, dbl, div0, fan, longform, pick, round4, total
 from tidemark.sources.fixtures import KPIS
 from tidemark.sources.profile import PROFILES
 

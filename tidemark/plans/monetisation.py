@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import from_units, stable_sum
+from tidemark.functions.money import stable_sum
 from tidemark.functions.ratio import currency_pick, plain_ratio, safe_ratio
 from tidemark.functions.taxonomy import COUNTRY_CODE_REPAIRS, COUNTRY_NAME_REPAIRS, repaired
 from tidemark.operators.calendar import in_run, outside
@@ -104,7 +104,7 @@ def order_counts(src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
     return distinct_then_count(mapped, DAY_KEYS, "order_id", "orders")
 
 
-def _picked(name: str, cfg: MartConfig, region: str | None = None) -> Column:
+def picked(name: str, cfg: MartConfig, region: str | None = None) -> Column:
     return currency_pick(F.col(f"{name}_gbp"), F.col(f"{name}_eur"), region=region, total=cfg.total_currency)
 
 
@@ -116,11 +116,11 @@ def _labels(category: str, sub_category: str, name: str) -> dict[str, str]:
 
 
 def revenue_pairs(cfg: MartConfig) -> Pairs:
-    orders, fees = F.col("orders"), _picked("fees", cfg)
+    orders, fees = F.col("orders"), picked("fees", cfg)
     return [
-        (_labels(ALL, ALL, "Total Revenue"), round4(_picked("total", cfg))),
+        (_labels(ALL, ALL, "Total Revenue"), round4(picked("total", cfg))),
         (_labels(ALL, ALL, "Fee Revenue"), round4(fees)),
-        (_labels(ALL, ALL, "Non-Fee Revenue"), round4(_picked("non_fee", cfg))),
+        (_labels(ALL, ALL, "Non-Fee Revenue"), round4(picked("non_fee", cfg))),
         (_labels(ALL, ALL, "Gross Transactions"), orders),
         (_labels(ALL, ALL, "Fee Revenue / Transaction"), round4(plain_ratio(fees, orders))),
     ]
@@ -129,13 +129,13 @@ def revenue_pairs(cfg: MartConfig) -> Pairs:
 def per_visit_pairs(cfg: MartConfig) -> Pairs:
     """Revenue and visits are both totalled before they meet, so no amount repeats per visit row."""
     visits = F.col("visits")
-    value = F.when(visits.isNotNull(), safe_ratio(_picked("non_fee", cfg, "region"), visits))
+    value = F.when(visits.isNotNull(), safe_ratio(picked("non_fee", cfg, "region"), visits))
     return [(_labels(ALL, ALL, "Non-Fee Revenue / Visit"), value)]
 
 
 def transaction_pairs(cfg: MartConfig) -> Pairs:
     """Tickets, coverage, take rate and revenue of every fee family."""
-    sales, tickets = _picked("net_sales", cfg), F.col("tickets")
+    sales, tickets = picked("net_sales", cfg), F.col("tickets")
     in_gap = (F.col("product_pl") == "EU") & ~outside(F.col("year_month_day"), cfg.refund_fee_gaps)
 
     def known(fee: str, value: Column) -> Column:
@@ -143,7 +143,7 @@ def transaction_pairs(cfg: MartConfig) -> Pairs:
 
     pairs: Pairs = []
     for fee in FEES:
-        amount = _picked(fee_key(fee), cfg)
+        amount = picked(fee_key(fee), cfg)
         if fee in TICKET_FEES:
             covered = F.col(f"{fee_key(fee)}_tickets")
             pairs.append((_labels("Trx", fee, "Number of Tickets"), covered))

@@ -21,7 +21,7 @@ AD_METRICS = {"revenue": "Revenue", "reach": "Impressions", "ctr": "CTR", "quali
 
 def line_metric(name: str, src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
     """One order-line metric, unrounded, sterling for the United Kingdom only; unneeded sums are pruned."""
-    amount = lambda m: mon._picked(m, cfg, "region")
+    amount = lambda m: mon.picked(m, cfg, "region")
     value: dict[str, Column] = {
         "Total Revenue": amount("total"),
         "Fee Revenue": amount("fees"),

@@ -9,7 +9,6 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.params import MartConfig, RunParams
 from tidemark.sources import lookups
