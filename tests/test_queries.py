@@ -2,8 +2,10 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from oracle.statements import STATEMENTS
 from tests.parity import differences, duck
+from tidemark.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,7 +14,7 @@ def con(sf_dir):
 
 
 def test_each_query_has_a_statement():
-    assert set(oracle_sql()) == set(queries())
+    assert set(STATEMENTS) == set(QUERIES)
 
 
 def test_entry(spark):
@@ -20,9 +22,9 @@ def test_entry(spark):
     assert df.columns and df.limit(1).count() == 1
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_statement(spark, con, sf_dir, name):
-    got = queries()[name](spark, sf_dir).toPandas()
-    want = con.execute(oracle_sql()[name]).df()
+    got = QUERIES[name](spark, sf_dir).toPandas()
+    want = con.execute(STATEMENTS[name]).df()
     assert len(got) > 0
     assert not differences(got, want)
