@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, langid, simhash
+from tidemark.llm import bpe, chat, langid, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 STATEMENTS: dict[str, str] = {}
@@ -72,3 +72,37 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.learn(docs.where(~held_out()))
     return langid.predict(docs.select("doc_id", held_out().alias("held_out"), "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures and verdict of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.cascade(docs, measures=True).select("doc_id", *quality.MEASURES, "base_failed", "kept")
+
+
+STATEMENTS["op10_quality"] = r"""
+with w as (
+  select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+), lines as (
+  select doc_id, count(*) as n_lines, count(*) - count(distinct line) as n_dup_lines from (
+    select doc_id, unnest(string_split(text, chr(10))) as line from w) where regexp_matches(line, '[^\x20\x09-\x0D]') group by doc_id
+), windows as (
+  select doc_id, unnest(range(1, len(words) - 6)) as i, words from w where len(words) >= 8
+), numbered as (
+  select doc_id, i, count(*) over (partition by doc_id, array_to_string(words[i:i + 7], ' ')) as n from windows
+), covered as (
+  select doc_id, count(distinct p) as n_repeat_words from (select doc_id, unnest(range(i, i + 8)) as p from numbered where n > 1) group by doc_id
+), m as (
+  select w.doc_id, text, len(words) as n_words, coalesce(list_sum([length(x) for x in words]), 0) as word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as n_symbols, coalesce(n_dup_lines, 0) as n_dup_lines,
+    coalesce(n_lines, 0) as n_lines, coalesce(n_repeat_words, 0) as n_repeat_words,
+    length(regexp_replace(text, '[^\p{Lu}]', '', 'g')) as upper_letters, length(regexp_replace(text, '[^\p{Lu}\p{Ll}]', '', 'g')) as cased_letters
+  from w left join lines using (doc_id) left join covered using (doc_id)
+), b as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from m)
+select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols, n_dup_lines::bigint as n_dup_lines,
+  n_repeat_words::bigint as n_repeat_words, base_failed,
+  not base_failed and not 10 * n_symbols > 3 * n_words and not 2 * n_dup_lines > n_lines
+    and word_chars between 2 * n_words and 15 * n_words and not (cased_letters >= 40 and 2 * upper_letters > cased_letters) as kept
+from b
+"""
