@@ -57,7 +57,7 @@ def test_memory_is_bounded(monkeypatch):
     own = bpe.Encoder(bpe.read_vocabulary(PATH))
     text = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200))
     assert own.encode(text) == LIBRARY.encode(text, add_special_tokens=False).ids
-    assert len(own.words) <= 10 and len(own.fragments) <= 10
+    assert len(own.words) <= 10 and len(own.older) <= 10
 
 
 def test_frames_with_nulls_repeats_and_extra_columns(spark):

@@ -1,9 +1,9 @@
 """BPE encoding and decoding with a vocabulary file of the tokenizers format (word pieces with an end-of-word mark).
 
-A text is normalised (NFC, white space, lower case), cut into words, and each word is cut again wherever two
+A text is normalised (NFC, lower case), cut into words, which leaves white space out, and each word is cut again wherever two
 neighbouring symbols never stand side by side inside any token: no merge can cross such a place, so the fragments are
-encoded alone and their ids put one after the other. Fragments and words recur, so each task keeps a bounded memory
-of those it has encoded.
+encoded alone and their ids put one after the other. Words recur, so each worker keeps a bounded memory of those it has
+encoded.
 
 Null text: no ids. Empty text: no ids; no ids decode to an empty text. Repeated rows give repeated rows. Other columns
 pass through under their own names, so ``ids`` (and ``decoded``) must be free. A text is held whole in its task,
@@ -29,9 +29,10 @@ from pyspark.sql import types as T
 from tidemark.llm.batches import slices
 
 END = "</w>"
-REMEMBERED = 300_000
+REMEMBERED = 250_000
+SHORT = 48
+NONE = 1 << 62
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-SPACE = regex.compile(f"[{SPACES}]+")
 #: contractions, runs of letters, single numerals, runs of the rest
 WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACES}\p{{L}}\p{{N}}]+")
 
@@ -59,9 +60,9 @@ class Encoder:
         self.last = [vocab[s + END] for s in symbols]
         self.merges = {}
         for rank, (a, b) in enumerate(model["merges"]):
-            self.merges[vocab[a], vocab[b]] = rank, vocab[a + b]
-        # pairs[a, b]: byte a is followed by b inside some token; b + 256: by b at the end of a word
-        self.pairs = np.zeros((256, 512), dtype=bool)
+            self.merges[vocab[a] << 20 | vocab[b]] = rank << 20 | vocab[a + b]
+        # byte a followed by b inside some token: a << 9 | b; by b at the end of a word: a << 9 | b + 256
+        self.pairs: set[int] = set()
         byte_of = {s: b for b, s in enumerate(symbols)}
         for token in vocab:
             ends = token.endswith(END) and token != END
@@ -70,62 +71,68 @@ class Encoder:
             except KeyError:  # no sequence of bytes, so no merge makes it
                 continue
             for k, (a, b) in enumerate(zip(own, own[1:]), 2):
-                self.pairs[a, b + 256 * (ends and k == len(own))] = True
+                self.pairs.add(a << 9 | b + 256 * (ends and k == len(own)))
         self.split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.words: dict[str, tuple[int, ...]] = {}
-        self.fragments: dict[tuple[bytes, bool], tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def cuts(self, word: bytes) -> list[int]:
         """Places in the word that no token spans."""
-        b = np.frombuffer(word, dtype=np.uint8).astype(np.intp)
-        after = b[1:].copy()
-        if len(after):
-            after[-1] += 256
-        return (np.flatnonzero(~self.pairs[b[:-1], after]) + 1).tolist()
-
-    def fragment(self, part: bytes, ends: bool) -> tuple[int, ...]:
-        """Merges by rank, the leftmost first, over a linked list; n log n for any length."""
+        pairs, last = self.pairs, len(word) - 1
+        return [i for i, (a, b) in enumerate(zip(word, word[1:]), 1) if (a << 9 | b + 256 * (i == last)) not in pairs]
+
+    def fragment(self, part: bytes, ends: bool) -> list[int]:
+        """Merges by rank, the leftmost first."""
         ids = [self.inner[b] for b in part]
         if ends:
             ids[-1] = self.last[part[-1]]
-        n = len(ids)
-        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
+        if len(ids) > SHORT:
+            return self.long_fragment(ids)
         merges = self.merges
-        heap = [(m[0], i, m[1], ids[i], ids[i + 1]) for i in range(n - 1) if (m := merges.get((ids[i], ids[i + 1])))]
+        ranks = [merges.get(a << 20 | b, NONE) for a, b in zip(ids, ids[1:])]
+        while ranks and (best := min(ranks)) < NONE:
+            i = ranks.index(best)
+            ids[i : i + 2] = (new := best & 0xFFFFF,)
+            del ranks[i]
+            if i:
+                ranks[i - 1] = merges.get(ids[i - 1] << 20 | new, NONE)
+            if i < len(ranks):
+                ranks[i] = merges.get(new << 20 | ids[i + 1], NONE)
+        return ids
+
+    def long_fragment(self, ids: list[int]) -> list[int]:
+        """The same with a heap over a linked list: n log n for any length."""
+        n, merges = len(ids), self.merges
+        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
+        heap = [(m, i, ids[i], ids[i + 1]) for i in range(n - 1) if (m := merges.get(ids[i] << 20 | ids[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, new, left, right = heapq.heappop(heap)
+            m, i, left, right = heapq.heappop(heap)
             j = after[i]
             if ids[i] != left or j < 0 or ids[j] != right:
                 continue
+            new = m & 0xFFFFF
             ids[i], ids[j] = new, -1
             after[i] = k = after[j]
             if k >= 0:
                 before[k] = i
-                if m := merges.get((new, ids[k])):
-                    heapq.heappush(heap, (m[0], i, m[1], new, ids[k]))
+                if (m := merges.get(new << 20 | ids[k])) is not None:
+                    heapq.heappush(heap, (m, i, new, ids[k]))
             h = before[i]
-            if h >= 0 and (m := merges.get((ids[h], new))):
-                heapq.heappush(heap, (m[0], h, m[1], ids[h], new))
-        return tuple(i for i in ids if i >= 0)
+            if h >= 0 and (m := merges.get(ids[h] << 20 | new)) is not None:
+                heapq.heappush(heap, (m, h, ids[h], new))
+        return [i for i in ids if i >= 0]
 
     def word(self, word: str) -> tuple[int, ...]:
-        own = word.encode()
-        places = [0, *self.cuts(own), len(own)]
-        out: list[int] = []
-        for a, b in zip(places, places[1:]):
-            key = own[a:b], b == len(own)
-            ids = self.fragments.get(key)
-            if ids is None:
-                ids = self.fragment(*key)
-                if len(key[0]) <= 64:
-                    if len(self.fragments) >= REMEMBERED:
-                        self.fragments.clear()
-                    self.fragments[key] = ids
-            out += ids
-        ids = tuple(out)
+        """Its ids, remembered in two generations: the older one goes when the newer is full."""
+        ids = self.older.get(word)
+        if ids is None:
+            own = word.encode()
+            places = [0, *self.cuts(own), len(own)]
+            ids = tuple(chain.from_iterable([self.fragment(own[a:b], b == len(own)) for a, b in zip(places, places[1:])]))
         if len(word) <= 64:
             if len(self.words) >= REMEMBERED:
+                self.older = dict(self.words)
                 self.words.clear()
             self.words[word] = ids
         return ids
@@ -141,7 +148,7 @@ class Encoder:
             if k % 2:
                 out.append(self.special[part])
                 continue
-            part = SPACE.sub(" ", unicodedata.normalize("NFC", part)).replace("Σ", "σ").lower()
+            part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
             out += chain.from_iterable([known.get(w) or self.word(w) for w in WORD.findall(part)])
         return out
 
