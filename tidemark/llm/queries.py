@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, langid, quality, simhash
+from tidemark.llm import bpe, chat, html_text, langid, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 STATEMENTS: dict[str, str] = {}
@@ -106,3 +106,10 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_s
     and word_chars between 2 * n_words and 15 * n_words and not (cased_letters >= 40 and 2 * upper_letters > cased_letters) as kept
 from b
 """
+
+
+@query
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
