@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, html_text, langid, quality, simhash
+from tidemark.llm import bpe, chat, decontaminate, html_text, langid, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 STATEMENTS: dict[str, str] = {}
@@ -113,3 +113,30 @@ def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_text.extract(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item of which it contains four fifths of the shingles or more."""
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_shingles", "n_found", "containment")
+
+
+STATEMENTS["op1_decontaminate"] = r"""
+with i as (
+  select item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{M}\p{N}]+') as words from benchmark
+), items as (
+  select distinct item_id, least(len(words), 5) as k, words[s:s + least(len(words), 5) - 1] as shingle
+  from (select *, unnest(range(1, len(words) - least(len(words), 5) + 2)) as s from i where len(words) > 0)
+), sizes as (select item_id, count(*) as n_shingles from items group by item_id
+), d as (
+  select doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{M}\p{N}]+') as words from documents
+), lengths as (select distinct k from items
+), shingles as (
+  select distinct doc_id, k, words[s:s + k - 1] as shingle from (select *, unnest(range(1, len(words) - k + 2)) as s from d, lengths where len(words) >= k)
+), counted as (
+  select doc_id, item_id, count(*) as n_found from shingles join items using (k, shingle) group by doc_id, item_id
+)
+select doc_id, item_id, n_shingles, n_found, n_found / n_shingles as containment
+from counted join sizes using (item_id) where 10 * n_found >= 8 * n_shingles
+"""
