@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from tidemark.llm.batches import slices
 
 END = "</w>"
-REMEMBERED = 250_000
+REMEMBERED = 100_000
 SHORT = 48
 NONE = 1 << 62
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -52,9 +52,6 @@ class Encoder:
         model = spec["model"]
         vocab: dict[str, int] = model["vocab"]
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
-        self.tokens = [""] * (1 + max([*vocab.values(), *self.special.values()]))
-        for token, i in [*vocab.items(), *self.special.items()]:
-            self.tokens[i] = token
         symbols = byte_symbols()
         self.inner = [vocab[s] for s in symbols]
         self.last = [vocab[s + END] for s in symbols]
@@ -152,16 +149,26 @@ class Encoder:
             out += chain.from_iterable([known.get(w) or self.word(w) for w in WORD.findall(part)])
         return out
 
-    def decode(self, ids: list[int]) -> str:
-        return " ".join([self.tokens[i] for i in ids])
 
-
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def encoder(file: str) -> Encoder:
-    """One per worker process and vocabulary."""
+    """One per worker process."""
     return Encoder(file)
 
 
+@lru_cache(maxsize=1)
+def tokens(file: str) -> list[str | None]:
+    """The string of each id, null for ids that stand for nothing; all that decoding needs."""
+    spec = json.loads(file)
+    named = {**{i: t for t, i in spec["model"]["vocab"].items()}, **{x["id"]: x["content"] for x in spec["added_tokens"]}}
+    return [named.get(i) for i in range(max(named) + 1)]
+
+
+def spell(ids: list[int], known: list[str | None]) -> str:
+    """The text of ``ids``: without a decoder in the vocabulary file, tokens with a blank between."""
+    return " ".join([known[i] for i in ids])
+
+
 def read_vocabulary(path: str) -> str:
     with open(path, encoding="utf-8") as f:
         return f.read()
@@ -191,11 +198,11 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
     shared = df.sparkSession.sparkContext.broadcast(read_vocabulary(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(shared.value)
+        known = tokens(shared.value)
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
-                texts = [own.decode(x.values.to_numpy(zero_copy_only=False).tolist()) if x.is_valid else None for x in part.column(part.schema.get_field_index(ids))]
+                texts = [spell(x.values.to_numpy(zero_copy_only=False).tolist(), known) if x.is_valid else None for x in part.column(part.schema.get_field_index(ids))]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, decoded])
 
     return df.mapInArrow(run, with_field(df, decoded, T.StringType()))
