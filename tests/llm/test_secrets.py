@@ -1,0 +1,82 @@
+import hashlib
+import re
+
+import pytest
+
+from tests.parity import differences, duck
+from tidemark.llm import secrets, shingles
+from tidemark.llm.queries import STATEMENTS, op6_secrets
+
+HEX = "0123456789abcdef" * 2
+TEXTS = [
+    "password=abc123 x", "PassWd : 'secret99'", "token=token:abcdefgh", "token = short", "api_key=\"a.b/c+d\" apikey: abcdefg", "secret=password=abcdefgh",
+    "AKIA" + "A" * 15, "AKIA" + "A" * 16, "xAKIA" + "Z9" * 20 + "y", f"é😀 {HEX} {HEX}", HEX[:23] + " " + HEX[:24] + "g", f"token={HEX}", "AKIAAKIA" + "B" * 12,
+    "-----BEGIN RSA PRIVATE KEY-----", "ghp_" + "a1" * 18, "xoxb-1234567890-ab", "eyJhbGciOiJI.eyJzdWIiOiIx.SflKxwRJSMeKKF", "no secret, no token here", "", None,
+    ("x " * 5000) + f"passwd=hunter22 {HEX}", " ".join(f"{i:024x}" for i in range(3000)),
+]
+
+
+def slow(text):
+    rows = []
+    for rank, r in enumerate(secrets.RULES):
+        for m in re.finditer(r.pattern, text or ""):
+            if len(m[r.measured]) >= r.least:
+                rows.append((m.start(), rank, f"{r.kind}:{m.start()}:{m.end()}", r.kind))
+    rows.sort()
+    n = [sum(x[3] == k for x in rows) for k in ("assign", "access", "hex")]
+    return (*n, hashlib.sha256(",".join(x[2] for x in rows if x[1] < 3).encode()).hexdigest(), ",".join(x[2] for x in rows))
+
+
+@pytest.mark.parametrize("limit", [shingles.BROADCAST_ROWS, 0])
+def test_equals_brute_force(spark, monkeypatch, limit):
+    monkeypatch.setattr(shingles, "BROADCAST_ROWS", limit)
+    docs = spark.createDataFrame([(i, t, "kind") for i, t in enumerate(TEXTS)], "doc_id long, text string, kinds string")
+    got = {r.doc_id: tuple(r)[1:] for r in secrets.digests(docs, secrets.scan(docs)).collect()}
+    assert got == {i: slow(t) for i, t in enumerate(TEXTS)}
+
+
+def test_hex_rule_equals_runs_that_are_long_enough():
+    for text in (HEX[:23] + "x" + HEX, HEX * 3, "a" * 24 + "g" + "b" * 23):
+        assert [m.span() for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24] == [m.span() for m in re.finditer(secrets.RULES[2].pattern, text)]
+
+
+def test_queries_hold_in_every_match():
+    for rule in secrets.RULES:
+        q = secrets.trigram_query(rule.pattern)
+        assert (q == ()) == (rule.kind == "hex")
+        for text in filter(None, TEXTS):
+            if re.search(rule.pattern, text):
+                assert all(any(all(t in text.lower() for t in a) for a in c) for c in q)
+
+
+@pytest.mark.parametrize("pattern,want", [
+    ("abcd", {("abc", "bcd")}), ("ab", set()), ("(abc|xyz)+", {("abc",), ("xyz",)}), ("a?bcd", {("bcd",)}), ("abc.*", {("abc",)}), ("(abc|d)", set()),
+    ("[0-9]{3}abc", {("abc",)}), ("x(abc[0-9]+)?", set()),
+])
+def test_trigram_queries(pattern, want):
+    q = secrets.trigram_query(pattern)
+    assert {tuple(sorted(a)) for c in q for a in c} == want
+
+
+def test_candidates_are_few(spark):
+    rules = {r.kind: secrets.trigram_query(r.pattern) for r in secrets.RULES if secrets.trigram_query(r.pattern)}
+    docs = spark.createDataFrame([(1, "the ass and ord of wor pas ssw swo"), (2, "my password is x"), (3, "AkIa")], "doc_id long, text string")
+    got = {r.doc_id: sorted(r.kinds) for r in secrets.candidates(secrets.postings(docs, secrets.vocabulary(rules)), rules).collect()}
+    assert got == {1: ["assign"], 2: ["assign"], 3: ["access"]}
+
+
+def test_query_equals_its_statement(spark):
+    sf_dir = "/root/testdata/sf0.01"  # the smallest set that holds secrets
+    got = op6_secrets(spark, sf_dir).toPandas()
+    assert got.n_assign.sum() > 0 and not differences(got, duck(sf_dir).execute(STATEMENTS["op6_secrets"]).df())
+
+
+def test_redaction_and_repeats(spark):
+    rows = [(1, f"a token = {HEX}, b", "x"), (1, f"a token = {HEX}, b", "x"), (None, "AKIA" + "Q" * 16, "y"), (1, "clean", "z"), (2, None, "n"), (3, "token=x", "n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kind string")
+    got = sorted(map(tuple, secrets.redact(docs).collect()), key=str)
+    assert got == sorted([(1, "a [secret], b", "x"), (1, "a [secret], b", "x"), (None, "[secret]", "y"), (1, "clean", "z"), (2, None, "n"), (3, "token=x", "n")], key=str)
+    assert secrets.scan(secrets.redact(docs)).count() == 0
+    empty = docs.limit(0)
+    assert secrets.digests(empty, secrets.scan(empty)).count() == 0 == secrets.redact(empty).count()
+    assert secrets.digests(docs, secrets.scan(docs)).count() == 6

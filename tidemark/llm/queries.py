@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, decontaminate, html_text, langid, quality, simhash
+from tidemark.llm import bpe, chat, decontaminate, html_text, langid, quality, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 STATEMENTS: dict[str, str] = {}
@@ -140,3 +140,29 @@ with i as (
 select doc_id, item_id, n_shingles, n_found, n_found / n_shingles as containment
 from counted join sizes using (item_id) where 10 * n_found >= 8 * n_shingles
 """
+
+
+@query
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and spans of secrets in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.digests(docs, secrets.scan(docs))
+
+
+def _spans_sql(rank: int, rule: secrets.Rule) -> str:
+    pattern = "'" + rule.pattern.replace("'", "''") + "'"
+    return f"""select doc_id, '{rule.kind}' as kind, {rank} as rank, s as start, s + length(m[i]) as "end" from (
+      select doc_id, m, v, i, coalesce(list_sum([length(x) for x in b[1:i]]), 0) + coalesce(list_sum([length(x) for x in m[1:i - 1]]), 0) as s from (
+        select *, unnest(range(1, len(m) + 1)) as i from (
+          select doc_id, regexp_extract_all(text, {pattern}, 0) as m, regexp_extract_all(text, {pattern}, {rule.measured}) as v,
+            string_split_regex(text, {pattern}) as b from documents where regexp_matches(text, {pattern})))) where length(v[i]) >= {rule.least}"""
+
+
+STATEMENTS["op6_secrets"] = f"""
+with found as ({" union all ".join(_spans_sql(i, r) for i, r in enumerate(secrets.RULES))}),
+told as (select *, kind || ':' || start || ':' || "end" as told from found)
+select d.doc_id, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access, count(*) filter (kind = 'hex') as n_hex,
+  sha256(coalesce(string_agg(told, ',' order by start, rank) filter (rank < {len(secrets.BASE)}), '')) as base_sha256,
+  coalesce(string_agg(told, ',' order by start, rank), '') as spans
+from documents d left join told t on d.doc_id = t.doc_id group by d.doc_id
+"""
