@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, decontaminate, html_text, langid, quality, secrets, simhash
+from tidemark.llm import bpe, chat, decontaminate, html_text, langid, quality, secrets, simhash, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 STATEMENTS: dict[str, str] = {}
@@ -166,3 +166,68 @@ select d.doc_id, count(*) filter (kind = 'assign') as n_assign, count(*) filter
   coalesce(string_agg(told, ',' order by start, rank), '') as spans
 from documents d left join told t on d.doc_id = t.doc_id group by d.doc_id
 """
+
+
+def page_captures(pages: DataFrame) -> DataFrame:
+    """The pages as captures of one a day, over two years again and again."""
+    day = F.pmod(F.col("page_id"), F.lit(700)).cast("int")
+    return pages.select(F.col("page_id").alias("capture_id"), "url", F.date_add(F.lit("2023-01-01").cast("date"), day).cast("timestamp").alias("fetched_at"))
+
+
+def page_list_events(pages: DataFrame) -> DataFrame:
+    """Dated lists made of the pages' own hosts: as long as there are hosts, numbered by the first page of each."""
+    hosts = pages.select(url_filters.host(F.col("url")).alias("host"), "page_id").where("host <> ''").groupBy("host").agg(F.min("page_id").alias("n"))
+    parents = hosts.select(F.regexp_extract("host", r"[^.]+\.[^.]+$", 0).alias("host"), "n").where("host <> ''").groupBy("host").agg(F.min("n").alias("n"))
+    date = lambda days: F.date_add(F.lit("2023-01-01").cast("date"), days.cast("int"))
+
+    def rows(of: DataFrame, where: str, list_id: str, kind: str, pattern: Column, verdict: str, action: str, days: Column) -> DataFrame:
+        lit = lambda x, name: F.lit(x).alias(name)
+        return of.where(where).select(lit(list_id, "list_id"), lit(kind, "kind"), pattern.alias("pattern"), lit(verdict, "verdict"), lit(action, "action"), date(days).alias("at"))
+
+    n, name = F.col("n"), F.col("host")
+    parts = [
+        rows(hosts, "n % 3 = 0", "hosts", "domain", name, "block", "add", n % 600),
+        rows(hosts, "n % 6 = 0", "hosts", "domain", name, "block", "remove", n % 600 + 90),
+        rows(hosts, "n % 12 = 0", "hosts", "domain", name, "block", "add", n % 600 + 150),
+        rows(hosts, "n % 5 = 0", "paths", "prefix", F.concat(name, F.lit("/en/")), "allow", "add", n % 500),
+        rows(hosts, "n % 10 = 0", "paths", "prefix", F.concat(name, F.lit("/en/")), "allow", "remove", n % 500 + 60),
+        rows(parents, "n % 2 = 0", "parents", "domain", name, "block", "add", n % 300),
+        rows(parents, "n % 4 = 0", "parents", "domain", name, "block", "remove", n % 300 + 200),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+@query
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page by the list entries that were active when it was fetched."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    found = url_filters.decide(page_captures(pages), page_list_events(pages))
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    return found.select(
+        F.col("capture_id").alias("page_id"), "url", "host", day("fetched_at").alias("fetched_on"), "verdict", "list_id", "kind", "pattern", day("valid_from").alias("listed_on")
+    )
+
+
+STATEMENTS["op2_url_filter"] = r"""
+with c as (
+  select page_id, url, regexp_replace(lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]*)', 1)), '\.$', '') as host,
+    regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(/[^?#]*)?', 1) as path, date '2023-01-01' + (page_id % 700)::int as day from pages
+), hosts as (select host, min(page_id) as n from c where host <> '' group by host
+), parents as (select regexp_extract(host, '[^.]+\.[^.]+$') as host, min(n) as n from hosts where regexp_matches(host, '[^.]+\.[^.]+$') group by 1
+), spans as (
+  select 'hosts' as list_id, 'domain' as kind, host as pattern, 'block' as verdict, n % 600 as a, case when n % 6 = 0 then n % 600 + 90 end as b from hosts where n % 3 = 0
+  union all select 'hosts', 'domain', host, 'block', n % 600 + 150, null from hosts where n % 12 = 0
+  union all select 'paths', 'prefix', host || '/en/', 'allow', n % 500, case when n % 10 = 0 then n % 500 + 60 end from hosts where n % 5 = 0
+  union all select 'parents', 'domain', host, 'block', n % 300, case when n % 4 = 0 then n % 300 + 200 end from parents where n % 2 = 0
+), met as (
+  select page_id, s.*, row_number() over (partition by page_id order by s.kind desc, length(s.pattern) desc, s.verdict, s.list_id, s.a desc) as place
+  from c join spans s on (case when s.kind = 'domain' then c.host = s.pattern or ends_with(c.host, '.' || s.pattern) else starts_with(c.host || c.path, s.pattern) end)
+    and c.day >= date '2023-01-01' + s.a::int and (s.b is null or c.day < date '2023-01-01' + s.b::int)
+)
+select c.page_id, c.url, c.host, strftime(c.day, '%Y-%m-%d') as fetched_on, coalesce(m.verdict, 'none') as verdict, m.list_id, m.kind, m.pattern,
+  strftime(date '2023-01-01' + m.a::int, '%Y-%m-%d') as listed_on
+from c left join met m on c.page_id = m.page_id and m.place = 1
+"""
