@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, decontaminate, html_text, langid, quality, secrets, simhash, url_filters
+from tidemark.llm import bpe, chat, decontaminate, html_text, langid, quality, repeats, secrets, simhash, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 STATEMENTS: dict[str, str] = {}
@@ -231,3 +231,10 @@ select c.page_id, c.url, c.host, strftime(c.day, '%Y-%m-%d') as fetched_on, coal
   strftime(date '2023-01-01' + m.a::int, '%Y-%m-%d') as listed_on
 from c left join met m on c.page_id = m.page_id and m.place = 1
 """
+
+
+@query
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document when strings of fifty bytes that an earlier one has are gone."""
+    left = repeats.deduplicate(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
