@@ -77,7 +77,7 @@ def test_tokens(stages):
 
 def test_nulls_repeats_and_extra_columns_go_through(spark):
     body = "the of and to in is it for on that by this with are be as at from was an or " * 4
-    rows = [(1, body, None, "s", 5, "x"), (1, body, None, "s", 5, "x"), (2, None, "en", "s", None, "x"), (None, body + "other words here", "en", None, 3, "x"), (3, "", "en", "s", 0, "x"), (4, "plain words of another text to learn english from", "en", "s", 0, "x")]
+    rows = [(1, body, None, "s", 5, "x"), (1, body, None, "s", 5, "x"), (2, None, "en", "s", None, "x"), (None, "another kind of text in plain english words for the nameless one", "en", None, 3, "x"), (3, "", "en", "s", 0, "x"), (4, "plain words of another text to learn english from", "en", "s", 0, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, lang_pred_note string")
     for name, stage in corpus_pipeline.STAGES:
         empty = stage(spark, docs.limit(0), "/root/testdata/sf0.001")
