@@ -55,3 +55,21 @@ def test_minima():
     a = rng.integers(0, 200, 500)
     b = np.minimum(199, a + rng.integers(0, 200, 500))
     assert suffix.range_minima(v, a, b).tolist() == [v[x : y + 1].min() for x, y in zip(a, b)]
+
+
+@pytest.mark.parametrize("block", [5, 50, 1 << 17])
+def test_texts_of_names(monkeypatch, block):
+    monkeypatch.setattr(suffix, "BLOCK", block)
+    rng = np.random.default_rng(block)
+    for symbols in (2, 3, 40, 255, 256, 257, 258, 300, 900):
+        names = rng.integers(1, symbols + 1, 700)
+        text = np.append(np.concatenate([names, names[100:400], np.arange(1, symbols + 1), names[50:90]]), 0).astype(np.uint32)
+        own = text.tolist()
+        assert suffix.suffix_order(text)[0].tolist() == sorted(range(len(own)), key=lambda i: own[i:])
+
+
+def test_names_with_exactly_as_many_ranges_as_bytes():
+    text = np.append(np.repeat(np.arange(1, 257), 2), 0).astype(np.uint32)  # every symbol stands beside itself: 257 ranges of one
+    text = np.concatenate([text[:-1], np.arange(1, 257).astype(np.uint32)[::-1], text])
+    own = text.tolist()
+    assert suffix.suffix_order(text)[0].tolist() == sorted(range(len(own)), key=lambda i: own[i:])

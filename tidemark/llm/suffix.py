@@ -215,7 +215,9 @@ class Induction:
     def feed(self, places: np.ndarray, common: np.ndarray | None, from_symbol: int = 0) -> None:
         """Puts what ``places``, the next suffixes in order, induce into the queue."""
         at, previous = self.before(places, from_symbol)
-        r = np.searchsorted(self.bounds, self.values[previous], side="right") - 1 if len(self.bounds) != 257 else self.values[previous]
+        r = self.values[previous]
+        if r.dtype != np.uint8:  # a byte is its range
+            r = np.searchsorted(self.bounds, r, side="right") - 1
         by = np.argsort(r, kind="stable")
         at, previous, r = at[by], previous[by].astype(self.place), r[by].astype(np.int64)
         heads = np.flatnonzero(np.diff(r, prepend=-1))
