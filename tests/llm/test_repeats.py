@@ -44,7 +44,8 @@ def random_rows(rnd, n):
 def solved(rows, shards, length, gram):
     """The operator's own steps without Spark: cut in slices of three rows, solve every shard, drop."""
     own = [(repeats.NO_ID if d is None else d, i, (t or "").encode()) for i, (d, t) in enumerate(rows)]
-    blobs = [b for k in range(0, len(own), 3) for b in repeats.cut(own[k : k + 3], shards, length, gram)]
+    cutter = repeats.Cutter(shards, length, gram)
+    blobs = [b for k in range(0, len(own), 3) for b in cutter.add(own[k : k + 3])] + list(cutter.flush())
     spans = {i: [] for i in range(len(rows))}
     for s in {s for s, _ in blobs}:
         shard = repeats.Shard()
@@ -60,8 +61,9 @@ def solved(rows, shards, length, gram):
     return out
 
 
-@pytest.mark.parametrize("memory,piece", [(64 << 20, 4 << 20), (100, 37)])
-def test_steps_equal_brute_force(monkeypatch, memory, piece):
+@pytest.mark.parametrize("memory,piece,held", [(64 << 20, 4 << 20, 64 << 20), (100, 37, 64 << 20), (100, 37, 300)])
+def test_steps_equal_brute_force(monkeypatch, memory, piece, held):
+    monkeypatch.setattr(repeats, "HELD", held)
     monkeypatch.setattr(suffix, "MEMORY", memory)
     monkeypatch.setattr(repeats, "PIECE", piece)
     rnd = random.Random(memory)
@@ -84,3 +86,15 @@ def test_query_equals_brute_force(spark, sf_dir):
     want = dict(zip(docs.doc_id, slow(list(zip(docs.doc_id, docs.text)), 50)))
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in op7_repeats(spark, sf_dir).collect()}
     assert got == want and sum(x[1] for x in want.values()) > 0
+
+
+def test_numbers_travel_thin():
+    for values in ([], [0], [1, 2, 300], [2**40, 5], [-1, 3], [repeats.NO_ID, 0]):
+        own = np.array(values, dtype=np.int64)
+        assert repeats.widen(repeats.thin(own)).tolist() == values
+
+
+def test_labels_reach_every_partition(spark):
+    labels = repeats.shard_labels(spark, 13)
+    got = spark.createDataFrame([(x,) for x in labels], "shard int").repartition(13, "shard").rdd.glom().map(len).collect()
+    assert got == [1] * 13

@@ -8,11 +8,22 @@ from pyspark.sql import functions as F
 from tidemark.session import scratch_table
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: cuts the lineage and survives a lost executor."""
+    """``df`` written to the shared folder and read again: cuts the lineage and survives a lost executor.
+
+    What was shuffled for it is not needed again and leaves the disk as soon as it is written.
+    """
     spark = df.sparkSession
     path = scratch_table(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -8,8 +8,9 @@ anchor is in one document alone, and sorts all suffixes of the rest by external
 side by side, told by the common-prefix values, and each string of a larger ``doc_id`` than its group's smallest is a repeat.
 
 Equal segments are dropped where they are cut already, before the shuffle, so a passage that a third of all documents share
-reaches its shards once for each slice of input. Segments travel packed and compressed. There are ``SHARDS_PER_TASK`` shards for
-each shuffle partition; a shard's text, order and queues are files once they are long.
+reaches its shards once for every ``HELD`` bytes or ``ROWS`` rows that a task has cut. Segments travel packed and compressed, and what was shuffled
+leaves the disk once the spans are written. There is a shard for each shuffle partition; a shard's text, order and queues
+are files once they are long.
 
 ``doc_id`` decides alone: rows of one ``doc_id`` (repeated rows too) never remove each other's bytes; a null ``doc_id`` is larger than
 all others. Null and empty texts have no bytes, texts shorter than ``LENGTH`` lose none. Empty tables give empty results, extra
@@ -24,17 +25,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import suffix
 from tidemark.llm.batches import slices
+from tidemark.llm.graph import stored
 from tidemark.llm.shingles import text_key
 
 LENGTH = 50
 GRAM = 16
-SHARDS_PER_TASK = 3
 PIECE = 4 << 20
+HELD = 64 << 20
+ROWS = 200_000
+LEVEL = 3
 NO_ID = np.iinfo(np.int64).max
 LOW = np.uint64(63)
 
@@ -97,7 +101,7 @@ def numbered(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
 
 
 def pieces(rows: list[tuple[int, int, bytes]], length: int) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
-    """Rows (sorted by id) put together to about ``PIECE`` bytes, longer texts cut so that no string is lost: row, place, bytes."""
+    """Rows put together to about ``PIECE`` bytes, longer texts cut so that no string is lost: row, place, bytes."""
     held: tuple[list, list, list] = ([], [], [])
     size = 0
     for i, (_, _, text) in enumerate(rows):
@@ -113,35 +117,87 @@ def pieces(rows: list[tuple[int, int, bytes]], length: int) -> Iterator[tuple[li
         yield held
 
 
-def cut(rows: list[tuple[int, int, bytes]], shards: int, length: int, gram: int) -> Iterator[tuple[int, bytes]]:
-    """(shard, packed segments) of some rows (id, text key, bytes)."""
-    rows = sorted((r for r in rows if len(r[2]) >= length), key=lambda r: r[:2])
-    ids, keys = np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows], dtype=np.int64)
-    codec = pa.Codec("zstd", compression_level=3)
-    for row, place, texts in pieces(rows, length):
-        text = np.frombuffer(b"".join(texts) + bytes(8), dtype=np.uint8)
-        sizes = np.array([len(t) for t in texts], dtype=np.int64)
-        starts = np.cumsum(sizes) - sizes
-        first, count, offset, anchor = segments(text[: len(text) - 8], starts, sizes, length, gram)
-        piece = np.searchsorted(starts, first, side="right") - 1
-        row_of, place_of = np.array(row, dtype=np.int64)[piece], np.array(place, dtype=np.int64)[piece] + first - starts[piece]
-        shard = (anchor % np.uint64(shards)).astype(np.int64)
-        by = np.argsort(shard, kind="stable")
-        edges = np.searchsorted(shard[by], np.arange(shards + 1))
-        for s in np.flatnonzero(np.diff(edges)).tolist():
-            own = by[edges[s] : edges[s + 1]]
-            data, begins = gather(text, first[own], count[own] + length - 1)
+def thin(values: np.ndarray) -> tuple[str, int, bytes]:
+    """Whole numbers in the narrowest type, low bytes first: what a compressor likes."""
+    kind = np.min_scalar_type(int(values.max())) if len(values) and values.min() >= 0 else np.dtype(np.int64)
+    narrow = np.ascontiguousarray(values.astype(kind))
+    return kind.str, len(values), narrow.view(np.uint8).reshape(-1, kind.itemsize).T.tobytes()
+
+
+def widen(packed: tuple[str, int, bytes]) -> np.ndarray:
+    kind, n, raw = np.dtype(packed[0]), packed[1], packed[2]
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(kind.itemsize, n).T).view(kind).reshape(-1).astype(np.int64)
+
+
+class Cutter:
+    """Cuts rows (id, text key, bytes) into segments and holds them by shard until they are packed."""
+
+    def __init__(self, shards: int, length: int, gram: int):
+        self.shards, self.length, self.gram = shards, length, gram
+        self.clear()
+
+    def clear(self) -> None:
+        self.ids: list[int] = []
+        self.keys: list[int] = []
+        self.parts: list[list[tuple]] = [[] for _ in range(self.shards)]
+        self.held = 0
+
+    def add(self, rows: list[tuple[int, int, bytes]]) -> Iterator[tuple[int, bytes]]:
+        """(shard, packed segments) whenever enough is held."""
+        rows = [r for r in rows if len(r[2]) >= self.length]
+        base = len(self.ids)
+        self.ids += [r[0] for r in rows]
+        self.keys += [r[1] for r in rows]
+        for row, place, texts in pieces(rows, self.length):
+            text = np.frombuffer(b"".join(texts) + bytes(8), dtype=np.uint8)
+            sizes = np.array([len(t) for t in texts], dtype=np.int64)
+            starts = np.cumsum(sizes) - sizes
+            first, count, offset, anchor = segments(text[: len(text) - 8], starts, sizes, self.length, self.gram)
+            piece = np.searchsorted(starts, first, side="right") - 1
+            row_of, place_of = np.array(row, dtype=np.int64)[piece] + base, np.array(place, dtype=np.int64)[piece] + first - starts[piece]
+            shard = (anchor % np.uint64(self.shards)).astype(np.int64)
+            by = np.argsort(shard, kind="stable")
+            edges = np.searchsorted(shard[by], np.arange(self.shards + 1))
+            for s in np.flatnonzero(np.diff(edges)).tolist():
+                own = by[edges[s] : edges[s + 1]]
+                data, _ = gather(text, first[own], count[own] + self.length - 1)
+                self.parts[s].append((row_of[own], place_of[own], count[own], offset[own], data))
+                self.held += len(data)
+            if self.held >= HELD:
+                yield from self.flush(keep=len(self.ids))
+        if self.held == 0:
+            self.clear()
+        elif len(self.ids) >= ROWS:
+            yield from self.flush()
+
+    def flush(self, keep: int = 0) -> Iterator[tuple[int, bytes]]:
+        """All that is held; ``keep`` rows may still have pieces to come."""
+        ids, keys = np.array(self.ids, dtype=np.int64), np.array(self.keys, dtype=np.int64)
+        codec = pa.Codec("zstd", compression_level=LEVEL)
+        for s, parts in enumerate(self.parts):
+            if not parts:
+                continue
+            row, place, count, offset, data = (np.concatenate([p[k] for p in parts]) for k in range(5))
+            parts.clear()
+            sizes = count + self.length - 1
+            begins = np.cumsum(sizes) - sizes
             number = numbered(data, begins)
-            _, lead = np.unique(number, return_index=True)
-            again = ids[row_of[own]] > ids[row_of[own[lead[number]]]]  # known repeats travel without their bytes
-            keep, known = own[~again], own[again]
-            data, _ = gather(text, first[keep], count[keep] + length - 1)
-            used, dense = np.unique(np.concatenate([row_of[keep], row_of[known]]), return_inverse=True)
+            least = np.full(int(number.max()) + 1, NO_ID, dtype=np.int64)
+            np.minimum.at(least, number, ids[row])
+            again = ids[row] > least[number]  # known repeats travel without their bytes
+            order = np.concatenate([np.flatnonzero(~again), np.flatnonzero(again)])
+            used, dense = np.unique(row[order], return_inverse=True)
+            kept = int(np.count_nonzero(~again))
+            data, _ = gather(data, begins[~again], sizes[~again])
+            step = np.diff(dense, prepend=0)
             packed = pickle.dumps((
-                ids[used], keys[used], np.diff(dense, prepend=0).astype(np.int32), place_of[np.concatenate([keep, known])],
-                count[np.concatenate([keep, known])].astype(np.uint32), offset[keep].astype(np.uint8), data,
+                kept, thin(ids[used]), keys[used].tobytes(), thin(step[:kept]), dense[kept:].astype(np.int32).tobytes(),
+                thin(place[order]), thin(count[order]), thin(offset[order[:kept]]), data.tobytes(),
             ), protocol=5)
             yield s, len(packed).to_bytes(8, "little") + codec.compress(packed, asbytes=True)
+        self.held = 0
+        if not keep:
+            self.clear()
 
 
 class Shard:
@@ -153,8 +209,10 @@ class Shard:
 
     def add(self, blob: bytes) -> None:
         raw = pa.Codec("zstd").decompress(blob[8:], decompressed_size=int.from_bytes(blob[:8], "little"), asbytes=True)
-        ids, keys, row, place, count, offset, data = pickle.loads(raw)
-        self.parts.append((ids, keys, np.cumsum(row) + self.rows, place, count.astype(np.int64), offset, data))
+        kept, ids, keys, step, known, place, count, offset, data = pickle.loads(raw)
+        row = np.concatenate([np.cumsum(widen(step)), np.frombuffer(known, np.int32).astype(np.int64)]) + self.rows
+        ids = widen(ids)
+        self.parts.append((ids, np.frombuffer(keys, np.int64), row, widen(place), widen(count), widen(offset), np.frombuffer(data, np.uint8)))
         self.rows += len(ids)
 
     def spans(self, length: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -241,27 +299,30 @@ class Shard:
         return segment[first], first - starts[segment[first]], last - first
 
 
-def find_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shards_per_task: int = SHARDS_PER_TASK) -> DataFrame:
+def shard_labels(spark: SparkSession, tasks: int) -> list[int]:
+    """A number for each shuffle partition that Spark's hash deals to it, so that no partition gets two shards and another none."""
+    dealt = spark.range(tasks * 24).select(F.col("id").cast("int").alias("label")).withColumn("task", F.expr(f"pmod(hash(label), {tasks})"))
+    found = {r.task: r.label for r in dealt.groupBy("task").agg(F.min("label").alias("label")).collect()}
+    return [found.get(t, tasks * 24 + t) for t in range(tasks)]
+
+
+def find_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``doc_id, text_hash, start, end``: bytes that go; spans of a row may touch and overlap."""
-    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shards = tasks * shards_per_task
+    spark = docs.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    labels = shard_labels(spark, tasks)
 
     def cut_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cutter = Cutter(tasks, length, gram)
         for batch in slices(batches, "text"):
             ids = batch.column("doc_id").fill_null(int(NO_ID)).to_pylist()
             rows = [(i, k, t.encode()) for i, k, t in zip(ids, batch.column("text_hash").to_pylist(), batch.column("text").to_pylist()) if t]
-            out, size = [], 0
-            for found in cut(rows, shards, length, gram):
-                out.append(found)
-                size += len(found[1])
-                if size > PIECE:
-                    yield packed(out)
-                    out, size = [], 0
-            if out:
-                yield packed(out)
-
-    def packed(out: list[tuple[int, bytes]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([s for s, _ in out], pa.int32()), pa.array([b for _, b in out], pa.binary())], ["shard", "packed"])
+            yield from boxed(cutter.add(rows))
+        yield from boxed(cutter.flush())
+
+    def boxed(found: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+        for s, blob in found:
+            yield pa.RecordBatch.from_arrays([pa.array([labels[s]], pa.int32()), pa.array([blob], pa.binary())], ["shard", "packed"])
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, shard = None, Shard()
@@ -301,7 +362,7 @@ def kept_bytes(text: bytes, spans: list) -> tuple[int, int, bytes]:
 
 def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Per row ``doc_id, kept`` (the bytes that are left), ``n_bytes, n_removed, n_spans``."""
-    spans = find_spans(docs, length, gram).groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    spans = stored(find_spans(docs, length, gram), "repeat-spans").groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     own = docs.select(F.col("doc_id").cast("long"), text_key().alias("text_hash"), "text")
     same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.text_hash") == F.col("s.text_hash"))
     both = own.alias("d").join(spans.alias("s"), same, "left").select("d.doc_id", "d.text", "s.spans")
