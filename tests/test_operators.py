@@ -123,12 +123,13 @@ def test_week_sum_takes_whole_touched_weeks_only(spark):
 def test_running_sum_restarts_with_the_financial_year_and_keeps_ties(spark):
     w = [date(2024, 2, 18), date(2024, 2, 25), date(2024, 3, 3)]
     rows = [mart_row("WEEK", w[0], 1.0, fy=2023), mart_row("WEEK", w[1], 2.0, fy=2023), mart_row("WEEK", w[2], 5.0, fy=2024)]
-    got = {r.week_commencing_date: r.metric_value for r in running_ytd(spark.createDataFrame(rows, MART), RunParams(w[0], w[2])).collect()}
+    cal = lookups.calendar(spark, date(2022, 1, 1), date(2025, 12, 31))
+    got = {r.week_commencing_date: r.metric_value for r in running_ytd(spark.createDataFrame(rows, MART), cal, RunParams(w[0], w[2])).collect()}
     assert got == {w[0]: 1.0, w[1]: 3.0, w[2]: 5.0}
     last = RunParams(w[2], w[2])
-    assert [r.metric_value for r in running_ytd(spark.createDataFrame(rows, MART), last).collect()] == [5.0]
+    assert [r.metric_value for r in running_ytd(spark.createDataFrame(rows, MART), cal, last).collect()] == [5.0]
     # by calendar year the run touches both financial years
-    assert running_ytd(spark.createDataFrame(rows, MART), last, calendar_years=True).count() == 3
+    assert running_ytd(spark.createDataFrame(rows, MART), cal, last, calendar_years=True).count() == 3
 
 
 SERIES = ["date_scope", "product_pl", "region", "category", "sub_category", "metric_name"]

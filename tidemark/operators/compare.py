@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,35 +19,28 @@ def number_weeks(rows: DataFrame) -> DataFrame:
     return weeks.withColumn("week_seq", F.row_number().over(Window.orderBy("week_commencing_date")))
 
 
-def lagged_compare(rows: DataFrame, series: list[str]) -> DataFrame:
+def lagged_compare(rows: DataFrame, series: list[str], numbers: DataFrame | None = None) -> DataFrame:
     """Add wow, wow_ratio, yoy and yoy_ratio to long rows.
 
     A row matches the row of its series whose dates are 1 (or 52) weeks earlier, provided the
     week numbers are that far apart too; a gap means no match, not the nearest earlier row.
-    Each row is sent to its own date and, marked as history, 1 and 52 weeks ahead; one
-    aggregate by date then holds present and past side by side, so the marts below are
-    scanned and shuffled once rather than three times. FYtD rows have no weekly comparison.
+    Both earlier rows come from range frames of one window, so rows are shuffled and sorted
+    once; a window partition is one series, a row per date. ``numbers`` are the numbers of all
+    reporting weeks, by default of those in ``rows``. FYtD rows have no weekly comparison.
     """
-    numbered = rows.join(number_weeks(rows), "week_commencing_date")
+    numbered = rows.join(number_weeks(rows) if numbers is None else numbers, "week_commencing_date")
     dated = ["year_month_day", "week_commencing_date"]
-    carried = ["financial_year", "week_number", "week_seq", "metric_value"]
-    sent = numbered.withColumn("_ahead", F.explode(F.array(F.lit(0), F.lit(WEEK_BACK), F.lit(YEAR_BACK)))).select(
-        *series, *carried, "_ahead", *[F.date_add(c, F.col("_ahead") * 7).alias(c) for c in dated]
-    )
-    pick = lambda column, ahead: F.max(F.when(F.col("_ahead") == ahead, F.col(column)))
-    sides = (
-        sent.groupBy(*series, *dated)
-        .agg(
-            *[pick(c, 0).alias(c) for c in carried],
-            *[pick(c, WEEK_BACK).alias(f"week_{c}") for c in ("week_seq", "metric_value")],
-            *[pick(c, YEAR_BACK).alias(f"year_{c}") for c in ("week_seq", "metric_value")],
-        )
-        .where(F.col("week_seq").isNotNull())
-    )
+    by_day = Window.partitionBy(*series).orderBy(F.unix_date("year_month_day"))
+    found = F.struct("week_commencing_date", "week_seq", "metric_value")
+    sides = numbered.withColumns({
+        f"_{side}": F.max(found).over(by_day.rangeBetween(-7 * weeks, -7 * weeks))
+        for side, weeks in (("week", WEEK_BACK), ("year", YEAR_BACK))
+    })
 
     def past(side: str, weeks: int):
-        apart = F.col("week_seq") == F.col(f"{side}_week_seq") + weeks
-        return F.when(apart, F.col(f"{side}_metric_value"))
+        apart = F.col("week_seq") == F.col(f"_{side}.week_seq") + weeks
+        same_day = F.col(f"_{side}.week_commencing_date") == F.date_sub("week_commencing_date", 7 * weeks)
+        return F.when(apart & same_day, F.col(f"_{side}.metric_value"))
 
     cur, week, year = F.col("metric_value"), past("week", WEEK_BACK), past("year", YEAR_BACK)
     change = lambda old: F.coalesce(cur - old, F.lit(0.0))
@@ -62,6 +55,25 @@ def lagged_compare(rows: DataFrame, series: list[str]) -> DataFrame:
     )
 
 
+def weeks_to_rebuild(touched: list[date], stored: list[date]) -> list[date]:
+    """Weeks whose comparisons change when ``touched`` are rewritten in a report that holds ``stored``.
+
+    Those weeks and the ones 1 and 52 weeks later; behind a week that is new to the report all
+    weeks up to 52 later, as it moves their numbers apart.
+    """
+    out = {w + timedelta(weeks=k) for w in touched for k in (0, WEEK_BACK, YEAR_BACK)}
+    new = sorted(set(touched) - set(stored))
+    known = sorted({*touched, *stored})
+    for w in new:
+        out |= {k for k in known if w < k <= w + timedelta(weeks=YEAR_BACK)}
+    return sorted(out & set(known))
+
+
+def weeks_to_read(rebuilt: list[date]) -> list[date]:
+    """The rebuilt weeks and those they are compared with."""
+    return sorted({w - timedelta(weeks=k) for w in rebuilt for k in (0, WEEK_BACK, YEAR_BACK)})
+
+
 def future_placeholders(series: DataFrame, calendar: DataFrame, as_of: date) -> DataFrame:
     """An empty row per non-budget series and calendar day of a week that starts after ``as_of``.
 

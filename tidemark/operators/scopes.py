@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.money import stable_sum
-from tidemark.operators.calendar import in_run
+from tidemark.operators.calendar import in_run, year_weeks
 from tidemark.params import DAY, WEEK, RunParams
 
 SERIES = ["product_pl", "region", "category", "sub_category", "metric_name"]
@@ -40,17 +40,22 @@ def roll_to_week(mart: DataFrame, p: RunParams, metrics=None, weeks: DataFrame |
     return _week_sum(days.join(weeks, "week_commencing_date", "left_semi"))
 
 
-def roll_to_week_by_year(mart: DataFrame, p: RunParams, metrics) -> DataFrame:
+def roll_to_week_by_year(mart: DataFrame, calendar: DataFrame, p: RunParams, metrics) -> DataFrame:
     """As ``roll_to_week`` for all weeks of the financial years the run touches."""
+    mart = mart.where(year_weeks(calendar, DAY, p))
     years = touched(mart, DAY, "financial_year", p)
     return _week_sum(rows_of(mart, DAY, metrics).join(years, "financial_year", "left_semi"))
 
 
-def running_ytd(mart: DataFrame, p: RunParams, metrics=None, calendar_years: bool = False) -> DataFrame:
+def running_ytd(
+    mart: DataFrame, calendar: DataFrame, p: RunParams, metrics=None, calendar_years: bool = False
+) -> DataFrame:
     """Running sum of WEEK rows within each financial year the run touches.
 
-    A window partition is one series in one year: at most 53 rows.
+    Only those years' partitions are read. A window partition is one series in one year: at
+    most 53 rows.
     """
+    mart = mart.where(year_weeks(calendar, WEEK, p, calendar_years))
     years = touched(mart, WEEK, "financial_year", p, calendar_years)
     rows = rows_of(mart, WEEK, metrics).join(years, "financial_year", "left_semi")
     by_series = Window.partitionBy("financial_year", *SERIES).orderBy("week_commencing_date")

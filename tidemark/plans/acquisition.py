@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from tidemark.functions.ratio import currency_pick, plain_ratio, safe_ratio
 from tidemark.functions.taxonomy import (
     channel_category, channel_sub_category, payback_category, payback_sub_category,
 )
-from tidemark.operators.calendar import in_run
+from tidemark.operators.calendar import in_run, in_window
 from tidemark.operators.customers import customer_counts, customer_flags
 from tidemark.operators.gate import to_mart
 from tidemark.operators.payback import BANDS, payback_months
@@ -179,7 +181,10 @@ def customer_totals(src: Sources, p: RunParams, cfg: MartConfig, period: str) ->
         dated = lines.withColumn(period, issued)
     else:
         week_days = src.calendar.where((F.col("date_scope") == DAY) & run_weeks(p)).select("year_month_day", period)
-        dated = lines.where(day == issued).join(week_days, "year_month_day")
+        # literal bounds of both columns: the scan skips all lines outside the run's weeks
+        first, last = p.first_week, p.last_week + timedelta(days=6)
+        whole = in_window(day, first, last) & in_window(issued, first, last)
+        dated = lines.where(whole & (day == issued)).join(week_days, "year_month_day")
     purchases = dated.select(
         F.col("order_customer_id").alias("customer_id"), period, "product_issued_date",
         F.col(LINE_PL).alias("product_pl"), F.col(LINE_REGION).alias("region"),
@@ -239,7 +244,7 @@ def acquisition_week(mart: DataFrame, src: Sources, p: RunParams, cfg: MartConfi
 
 
 def acquisition_fytd(mart: DataFrame, src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
-    running = running_ytd(mart, p, (*FYTD_METRICS, *ROAS_INPUTS), calendar_years=True)
+    running = running_ytd(mart, src.calendar, p, (*FYTD_METRICS, *ROAS_INPUTS), calendar_years=True)
     keys = [c for c in running.columns if c not in ("metric_name", "metric_value")]
     reported = ~F.col("metric_name").isin(*ROAS_INPUTS)
     return to_mart(with_ratios(running, keys, [*EFFICIENCY, COST_PER_CLICK]).where(reported), FYTD, src.calendar, p)

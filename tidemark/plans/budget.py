@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.ratio import round_half_up, safe_ratio
 from tidemark.functions.taxonomy import plan_region
+from tidemark.operators.scopes import run_weeks
 from tidemark.operators.spread import complete_weeks_only, spread_budget, weekday_weights
 from tidemark.params import DAY, WEEK, MartConfig, RunParams
 from tidemark.schema import BUDGET_DECIMAL, BUDGET_KEY, BUDGET_MEASURES
@@ -49,11 +50,11 @@ def budget_day(src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
 
 
 def budget_week(mart: DataFrame, src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
-    """Week totals of the daily rows; a week without budget on each of its seven days is zero.
+    """Week totals of the daily rows of the run's weeks; a week without budget on each of its seven days is zero.
 
     FYtD runs of this mart write the same rows.
     """
-    days = mart.where(F.col("date_scope") == DAY)
+    days = mart.where((F.col("date_scope") == DAY) & run_weeks(p))
     keys = ["version", "week_commencing_date", "week_in_fin_year", "region"]
     weekly = complete_weeks_only(days, keys, list(SPREAD), "gross_sales_budget")
     known_weeks = src.calendar.where(F.col("date_scope") == WEEK).select("week_commencing_date")

@@ -122,7 +122,7 @@ def conversion_week(mart: DataFrame, src: Sources, p: RunParams, cfg: MartConfig
 
 def conversion_fytd(mart: DataFrame, src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
     """Gross sales budget is summed only to price the average; it is not reported at this scope."""
-    running = running_ytd(mart, p, (*ADDITIVE, "Gross Transactions Budget", "Gross Sales Budget"))
+    running = running_ytd(mart, src.calendar, p, (*ADDITIVE, "Gross Transactions Budget", "Gross Sales Budget"))
     keys = [c for c in running.columns if c not in ("metric_name", "metric_value")]
     reported = F.col("metric_name") != "Gross Sales Budget"
     return to_mart(with_ratios(running, keys, [*RATIOS, PLAN_RATIO]).where(reported), FYTD, src.calendar, p)

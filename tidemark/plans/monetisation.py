@@ -240,12 +240,12 @@ def _place_manual(manual: DataFrame, src: Sources) -> DataFrame:
 def hotel_feed(src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
     """The booking feed, which replaces the manual file from the cut-over on."""
     feed = src.hotel_feed.where(F.col("event_created") >= F.lit(cfg.hotel_feed_cutover).cast("timestamp"))
-    return feed if p.end >= cfg.hotel_feed_cutover else feed.limit(0)
+    return feed if p.end >= cfg.hotel_feed_cutover else feed.where(F.lit(False))
 
 
 def hotel_manual(src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
     manual = src.hotel_manual.where(F.col("booking_date") < F.lit(cfg.hotel_feed_cutover))
-    return manual if p.start < cfg.hotel_feed_cutover else manual.limit(0)
+    return manual if p.start < cfg.hotel_feed_cutover else manual.where(F.lit(False))
 
 
 def _remap(rows: DataFrame, src: Sources) -> DataFrame:
@@ -367,12 +367,12 @@ def monetisation_day(src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
 
 
 def monetisation_week(mart: DataFrame, src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
-    weekly = roll_to_week_by_year(mart, p, ADDITIVE)
+    weekly = roll_to_week_by_year(mart, src.calendar, p, ADDITIVE)
     keys = ["week_commencing_date", "product_pl", "region", "category"]
     return to_mart(with_ratios(weekly, keys, RATIOS), WEEK, src.calendar, p)
 
 
 def monetisation_fytd(mart: DataFrame, src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
-    running = running_ytd(mart, p, ADDITIVE)
+    running = running_ytd(mart, src.calendar, p, ADDITIVE)
     keys = ["financial_year", "week_number", "week_commencing_date", "product_pl", "region", "category"]
     return to_mart(with_ratios(running, keys, RATIOS), FYTD, src.calendar, p)

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.params import DAY, FYTD, WEEK, MartConfig, RunParams
 from tidemark.plans import acquisition, budget, conversion, monetisation, reports, retention, supply
-from tidemark.schema import BREAKOUT_KEY, BUDGET_KEY, BUDGET_MEASURES, MART_KEY, MART_UPDATE, OVERVIEW_KEY
-from tidemark.sinks.upsert import upsert
+from tidemark.schema import BREAKOUT_KEY, BUDGET_KEY, BUDGET_MEASURES, MART_KEY, MART_UPDATE, OVERVIEW_KEY, PARTITION
+from tidemark.sinks.upsert import read_table, upsert
 from tidemark.sources.catalog import Sources
 
 
@@ -40,38 +41,67 @@ MARTS = {
 METRIC_MARTS = tuple(name for name in MARTS if name != "budget_mart")
 
 
-def refresh_mart(
-    spark: SparkSession, name: str, src: Sources, p: RunParams, cfg: MartConfig, folder: str,
-    scopes: Iterable[str] = (DAY, WEEK, FYTD),
-) -> DataFrame:
-    """Bring the stored mart up to date, scope by scope; each scope reads what the one before wrote."""
-    mart, path = MARTS[name], f"{folder}/{name}"
+def _refresh_mart(
+    spark: SparkSession, name: str, src: Sources, p: RunParams, cfg: MartConfig, folder: str, scopes: Iterable[str], staging: str | None
+) -> tuple[DataFrame, set]:
+    """The stored mart and the weeks that were rewritten."""
+    mart, path, weeks = MARTS[name], f"{folder}/{name}", set()
     builders = {DAY: mart.day, WEEK: mart.week, FYTD: mart.fytd}
     for scope in (DAY, WEEK, FYTD):
         build = builders[scope]
         if scope not in scopes or build is None:
             continue
-        rows = build(src, p, cfg) if scope == DAY else build(spark.read.parquet(path), src, p, cfg)
-        upsert(path, rows, list(mart.key), list(mart.update))
-    return spark.read.parquet(path)
+        rows = build(src, p, cfg) if scope == DAY else build(read_table(spark, path), src, p, cfg)
+        weeks.update(upsert(path, rows, list(mart.key), list(mart.update), staging=staging))
+    return read_table(spark, path), weeks
+
+
+def refresh_mart(
+    spark: SparkSession, name: str, src: Sources, p: RunParams, cfg: MartConfig, folder: str,
+    scopes: Iterable[str] = (DAY, WEEK, FYTD), staging: str | None = None,
+) -> DataFrame:
+    """Bring the stored mart up to date, scope by scope; each scope reads what the one before wrote."""
+    return _refresh_mart(spark, name, src, p, cfg, folder, scopes, staging)[0]
+
+
+def refresh_reports(
+    spark: SparkSession, tables: Mapping[str, DataFrame], touched: Iterable, p: RunParams, folder: str, staging: str | None = None
+) -> dict[str, DataFrame]:
+    """Both reports and the dashboard over the stored marts.
+
+    A report that is stored already rebuilds the ``touched`` weeks and those whose comparisons
+    they are in; the dashboard follows the overview week by week.
+    """
+    out = {}
+    for name, build, key in (
+        ("breakout_report", reports.breakout_report, BREAKOUT_KEY), ("overview_status", reports.overview_status, OVERVIEW_KEY),
+    ):
+        path = f"{folder}/{name}"
+        stored = read_table(spark, path)
+        part = None if stored is None else reports.rebuild(stored, [w for w in touched if w is not None])
+        weeks = upsert(path, build(tables, p, part=part), key, None, staging=staging)
+        out[name] = read_table(spark, path)
+    wide = reports.dashboard_pivot(out["overview_status"].where(F.col(PARTITION).isin(weeks)), ordered=False)
+    upsert(f"{folder}/dashboard", wide, list(reports.DASHBOARD_KEY), None, staging=staging)
+    out["dashboard"] = read_table(spark, f"{folder}/dashboard")
+    return out
 
 
 def refresh(
     spark: SparkSession, src: Sources, p: RunParams, folder: str, cfg: MartConfig = MartConfig(),
     marts: Iterable[str] = tuple(MARTS), scopes: Iterable[str] = (DAY, WEEK, FYTD), with_reports: bool = True,
+    staging: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Run the chosen marts over a date range of any length, then both reports.
+    """Run the chosen marts over a date range of any length, then both reports and the dashboard.
 
     A backfill is the same call with a longer range: the range is one job, not one per day.
+    ``staging`` is the folder of the upserts' intermediate tables, by default the shared one.
     """
-    chosen = list(marts)
-    stored = {name: refresh_mart(spark, name, src, p, cfg, folder, scopes) for name in chosen}
+    stored, touched = {}, set()
+    for name in marts:
+        stored[name], weeks = _refresh_mart(spark, name, src, p, cfg, folder, scopes, staging)
+        touched |= weeks if name in METRIC_MARTS else set()
     if with_reports:
-        tables = {n: stored[n] if n in stored else spark.read.parquet(f"{folder}/{n}") for n in METRIC_MARTS}
-        for name, build, key in (
-            ("breakout_report", reports.breakout_report, BREAKOUT_KEY),
-            ("overview_status", reports.overview_status, OVERVIEW_KEY),
-        ):
-            upsert(f"{folder}/{name}", build(tables, p, src.calendar), key, None)
-            stored[name] = spark.read.parquet(f"{folder}/{name}")
+        tables = {n: stored[n] if n in stored else read_table(spark, f"{folder}/{n}") for n in METRIC_MARTS}
+        stored |= refresh_reports(spark, tables, touched, p, folder, staging)
     return stored

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import datetime
+from dataclasses import dataclass
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.compare import future_placeholders, lagged_compare
+from tidemark.operators.compare import (
+    future_placeholders, lagged_compare, number_weeks, weeks_to_read, weeks_to_rebuild,
+)
 from tidemark.params import ALL, DAY, FYTD, WEEK, RunParams
 from tidemark.plans.retention import GROWTH_NAMES, RATE_NAMES
 from tidemark.schema import COMPARISON
@@ -66,8 +69,34 @@ def display_name(name: Column) -> Column:
     return F.upper(F.replace(name, F.lit("_"), F.lit(" ")))
 
 
-def _report(rows: DataFrame, series: list[str], calendar: DataFrame | None, p: RunParams, include_future: bool) -> DataFrame:
-    compared = lagged_compare(rows, series)
+@dataclass(frozen=True)
+class Rebuild:
+    """Part of a report: the weeks to build, the weeks to read for them, and the numbers of all weeks."""
+
+    weeks: list[date]
+    read: list[date]
+    numbers: DataFrame
+
+    def of(self, marts: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        """The marts' partitions that are needed."""
+        return {name: mart.where(F.col("week_commencing_date").isin(self.read)) for name, mart in marts.items()}
+
+
+def rebuild(stored: DataFrame, touched: list[date]) -> Rebuild:
+    """What a stored report must rebuild when the marts rewrote the ``touched`` weeks."""
+    # one date per reporting week, 53 a year
+    known = [r[0] for r in stored.select("week_commencing_date").distinct().collect()]
+    weeks = weeks_to_rebuild(touched, known)
+    every = stored.sparkSession.createDataFrame([(w,) for w in sorted({*touched, *known})], "week_commencing_date date")
+    return Rebuild(weeks, weeks_to_read(weeks), number_weeks(every))
+
+
+def _report(
+    rows: DataFrame, series: list[str], calendar: DataFrame | None, p: RunParams, include_future: bool, part: Rebuild | None
+) -> DataFrame:
+    compared = lagged_compare(rows, series, None if part is None else part.numbers)
+    if part is not None:
+        compared = compared.where(F.col("week_commencing_date").isin(part.weeks))
     if include_future:
         compared = compared.unionByName(future_placeholders(rows.select(*series), calendar, p.as_of))
     return compared.select(
@@ -80,13 +109,16 @@ def _report(rows: DataFrame, series: list[str], calendar: DataFrame | None, p: R
 
 
 def breakout_report(
-    marts: Mapping[str, DataFrame], p: RunParams, calendar: DataFrame | None = None, include_future: bool = False
+    marts: Mapping[str, DataFrame], p: RunParams, calendar: DataFrame | None = None, include_future: bool = False,
+    part: Rebuild | None = None,
 ) -> DataFrame:
     """Every mart row with its change on the week and the year before.
 
-    ``include_future`` adds empty rows for weeks to come; the stored report has none.
+    ``include_future`` adds empty rows for weeks to come; the stored report has none. ``part``
+    builds some weeks only.
     """
-    return _report(collate(marts, BREAKOUT_METRICS), BREAKOUT_SERIES, calendar, p, include_future)
+    marts = marts if part is None else part.of(marts)
+    return _report(collate(marts, BREAKOUT_METRICS), BREAKOUT_SERIES, calendar, p, include_future, part)
 
 
 def overview_rows(marts: Mapping[str, DataFrame]) -> DataFrame:
@@ -100,9 +132,11 @@ def overview_rows(marts: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def overview_status(
-    marts: Mapping[str, DataFrame], p: RunParams, calendar: DataFrame | None = None, include_future: bool = False
+    marts: Mapping[str, DataFrame], p: RunParams, calendar: DataFrame | None = None, include_future: bool = False,
+    part: Rebuild | None = None,
 ) -> DataFrame:
-    return _report(overview_rows(marts), OVERVIEW_SERIES, calendar, p, include_future)
+    marts = marts if part is None else part.of(marts)
+    return _report(overview_rows(marts), OVERVIEW_SERIES, calendar, p, include_future, part)
 
 
 # Dashboard column suffix -> metric name.
@@ -138,7 +172,7 @@ DASHBOARD_METRICS = {
 DASHBOARD_KEY = ["financial_year", "week_number", "year_month_day", "week_commencing_date", "product_pl", "region"]
 
 
-def dashboard_pivot(overview: DataFrame, modified_on: datetime | None = None) -> DataFrame:
+def dashboard_pivot(overview: DataFrame, modified_on: datetime | None = None, ordered: bool = True) -> DataFrame:
     """One wide row per day, line and region: each metric at each scope.
 
     Weekly and year-to-date rows are dated by their week's Sunday, so they fall on that day's
@@ -157,4 +191,5 @@ def dashboard_pivot(overview: DataFrame, modified_on: datetime | None = None) ->
 
     cells = [value(scope, suffix, metric) for scope in (DAY, WEEK, FYTD) for suffix, metric in DASHBOARD_METRICS.items()]
     daily = F.max((F.col("date_scope") == DAY).cast("int")).alias("_daily")
-    return rows.groupBy(*DASHBOARD_KEY).agg(daily, *cells).where(F.col("_daily") == 1).drop("_daily").orderBy(*DASHBOARD_KEY)
+    wide = rows.groupBy(*DASHBOARD_KEY).agg(daily, *cells).where(F.col("_daily") == 1).drop("_daily")
+    return wide.orderBy(*DASHBOARD_KEY) if ordered else wide

@@ -212,6 +212,6 @@ def retention_week(mart: DataFrame, src: Sources, p: RunParams, cfg: MartConfig)
 
 
 def retention_fytd(mart: DataFrame, src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
-    running = running_ytd(mart, p, (*GROWTH_NAMES.values(), *JOURNEY_ADDITIVE))
+    running = running_ytd(mart, src.calendar, p, (*GROWTH_NAMES.values(), *JOURNEY_ADDITIVE))
     keys = ["financial_year", "week_number", "week_commencing_date", "product_pl", "region", "sub_category"]
     return to_mart(running.unionByName(frequency_rows(running, keys)), FYTD, src.calendar, p)

@@ -16,13 +16,15 @@ from tidemark.plans.reports import breakout_report, overview_status
 from tidemark.session import scratch_table
 from tidemark.sources.catalog import Sources
 
-_paths: dict[tuple[str, str, str, str], str] = {}
+_paths: dict[tuple, str] = {}
 _BEFORE = {DAY: [], WEEK: [DAY], FYTD: [DAY, WEEK]}
 
 
 class MartStore:
-    def __init__(self, spark: SparkSession, label: str, src: Sources, p: RunParams, cfg: MartConfig):
-        self.spark, self.label, self.src, self.p, self.cfg = spark, label, src, p, cfg
+    """``label`` names the sources; a stored scope belongs to one label, run and configuration."""
+
+    def __init__(self, spark: SparkSession, label: str, src: Sources, p: RunParams, cfg: MartConfig, folder: str | None = None):
+        self.spark, self.label, self.src, self.p, self.cfg, self.folder = spark, label, src, p, cfg, folder
 
     def build(self, mart: str, scope: str) -> DataFrame:
         """The plan of one scope; what it reads from the mart itself is stored first."""
@@ -51,9 +53,9 @@ class MartStore:
         return self._keep(mart, scope, lambda: self.build(mart, scope))
 
     def _keep(self, name: str, scope: str, build: Callable[[], DataFrame]) -> str:
-        key = (self.spark.sparkContext.applicationId, self.label, name, scope)
+        key = (self.spark.sparkContext.applicationId, self.label, self.p, self.cfg, self.folder, name, scope)
         if key not in _paths:
-            path = scratch_table(self.spark, f"{name}-{scope}")
+            path = scratch_table(self.spark, f"{name}-{scope}", self.folder)
             build().write.parquet(path)
             _paths[key] = path
         return _paths[key]

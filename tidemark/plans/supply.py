@@ -97,6 +97,6 @@ def supply_week(mart: DataFrame, src: Sources, p: RunParams, cfg: MartConfig) ->
 
 
 def supply_fytd(mart: DataFrame, src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
-    running = running_ytd(mart, p, (*ADDITIVE, *BUDGET_METRICS))
+    running = running_ytd(mart, src.calendar, p, (*ADDITIVE, *BUDGET_METRICS))
     keys = [c for c in running.columns if c not in ("metric_name", "metric_value")]
     return to_mart(with_ratios(running, keys, RATIOS), FYTD, src.calendar, p)

@@ -26,7 +26,7 @@ from tidemark.operators.spread import weekday_weights
 from tidemark.params import DAY, FYTD, PRODUCT_LINES, WEEK
 from tidemark.plans import acquisition as acq
 from tidemark.plans import monetisation as mon
-from tidemark.plans import reports, retention, supply
+from tidemark.plans import conversion, reports, retention, supply
 from tidemark.plans import single_metrics as single
 from tidemark.plans.common import DAY_KEYS, LINE_PL, LINE_REGION, qualifying_lines
 from tidemark.plans.conversion import conversion_budget
@@ -302,7 +302,7 @@ def _(s: Setup) -> DataFrame:
     )
 
 
-query("window_running_year")(lambda s: running_ytd(s.store.stored("supply_mart", [DAY, WEEK]), s.p, supply.ADDITIVE))
+query("window_running_year")(lambda s: running_ytd(s.store.stored("supply_mart", [DAY, WEEK]), s.src.calendar, s.p, supply.ADDITIVE))
 
 
 @query("window_previous_present")
@@ -315,7 +315,7 @@ def _(s: Setup) -> DataFrame:
 
 query("window_week_numbers")(lambda s: number_weeks(reports.collate(s.marts, reports.BREAKOUT_METRICS)))
 query("weights_by_weekday")(lambda s: weekday_weights(s.src.order_lines, s.src.plan_calendar, s.p.as_of))
-query("sum_weeks")(lambda s: roll_to_week(s.store.stored("conversion_mart", [DAY]), s.p, ("Gross Sales", "Total Visits")))
+query("sum_weeks")(lambda s: roll_to_week(s.store.stored("conversion_mart", [DAY]), s.p, conversion.ADDITIVE))
 
 
 @query("report_overview_with_future")

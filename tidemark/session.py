@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,13 +20,14 @@ SETTINGS = {
 }
 
 
-def local_session(cores: str = "*", partitions: int = 8, **extra: str) -> SparkSession:
-    """A session for tests and benches; a cluster brings its own."""
+def local_session(cores: str = "*", partitions: int = 8, folder: str | None = None, **extra: str) -> SparkSession:
+    """A session for tests and benches, with ``folder`` for its intermediate tables; a cluster brings its own."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("tidemark")
     options = {
         **SETTINGS,
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.driver.memory": "12g",
+        **({"spark.checkpoint.dir": folder} if folder else {}),
         **extra,
     }
     for key, value in options.items():
@@ -38,17 +40,24 @@ def local_session(cores: str = "*", partitions: int = 8, **extra: str) -> SparkS
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own, once.
+    Only a session whose executors are threads of the driver, as in tests, gets a folder of its
+    own where the setting is missing; a cluster without it is refused.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
-def scratch_table(spark: SparkSession, name: str) -> str:
-    """Path of a fresh intermediate table in the shared folder."""
-    return f"{shared_folder(spark)}/tidemark/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:8]}"
+def scratch_table(spark: SparkSession, name: str, folder: str | None = None) -> str:
+    """Path of a fresh intermediate table in ``folder``, by default the shared one."""
+    return f"{(folder or shared_folder(spark)).rstrip('/')}/tidemark/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:8]}"
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -2,37 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from functools import reduce
+
 from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.schema import MART_KEY, MART_UPDATE, PARTITION
+from tidemark.session import drop_table, scratch_table
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored table, or None before its first write."""
+    """The stored table with every column any of its files has, or None before its first write."""
     try:
-        return spark.read.parquet(path)
+        return spark.read.option("mergeSchema", "true").parquet(path)
     except AnalysisException as missing:
         if "PATH_NOT_FOUND" in str(missing) or "UNABLE_TO_INFER_SCHEMA" in str(missing):
             return None
         raise
 
 
+def _whole(key: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
+
+
 def merge_rows(stored: DataFrame, new: DataFrame, key: list[str], update: list[str] | None = None) -> DataFrame:
     """Stored and new rows with one row per key.
 
     A matched row takes its ``update`` columns (all others by default) from the new row and
-    keeps the rest. A key with a NULL matches nothing, so such rows are only ever added.
-    Columns new to the table are appended, NULL for older rows.
+    keeps the rest, also what the new rows have no column for. A key with a NULL matches
+    nothing, so such rows are only ever added. Columns new to the table are appended, NULL
+    for older rows.
     """
     both = stored.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True)
     values = [c for c in both.columns if c not in key and c != "_new"]
-    taken = [c for c in values if update is None or c in update or c not in stored.columns]
+    taken = [c for c in values if c in new.columns and (update is None or c in update or c not in stored.columns)]
     kept = [c for c in values if c not in taken]
-    whole = F.lit(True)
-    for c in key:
-        whole = whole & F.col(c).isNotNull()
+    whole = _whole(key)
     picks = [F.max_by(F.struct(*taken), "_new").alias("_taken")] if taken else []
     picks += [F.min_by(F.struct(*kept), "_new").alias("_kept")] if kept else []
     merged = both.where(whole).groupBy(*key).agg(*picks).select(
@@ -41,29 +47,46 @@ def merge_rows(stored: DataFrame, new: DataFrame, key: list[str], update: list[s
     return merged.unionByName(both.where(~whole).drop("_new")).select(*key, *values)
 
 
+def refuse_repeats(rows: DataFrame, key: list[str]) -> None:
+    """Raise if new rows share a key: which of them should win is not for the table to say."""
+    twice = rows.where(_whole(key)).groupBy(*key).count().where("count > 1").limit(3).collect()
+    if twice:
+        raise ValueError(f"new rows repeat keys, such as {[r.asDict() for r in twice]}")
+
+
 def upsert(
     path: str, new: DataFrame, key: list[str] = MART_KEY, update: list[str] | None = MART_UPDATE,
-    partition: str = PARTITION,
-) -> None:
-    """Merge ``new`` into the table at ``path``, rewriting only the weeks it touches.
-
-    The new rows are staged first, which fixes them and cuts their lineage. The merged weeks
-    are staged too and then replace theirs by dynamic partition overwrite, so the job never
-    reads what it is writing, a lost executor only repeats tasks, and repeating the whole
-    upsert gives the same table. Staging sits beside the table, on storage all executors
-    share.
+    partition: str = PARTITION, staging: str | None = None,
+) -> list:
+    """Merge ``new`` into the table at ``path``, rewriting only the weeks it touches, which are returned.
+
+    First and later writes go one way. The new rows are staged, which fixes them and cuts
+    their lineage; repeated keys among them are refused. The merged weeks are staged too and
+    then replace theirs by dynamic partition overwrite, so the job never reads what it is
+    writing, a lost executor only repeats tasks, and repeating the whole upsert of rows with
+    whole keys gives the same table. Staging tables have names of their own in ``staging``
+    (default: the shared folder) and go when the upsert is done, so upserts of other weeks
+    may run beside this one.
     """
     spark = new.sparkSession
-    staged, merged = f"{path.rstrip('/')}__new", f"{path.rstrip('/')}__merged"
-    new.write.mode("overwrite").parquet(staged)
-    rows = spark.read.schema(new.schema).parquet(staged)
-    stored = read_table(spark, path)
-    if stored is not None:
+    staged, merged = (scratch_table(spark, f"upsert-{step}", staging) for step in ("new", "merged"))
+    try:
+        new.write.parquet(staged)
+        rows = spark.read.schema(new.schema).parquet(staged)
+        refuse_repeats(rows, key)
         # one date per reporting week, 53 a year: listed here so the table scan is pruned to them
         weeks = [row[0] for row in rows.select(partition).distinct().collect()]
-        merge_rows(stored.where(F.col(partition).isin(weeks)), rows, key, update).write.mode("overwrite").parquet(merged)
-        rows = spark.read.parquet(merged)
-    # rows of a week meet in one task, which writes the week's file; AQE splits a week too big for that
-    rows.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        partition
-    ).parquet(path)
+        touched = F.col(partition).isin([w for w in weeks if w is not None])
+        if None in weeks:
+            touched = touched | F.col(partition).isNull()
+        stored = read_table(spark, path)
+        stored = rows.where(F.lit(False)) if stored is None else stored.where(touched)
+        merge_rows(stored, rows, key, update).write.parquet(merged)
+        # rows of a week meet in one task, which writes the week's file; AQE splits a week too big for that
+        spark.read.parquet(merged).hint("rebalance", partition).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy(partition).parquet(path)
+        return weeks
+    finally:
+        for table in (staged, merged):
+            drop_table(spark, table)

@@ -15,8 +15,8 @@ from tidemark.sources import lookups
 from tidemark.sources.catalog import Sources
 
 TABLES = ("nation", "customer", "orders", "lineitem", "events")
-FACT_IDS = {"lineitem": "l_orderkey", "events": "event_id"}
 
+CALENDAR_FIRST, CALENDAR_LAST = date(1995, 1, 1), date(2025, 12, 31)
 # orders run 1995 to 2001 and events through January 2024; the whole of both is one run
 RUN = RunParams(date(1995, 1, 1), date(2024, 12, 31), as_of=date(2001, 8, 1))
 CONFIG = MartConfig(
@@ -103,7 +103,7 @@ def _ad_rows(shift: str, extra: str) -> str:
     constants = ", ".join(f"'n/a' as {c}" for c in _AD_KEY_CONSTANTS)
     return (
         "select cast(e.ts as date) as event_date, e.user_id as event_order_id, "
-        "e.event_id % 50 as event_line_item_id, "
+        "cast(floor(e.event_id / 20) as bigint) as event_line_item_id, "
         "case when e.user_id % 20 = 0 then 'IntoWowNonBillable' else 'Adv' end as event_advertiser_name, "
         f"{constants}, case when e.event_type='view' then 'House Promo' else 'Paid Line' end as event_line_item_name, "
         f"e.ts{shift} as header_eventtime, "
@@ -186,13 +186,13 @@ from (select substr(cast(cast(o_orderdate as date) as varchar(10)),1,7) as year_
   sum(cast(o_totalprice as decimal(14,2))) as gross, count(*) as orders_booked from {{orders}} group by 1, 2) x""",
     "ad_report": _ad_rows("", "") + " union all " + _ad_rows(" - interval '1' hour", " + 7") + " where e.event_id % 10 = 0",
     "hotel_feed": f"""
-select event_id, event_id % 700 as event_booking_orders_id, ts as event_created, ts as event_time,
+select event_id, cast(floor(event_id / 3) as bigint) as event_booking_orders_id, ts as event_created, ts as event_time,
  case user_id % 4 when 0 then 'XY' when 1 then 'gb' when 2 then 'FR' else 'IT' end as event_accommodation_details_location_country,
  case event_id % 3 when 0 then 'EUR' when 1 then 'USD' else 'ZZZ' end as event_currency_booker,
  value*0.1 as event_commission_estimated_amount_booker_currency, case when event_id % 4 = 0 then value*0.12 end as event_commission_actual_amount_orders
  from {{events}} where event_type='purchase' and cast(ts as date) >= date '{CONFIG.hotel_feed_cutover}'""",
     "hotel_manual": f"""
-select cast(ts as date) as booking_date, event_id % 700 as booking_number, ts as event_time,
+select cast(ts as date) as booking_date, cast(floor(event_id / 3) as bigint) as booking_number, ts as event_time,
  case user_id % 4 when 0 then 'Korea, South' when 1 then 'Abkhazia' when 2 then 'France' else 'United Kingdom' end as booker_country, value*0.09 as your_commission_in_your_currency
  from {{events}} where event_type='purchase' and cast(ts as date) < date '{CONFIG.hotel_feed_cutover}'""",
     "web_events": """
@@ -212,23 +212,17 @@ select cast(ts as date) - 9000 as activity_date, {_CUSTOMER_REGION.format(c='use
 def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
     """Every source table over one directory of test data, opened lazily."""
 
-    cores = spark.sparkContext.defaultParallelism
     opened: dict[str, DataFrame] = {}
 
     def table(name: str) -> DataFrame:
-        """A test table. The two fact tables, when they come as fewer splits than there are
-        cores, are dealt to all cores by id; one large enough for the cluster is left alone."""
         if name not in opened:
-            df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-            if name in FACT_IDS and df.rdd.getNumPartitions() < cores:
-                df = df.repartition(cores, FACT_IDS[name])
-            opened[name] = df
+            opened[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
         return opened[name]
 
     def derive(sql: str):
         return spark.sql(sql, **{t: table(t) for t in TABLES if "{" + t + "}" in sql})
 
-    calendar = lookups.calendar(spark)
+    calendar = lookups.calendar(spark, CALENDAR_FIRST, CALENDAR_LAST)
     tables = {name: (lambda sql=sql: derive(sql)) for name, sql in SQL.items()}
     return Sources({
         **tables,

@@ -69,7 +69,7 @@ def country_names(spark: SparkSession) -> DataFrame:
     return _table(spark, COUNTRY_NAMES, ["country_lookup_value", "country_code"])
 
 
-def calendar(spark: SparkSession, first: date = date(1995, 1, 1), last: date = date(2025, 12, 31)) -> DataFrame:
+def calendar(spark: SparkSession, first: date, last: date) -> DataFrame:
     """DAY and WEEK rows of every date: financial year, week number and week start.
 
     A week belongs to the financial year its Sunday falls in; week 1 starts on the first
