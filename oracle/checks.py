@@ -8,6 +8,7 @@ from oracle.base import END, START, cte, dec, div, exact, money4, pick, round4,
 DPR = "year_month_day, product_pl, region"
 CHECKS: dict[str, str] = {}
 MARTS = ("acquisition", "conversion", "monetisation", "retention", "supply")
+# KPI and metric names
 KPI_METRIC = {"Clicks": "Total Clicks", "Impressions": "Total Impressions", "Installs": "Total Installs", "Visits": "Total Visits",
               "Incremental New Customers": "Incremental New Customers", "Incremental Spend EUR": "Incremental Spend EUR"}
 cte("x_campaign_values", f"""
@@ -84,9 +85,9 @@ CHECKS["hotel_ctr"] = _compare(f"select {DPR}, {round4(div('clicks', 'shown'))}
 CHECKS["hotel_impressions"] = _compare(f"select {DPR}, cast(shown as double) as source_value from x_web_counts", _partner("Impressions"), DPR, 0)
 
 
-def _sides(stored: str, source: str, measures: list[str], judged: list[str]) -> str:
+def _sides(stored: str, source: str, measures: list[str], judged: list[str], bad: str = "") -> str:
     cols = ", ".join(f"a.{c} as mart_{c}, cast(s.{c} as double) as source_{c}" for c in measures)
-    bad = " or ".join(f"coalesce(a.{c} <> cast(s.{c} as double), false)" for c in judged)
+    bad = bad or " or ".join(f"coalesce(a.{c} <> cast(s.{c} as double), false)" for c in judged)
     return f"select {DPR}, {cols}, ({bad}) as failed from ({stored}) a join ({source}) s using ({DPR})"
 
 
@@ -94,15 +95,15 @@ def _picked(names: dict[str, str]) -> str:
     return ", ".join(f"max(case when metric_name = '{n}' then metric_value end) as {c}" for c, n in names.items())
 
 
-for _stage, (_k, _title) in m.STAGE.items():
+for (_stage, (_k, _title)), (_scope, _shift) in [(x, y) for x in m.STAGE.items() for y in (("DAY", 0), ("WEEK", 1))]:
     _names = {"customers": f"28d {_title} Person Count", "net_sales": f"28d {_title} Person NTS Amount",
               "retained": f"28d {_title} Person moved to Retained", "churned": f"28d {_title} Person moved to Churned"}
     _source = f"""select {DPR}, customers, retained, churned, {money4(pick('amount'))} as net_sales from (
-      select year_month_day, {BASE_LINE.format(p='product_pl', r='region')}, sum({_k}_volume) as customers, sum({_k}_retention) as retained, sum({_k}_churned) as churned,
+      select year_month_day - {_shift} as year_month_day, {BASE_LINE.format(p='product_pl', r='region')}, sum({_k}_volume) as customers, sum({_k}_retention) as retained, sum({_k}_churned) as churned,
        {total(f'{_k}_nts_gbp')} as amount_gbp, {total(f'{_k}_nts_eur')} as amount_eur from x_growth_summary g
-      where date_scope = 'DAY' and year_month_day between date '{START}' and date '{END}' + 1 group by 1, 2, 3) z"""
-    _st = f"select {DPR}, {_picked(_names)} from x_retention_day where sub_category = '{_stage}' group by all"
-    CHECKS[f"lifecycle_{_key(_stage)}"] = _sides(_st, _source, list(_names), list(_names))
+      where date_scope = '{_scope}' and year_month_day between date '{START}' and date '{END}' + 1 group by 1, 2, 3) z"""
+    _st = f"select {DPR}, {_picked(_names)} from x_retention_{_scope.lower()} where sub_category = '{_stage}' and year_month_day between date '{START}' and date '{END}' group by all"
+    CHECKS[f"lifecycle_{_key(_stage)}{'_week' if _shift else ''}"] = _sides(_st, _source, list(_names), list(_names))
 _habits = {"customers": "Number of Customers", "net_sales": "Net Sales Amount", "orders": "Total number of Orders"}
 _leisure = "fare_train_classification_name_longest_duration = 'long distance' and product_travel_classification_name not in ('Commuting','Business')"
 _commute = "fare_train_classification_name_longest_duration = 'regional' and product_travel_classification_name = 'Commuting'"
@@ -111,21 +112,29 @@ for _n, _label, _cond in (("commute", "Commute and Regional", _commute), ("leisu
       count(distinct case when product_gross_sales_flag = 'Y' and record_type = 'SALES' then order_id end) as orders,
       {total('m_net_sales_amount_gbp')} as amount_gbp, {total('m_net_sales_amount_eur')} as amount_eur from x_base_lines where {_cond} group by all) z"""
     _st = f"select {DPR}, {_picked(_habits)} from x_retention_day where sub_category = '{_label}'{' and category = ' + chr(39) + 'All' + chr(39) if _n == 'summary' else ''} group by all"
+    CHECKS[f"journey_{_n}_coarse"] = _sides(_st, _source, list(_habits), [], "coalesce(abs(a.net_sales - s.net_sales) * 100e0 / nullif(s.net_sales, 0) > 0.2, false)")
     CHECKS[f"journey_{_n}"] = _sides(_st, _source, list(_habits), ["net_sales"] if _n == "summary" else list(_habits))
 
 _skip = {
-    "acquisition": "metric_name not in ('Active Customers','Existing Customers','New Customers','Incremental ROAS')",
-    "conversion": "metric_name not in ('Avg Trans Value','Conversion Ratio')",
+    "acquisition": "metric_name not in ('Active Customers','Existing Customers','New Customers','Incremental ROAS','CPA','CVR','LC_CPA','Cost / Click','Payback Months','GM - PMS')",
+    "conversion": "metric_name not in ('Avg Trans Value','Avg Trans Value Budget','Conversion Ratio')",
     "monetisation": "metric_name not in ('Non-Fee Revenue / Visit','CTR','CPM','Percent of Tickets','Take Rate','Fee Revenue / Transaction')",
     "retention": "lower(metric_name) not like '% over %'", "supply": "metric_name not in ('Refunds Ratio','Unsellable Journey Ratio')",
 }
 for _mart in MARTS:
     _k5 = "date_scope, year_month_day, category, sub_category, metric_name"
+    _series = "category, sub_category, metric_name, financial_year"
+    _ft = f"select {_k5}, financial_year, region, metric_value from x_{_mart}_mart where product_pl = 'EU' and region in ('Foreign Travel','Inbound','RoE','UK>EU') and {_skip[_mart]}"
+    # a running total stays what it was in the weeks in which its region has no row
+    _held = f"""select {_k5}, region, last_value(metric_value ignore nulls) over (partition by {_series}, region order by year_month_day rows between unbounded preceding and current row) as metric_value
+ from (select distinct {_k5}, financial_year, r.region from ft cross join (values ('Foreign Travel'),('Inbound'),('RoE'),('UK>EU')) r(region) where date_scope = 'FYtD') g
+ left join ft using ({_k5}, financial_year, region)"""
     CHECKS[f"foreign_travel_{_mart}"] = f"""select {_k5}, parts, foreign_travel, abs(parts - foreign_travel) as difference,
  case when parts is null then 'no parts' when foreign_travel is null then 'no foreign travel' else 'compared' end as status,
  coalesce(abs(parts - foreign_travel) > 10, false) as failed
-from (select {_k5}, {exact('sum(' + dec('metric_value', 8) + ')')} as parts from x_{_mart}_mart where product_pl = 'EU' and region in ('Inbound','RoE','UK>EU') and {_skip[_mart]} group by all) p
-full join (select {_k5}, metric_value as foreign_travel from x_{_mart}_mart where product_pl = 'EU' and region = 'Foreign Travel' and {_skip[_mart]}) f using ({_k5})"""
+from (with ft as ({_ft}), held as (select {_k5}, region, metric_value from ft where date_scope <> 'FYtD' union all {_held})
+ select {_k5}, {exact('sum(case when region <> ' + chr(39) + 'Foreign Travel' + chr(39) + ' then ' + dec('metric_value', 8) + ' end)')} as parts,
+  max(case when region = 'Foreign Travel' then metric_value end) as foreign_travel from held group by all) s order by difference desc nulls last, {_k5}"""
 for _c in ("category", "sub_category"):
     CHECKS[f"{_c}_completeness"] = f"""select n as nulls, r as records, coalesce(n / nullif(r, 0) > 0.10, false) as failed
 from (select count(*) filter (where {_c} is null) as n, count(*) as r from x_supply_day) z"""
@@ -141,11 +150,20 @@ CHECKS["unique_keys"] = " union all ".join(
 CHECKS["not_null"] = " union all ".join(
     f"select '{x}_mart' as table_name, count(*) as records, '{c}' as column_name, count(*) - count({c}) as nulls, count(*) > count({c}) as failed from x_{x}_mart"
     for x in MARTS for c in ("metric_name", "week_commencing_date", "product_pl", "region", "category", "sub_category"))
+# regions
 _regions = "'France','Germany','Inbound','International','Italy','RoE','Spain','UK>EU','Foreign Travel','Total','United Kingdom'"
 CHECKS["accepted_regions"] = " union all ".join(
     f"select region as value, count(*) as records, '{x}_mart' as table_name, region not in ({_regions}) as failed from x_{x}_mart group by region" for x in MARTS)
 CHECKS["accepted_product_lines"] = " union all ".join(
     f"select product_pl as value, count(*) as records, '{x}_mart' as table_name, product_pl not in ('EU','UK','UK & EU') as failed from x_{x}_mart group by product_pl" for x in MARTS)
+_written = {"breakout_report": ("x_breakout", True), "overview_status": ("x_overview", False)}
+CHECKS["not_null_this_run"] = CHECKS["not_null"]  # one run writes all rows here
+CHECKS["not_null_reports"] = " union all ".join(
+    f"select '{n}' as table_name, count(*) as records, '{c}' as column_name, count(*) - count({c}) as nulls, count(*) > count({c}) as failed from {t}"
+    for n, (t, labelled) in _written.items() for c in ("metric_name", "week_commencing_date", "product_pl", "region", *(("category", "sub_category") if labelled else ())))
+for _c, _ok in (("region", _regions), ("product_pl", "'EU','UK','UK & EU'")):
+    CHECKS["accepted_" + ("regions" if _c == "region" else "product_lines") + "_reports"] = " union all ".join(
+        f"select {_c} as value, count(*) as records, '{n}' as table_name, {_c} not in ({_ok}) as failed from {t} group by {_c}" for n, (t, _) in _written.items())
 CHECKS["region_count"] = " union all ".join(
     f"select '{x}_mart' as table_name, count(distinct region) as distinct_values, count(distinct region) <> 11 as failed from x_{x}_mart" for x in MARTS)
 

@@ -48,14 +48,16 @@ from {base} t {past('w', 1)} {past('y', 52)}"""
 cte("x_breakout", compared("x_breakout_base", ["metric_mart_name", "date_scope", "product_pl", "region", "category", "sub_category", "metric_name"]))
 cte("x_overview", compared("x_overview_base", ["date_scope", "product_pl", "region", "metric_name"]))
 
+# Dashboard columns and the metric names of the overview
 DASHBOARD = {
-    "28_56_Day_Churned_Customers": "28-56Day Churned Customers", "28_56_Day_New_Customers": "28-56Day New Customers",
-    "28_56_Day_Resurrected_Customers": "28-56Day Resurrected Customers", "28_56_Day_Retained_Customers": "28-56Day Retained Customers",
+    "28_56_Day_Churned_Customers": "28d Person moved Active to Inactive", "28_56_Day_New_Customers": "28d Early life Person Count",
+    "28_56_Day_Resurrected_Customers": "28d Resurrected Person Count", "28_56_Day_Retained_Customers": "28d Retained Person Count",
     "Cost_Per_Click": "Cost / Click", "Fee_Revenue_Per_Transaction": "Fee Revenue / Transaction", "GM_Minus_PMS": "GM - PMS",
     "Non_Fee_Revenue_Per_Visit": "Non-Fee Revenue / Visit", "Non_Fee_Revenue": "Non-Fee Revenue",
+    "Gross_Sales": "WBR Gross Sales", "Gross_Transactions": "WBR Gross Transactions", "Net_Sales": "WBR Net Sales",
     **{n.replace(" ", "_"): n for n in (
-        "Active Customers", "Avg Trans Value", "Conversion Ratio", "Existing Customers", "Fee Revenue", "Gross Margin", "Gross Sales",
-        "Gross Transactions", "Marketing Spend", "Net Sales", "New Customers", "Total Clicks", "Total Costs", "Total Impressions",
+        "Active Customers", "Avg Trans Value", "Conversion Ratio", "Existing Customers", "Fee Revenue", "Gross Margin",
+        "Marketing Spend", "New Customers", "Total Clicks", "Total Costs", "Total Impressions",
         "Total Refunds", "Total Revenue", "Total Visits", "Transactions Tracked")},
 }
 _key = "financial_year, week_number, year_month_day, week_commencing_date, product_pl, region"

@@ -48,3 +48,7 @@ for _name, _sql in oracle.checks.CHECKS.items():
 for _name, _sql in oracle.steps.STEPS.items():
     statement(_name, _sql)
 statement("stored_budget_mart", f"select {_budget} from x_budget_day union all select {_budget} from x_budget_week")
+_undated = _budget
+for _c in ("year_month_day", "week_in_fin_year", "week_commencing_date"):
+    _undated = _undated.replace(_c, f"null as {_c}")
+statement("stored_undated_budget", f"select {_budget} from x_budget_day union all select {_undated} from x_budget_day where region in ('France', 'Germany')")

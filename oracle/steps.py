@@ -83,10 +83,15 @@ STEPS["window_previous_present"] = f"""select {DPR}, category, sub_category, met
  lag(metric_value) over (partition by product_pl, region, category, sub_category, metric_name order by year_month_day) as previous from x_growth_day"""
 STEPS["window_week_numbers"] = "select * from x_breakout_weeks"
 STEPS["weights_by_weekday"] = "select dow as day_of_reporting_week, ratio from x_weekday_weights"
-STEPS["sum_weeks"] = m.week_sum("x_conversion_day", ["Gross Sales", "Total Visits"])
+STEPS["sum_weeks"] = m.week_sum("x_conversion_day", ["Gross Sales", "WBR Gross Transactions", "Total Visits", "Transactions Tracked"])
 STEPS["report_overview_with_future"] = """select * from x_overview union all
 select s.date_scope, s.product_pl, s.region, c.financial_year, c.week_number, c.year_month_day, c.week_commencing_date, upper(replace(s.metric_name, '_', ' ')), null, null, null, null, null
 from (select distinct date_scope, product_pl, region, metric_name from x_overview_base where metric_name not like '%Budget%') s,
  (select distinct financial_year, week_number, year_month_day, week_commencing_date from x_calendar where year_month_day > date '2025-12-01' and week_commencing_date > date '2025-12-01') c"""
 STEPS["stored_supply_mart"] = "select * from x_supply_mart"
 STEPS["stored_overview_report"] = "select * from x_overview"
+STEPS["stored_breakout_report"] = "select * from x_breakout"
+STEPS["stored_dashboard"] = "select * from x_dashboard"
+_mart_cols = "date_scope, financial_year, week_number, year_month_day, week_commencing_date, product_pl, region, category, sub_category, metric_name"
+STEPS["stored_drift"] = f"""select {_mart_cols}, case when year(year_month_day) = 1999 and region = 'France' then metric_value + 1 else metric_value end as metric_value,
+ case when year(year_month_day) = 1999 then cast(length(metric_name) as integer) end as name_length from x_supply_day"""

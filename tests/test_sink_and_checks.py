@@ -1,19 +1,26 @@
 """Upserts, a whole refresh, and checks that must notice a damaged mart."""
 
+import os
 import tempfile
 from dataclasses import replace
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.checks import campaigns, monetisation, quality, retention
 from tidemark.checks.reconcile import failing, reconcile, tally
+from tidemark.operators.compare import weeks_to_read, weeks_to_rebuild
 from tidemark.params import RunParams
-from tidemark.plans.refresh import refresh
+from tidemark.plans import acquisition
+from tidemark.plans import monetisation as monetisation_plans
+from tidemark.plans import retention as retention_plans
+from tidemark.plans.refresh import MARTS, METRIC_MARTS, refresh
+from tidemark.plans.reports import breakout_report
 from tidemark.plans.store import MartStore
 from tidemark.schema import MART_KEY
-from tidemark.sinks.upsert import merge_rows, upsert
+from tidemark.sinks.upsert import merge_rows, read_table, upsert
+from tidemark.sources.catalog import Sources
 from tidemark.sources.fixtures import CONFIG, RUN
 
 TABLE = "k string, week_commencing_date date, v double, note string"
@@ -49,12 +56,141 @@ def test_upsert_is_idempotent_and_leaves_other_weeks_alone(spark):
     assert untouched and second_week() == untouched
 
 
+def fresh() -> str:
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+
+def test_upsert_keeps_rows_without_a_week(spark):
+    path, key = fresh() + "/table", ["k", "week_commencing_date"]
+    for k in ("a", "b"):
+        upsert(path, spark.createDataFrame([(k, None, 1.0, "x"), (k, W1, 2.0, "x")], TABLE), key, ["v"])
+    got = sorted((r.k, str(r.week_commencing_date)) for r in read_table(spark, path).collect())
+    assert got == [("a", "2024-01-07"), ("a", "None"), ("b", "2024-01-07"), ("b", "None")]
+
+
+def test_upsert_keeps_a_column_that_drifted_in(spark):
+    path, key = fresh() + "/table", ["k", "week_commencing_date"]
+    rows = spark.createDataFrame([("a", W1, 1.0, "x"), ("b", W1, 1.0, "x"), ("c", W2, 1.0, "x")], TABLE)
+    upsert(path, rows, key, None)
+    upsert(path, rows.where("k = 'a'").withColumn("extra", F.lit(7)), key, None)
+    upsert(path, rows.withColumn("v", F.lit(5.0)), key, None)
+    got = {r.k: (r.v, r.extra) for r in read_table(spark, path).collect()}
+    assert got == {"a": (5.0, 7), "b": (5.0, None), "c": (5.0, None)}
+
+
+def test_upsert_refuses_repeated_keys_at_every_write(spark):
+    path, key = fresh() + "/table", ["k", "week_commencing_date"]
+    twice = spark.createDataFrame([("a", W1, 1.0, "x"), ("a", W1, 2.0, "x")], TABLE)
+    with pytest.raises(ValueError, match="repeat keys"):
+        upsert(path, twice, key)
+    upsert(path, twice.limit(1), key, ["v"])
+    with pytest.raises(ValueError, match="repeat keys"):
+        upsert(path, twice, key)
+    assert read_table(spark, path).count() == 1
+
+
+def test_upsert_stages_under_names_of_its_own_and_cleans_up(spark):
+    folder = fresh()
+    rows = spark.createDataFrame([("a", W1, 1.0, "x")], TABLE)
+    for _ in range(2):
+        assert upsert(folder + "/table", rows, ["k", "week_commencing_date"], ["v"], staging=folder + "/staged") == [W1]
+    staged = [f for _, _, files in os.walk(folder + "/staged") for f in files]
+    assert staged == [] and sorted(os.listdir(folder)) == ["staged", "table"]
+
+
+def test_store_tells_runs_of_one_label_apart(spark, src):
+    run = RunParams(date(1999, 5, 9), date(1999, 5, 15), as_of=RUN.as_of)
+    long = MartStore(spark, "one label", src, replace(RUN, run_ts=datetime(2024, 1, 1)), CONFIG).stored("supply_mart", ["DAY"])
+    short = MartStore(spark, "one label", src, run, CONFIG).stored("supply_mart", ["DAY"])
+    assert 0 < short.count() < long.count()
+    assert short.agg(F.max("year_month_day")).first()[0] <= run.end
+
+
+def test_a_run_past_the_calendar_is_refused(spark, src):
+    beyond = RunParams(date(2025, 12, 1), date(2026, 1, 15))
+    with pytest.raises(ValueError, match="calendar runs from"):
+        MARTS["supply_mart"].day(src, beyond, CONFIG)
+
+
+ONE_WEEK = RunParams(date(1999, 5, 9), date(1999, 5, 15), as_of=RUN.as_of)
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def scans(df, needle: str) -> list[str]:
+    """The file scans of the formatted plan that mention ``needle``."""
+    text = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    parts = [part.strip() for part in text.split("\n\n")]
+    return [part for part in parts if "Scan parquet" in part.split("\n")[0] and needle in part]
+
+
+def test_weekly_customers_scan_is_bounded_by_literal_dates(spark, src):
+    stored = fresh() + "/lines"
+    src.order_lines.where(F.col("year_month_day") < F.lit(date(1996, 1, 1))).write.parquet(stored)
+    tables = {n: getattr(src, n) for n in ("calendar", "customer_accounts", "region_map")}
+    own = Sources({**tables, "order_lines": spark.read.parquet(stored)})
+    found = scans(acquisition.customer_totals(own, ONE_WEEK, CONFIG, "week_commencing_date"), "product_issued_date")
+    assert found
+    for part in found:
+        for column in ("year_month_day", "product_issued_date"):
+            assert f"GreaterThanOrEqual({column},1999-05-09)" in part and f"LessThanOrEqual({column},1999-05-15)" in part
+
+
+@pytest.mark.parametrize("mart", [*METRIC_MARTS, "budget_mart"])
+def test_week_and_year_to_date_read_only_their_partitions(spark, src, store, mart):
+    path, m = fresh() + "/mart", MARTS[mart]
+    rows = store.stored(mart, ["DAY"] if mart == "budget_mart" else ["DAY", "WEEK"])
+    rows.limit(200).write.partitionBy("week_commencing_date").parquet(path)
+    for build in filter(None, (m.week, m.fytd)):
+        own = scans(build(spark.read.parquet(path), src, ONE_WEEK, CONFIG), path)
+        assert own
+        for part in own:
+            filters = next(x for x in part.split("\n") if x.startswith("PartitionFilters"))
+            assert "week_commencing_date" in filters and ">= 199" in filters and "<= " in filters, part
+
+
+def test_one_week_rebuilds_that_week_and_those_compared_with_it(spark, src, store):
+    folder = fresh()
+    weeks = lambda name: {f.split("week_commencing_date=")[1].split("/")[0]: f for f in sorted(read_table(spark, f"{folder}/{name}").inputFiles())}
+    run = RunParams(date(1998, 1, 4), date(2000, 1, 1), as_of=RUN.as_of)
+    refresh(spark, src, run, folder, CONFIG, scopes=("DAY", "WEEK"))
+    reports = ("breakout_report", "overview_status", "dashboard")
+    before = {name: weeks(name) for name in reports}
+    refresh(spark, src, replace(ONE_WEEK, run_ts=datetime(2024, 5, 5)), folder, CONFIG, marts=["supply_mart"], scopes=("DAY", "WEEK"))
+    for name in reports:
+        after = weeks(name)
+        changed = {w for w in after if after[w] != before[name].get(w)}
+        assert changed == {"1999-05-09", "1999-05-16", "2000-05-07"} and set(after) == set(before[name])
+    whole = {n: read_table(spark, f"{folder}/{n}") for n in METRIC_MARTS}
+    again = breakout_report(whole, run).drop("last_modified")
+    held = read_table(spark, f"{folder}/breakout_report").drop("last_modified").select(*again.columns)
+    assert again.exceptAll(held).count() == 0 and held.exceptAll(again).count() == 0
+
+
+def test_weeks_to_rebuild():
+    w = [date(2023, 1, 1) + timedelta(weeks=i) for i in range(110)]
+    assert weeks_to_rebuild([w[10]], w) == [w[10], w[11], w[62]]
+    assert weeks_to_rebuild([w[109]], w[:109]) == [w[109]]
+    gap = w[:10] + w[11:]
+    assert weeks_to_rebuild([w[10]], gap) == w[10:63]
+    assert weeks_to_read([w[60]]) == [w[8], w[59], w[60]]
+
+
+def test_plans_hold_no_dealt_facts_nested_loops_or_multiplied_lines(spark, src, sf_dir):
+    for build in (monetisation_plans.monetisation_day, retention_plans.retention_day):
+        plan = plan_of(build(src, RUN, CONFIG))
+        assert "REPARTITION_BY_NUM" not in plan and "NestedLoop" not in plan
+    assert "Expand" not in plan_of(retention_plans.journey_totals(src, RUN, CONFIG))
+
+
 def test_refresh_writes_marts_and_reports(spark, src):
     folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     run = RunParams(date(1999, 5, 9), date(1999, 5, 22), as_of=RUN.as_of, run_ts=datetime(2024, 5, 1))
     first = refresh(spark, src, run, folder, CONFIG)
     rows = {name: df.count() for name, df in first.items()}
-    assert all(rows.values()) and set(rows) >= {"breakout_report", "overview_status", "budget_mart"}
+    assert all(rows.values()) and set(rows) >= {"breakout_report", "overview_status", "dashboard", "budget_mart"}
     again = refresh(spark, src, replace(run, run_ts=datetime(2024, 5, 2)), folder, CONFIG, marts=["supply_mart"], with_reports=False)
     assert again["supply_mart"].count() == rows["supply_mart"]
     assert again["supply_mart"].groupBy(*MART_KEY).count().where("count > 1").count() == 0
@@ -116,8 +252,7 @@ def test_quality_checks_notice_bad_tables(store):
     odd = mart.withColumn("region", F.lit("Atlantis"))
     assert failing(quality.accepted_values_check({"m": odd})).first().value == "Atlantis"
     assert quality.distinct_count_check({"m": odd}).first().failed
-    # year to date is left out: a region without a row in a week has no running total there
-    added_up = store.stored("supply_mart", ["DAY", "WEEK"])
+    added_up = store.whole("supply_mart")
     bad = damaged(added_up, F.col("region") == "RoE")
     assert failing(quality.foreign_travel_check("supply_mart", added_up)).count() == 0
     assert failing(quality.foreign_travel_check("supply_mart", bad)).count() > 0

@@ -9,7 +9,7 @@ from tidemark.checks.reconcile import reconcile
 from tidemark.functions.money import from_units, sum_units
 from tidemark.functions.ratio import currency_pick, plain_ratio
 from tidemark.operators.calendar import in_run, outside
-from tidemark.operators.region import raw_region_label, region_fanout
+from tidemark.operators.region import pair_fanout, raw_region_label
 from tidemark.operators.scopes import rows_of
 from tidemark.params import DAY, MartConfig, RunParams
 from tidemark.plans import monetisation as mon
@@ -75,9 +75,7 @@ def ads_check(metric: str, mart: DataFrame, src: Sources, p: RunParams) -> DataF
     }[metric]
     daily = mon.ad_rows(src, p).groupBy(F.col("event_date").alias("year_month_day")).agg(value.alias("source_value"))
     # the day's value is expected of both lines the mart reports ads under
-    source = region_fanout(
-        daily.withColumns({"pl": F.lit("UK"), "rg": F.lit("United Kingdom")}), "pl", "rg", src.region_map
-    )
+    source = pair_fanout(daily, "UK", "United Kingdom", src.region_map)
     stored = rows_of(mart, DAY, [metric]).where(F.col("sub_category") == "Ads").select(
         *DAY_KEYS, F.col("metric_value").alias("mart_value")
     )

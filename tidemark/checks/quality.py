@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.checks.reconcile import whole
 from tidemark.functions.money import stable_sum
 from tidemark.operators.calendar import in_run
-from tidemark.params import ALL, DAY, REPORT_REGIONS, RunParams
+from tidemark.params import ALL, DAY, FYTD, REPORT_REGIONS, RunParams
 from tidemark.plans.retention import RATE_NAMES
 from tidemark.sources.lookups import FOREIGN_TRAVEL
 
-# Metrics per mart whose regions do not add up.
+# Metrics per mart whose regions do not add up: people counted once a region, quotients, and the
+# margin after spend, which a region without spend does not have.
 NOT_ADDITIVE = {
-    "acquisition_mart": ("Active Customers", "Existing Customers", "New Customers", "Incremental ROAS"),
-    "conversion_mart": ("Avg Trans Value", "Conversion Ratio"),
+    "acquisition_mart": (
+        "Active Customers", "Existing Customers", "New Customers", "Incremental ROAS", "CPA", "CVR", "LC_CPA", "Cost / Click",
+        "Payback Months", "GM - PMS",
+    ),
+    "conversion_mart": ("Avg Trans Value", "Avg Trans Value Budget", "Conversion Ratio"),
     "monetisation_mart": (
         "Non-Fee Revenue / Visit", "CTR", "CPM", "Percent of Tickets", "Take Rate", "Fee Revenue / Transaction",
     ),
@@ -27,10 +31,25 @@ NOT_ADDITIVE = {
 NOT_NULL_COLUMNS = ("metric_name", "week_commencing_date", "product_pl", "region", "category", "sub_category")
 
 
+def carried_forward(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Year-to-date rows of each region at every week any of them has one: its last running value.
+
+    A region without a row in a week keeps the total it had. A window partition is one series of
+    one region in one year, at most 53 weeks.
+    """
+    series = [c for c in keys if c != "year_month_day"] + ["financial_year"]
+    regions = F.explode(F.array(*[F.lit(r) for r in ("Foreign Travel", *FOREIGN_TRAVEL)]))
+    grid = rows.select(*keys, "financial_year").distinct().withColumn("region", regions)
+    upto = Window.partitionBy(*series, "region").orderBy("year_month_day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = grid.join(rows.select(*keys, "financial_year", "region", "metric_value"), [*keys, "financial_year", "region"], "left")
+    return held.withColumn("metric_value", F.last("metric_value", ignorenulls=True).over(upto)).select(*keys, "region", "metric_value")
+
+
 def foreign_travel_check(mart_name: str, mart: DataFrame, tolerance: float = 10.0) -> DataFrame:
     """Foreign Travel beside the sum of its three regions, for additive metrics.
 
-    As stored data is judged, a side that is missing does not fail; ``status`` shows it.
+    Running totals are carried forward to the weeks in which a region has no row. As stored
+    data is judged, a side that is missing does not fail; ``status`` shows it.
     """
     keys = ["date_scope", "year_month_day", "category", "sub_category", "metric_name"]
     region = F.col("region")
@@ -39,6 +58,8 @@ def foreign_travel_check(mart_name: str, mart: DataFrame, tolerance: float = 10.
         & region.isin("Foreign Travel", *FOREIGN_TRAVEL)
         & ~F.col("metric_name").isin(*NOT_ADDITIVE[mart_name])
     )
+    running = F.col("date_scope") == FYTD
+    rows = rows.where(~running).select(*keys, "region", "metric_value").unionByName(carried_forward(rows.where(running), keys))
     # one pass instead of joining two filtered copies of the mart
     sides = rows.groupBy(*keys).agg(
         stable_sum(F.when(region != "Foreign Travel", F.col("metric_value"))).alias("parts"),
@@ -48,7 +69,7 @@ def foreign_travel_check(mart_name: str, mart: DataFrame, tolerance: float = 10.
     status = F.when(F.col("parts").isNull(), "no parts").when(F.col("foreign_travel").isNull(), "no foreign travel")
     return sides.withColumns({
         "difference": gap, "status": status.otherwise("compared"), "failed": F.coalesce(gap > tolerance, F.lit(False)),
-    })
+    }).orderBy(F.col("difference").desc_nulls_last(), *keys)
 
 
 def completeness_check(mart: DataFrame, column: str, p: RunParams, allowed: float = 0.10) -> DataFrame:
@@ -77,14 +98,21 @@ def unique_key_tally(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFram
     return reduce(DataFrame.unionByName, [one(n, t, k) for n, (t, k) in tables.items()])
 
 
-def not_null_check(tables: dict[str, DataFrame], columns=NOT_NULL_COLUMNS) -> DataFrame:
-    """Nulls per table and key column, all columns of a table in one pass."""
+def not_null_check(tables: dict[str, DataFrame], columns=NOT_NULL_COLUMNS, written_at=None) -> DataFrame:
+    """Nulls per table and key column the table has, all columns of a table in one pass.
+
+    ``written_at`` looks at the rows of the run with that stamp only (a warning, not an error).
+    """
 
     def one(name: str, table: DataFrame) -> DataFrame:
+        columns = [c for c in wanted if c in table.columns]
+        if written_at is not None:
+            table = table.where(F.col("last_modified") == F.lit(written_at).cast("timestamp"))
         counts = table.agg(F.count("*").alias("records"), *[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in columns])
         rows = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("nulls")) for c in columns]
         return counts.select(F.lit(name).alias("table_name"), "records", F.inline(F.array(*rows)))
 
+    wanted = columns
     return reduce(DataFrame.unionByName, [one(n, t) for n, t in tables.items()]).withColumn("failed", F.col("nulls") > 0)
 
 

@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.checks.monetisation import base_pair
-from tidemark.functions.money import from_units, sum_units
+from tidemark.functions.money import from_units, merge_units, sum_units
 from tidemark.functions.ratio import currency_pick
 from tidemark.functions.taxonomy import journey_class
 from tidemark.operators.calendar import in_run
 from tidemark.operators.pivot import kpi_pivot
+from tidemark.operators.rollup import count_each
 from tidemark.operators.scopes import rows_of
 from tidemark.params import ALL, DAY, WEEK, MartConfig, RunParams
 from tidemark.plans.common import DAY_KEYS, LINE_PL, LINE_REGION, is_gross_sale, qualifying_lines, round4
@@ -82,12 +83,17 @@ def journey_check(
     stored = kpi_pivot(rows, DAY_KEYS, "metric_name", "metric_value", names)
     pl, region = base_pair(F.col(LINE_PL), F.col(LINE_REGION))
     lines = qualifying_lines(src, cfg).where(in_run(F.col("year_month_day"), p) & _class_filter(journey))
-    source = lines.groupBy("year_month_day", pl.alias("product_pl"), region.alias("region")).agg(
-        F.countDistinct("order_customer_id").alias("customers"),
-        F.countDistinct(F.when(is_gross_sale(), F.col("order_id"))).alias("orders"),
-        from_units(sum_units(F.col("m_net_sales_amount_gbp"))).alias("gbp"),
-        from_units(sum_units(F.col("m_net_sales_amount_eur"))).alias("eur"),
-    ).withColumn("net_sales", round4(currency_pick(F.col("gbp"), F.col("eur"))))
+    # one row per customer and order before anything is counted
+    orders = lines.groupBy(
+        "year_month_day", pl.alias("product_pl"), region.alias("region"), "order_customer_id",
+        F.when(is_gross_sale(), F.col("order_id")).alias("order_id"),
+    ).agg(
+        sum_units(F.col("m_net_sales_amount_gbp")).alias("gbp"), sum_units(F.col("m_net_sales_amount_eur")).alias("eur")
+    ).dropna(subset=DAY_KEYS)
+    money = [from_units(merge_units(F.col(c))).alias(c) for c in ("gbp", "eur")]
+    source = count_each(orders, DAY_KEYS, {"customers": "order_customer_id", "orders": "order_id"}, money).withColumn(
+        "net_sales", round4(currency_pick(F.col("gbp"), F.col("eur")))
+    )
     off = F.try_divide(F.abs(F.col("mart_net_sales") - F.col("source_net_sales")) * 100.0, F.col("source_net_sales"))
     judged = ["net_sales"] if journey == "summary" else list(names)
     return _side_by_side(stored, source, list(names), judged, F.coalesce(off > 0.2, F.lit(False)) if coarse else None)

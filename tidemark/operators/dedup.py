@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 def latest_per_key(df: DataFrame, keys: list[str], newest: list[str]) -> DataFrame:
     """Keep, for each key, the row that is greatest on ``newest``, then on the other columns.
 
-    An aggregate rather than a ranked window: copies collapse on the map side, so a key with
-    millions of copies never has to be sorted inside one task. Comparing the remaining
-    columns makes ties deterministic.
+    An aggregate rather than a ranked window: copies collapse before the shuffle, so a key with
+    millions of copies never meets in one task. As the buffer is a row, Spark sorts each task's
+    share by the key instead of hashing it; callers select the columns they need first.
+    Comparing the remaining columns makes ties deterministic.
     """
     rest = [c for c in df.columns if c not in keys and c not in newest]
     row = F.max(F.struct(*newest, *rest)).alias("_row")

@@ -28,6 +28,20 @@ def region_fanout(
     )
 
 
+def pair_fanout(df: DataFrame, pl: str, region: str, region_map: DataFrame) -> DataFrame:
+    """Every reporting pair that one fixed raw pair feeds, for all rows.
+
+    The pair's few entries are read while planning: joined by constants they would make a
+    nested-loop join.
+    """
+    mine = (F.col("input_product_pl") == pl) & (F.col("input_region") == region)
+    pairs = region_map.where(mine).select("output_product_pl", "output_region").distinct().collect()
+    entries = [F.struct(F.lit(a).alias("product_pl"), F.lit(b).alias("region")) for a, b in sorted(map(tuple, pairs))]
+    if not entries:
+        return df.where(F.lit(False)).withColumns({"product_pl": F.lit(pl), "region": F.lit(region)})
+    return df.withColumn("_pair", F.explode(F.array(*entries))).select(*df.columns, "_pair.product_pl", "_pair.region")
+
+
 def raw_region_label(pl: Column, region: Column) -> Column:
     """The base region a raw pair reports under, as the reconciliations see it."""
     return (

@@ -20,7 +20,7 @@ def grouping_levels(
     named first, so it can never be taken for the rolled-up level.
     """
     dims = fixed + rolled
-    filled = df.fillna(null_as, subset=rolled)
+    filled = named_labels(df, rolled, null_as)
     sets = [fixed + list(kept) for n in range(len(rolled), -1, -1) for kept in combinations(rolled, n)]
     marks = [F.grouping(c).alias(f"_rolled_{c}") for c in rolled]
     out = filled.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in dims]).agg(*aggs, *marks)
@@ -29,6 +29,11 @@ def grouping_levels(
     return out.select(*fixed, *labels, *measures)
 
 
+def named_labels(df: DataFrame, rolled: list[str], null_as: str = "Unknown") -> DataFrame:
+    """Missing labels under their own name."""
+    return df.fillna(null_as, subset=rolled)
+
+
 def label_levels(df: DataFrame, **labels: list[str]) -> DataFrame:
     """Repeat finished rows under fixed labels.
 
@@ -43,3 +48,16 @@ def label_levels(df: DataFrame, **labels: list[str]) -> DataFrame:
 def distinct_then_count(df: DataFrame, keys: list[str], item: str, name: str) -> DataFrame:
     """Distinct count per group; Spark spreads the de-duplication over (group, item)."""
     return df.groupBy(*keys).agg(F.countDistinct(item).alias(name))
+
+
+def count_each(df: DataFrame, keys: list[str], items: dict[str, str], sums: list[Column]) -> DataFrame:
+    """Distinct counts of several items beside sums, by ``keys`` without nulls.
+
+    Each count has a frame of its own, reduced to the group's items first, and the small
+    results are joined: counted in one aggregate, Spark would multiply every row by the number
+    of items.
+    """
+    out = df.groupBy(*keys).agg(*sums) if sums else df.select(*keys).distinct()
+    for name, item in items.items():
+        out = out.join(df.select(*keys, F.col(item).alias(name)).distinct().groupBy(*keys).agg(F.count(name).alias(name)), keys)
+    return out

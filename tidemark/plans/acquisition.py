@@ -40,15 +40,18 @@ KPI_COLUMNS = {
 }
 EXCLUDED_CHANNELS = ("TOC", "Brand")
 
+# Metric names.
 CAMPAIGN_METRICS = (
     "Marketing Spend", "Total Clicks", "Total Impressions", "Total Installs", "Total Visits",
     "Incremental New Customers", "Incremental Gross Sales", "Payback Months", "Last Click New Customers",
     "Last Click Total Transactions", "Last Click Transactions Tracked", "Last Click Net Sales",
     "Last Click Marketing Spend", "Last Click Gross Sales",
 )
+# Metric names.
 MARGIN_METRICS = ("Total Revenue", "Total Costs", "Gross Margin", "GM - PMS")
 # carried to WEEK so that the ratio they feed can be formed at FYtD
 ROAS_INPUTS = ("Incremental Gross Sales EUR", "Incremental Spend EUR")
+# Metric names.
 CUSTOMER_METRICS = ("New Customers", "Existing Customers", "Active Customers")
 WEEK_METRICS = CAMPAIGN_METRICS + MARGIN_METRICS + ROAS_INPUTS
 FYTD_METRICS = CAMPAIGN_METRICS + MARGIN_METRICS + CUSTOMER_METRICS

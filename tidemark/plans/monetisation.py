@@ -16,7 +16,7 @@ from tidemark.operators.fx import fx_interval_join
 from tidemark.operators.gate import to_mart
 from tidemark.operators.pivot import unpivot_metrics
 from tidemark.operators.ratios import Ratio, with_ratios
-from tidemark.operators.region import region_fanout
+from tidemark.operators.region import pair_fanout, region_fanout
 from tidemark.operators.rollup import distinct_then_count
 from tidemark.operators.scopes import roll_to_week_by_year, running_ytd
 from tidemark.params import ALL, DAY, FYTD, WEEK, MartConfig, RunParams
@@ -26,6 +26,7 @@ from tidemark.plans.common import (
 )
 from tidemark.sources.catalog import Sources
 
+# Summed metrics, the partner's label, ratios with their names, the ad server's key.
 ADDITIVE = (
     "Total Revenue", "Fee Revenue", "Non-Fee Revenue", "Gross Transactions", "Total Visits", "Revenue", "Net Sale",
     "Impressions", "Monetised Impressions", "Clicks", "No. of Hotel Bookings", "Number of Tickets",
@@ -209,8 +210,7 @@ def ads_metrics(src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
         F.sum("clicks").alias("clicks"),
     )
     # the ad server only serves the UK line
-    placed = daily.withColumns({"pl": F.lit("UK"), "rg": F.lit("United Kingdom")})
-    mapped = region_fanout(placed, "pl", "rg", src.region_map)
+    mapped = pair_fanout(daily, "UK", "United Kingdom", src.region_map)
     revenue = F.col("micros").cast("double") / F.lit(1_000_000.0)
     return _filed(unpivot_metrics(mapped, DAY_KEYS, {
         "Revenue": round4(revenue),

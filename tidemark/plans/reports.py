@@ -139,12 +139,13 @@ def overview_status(
     return _report(overview_rows(marts), OVERVIEW_SERIES, calendar, p, include_future, part)
 
 
-# Dashboard column suffix -> metric name.
+# Dashboard column suffix -> metric name, as the overview stores it. DAY_Cost_Per_Click is
+# empty on purpose: cost per click exists per week and year to date only.
 DASHBOARD_METRICS = {
-    "28_56_Day_Churned_Customers": "28-56Day Churned Customers",
-    "28_56_Day_New_Customers": "28-56Day New Customers",
-    "28_56_Day_Resurrected_Customers": "28-56Day Resurrected Customers",
-    "28_56_Day_Retained_Customers": "28-56Day Retained Customers",
+    "28_56_Day_Churned_Customers": "28d Person moved Active to Inactive",
+    "28_56_Day_New_Customers": "28d Early life Person Count",
+    "28_56_Day_Resurrected_Customers": "28d Resurrected Person Count",
+    "28_56_Day_Retained_Customers": "28d Retained Person Count",
     "Active_Customers": "Active Customers",
     "Avg_Trans_Value": "Avg Trans Value",
     "Conversion_Ratio": "Conversion Ratio",
@@ -154,10 +155,10 @@ DASHBOARD_METRICS = {
     "Fee_Revenue": "Fee Revenue",
     "GM_Minus_PMS": "GM - PMS",
     "Gross_Margin": "Gross Margin",
-    "Gross_Sales": "Gross Sales",
-    "Gross_Transactions": "Gross Transactions",
+    "Gross_Sales": "WBR Gross Sales",
+    "Gross_Transactions": "WBR Gross Transactions",
     "Marketing_Spend": "Marketing Spend",
-    "Net_Sales": "Net Sales",
+    "Net_Sales": "WBR Net Sales",
     "New_Customers": "New Customers",
     "Non_Fee_Revenue_Per_Visit": "Non-Fee Revenue / Visit",
     "Non_Fee_Revenue": "Non-Fee Revenue",

@@ -15,12 +15,14 @@ from tidemark.operators.gate import to_mart
 from tidemark.operators.pivot import unpivot_metrics
 from tidemark.operators.ratios import Ratio, ratio_rows
 from tidemark.operators.region import line_owns_region, region_fanout
+from tidemark.operators.rollup import count_each
 from tidemark.operators.scopes import lag_previous_present, roll_to_week, running_ytd
 from tidemark.params import ALL, DAY, FYTD, WEEK, MartConfig, RunParams
 from tidemark.plans.common import DAY_KEYS, LINE_PL, LINE_REGION, is_gross_sale, qualifying_lines, round4
 from tidemark.sources.catalog import Sources
 
-# Lifecycle stage -> column prefix of the summary; (category, stage) -> metric name.
+# Lifecycle stage -> column prefix of the summary; (category, stage) -> metric name; rates and
+# journey metrics with their categories.
 STAGES = {"Early Life": "el", "Retained": "ret", "Resurrected": "res"}
 GROWTH_NAMES = {
     ("Volume", "Early Life"): "28d Early life Person Count",
@@ -156,12 +158,9 @@ def journey_totals(src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
     mapped = region_fanout(orders, LINE_PL, LINE_REGION, src.region_map).where(
         line_owns_region(cfg.eu_regions, with_total=False)
     )
-    return mapped.groupBy(*DAY_KEYS, "sub_category").agg(
-        F.countDistinct("order_customer_id").alias("customers"),
-        F.countDistinct("order_id").alias("orders"),
-        merge_units(F.col("gbp")).alias("gbp"),
-        merge_units(F.col("eur")).alias("eur"),
-    ).select(
+    money = [merge_units(F.col(c)).alias(c) for c in ("gbp", "eur")]
+    counted = count_each(mapped, [*DAY_KEYS, "sub_category"], {"customers": "order_customer_id", "orders": "order_id"}, money)
+    return counted.select(
         *DAY_KEYS, "sub_category", "customers", "orders",
         currency_pick(from_units(F.col("gbp")), from_units(F.col("eur"))).alias("sales"),
     )

@@ -20,7 +20,7 @@ from tidemark.operators.compare import number_weeks
 from tidemark.operators.customers import customer_flags
 from tidemark.operators.pivot import kpi_pivot
 from tidemark.operators.region import region_fanout
-from tidemark.operators.rollup import grouping_levels
+from tidemark.operators.rollup import grouping_levels, named_labels
 from tidemark.operators.scopes import SERIES, lag_previous_present, roll_to_week, running_ytd
 from tidemark.operators.spread import weekday_weights
 from tidemark.params import DAY, FYTD, PRODUCT_LINES, WEEK
@@ -30,11 +30,11 @@ from tidemark.plans import conversion, reports, retention, supply
 from tidemark.plans import single_metrics as single
 from tidemark.plans.common import DAY_KEYS, LINE_PL, LINE_REGION, qualifying_lines
 from tidemark.plans.conversion import conversion_budget
-from tidemark.plans.refresh import METRIC_MARTS, refresh_mart
+from tidemark.plans.refresh import METRIC_MARTS, refresh_mart, refresh_reports
 from tidemark.plans.store import MartStore
 from tidemark.schema import BREAKOUT_KEY, BUDGET_KEY, BUDGET_MEASURES, MART_KEY, OVERVIEW_KEY
 from tidemark.session import scratch_table
-from tidemark.sinks.upsert import upsert
+from tidemark.sinks.upsert import read_table, upsert
 from tidemark.sources.fixtures import CONFIG, KPIS, RUN, fixture_sources
 from tidemark.sources.profile import PROFILES, profile
 
@@ -54,6 +54,10 @@ class Setup:
     def marts(self) -> dict[str, DataFrame]:
         return self.store.marts
 
+    @property
+    def reports(self) -> dict[str, DataFrame]:
+        return {name: self.store.report(name) for name in ("breakout_report", "overview_status")}
+
     def mart_days(self, mart: str) -> DataFrame:
         return self.store.stored(mart, [DAY])
 
@@ -133,7 +137,13 @@ for _stage in retention.STAGES:
     _check(f"lifecycle_{_stage.lower().replace(' ', '_')}")(
         lambda s, g=_stage: ret_checks.lifecycle_check(g, s.mart_days("retention_mart"), s.src, s.p)
     )
+    _check(f"lifecycle_{_stage.lower().replace(' ', '_')}_week")(
+        lambda s, g=_stage: ret_checks.lifecycle_check(g, s.store.stored("retention_mart", [WEEK]), s.src, s.p, WEEK)
+    )
 for _journey in ret_checks.JOURNEYS:
+    _check(f"journey_{_journey}_coarse")(
+        lambda s, j=_journey: ret_checks.journey_check(j, s.mart_days("retention_mart"), s.src, s.p, s.cfg, coarse=True)
+    )
     _check(f"journey_{_journey}")(
         lambda s, j=_journey: ret_checks.journey_check(j, s.mart_days("retention_mart"), s.src, s.p, s.cfg)
     )
@@ -152,6 +162,10 @@ _check("unique_keys")(lambda s: quality.unique_key_tally({
     "overview_status": (s.store.report("overview_status"), OVERVIEW_KEY),
 }))
 _check("not_null")(lambda s: quality.not_null_check(s.marts))
+_check("not_null_this_run")(lambda s: quality.not_null_check(s.marts, written_at=s.p.run_ts))
+_check("not_null_reports")(lambda s: quality.not_null_check(s.reports))
+_check("accepted_regions_reports")(lambda s: quality.accepted_values_check(s.reports))
+_check("accepted_product_lines_reports")(lambda s: quality.accepted_values_check(s.reports, "product_pl", PRODUCT_LINES))
 _check("accepted_regions")(lambda s: quality.accepted_values_check(s.marts))
 _check("accepted_product_lines")(lambda s: quality.accepted_values_check(s.marts, "product_pl", PRODUCT_LINES))
 _check("region_count")(lambda s: quality.distinct_count_check(s.marts))
@@ -295,10 +309,12 @@ def _(s: Setup) -> DataFrame:
 @query("level_sets")
 def _(s: Setup) -> DataFrame:
     """Every level of three line attributes, with line counts and distinct orders."""
-    lines = qualifying_lines(s.src, s.cfg)
+    labels = ["order_region_name", "record_type", "product_train_speed_code"]
+    lines = named_labels(qualifying_lines(s.src, s.cfg), labels)
+    # one row per order and labels: the levels multiply orders, not lines
+    orders = lines.groupBy("year_month_day", *labels, "order_id").agg(F.count("*").alias("records"))
     return grouping_levels(
-        lines, ["year_month_day"], ["order_region_name", "record_type", "product_train_speed_code"],
-        [F.count("*").alias("records"), F.countDistinct("order_id").alias("orders")],
+        orders, ["year_month_day"], labels, [F.sum("records").alias("records"), F.countDistinct("order_id").alias("orders")]
     )
 
 
@@ -350,3 +366,41 @@ def _(s: Setup) -> DataFrame:
     upsert(path, report.withColumns({"metric_value": F.lit(0.0), "yoy": F.lit(None).cast("double")}), OVERVIEW_KEY, None)
     upsert(path, report, OVERVIEW_KEY, None)
     return s.spark.read.parquet(path)
+
+
+@query("stored_breakout_report")
+def _(s: Setup) -> DataFrame:
+    """The breakout built over marts of which some weeks were wrong, then refreshed for those weeks alone."""
+    folder = scratch_table(s.spark, "breakout")
+    weeks = [date(1999, 5, 9), date(1999, 5, 16), date(2024, 1, 14)]
+    wrong = F.when(F.col("week_commencing_date").isin(weeks), F.col("metric_value") + 1).otherwise(F.col("metric_value"))
+    refresh_reports(s.spark, {name: mart.withColumn("metric_value", wrong) for name, mart in s.marts.items()}, [], s.p, folder)
+    return refresh_reports(s.spark, s.marts, weeks, s.p, folder)["breakout_report"]
+
+
+query("stored_dashboard")(lambda s: refresh_reports(s.spark, s.marts, [], s.p, scratch_table(s.spark, "dashboard"))["dashboard"])
+
+
+@query("stored_drift")
+def _(s: Setup) -> DataFrame:
+    """Three upserts of supply rows: the second brings a column, the third, of the same weeks, has none."""
+    path = scratch_table(s.spark, "drift")
+    day = s.store.stored("supply_mart", [DAY])
+    part = day.where(F.col("year_month_day").between(F.lit(date(1999, 1, 1)), F.lit(date(1999, 12, 31))))
+    upsert(path, day)
+    upsert(path, part.withColumn("name_length", F.char_length("metric_name")))
+    upsert(path, part.where(F.col("region") == "France").withColumn("metric_value", F.col("metric_value") + 1))
+    return read_table(s.spark, path)
+
+
+@query("stored_undated_budget")
+def _(s: Setup) -> DataFrame:
+    """Budget rows without a date, which belong to no week, upserted one region after the other."""
+    path = scratch_table(s.spark, "undated")
+    day = s.store.stored("budget_mart", [DAY])
+    upsert(path, day, BUDGET_KEY, [*BUDGET_MEASURES, "last_modified"])
+    dates = ("year_month_day", "week_in_fin_year", "week_commencing_date")
+    for region in ("France", "Germany"):
+        undated = day.where(F.col("region") == region).withColumns({c: F.lit(None).cast(day.schema[c].dataType) for c in dates})
+        upsert(path, undated, BUDGET_KEY, [*BUDGET_MEASURES, "last_modified"])
+    return _plain(read_table(s.spark, path))
