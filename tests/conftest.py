@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -10,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from tidemark.session import local_session
 
-    return local_session("8", partitions=4)
+    return local_session("8", partitions=4, folder=tempfile.mkdtemp(prefix="run-", dir="/tmp"))
 
 
 @pytest.fixture(scope="session")
