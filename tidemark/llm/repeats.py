@@ -1,10 +1,10 @@
 """Suffix-array dedup: removes bytes that a string of ``LENGTH`` bytes covers which also starts in an earlier document.
 
-Where such a string starts is found shard by shard. Every string of ``LENGTH`` bytes has an anchor, the least hash of its
-``GRAM``-byte parts; strings in a row with one anchor are cut out together, as a segment, and go to the shard of the anchor's hash. So
+Where such a string starts is found shard by shard. Every string of ``LENGTH`` bytes has an anchor, the part of ``GRAM`` bytes with
+the least hash; strings in a row with one anchor are cut out together, as a segment, and go to the shard of the anchor's hash. So
 equal strings always meet, whatever documents they are in, and a segment repeats only ``LENGTH - 1`` bytes of its neighbours.
-A shard keeps of equal segments those of the smallest ``doc_id`` (the others are repeats as a whole), leaves segments out whose
-anchor is in one document alone, and sorts all suffixes of the rest by external induction (``tidemark.llm.suffix``): strings that are equal stand
+A shard keeps of equal segments those of the smallest ``doc_id`` (the others are repeats as a whole) and leaves out what cannot
+hold a shared string: an equal string agrees with the anchor and, on one side of it, half of the remaining bytes. Then it sorts all suffixes of the rest by external induction (``tidemark.llm.suffix``): strings that are equal stand
 side by side, told by the common-prefix values, and each string of a larger ``doc_id`` than its group's smallest is a repeat.
 
 Equal segments are dropped where they are cut already, before the shuffle, so a passage that a third of all documents share
@@ -35,16 +35,22 @@ from tidemark.llm.shingles import text_key
 
 LENGTH = 50
 GRAM = 16
-PIECE = 4 << 20
-HELD = 64 << 20
+PIECE = 1 << 20  # bytes cut at once; two of them must have places below 2 ** PLACE_BITS
+HELD = 32 << 20
 ROWS = 200_000
 LEVEL = 3
 NO_ID = np.iinfo(np.int64).max
-LOW = np.uint64(63)
+PLACE_BITS = np.uint64(22)
+PLACE = np.uint64((1 << 22) - 1)
 
 
 def anchors(text: np.ndarray, length: int, gram: int) -> np.ndarray:
-    """For every string of ``length`` bytes the least gram hash, with the gram's place modulo 64 in the low bits."""
+    """For every string of ``length`` bytes its least gram hash and, in the low bits, the place of the gram, the first of equals.
+
+    Hash and choice depend on the string's bytes alone, so equal strings have their anchor at the same distance.
+    """
+    if len(text) > PLACE:
+        raise ValueError("too many bytes at once")
     width = length - gram + 1
     n = len(text) - gram + 1
     words = [np.ndarray((n,), "<u8", buffer=text, offset=o, strides=(1,)) for o in (0, gram - 8)]
@@ -53,8 +59,8 @@ def anchors(text: np.ndarray, length: int, gram: int) -> np.ndarray:
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(32)
-    h &= ~LOW
-    h |= np.arange(n, dtype=np.uint64) & LOW
+    h &= ~PLACE
+    h |= np.arange(n, dtype=np.uint64)
     size = 1
     while 2 * size <= width:
         h = np.minimum(h[:-size], h[size:])
@@ -69,28 +75,32 @@ def segments(text: np.ndarray, starts: np.ndarray, sizes: np.ndarray, length: in
     if len(text) < length:
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
     least = anchors(text, length, gram)
-    anchor = least >> np.uint64(6)
     inside = np.zeros(len(least) + 1, dtype=np.int8)
     long = sizes >= length
     np.add.at(inside, starts[long], 1)
     np.add.at(inside, starts[long] + sizes[long] - length + 1, -1)
     inside = np.cumsum(inside[:-1], dtype=np.int8) > 0
     change = np.ones(len(least), dtype=bool)
-    change[1:] = (anchor[1:] != anchor[:-1]) | ~inside[:-1]
+    change[1:] = (least[1:] != least[:-1]) | ~inside[:-1]
     change[starts[long]] = True
     first = np.flatnonzero(change & inside)
     stops = np.append(np.flatnonzero(change | ~inside), len(least))
     count = stops[np.searchsorted(stops, first, side="right")] - first
-    offset = ((least[first] - first.astype(np.uint64)) & LOW).astype(np.int64)
-    return first, count, offset, anchor[first]
+    return first, count, (least[first] & PLACE).astype(np.int64) - first, least[first] >> PLACE_BITS
 
 
 def gather(text: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The parts of ``text`` put one after the other, and where each begins there."""
     begins = np.cumsum(sizes) - sizes
-    at = np.repeat(first - begins, sizes)
-    at += np.arange(len(at))
-    return text[at], begins
+    out = np.empty(int(sizes.sum()), dtype=np.uint8)
+    cuts = np.searchsorted(begins, np.arange(0, len(out) + PIECE, PIECE)).tolist()
+    for a, b in zip(cuts, cuts[1:]):  # the places are eight times as long as the bytes
+        if a < b:
+            at = np.repeat(first[a:b] - begins[a:b], sizes[a:b])
+            start = int(begins[a])
+            at += np.arange(start, start + len(at))
+            out[start : start + len(at)] = text[at]
+    return out, begins
 
 
 def numbered(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
@@ -157,12 +167,14 @@ class Cutter:
             row_of, place_of = np.array(row, dtype=np.int64)[piece] + base, np.array(place, dtype=np.int64)[piece] + first - starts[piece]
             shard = (anchor % np.uint64(self.shards)).astype(np.int64)
             by = np.argsort(shard, kind="stable")
-            edges = np.searchsorted(shard[by], np.arange(self.shards + 1))
-            for s in np.flatnonzero(np.diff(edges)).tolist():
-                own = by[edges[s] : edges[s + 1]]
-                data, _ = gather(text, first[own], count[own] + self.length - 1)
-                self.parts[s].append((row_of[own], place_of[own], count[own], offset[own], data))
-                self.held += len(data)
+            shard, row_of, place_of, first, count, offset = (x[by] for x in (shard, row_of, place_of, first, count, offset))
+            data, begins = gather(text, first, count + self.length - 1)
+            edges = np.flatnonzero(np.diff(shard, prepend=-1))
+            for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(shard)]):
+                bytes_to = int(begins[b]) if b < len(begins) else len(data)
+                part = (row_of[a:b], place_of[a:b], count[a:b], offset[a:b], data[int(begins[a]) : bytes_to])
+                self.parts[int(shard[a])].append(part)
+            self.held += len(data)
             if self.held >= HELD:
                 yield from self.flush(keep=len(self.ids))
         if self.held == 0:
@@ -233,7 +245,7 @@ class Shard:
             again = doc > least[number]
             found.append((row[again], place[again], count[again]))
             _, lead = np.unique(number, return_index=True)
-            chosen = self.shared(data, begins, offset, lead, least, gram)
+            chosen = self.shared(data, begins[lead], sizes[lead], offset[lead], least, length, gram)
             one = self.sorted_repeats(data, begins[lead[chosen]], sizes[lead[chosen]], least[chosen], length)
             # what is a repeat in a segment is one wherever its document has the segment
             mine = np.flatnonzero(~again)
@@ -246,15 +258,21 @@ class Shard:
         return ids[row], keys[row], place, place + count + length - 1
 
     @staticmethod
-    def shared(data: np.ndarray, begins: np.ndarray, offset: np.ndarray, lead: np.ndarray, least: np.ndarray, gram: int) -> np.ndarray:
-        """Numbers of the segments whose anchor stands in segments of two documents or more."""
-        at = (begins + offset)[lead]
-        anchor = np.ascontiguousarray(data[at[:, None] + np.arange(gram)])
-        group = numbered(anchor.reshape(-1), np.arange(len(at)) * gram)
-        low, high = np.full(group.max() + 1, NO_ID), np.full(group.max() + 1, np.iinfo(np.int64).min)
-        np.minimum.at(low, group, least)
-        np.maximum.at(high, group, least)
-        return np.flatnonzero(low[group] < high[group])
+    def shared(data: np.ndarray, begins: np.ndarray, sizes: np.ndarray, offset: np.ndarray, least: np.ndarray, length: int, gram: int) -> np.ndarray:
+        """Segments that agree with one of another document in the anchor and half of the other bytes before or behind it."""
+        half = -(-(length - gram) // 2)
+        keep = np.zeros(len(begins), dtype=bool)
+        for before in (0, half):
+            own = np.flatnonzero((offset >= before) & (offset - before + gram + half <= sizes))
+            if len(own) == 0:
+                continue
+            context, starts = gather(data, (begins + offset)[own] - before, np.full(len(own), gram + half))
+            group = numbered(context, starts)
+            low, high = np.full(group.max() + 1, NO_ID), np.full(group.max() + 1, np.iinfo(np.int64).min)
+            np.minimum.at(low, group, least[own])
+            np.maximum.at(high, group, least[own])
+            keep[own[low[group] < high[group]]] = True
+        return np.flatnonzero(keep)
 
     @staticmethod
     def sorted_repeats(data: np.ndarray, begins: np.ndarray, sizes: np.ndarray, doc: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
