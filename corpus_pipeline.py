@@ -44,7 +44,7 @@ def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the digest of what they decode to."""
     path = vocabulary_path()
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), path).drop("text"), path)
+    coded = bpe.encode_decode(docs.select("doc_id", "lang", "source", "text"), path)
     return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -70,7 +70,10 @@ def test_frames_with_nulls_repeats_and_extra_columns(spark):
         ids = LIBRARY.encode(t or "", add_special_tokens=False).ids
         want.append((a, t, x, ids, LIBRARY.decode(ids, skip_special_tokens=False)))
     assert got == sorted(want, key=str)
-    assert bpe.encode(docs.limit(0), PATH).count() == 0
+    both = bpe.encode_decode(docs, PATH)
+    assert both.columns == ["doc_id", "n_tokens", "ids", "decoded"]
+    assert sorted(map(tuple, both.collect()), key=str) == sorted(((a, *r) for a, _, *r in want), key=str)
+    assert bpe.encode(docs.limit(0), PATH).count() == 0 == bpe.encode_decode(docs.limit(0), PATH).count()
 
 
 def test_query_equals_the_library(spark, sf_dir):

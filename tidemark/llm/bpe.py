@@ -26,10 +26,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidemark.llm.batches import slices
+from tidemark.llm.batches import SLICE_BYTES, slices
 
 END = "</w>"
-REMEMBERED = 100_000
+REMEMBERED = 80_000
 SHORT = 48
 NONE = 1 << 62
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -174,6 +174,11 @@ def read_vocabulary(path: str) -> str:
         return f.read()
 
 
+def id_lists(found: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*found, np.zeros(0, np.int32)])))
+
+
 def with_field(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([*df.schema.fields, T.StructField(name, kind)])
 
@@ -185,9 +190,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(shared.value)
         for batch in slices(batches, text):
-            found = [np.array(own.encode(x) if x else (), dtype=np.int32) for x in batch.column(text).to_pylist()]
-            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
-            column = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*found, np.zeros(0, np.int32)])))
+            column = id_lists([np.array(own.encode(x) if x else (), dtype=np.int32) for x in batch.column(text).to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, ids])
 
     return docs.mapInArrow(run, with_field(docs, ids, T.ArrayType(T.IntegerType())))
@@ -206,3 +209,20 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, decoded])
 
     return df.mapInArrow(run, with_field(df, decoded, T.StringType()))
+
+
+def encode_decode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``docs`` with ``ids`` and the text they decode to in the place of ``text``: both steps in one worker, which holds one vocabulary."""
+    shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, known = encoder(shared.value), tokens(shared.value)
+        for batch in slices(batches, text, SLICE_BYTES // 4):
+            found = [own.encode(x) if x else [] for x in batch.column(text).to_pylist()]
+            texts = pa.array([spell(x, known) for x in found], pa.string())
+            rest = [i for i, name in enumerate(batch.schema.names) if name != text]
+            columns = [*(batch.column(i) for i in rest), id_lists([np.array(x, dtype=np.int32) for x in found]), texts]
+            yield pa.RecordBatch.from_arrays(columns, [*(batch.schema.names[i] for i in rest), ids, decoded])
+
+    fields = [f for f in docs.schema.fields if f.name != text]
+    return docs.mapInArrow(run, T.StructType([*fields, T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded, T.StringType())]))

@@ -45,7 +45,7 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded again; the digests of both."""
     path = vocabulary_path()
-    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text"), path)
+    coded = bpe.encode_decode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
