@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from tidemark.llm.batches import SLICE_BYTES, slices
 
 END = "</w>"
-REMEMBERED = 80_000
+REMEMBERED = 200_000
 SHORT = 48
 NONE = 1 << 62
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
