@@ -210,11 +210,46 @@ def digests(docs: DataFrame, spans: DataFrame, rules: tuple[Rule, ...] = RULES,
     )
 
 
+#: code points of the blocks in which a text is cut at its spans
+BLOCK = 256
+
+
+def masked_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``doc_id, text_hash, start, end``: the spans of all rules and of their strict expressions, those that overlap as one."""
+    strict = tuple(Rule(f"{r.kind}:strict", r.strict, 0, 1) for r in rules if r.strict)
+    doc = ["doc_id", "text_hash"]
+    before = Window.partitionBy(*doc).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy(*doc).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spans = scan(docs, (*rules, *strict)).select(*doc, "start", "end").withColumn("reached", F.max("end").over(before))
+    apart = spans.withColumn("place", F.count(F.when(F.col("reached").isNull() | (F.col("start") >= F.col("reached")), 1)).over(upto))
+    return apart.groupBy(*doc, "place").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("place")
+
+
+def _between(text: Column, spans: Column, mask: str) -> Column:
+    """``text`` with ``mask`` for each of the sorted ``spans``; cut in blocks once, so that a span does not read the whole text."""
+    size = F.lit(BLOCK)
+    block = lambda at: F.floor(at / size).cast("int")
+    within = lambda at: F.pmod(at, size).cast("int")
+
+    def piece(blocks: Column, a: Column, b: Column) -> Column:
+        first, last = block(a), block(b)
+        inner = F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+        head, tail = F.coalesce(F.get(blocks, first), F.lit("")), F.coalesce(F.get(blocks, last), F.lit(""))
+        apart = F.concat(F.substring(head, within(a) + 1, size), inner, F.substring(tail, F.lit(1), within(b)))
+        return F.when(first == last, F.substring(head, within(a) + 1, (b - a).cast("int"))).otherwise(apart)
+
+    begins = F.concat(F.array(F.lit(0).cast("long")), F.transform(spans, lambda x: x["end"]))
+    ends = F.concat(F.transform(spans, lambda x: x["start"]), F.array(F.char_length(text).cast("long")))
+    once = F.array(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)))  # a variable of the function is evaluated once
+    pieces = F.transform(once, lambda blocks: F.array_join(F.zip_with(begins, ends, lambda a, b: piece(blocks, a, b)), mask))
+    return pieces[0]
+
+
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = "[secret]") -> DataFrame:
-    """``docs`` with every span masked, its columns as they are; only texts with a span are rewritten, whole and in one pass."""
+    """``docs`` with every span masked, its columns as they are; only texts with a span are rewritten, from the pieces between."""
     key = {"id_key_": F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), "text_hash_": text_key()}
-    named = stored(scan(docs, rules).select(key["id_key_"].alias("id_key_"), F.col("text_hash").alias("text_hash_")).distinct(), "secret-documents")
-    either = "|".join(f"(?:{r.strict or r.pattern})" for r in rules)
-    told = docs.withColumns(key).join(bounded(named.withColumn("hit_", F.lit(True)), named.count()), [*key], "left")
-    return told.withColumn("text", F.when(F.col("hit_"), F.regexp_replace("text", either, mask.replace("\\", "\\\\").replace("$", "\\$"))).otherwise(F.col("text"))).select(*docs.columns)
-
+    spans = masked_spans(docs, rules).groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans_"))
+    named = stored(spans.select(key["id_key_"].alias("id_key_"), F.col("text_hash").alias("text_hash_"), "spans_").dropDuplicates(["id_key_", "text_hash_"]), "secret-documents")
+    n = named.agg(F.coalesce(F.sum(F.size("spans_")), F.lit(0))).first()[0]
+    told = docs.withColumns(key).join(bounded(named, n), [*key], "left")
+    return told.withColumn("text", F.when(F.col("spans_").isNotNull(), _between(F.col("text"), F.col("spans_"), mask)).otherwise(F.col("text"))).select(*docs.columns)
