@@ -67,3 +67,10 @@ def test_nulls_repeats_long_pages_and_extra_columns(spark):
     got = html_text.extract(pages).collect()
     assert sorted((str(r.page_id), len(r.text)) for r in got) == [("1", 0), ("2", 1), ("2", 1), ("None", 20_000 * (len(LONG) - 1) + 2 * 19_999)]
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+def test_clusters_decide_where_articles_are_teasers_only():
+    cards = "".join(f"<article><h3><a href=/{i}>Title {i}</a></h3><p>Short teaser {i}</p></article>" for i in range(8))
+    text = " ".join(LONG.split())
+    assert main_text(f"<body><div class=content><p>{LONG}</p><p>Yes.</p><p>{LONG}</p></div><div class=more>{cards}</div></body>") == f"{text}\n\nYes.\n\n{text}"
+    assert main_text(f"<body><div class=content><p>{LONG}</p></div><article><p>{LONG}</p><p>Yes.</p></article></body>") == f"{text}\n\nYes."

@@ -8,7 +8,9 @@ adverts, forms, scripts, styles, reader comments), told by tag, role or a word o
 Over the other lines the text-to-tag ratio is smoothed by a Gaussian and split in two clusters at a threshold found by
 two-means. A region that holds a line above it, by itself and smoothed, is content, and so is what lies between two such
 lines; all lines of content stay, so a short paragraph among long ones is never dropped. Regions made of links never are
-content. Where the page marks its article, the marked regions are the content, whatever their lines' lengths.
+content. Where the clusters choose lines in ``article`` or ``main``, the choice extends to all that is so marked and to nothing
+else, whatever the lines' lengths; unless the chosen lines outside are a paragraph or more, and ``WEIGHT`` times those inside:
+then the clusters' regions alone are the content, as on a page that marks nothing.
 
 Null and empty pages and pages without content give an empty text. Rows that repeat get the same answer, malformed markup
 (unclosed or stray tags) is read as far as it goes, extra columns pass through. Pages are read whole, one at a time.
@@ -28,6 +30,8 @@ from pyspark.sql import types as T
 from tidemark.llm.batches import slices
 
 SIGMA = 1.0
+#: By how much unlinked text outside must exceed that inside of a marked article, and characters of a paragraph
+WEIGHT, PARAGRAPH = 2, 80
 #: HTML element names by their part in a page
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset("head title script style noscript template nav header footer aside form button select option textarea input iframe object svg canvas dialog menu audio video map".split())
@@ -52,6 +56,9 @@ class Line:
     def __init__(self, text: str, tags: int, linked: int, region: int, article: bool):
         self.text, self.tags, self.linked, self.region, self.article = text, tags, linked, region, article
 
+    def unlinked(self) -> int:
+        return max(0, len("".join(self.text.split())) - self.linked)
+
 
 class Reader(HTMLParser):
     """Turns events into the lines that may be content."""
@@ -187,8 +194,10 @@ def content(lines: list[Line]) -> list[Line]:
         linked[x.region] = linked.get(x.region, 0) + x.linked
     chosen = {lines[i].region for i in high}
     inside = lambda i, x: x.region in chosen or high[0] < i < high[-1]
-    marked = any(x.article for x in lines)
-    return [x for i, x in enumerate(lines) if x.article or (not marked and high and inside(i, x) and 2 * linked[x.region] <= chars[x.region])]
+    within, outside = (sum(lines[i].unlinked() for i in high if lines[i].article is side) for side in (True, False))
+    if any(x.article for x in lines) and (outside < PARAGRAPH or outside <= WEIGHT * within):
+        return [x for x in lines if x.article]
+    return [x for i, x in enumerate(lines) if inside(i, x) and 2 * linked[x.region] <= chars[x.region]]
 
 
 def main_text(html: str | None) -> str:
