@@ -74,3 +74,18 @@ def test_clusters_decide_where_articles_are_teasers_only():
     text = " ".join(LONG.split())
     assert main_text(f"<body><div class=content><p>{LONG}</p><p>Yes.</p><p>{LONG}</p></div><div class=more>{cards}</div></body>") == f"{text}\n\nYes.\n\n{text}"
     assert main_text(f"<body><div class=content><p>{LONG}</p></div><article><p>{LONG}</p><p>Yes.</p></article></body>") == f"{text}\n\nYes."
+
+
+@pytest.mark.parametrize("wrapped", [
+    "<div class='content has-sidebar'>{}</div>", "<main class='with-sidebar'>{}</main>", "<article class='post comments-open'>{}</article>",
+    "<div id='page' class='no-banner'><article>{}</article></div>", "<section class='social-policy'>{}</section>", "<div class='no-banner'><main class='has-menu'>{}</main></div>",
+])
+def test_words_do_not_drop_the_main_text(wrapped):
+    text = " ".join(LONG.split())
+    body = f"<p>{LONG}</p><p>Yes.</p><p>{LONG}</p>"
+    other = f"<div class=sidebar><p>{LONG}</p></div><div class=related><a href=/x>{LONG * 9}</a></div>"
+    assert main_text(f"<body>{wrapped.format(body)}{other}</body>") == f"{text}\n\nYes.\n\n{text}"
+    if "<article" not in wrapped and "<main" not in wrapped:
+        return
+    comments = f"<section class=comments><article class=comment><p>{LONG}</p></article></section>"
+    assert main_text(f"<body>{wrapped.format(body)}{comments}</body>") == f"{text}\n\nYes.\n\n{text}"

@@ -3,7 +3,9 @@
 The standard library's event parser reads a page once. A line is the text between two block boundaries; it knows its
 characters, its tags, its characters inside links and the region it lies in: the nearest enclosing ``article``, ``main``,
 ``section``, ``div``, table cell or body. Elements that never are article text (menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles, reader comments), told by tag, role or a word of class and id, take their lines with them.
+adverts, forms, scripts, styles, reader comments), told by tag, role or a word of class and id, take their lines with them. A
+word is evidence alone: it is not followed where the element holds ``main``, or half or more of the unlinked text of the page
+or of its articles.
 
 Over the other lines the text-to-tag ratio is smoothed by a Gaussian and split in two clusters at a threshold found by
 two-means. A region that holds a line above it, by itself and smoothed, is content, and so is what lies between two such
@@ -51,10 +53,10 @@ STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}
 
 
 class Line:
-    __slots__ = ("text", "tags", "linked", "region", "article")
+    __slots__ = ("text", "tags", "linked", "region", "article", "mark")
 
-    def __init__(self, text: str, tags: int, linked: int, region: int, article: bool):
-        self.text, self.tags, self.linked, self.region, self.article = text, tags, linked, region, article
+    def __init__(self, text: str, tags: int, linked: int, region: int, article: bool, mark: int = 0):
+        self.text, self.tags, self.linked, self.region, self.article, self.mark = text, tags, linked, region, article, mark
 
     def unlinked(self) -> int:
         return max(0, len("".join(self.text.split())) - self.linked)
@@ -68,18 +70,20 @@ class Reader(HTMLParser):
         self.lines: list[Line] = []
         self.parts: list[str] = []
         self.tags = self.linked = self.regions = 0
-        self.open: list[tuple[str, bool, int, bool]] = []  # element, dropped, region, inside an article
+        self.open: list[tuple[str, bool, int, bool, int]] = []  # element, dropped, region, inside an article, nearest mark
         self.links = 0
+        self.marks: list[int] = [0]  # of each element with a word that marks, the nearest such element around it; the first is the page
+        self.mains: set[int] = set()  # nearest marks of main elements
 
-    def state(self) -> tuple[bool, int, bool]:
-        return self.open[-1][1:] if self.open else (False, 0, False)
+    def state(self) -> tuple[bool, int, bool, int]:
+        return self.open[-1][1:] if self.open else (False, 0, False, 0)
 
     def flush(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
-            dropped, region, article = self.state()
+            dropped, region, article, mark = self.state()
             if text and not dropped:
-                self.lines.append(Line(text, max(1, self.tags), self.linked, region, article))
+                self.lines.append(Line(text, max(1, self.tags), self.linked, region, article, mark))
             self.parts.clear()
         self.tags = self.linked = 0
 
@@ -110,14 +114,20 @@ class Reader(HTMLParser):
             self.parts.append(" ")
         if tag in VOID:
             return
-        dropped, region, article = self.state()
+        dropped, region, article, mark = self.state()
         if tag in REGIONS:
             self.regions += 1
             region = self.regions
         if not dropped:
-            dropped = self.unwanted(tag, dict(attrs), article)
+            named = dict(attrs)
+            dropped = self.unwanted(tag, named, article)
+            if not dropped and self.marked(tag, named, article):
+                self.marks.append(mark)
+                mark = len(self.marks) - 1
+            if tag == "main" and not dropped:
+                self.mains.add(mark)
         self.links += tag == "a"
-        self.open.append((tag, dropped, region, article or (tag in ARTICLE and not dropped)))
+        self.open.append((tag, dropped, region, article or (tag in ARTICLE and not dropped), mark))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -128,14 +138,35 @@ class Reader(HTMLParser):
             return True
         if tag in ("html", "body"):
             return False
-        words = set(re.split(r"[^a-z0-9]+", f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower()))
         style = re.sub(r"\s", "", (attrs.get("style") or "").lower())
         return (
             (attrs.get("role") or "").lower() in ROLES or "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true"
             or "display:none" in style or "visibility:hidden" in style
-            or bool(words & MARKS) or (not article and bool(words & OUTSIDE))
         )
 
+    @staticmethod
+    def marked(tag: str, attrs: dict[str, str | None], article: bool) -> bool:
+        if tag in ("html", "body"):
+            return False
+        words = set(re.split(r"[^a-z0-9]+", f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower()))
+        return bool(words & MARKS) or (not article and bool(words & OUTSIDE))
+
+    def wanted(self) -> list[Line]:
+        """The lines under no mark that is followed."""
+        n = len(self.marks)
+        text, articles, main = [0] * n, [0] * n, [i in self.mains for i in range(n)]
+        for x in self.lines:
+            text[x.mark] += x.unlinked()
+            articles[x.mark] += x.unlinked() if x.article else 0
+        for i in range(n - 1, 0, -1):  # a mark around another one has the smaller number
+            around = self.marks[i]
+            text[around], articles[around], main[around] = text[around] + text[i], articles[around] + articles[i], main[around] or main[i]
+        followed = [False] * n
+        for i in range(1, n):
+            kept = main[i] or (text[i] > 0 and 2 * text[i] >= text[0]) or (articles[i] > 0 and 2 * articles[i] >= articles[0])
+            followed[i] = followed[self.marks[i]] or not kept
+        return [x for x in self.lines if not followed[x.mark]]
+
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
         if tag in BLOCKS:
@@ -156,7 +187,7 @@ def read(html: str) -> list[Line]:
     reader.feed(html)
     reader.close()
     reader.flush()
-    return reader.lines
+    return reader.wanted()
 
 
 def smooth(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
