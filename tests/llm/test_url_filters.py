@@ -57,3 +57,22 @@ def test_query_equals_its_statement(spark, sf_dir):
     got = op2_url_filter(spark, sf_dir).toPandas()
     assert set(got.verdict) == {"none", "block", "allow"}
     assert not differences(got, duck(sf_dir).execute(STATEMENTS["op2_url_filter"]).df())
+
+
+@pytest.mark.parametrize("limit", [shingles.BROADCAST_ROWS, 0])
+def test_prefixes_end_anywhere(spark, monkeypatch, limit):
+    monkeypatch.setattr(shingles, "BROADCAST_ROWS", limit)
+    patterns = ["example.com/ads", "Shop.net", "a.b/c/d", "a.b/c/de", "é.org/ü"]
+    urls = [
+        "http://example.com/ads", "http://example.com/ads/1", "http://example.com/ads.js?x", "http://example.com/ad", "http://www.example.com/ads", "http://example.com/Ads",
+        "http://shop.net", "http://SHOP.net/x", "http://shop.network/", "http://a.b/c/d", "http://a.b/c/def/g", "http://a.b/c/", "http://é.org/über", "http://example.com",
+    ]
+    strings = [url_filters_plain(u) for u in urls]
+    want = {i: max((p for p in map(str.lower, patterns) if s.startswith(p)), key=len, default=None) for i, s in enumerate(strings)}
+    got = verdicts(spark, [(i, u, 5) for i, u in enumerate(urls)], [("l", "prefix", p, "block", "add", day(1)) for p in patterns])
+    assert {i: p for i, (_, _, p) in got.items()} == want and sum(p is not None for p in want.values()) == 9
+
+
+def url_filters_plain(url):
+    host, _, path = url.removeprefix("http://").partition("/")
+    return f"{host.lower()}/{path.partition('?')[0]}"

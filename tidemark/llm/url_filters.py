@@ -1,7 +1,7 @@
 """URL filters: dated list entries become validity intervals, an as-of join asks which were active at a capture's fetch time.
 
 Events: ``list_id, kind, pattern, verdict, action, at``. ``kind`` is ``domain`` (the pattern and all its subdomains) or ``prefix`` (host
-and path from the start, up to a slash or the whole path); ``verdict`` is ``block`` or ``allow``; ``action`` is ``add`` or ``remove``. An entry is
+and path begin with the pattern, wherever that ends); ``verdict`` is ``block`` or ``allow``; ``action`` is ``add`` or ``remove``. An entry is
 active from an ``add`` (inclusive) to the next ``remove`` (exclusive); repeated adds or removes change nothing, of events at one
 instant an ``add`` counts. Events with a null in any of pattern, verdict, action or time are left out.
 
@@ -57,17 +57,15 @@ def _bucket(at: Column, days: int) -> Column:
     return F.floor(F.unix_seconds(at) / (86400 * days))
 
 
-def _keys(labels: int, segments: int) -> Column:
-    """The patterns that may hold a capture: its domain's suffixes and its prefixes, as deep as the list goes."""
+def _keys(labels: int, lengths: list[int]) -> Column:
+    """The patterns that may hold a capture: its domain's suffixes, as deep as the list goes, and its prefixes of the list's lengths."""
     parts = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.greatest(F.lit(1), F.size(parts) - labels + 1), F.size(parts)), lambda i: F.struct(F.lit("domain").alias("kind"), F.array_join(F.slice(parts, i, F.size(parts)), ".").alias("pattern")))
-    steps = F.split("path", "/")  # the first is empty
-    deepest = F.least(F.size(steps) - 1, F.lit(segments))
-    prefixes = F.transform(F.sequence(F.lit(1), deepest), lambda i: F.struct(F.lit("prefix").alias("kind"), F.concat("host", F.array_join(F.slice(steps, F.lit(1), i), "/"), F.lit("/")).alias("pattern")))
-    whole = F.array(F.struct(F.lit("prefix").alias("kind"), F.concat("host", "path").alias("pattern")))
-    all_prefixes = F.when(F.lit(segments) > 0, F.concat(prefixes, whole)).otherwise(F.slice(whole, 1, 0))
+    whole = F.concat("host", "path")
+    fitting = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.char_length(whole))
+    prefixes = F.transform(fitting, lambda n: F.struct(F.lit("prefix").alias("kind"), F.substring(whole, F.lit(1), n).alias("pattern")))
     nothing = F.array(F.struct(F.lit("none").alias("kind"), F.lit("").alias("pattern")))
-    return F.array_distinct(F.when((F.col("host") == "") | F.col("at").isNull(), nothing).otherwise(F.concat(suffixes if labels else F.slice(suffixes, 1, 0), all_prefixes, nothing)))
+    return F.array_distinct(F.when((F.col("host") == "") | F.col("at").isNull(), nothing).otherwise(F.concat(suffixes if labels else F.slice(suffixes, 1, 0), prefixes, nothing)))
 
 
 def decide(captures: DataFrame, events: DataFrame, bucket_days: int = BUCKET_DAYS) -> DataFrame:
@@ -82,12 +80,12 @@ def decide(captures: DataFrame, events: DataFrame, bucket_days: int = BUCKET_DAY
     begins = _bucket(F.col("valid_from"), bucket_days) <= F.lit(last or 0)
     lasts = F.coalesce(_bucket(F.col("valid_to"), bucket_days), F.lit(last or 0)) >= F.lit(first or 0)
     listed = stored(active.where(begins & lasts).withColumn("bucket", F.explode(covered)), "list-intervals")
-    rows, labels, segments = listed.agg(
+    rows, labels, lengths = listed.agg(
         F.count("*"),
         F.coalesce(F.max(F.when(F.col("kind") == "domain", F.size(F.split("pattern", r"\.")))), F.lit(0)),
-        F.coalesce(F.max(F.when(F.col("kind") == "prefix", F.size(F.split("pattern", "/")) - 1)), F.lit(0)),
+        F.array_sort(F.collect_set(F.when(F.col("kind") == "prefix", F.char_length("pattern")))),  # as many as the longest pattern is long
     ).first()
-    asked = own.select("capture_id", "url", "fetched_at", "host", "at", _bucket(F.col("at"), bucket_days).alias("bucket"), F.explode(_keys(labels, segments)).alias("key"))
+    asked = own.select("capture_id", "url", "fetched_at", "host", "at", _bucket(F.col("at"), bucket_days).alias("bucket"), F.explode(_keys(labels, lengths)).alias("key"))
     asked = asked.select("capture_id", "url", "fetched_at", "host", "at", "bucket", "key.kind", "key.pattern")
     a, e = asked.alias("a"), bounded(listed, rows).alias("e")
     on = (F.col("a.kind") == F.col("e.kind")) & (F.col("a.pattern") == F.col("e.pattern")) & (F.col("a.bucket") == F.col("e.bucket"))
