@@ -4,8 +4,8 @@ The order of a text's suffixes is induced from the order of its leftmost-small s
 and preceded by a larger suffix), and theirs from a shorter text of names, recursively. Induction reads suffixes in order out of a
 priority queue and puts the suffix that starts one place before back into it, as a tuple of symbol, place and common-prefix
 value with the tuple before it in its symbol. The queue is monotone: it is kept as one list for each range of symbols, in the
-order of arrival, and what exceeds ``MEMORY`` bytes goes to a file. Long arrays are files mapped into memory. So a text can be
-far larger than memory; numpy works on blocks of at most ``BLOCK`` tuples.
+order of arrival, and what exceeds ``MEMORY`` bytes goes to a file. The long results are files mapped into memory. The order of
+names, ranges of several symbols and the leftmost-small suffixes are held in memory, so a text must be far smaller than it.
 
 Ranges of one symbol (all of them at the top, where symbols are bytes) take what arrives while they are read; in ranges of
 several symbols (names) the suffixes that the range induces in itself are found first and ranked together.
