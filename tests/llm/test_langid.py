@@ -61,3 +61,12 @@ def test_rejection_is_calibrated(model):
     found = [model.predict(t) for t in judged.text]
     assert np.mean([s < model.threshold for _, s in found]) < 0.01
     assert abs(np.mean([s for _, s in found]) - np.mean([a == b for (a, _), b in zip(found, judged.lang)])) < 0.05
+
+
+def test_learns_from_whole_texts(spark):
+    """Texts that open alike tell their languages apart by what follows."""
+    opening = "all rights reserved under this licence " * 60
+    rows = [(2 * i + k, opening + words * 60, x) for i in range(20) for k, (words, x) in enumerate([("der hund und die katze ", "de"), ("le chien et les chats ", "fr")])]
+    model = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.predict("die katze und der hund")[0] == "de" and model.predict("les chats et le chien")[0] == "fr"
+    assert len(langid.training_sample(spark.createDataFrame(rows[:1], "doc_id long, text string, lang string"))[0][0]) == len(rows[0][1])

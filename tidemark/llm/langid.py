@@ -3,8 +3,8 @@
 A text is lower-cased; runs of characters that are no letters become one blank; its features are the hashed character
 sequences of ``GRAMS`` lengths, blanks included. The document vector is the mean of the features' embeddings, a linear
 softmax gives the classes. Embeddings and weights are trained together by stochastic gradient descent in numpy on a bounded
-sample: about ``per_language`` labelled rows of each language, of each at most ``SAMPLE_CHARS`` characters, chosen by hash.
-These bounds hold for training alone; predictions read whole texts.
+sample: about ``per_language`` labelled rows of each language, chosen by hash. Training and predictions read whole texts; of a
+sampled text the driver gets its bag, the buckets and how often each is met, at most ``2 ** BUCKET_BITS`` numbers.
 
 A tenth of the sample is left out of training; on it the softmax's temperature and the rejection threshold are fitted. The
 threshold is the highest score at which at most one in a thousand right answers is rejected, and never over one half.
@@ -29,7 +29,6 @@ from tidemark.llm.batches import slices
 
 UNKNOWN = "und"
 PER_LANGUAGE = 1500
-SAMPLE_CHARS = 2000
 GRAMS = (2, 3, 4)
 BUCKET_BITS = 16
 WIDTH = 16
@@ -70,6 +69,23 @@ def buckets(points: np.ndarray) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, np.int32)
 
 
+def text_pieces(text: str) -> Iterator[np.ndarray]:
+    """Buckets of the features of each piece that has letters."""
+    for start in range(0, len(text), PIECE):
+        points = code_points(text[max(0, start - max(GRAMS)) : start + PIECE])
+        if len(points) >= 2 and (points != 32).any():
+            yield buckets(points)
+
+
+def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The text's buckets, each once, and how often each is met; empty without a letter."""
+    times = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
+    for own in text_pieces(text):
+        times += np.bincount(own, minlength=len(times))
+    found = np.flatnonzero(times)
+    return found.astype(np.uint16), times[found]
+
+
 @dataclass
 class Model:
     """``table`` holds each bucket's embedding times the weights, so a prediction is a mean of its rows."""
@@ -85,11 +101,7 @@ class Model:
         if not text or not self.languages:
             return None
         total, count, some = np.zeros(len(self.languages)), 0, False
-        for start in range(0, len(text), PIECE):
-            points = code_points(text[max(0, start - max(GRAMS)) : start + PIECE])
-            if len(points) < 2 or not (points != 32).any():
-                continue
-            own = buckets(points)
+        for own in text_pieces(text):
             total += self.table.take(own, axis=0).sum(axis=0, dtype=np.float64)
             count, some = count + len(own), True
         return total / count + self.bias if some else None
@@ -107,20 +119,25 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+#: a text's buckets, the share of each, and its language
+Bag = tuple[np.ndarray, np.ndarray, str]
+
+
 def train(rows: list[tuple[str, str]], seed: int = 7, epochs: int = EPOCHS, rate: float = 0.5) -> Model:
     """``rows``: (text, language), in any order; the same rows give the same model."""
-    rows = sorted((t, x) for t, x in rows if letters()[np.frombuffer(t.encode("utf-32-le"), dtype=np.uint32)].any())
-    languages = sorted({x for _, x in rows})
+    bags = ((*bag(t), x) for t, x in sorted(rows))
+    return fit([(own, (times / times.sum()).astype(np.float32), x) for own, times, x in bags if len(own)], seed, epochs, rate)
+
+
+def fit(rows: list[Bag], seed: int = 7, epochs: int = EPOCHS, rate: float = 0.5) -> Model:
+    """The model of bags in this order."""
+    languages = sorted({x for *_, x in rows})
     size = 1 << BUCKET_BITS
     if not languages:
         return Model([], np.zeros((size, 0), np.float32), np.zeros(0))
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(rows))
-    bags = []
-    for text, _ in rows:
-        own, times = np.unique(buckets(code_points(text)), return_counts=True)
-        bags.append((own, (times / times.sum()).astype(np.float32)))
-    y = np.array([languages.index(x) for _, x in rows])
+    y = np.array([languages.index(x) for *_, x in rows])
     left_out, learned = order[: len(rows) // 10], order[len(rows) // 10 :]
     share = np.bincount(y[learned], minlength=len(languages)) / len(learned)
     weight = 1 / np.maximum(share[y] * len(languages), 0.1)  # rare languages count more
@@ -130,7 +147,7 @@ def train(rows: list[tuple[str, str]], seed: int = 7, epochs: int = EPOCHS, rate
     steps, done = epochs * len(learned), 0
     for _ in range(epochs):
         for i in rng.permutation(learned):
-            own, part = bags[i]
+            own, part, _ = rows[i]
             step, done = rate * (1 - done / steps), done + 1
             vector = part @ embed[own]
             gap = softmax((vector @ out + bias)[None])[0].astype(np.float32)
@@ -144,10 +161,10 @@ def train(rows: list[tuple[str, str]], seed: int = 7, epochs: int = EPOCHS, rate
     return calibrate(model, [rows[i] for i in (left_out if len(left_out) else learned)])
 
 
-def calibrate(model: Model, rows: list[tuple[str, str]], lost: float = 0.001) -> Model:
+def calibrate(model: Model, rows: list[Bag], lost: float = 0.001) -> Model:
     """Temperature by likelihood, threshold by the share of right answers that it may cost, on rows not trained on."""
-    z = np.array([model.logits(t) for t, _ in rows])
-    y = np.array([model.languages.index(x) for _, x in rows])
+    z = np.array([part.astype(np.float64) @ model.table[own] + model.bias for own, part, _ in rows])
+    y = np.array([model.languages.index(x) for *_, x in rows])
     grid = 2.0 ** np.arange(-6, 4, 0.25)
     at = np.arange(len(y))
     model.temperature = float(min(grid, key=lambda t: -np.log(np.maximum(softmax(z / t)[at, y], 1e-12)).mean()))
@@ -157,18 +174,39 @@ def calibrate(model: Model, rows: list[tuple[str, str]], lost: float = 0.001) ->
     return model
 
 
-def training_sample(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, str]]:
-    """About ``per_language`` rows of each language, the same ones at every run: those whose hash is under its language's share."""
+def _sampled(labelled: DataFrame, per_language: int) -> DataFrame:
+    """``text, lang`` of about ``per_language`` rows of each language, the same ones at every run: those whose hash is under its
+    language's share."""
     rows = labelled.where("text is not null and lang is not null and doc_id is not null").select("doc_id", "text", "lang")
     counts = rows.groupBy("lang").agg(F.count("*").alias("rows_"))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
     shares = F.broadcast(counts.select("lang", (F.lit(per_language) / F.col("rows_")).alias("share_")))  # a row for each language
-    chosen = rows.join(shares, "lang").where(draw < F.col("share_")).select(F.substring("text", 1, SAMPLE_CHARS).alias("text"), "lang")
-    return [tuple(r) for r in chosen.collect()]
+    return rows.join(shares, "lang").where(draw < F.col("share_")).select("text", "lang")
+
+
+def training_sample(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, str]]:
+    """The sampled texts, whole."""
+    return [tuple(r) for r in _sampled(labelled, per_language).collect()]
+
+
+def training_bags(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> list[Bag]:
+    """Bags of the sampled texts, made where the texts are, in the order of the texts' digests."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            found = [bag(t) for t in batch.column("text").to_pylist()]
+            own = pa.array([x.tobytes() for x, _ in found], pa.binary())
+            part = pa.array([(n / max(1, n.sum())).astype(np.float32).tobytes() for _, n in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("lang"), own, part], ["key", "lang", "own", "part"])
+
+    keyed = _sampled(labelled, per_language).select(F.sha2("text", 256).alias("key"), "lang", "text")
+    bags = keyed.mapInArrow(run, "key string, lang string, own binary, part binary").where("length(own) > 0").collect()
+    bags.sort(key=lambda r: (r.key, r.lang))
+    return [(np.frombuffer(r.own, np.uint16), np.frombuffer(r.part, np.float32), r.lang) for r in bags]
 
 
 def learn(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    return train(training_sample(labelled, per_language))
+    return fit(training_bags(labelled, per_language))
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
