@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, decontaminate, html_text, langid, quality, repeats, secrets, simhash, url_filters
+from tidemark.llm import bpe, chat, decontaminate, html_text, langid, merkle, quality, repeats, secrets, simhash, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 STATEMENTS: dict[str, str] = {}
@@ -238,3 +238,60 @@ def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document when strings of fifty bytes that an earlier one has are gone."""
     left = repeats.deduplicate(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def tampered() -> Column:
+    """Whether a document is tampered with: 7 divides the crc32 of its id as text."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+
+
+@query
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document against the manifest's root, and the root that its leaf, tampered with or not, folds to."""
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    found = merkle.manifest(merkle.document_leaves(docs, tampered()))
+    told = lambda c: F.lower(F.hex(c))
+    return found.select(
+        F.col("id").alias("doc_id"), told("digest").alias("leaf"), told("subroot").alias("subroot"), told("root").alias("root"),
+        F.sha2(told("siblings").cast("binary"), 256).alias("proof_sha256"), told("version_root").alias("folded_root"),
+        (F.col("version_root") == F.col("root")).alias("verified"),
+    )
+
+
+def _leaf_sql(n_chars: str) -> str:
+    told = lambda c: f"coalesce(strlen({c}::varchar) || ':' || {c}::varchar, '-')"
+    return f"sha256({' || '.join(told(n_chars if c == 'n_chars' else c) for c in merkle.FIELDS)})"
+
+
+STATEMENTS["op13_merkle"] = f"""
+with recursive d as (
+  select *, {_leaf_sql("n_chars")} as leaf, list_reduce(list_concat([4294967295::bigint],
+      flatten(list_transform(string_split(doc_id::varchar, ''), lambda c: list_concat([ord(c)::bigint], [-1, -1, -1, -1, -1, -1, -1, -1])))),
+    lambda a, b: case when b >= 0 then xor(a, b) else xor(a >> 1, 3988292384 * (a & 1)) end) as crc from documents
+), leaves as (
+  select doc_id, lang, leaf, case when xor(crc, 4294967295) % 7 = 0 then {_leaf_sql("(n_chars + 1)")} else leaf end as claimed,
+    row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by lang) as n from d
+), nodes as (
+  select lang, 0 as level, pos, n, leaf as digest from leaves
+  union all select lang, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '' order by pos)) from nodes where n > 1 group by lang, level, pos // 2, n
+), trees as (
+  select lang, digest as subroot, row_number() over (order by lang nulls first) - 1 as pos, count(*) over () as n from nodes where n = 1
+), upper as (
+  select 0 as level, pos, n, subroot as digest from trees
+  union all select level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '' order by pos)) from upper where n > 1 group by level, pos // 2, n
+), folded as (
+  select doc_id, lang, leaf, pos, n, 0 as level, claimed as node, '' as proof from leaves
+  union all
+  select f.doc_id, f.lang, f.leaf, f.pos // 2, (f.n + 1) // 2, f.level + 1,
+    sha256(case when s.pos < f.pos then s.digest || f.node else f.node || coalesce(s.digest, '') end), f.proof || coalesce(s.digest, '')
+  from folded f left join nodes s on s.lang is not distinct from f.lang and s.level = f.level and s.pos = xor(f.pos, 1) where f.n > 1
+), climbed as (
+  select f.doc_id, f.leaf, t.subroot, t.pos, t.n, 0 as level, f.node, f.proof from folded f join trees t on t.lang is not distinct from f.lang where f.n = 1
+  union all
+  select f.doc_id, f.leaf, f.subroot, f.pos // 2, (f.n + 1) // 2, f.level + 1,
+    sha256(case when s.pos < f.pos then s.digest || f.node else f.node || coalesce(s.digest, '') end), f.proof || coalesce(s.digest, '')
+  from climbed f left join upper s on s.level = f.level and s.pos = xor(f.pos, 1) where f.n > 1
+)
+select doc_id, leaf, subroot, (select digest from upper where n = 1) as root, sha256(proof) as proof_sha256, node as folded_root,
+  node = (select digest from upper where n = 1) as verified from climbed where n = 1
+"""
