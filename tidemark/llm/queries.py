@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, decontaminate, html_text, langid, merkle, quality, repeats, secrets, simhash, url_filters
+from tidemark.llm import bpe, chat, decontaminate, html_text, langid, merkle, quality, repeats, secrets, simhash, superkmers, url_filters, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 STATEMENTS: dict[str, str] = {}
@@ -295,3 +295,41 @@ with recursive d as (
 select doc_id, leaf, subroot, (select digest from upper where n = 1) as root, sha256(proof) as proof_sha256, node as folded_root,
   node = (select digest from upper where n = 1) as verified from climbed where n = 1
 """
+
+
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector on each of the leading components."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(rows)
+    error = whitening.identity_error(rows, model)
+    shares = F.array(*[F.lit(e) for e in model.explained]) if model else F.array().cast("array<double>")
+    found = whitening.whiten(rows, model).select("vec_id", "n", F.col("deviation").cast("long").alias("deviation"), F.posexplode("whitened").alias("place", "whitened"))
+    component = (F.col("place") + 1).cast("int")
+    return found.select(
+        "vec_id", component.alias("component"), "n", "deviation", "whitened", F.element_at(shares, component).alias("explained"), F.lit(error).alias("identity_error")
+    )
+
+
+@query
+def op12_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document when windows of fifty words that an earlier one has are gone."""
+    left = superkmers.deduplicate(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+STATEMENTS["op12_windows"] = f"""
+with w as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as words from documents
+), windows as (
+  select doc_id, i, array_to_string(words[i:i + {superkmers.LENGTH - 1}], ' ') as string
+  from (select *, unnest(range(1, len(words) - {superkmers.LENGTH - 2})) as i from w where len(words) >= {superkmers.LENGTH})
+), firsts as (select string, min(doc_id) as first_id from windows group by string
+), gone as (
+  select distinct doc_id, unnest(range(i, i + {superkmers.LENGTH})) as p from windows join firsts using (string) where doc_id > first_id
+), told as (select doc_id, unnest(words) as word, unnest(range(1, len(words) + 1)) as p from w
+), kept as (select doc_id, string_agg(word, ' ' order by p) as kept from told anti join gone using (doc_id, p) group by doc_id
+)
+select w.doc_id, len(words)::bigint as n_words, (select count(*) from gone where gone.doc_id = w.doc_id)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from w left join kept on kept.doc_id = w.doc_id
+"""
