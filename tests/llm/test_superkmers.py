@@ -69,14 +69,15 @@ def solved(rows, shards, length, gram, share=None):
         for _, key, start, end in zip(*found):
             spans[int(key)].append((int(start), int(end)))
 
+    for _, _, known in (b for b in boxed if b[1] is None):
+        keep(known)
+    boxed = [b for b in boxed if b[1] is not None]
     for s in {b[0] for b in boxed}:
         shard = superkmers.Shard(length)
-        for t, blob, known in boxed:
-            if t == s and blob is not None:
+        for t, blob, _ in boxed:
+            if t == s:
                 for found in shard.add(blob):
                     keep(found)
-            elif t == s:
-                keep(known)
         for found in shard.spans():
             keep(found)
     out = []

@@ -263,7 +263,7 @@ class Cutter:
         self.words = 0
 
     def add(self, rows: list[tuple[int, int, bytes]]) -> Iterator[tuple]:
-        """``(shard, packed strings, None)`` or ``(shard, None, spans)`` whenever enough is held."""
+        """``(shard, packed strings, None)`` or ``(shards, None, spans)`` whenever enough is held."""
         base = len(self.ids)
         self.ids += [r[0] for r in rows]
         self.keys += [r[1] for r in rows]
@@ -315,9 +315,10 @@ class Cutter:
             self.clear()
 
     def known(self, ids: np.ndarray, keys: np.ndarray, row: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[tuple]:
-        for a in range(0, len(row), 1000):
-            b = slice(a, a + 1000)
-            yield int(row[a] + a) % self.shards, None, (ids[row[b]], keys[row[b]], start[b], end[b])
+        """Finished spans, dealt to the buckets one by one."""
+        for a in range(0, len(row), 10_000):
+            b = slice(a, a + 10_000)
+            yield mixed((keys[row[b]] + start[b]).view(np.uint64)) % np.uint64(self.shards), None, (ids[row[b]], keys[row[b]], start[b], end[b])
 
 
 class Shard:
@@ -468,9 +469,11 @@ def find_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataF
 
         def boxed(found: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
             for shard, blob, known in found:
-                n = 1 if blob is not None else len(known[0])
-                columns = spans(known) if blob is None else [pa.nulls(1, pa.int64())] * 4
-                yield pa.RecordBatch.from_arrays([pa.array([shard] * n, pa.int32()), pa.array([blob] * n, pa.binary()), *columns], names)
+                if blob is None:
+                    columns = [pa.array(shard.astype(np.int32)), pa.nulls(len(shard), pa.binary()), *spans(known)]
+                else:
+                    columns = [pa.array([shard], pa.int32()), pa.array([blob], pa.binary()), *[pa.nulls(1, pa.int64())] * 4]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
         for batch in slices(batches, "text"):
             yield from boxed(cutter.add(rows_of(batch)))
