@@ -4,6 +4,7 @@ from dataclasses import replace
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.compare import future_placeholders, lagged_compare
@@ -16,6 +17,7 @@ from tidemark.operators.scopes import lag_previous_present, roll_to_week, runnin
 from tidemark.operators.spread import complete_weeks_only, spread_budget, weekday_weights
 from tidemark.params import RunParams
 from tidemark.plans.common import qualifying_lines
+from tidemark.plans.monetisation import ad_rows
 from tidemark.sources import lookups
 from tidemark.sources.fixtures import CONFIG, RUN
 
@@ -74,6 +76,36 @@ def test_latest_per_key_is_deterministic_on_ties(spark):
         assert {(r.k, r.v) for r in latest_per_key(df, ["k"], ["at"]).collect()} == {(1, "c"), (2, "z")}
 
 
+def test_latest_per_key_equals_a_ranked_window(spark):
+    """Ties, copies, NULL keys and times, a second time column, and a key that holds most rows."""
+    rows = [(i % 7 or None, "ab"[i % 2] if i % 5 else None, datetime(2024, 1, 1 + i % 3) if i % 4 else None, i % 6, f"v{i % 11}" if i % 13 else None) for i in range(400)]
+    rows += [(99, "hot", datetime(1960, 1, 1 + i % 9), i % 2, "same") for i in range(900)]
+    df = spark.createDataFrame(rows, "k int, l string, at timestamp, n int, v string")
+    for keys, newest in ((["k", "l"], ["at"]), (["k"], ["at", "n"]), (["l"], ["n"]), (["k"], ["v"]), (["k", "l", "at"], ["n"])):
+        rest = [c for c in df.columns if c not in keys and c not in newest]
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in newest + rest]))
+        want = df.withColumn("rank", rank).where("rank = 1").select(*keys, *newest, *rest)
+        got = latest_per_key(df, keys, newest)
+        assert got.columns == want.columns
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert latest_per_key(df.limit(0), ["k"], ["at"]).count() == 0
+
+
+def _sorts_before_a_shuffle(df):
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    return [line for line in plan.splitlines() if "SortAggregate" in line]
+
+
+def test_latest_per_key_hashes_raw_rows(spark, src):
+    """Whole rows are compared only above the join that leaves keys that still tie."""
+    found = _sorts_before_a_shuffle(ad_rows(src, RUN))
+    plan = ad_rows(src, RUN)._jdf.queryExecution().sparkPlan().toString().splitlines()
+    assert len(found) == 2 and sum("HashAggregate" in line for line in plan) >= 4
+    for line in (k for k, text in enumerate(plan) if "SortAggregate" in text):
+        below = [text for text in plan[line + 1 :] if "Aggregate" in text or "Join" in text]
+        assert any("Join" in text for text in below[:2])
+
+
 def test_fx_interval_join(spark):
     facts = spark.createDataFrame(
         [(1, "EUR", datetime(2024, 1, 23, 23)), (2, "EUR", datetime(2024, 1, 24)), (3, "ZZZ", datetime(2024, 1, 5)), (4, "EUR", datetime(2023, 1, 1))],

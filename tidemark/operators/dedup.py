@@ -2,18 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: types of fixed width: Spark hashes an aggregate of them
+_FIXED = (T.TimestampType, T.TimestampNTZType, T.DateType, T.IntegralType, T.DecimalType)
+
+
+def _latest_row(df: DataFrame, keys: list[str], newest: list[str]) -> DataFrame:
+    """Greatest row by ``newest``, then by the other columns: its buffer is a row, so Spark sorts."""
+    rest = [c for c in df.columns if c not in keys and c not in newest]
+    row = F.max(F.struct(*newest, *rest)).alias("_row")
+    return df.groupBy(*keys).agg(row).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in newest + rest])
 
 
 def latest_per_key(df: DataFrame, keys: list[str], newest: list[str]) -> DataFrame:
     """Keep, for each key, the row that is greatest on ``newest``, then on the other columns.
 
-    An aggregate rather than a ranked window: copies collapse before the shuffle, so a key with
-    millions of copies never meets in one task. As the buffer is a row, Spark sorts each task's
-    share by the key instead of hashing it; callers select the columns they need first.
-    Comparing the remaining columns makes ties deterministic.
+    Two phases. Aggregates of fixed width, which Spark hashes, find each key's latest time and how
+    many rows have it; versions collapse before the shuffle, so a key with millions of them never
+    meets in one task. Then each row meets its key's time: where one row has it, that row is the
+    answer, and only keys that still tie compare whole rows. The join goes by a hash of the key
+    first, which keeps its sort to eight bytes a row, and by the time, so the versions of a key
+    are in different places; AQE may split or broadcast either side.
+
+    NULLs in keys are equal, a NULL time is before all others. Times are timestamps, dates, whole
+    numbers or decimals; by any other type whole rows are compared at once.
     """
     rest = [c for c in df.columns if c not in keys and c not in newest]
-    row = F.max(F.struct(*newest, *rest)).alias("_row")
-    return df.groupBy(*keys).agg(row).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in newest + rest])
+    if not isinstance(df.schema[newest[0]].dataType, _FIXED):
+        return _latest_row(df, keys, newest)
+    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)])
+    own = df.select(F.xxhash64(*keys).alias("_hash"), key.alias("_key"), *newest, *rest)
+    at = newest[0]
+    versions = own.groupBy("_hash", "_key", at).agg(F.count("*").alias("_rows"))
+    # a key without any time has one version
+    rows = F.coalesce(F.max_by("_rows", at), F.max("_rows"))
+    tops = versions.groupBy("_hash", "_key").agg(F.max(at).alias("_at"), rows.alias("_rows")).alias("t")
+    same = (F.col("o._hash") == F.col("t._hash")) & (F.col("o._key") == F.col("t._key")) & F.col(f"o.{at}").eqNullSafe(F.col("t._at"))
+    latest = own.alias("o").join(tops, same).select("o.*", "t._rows")
+    out: list[Column] = [*[F.col(f"_key.k{i}").alias(c) for i, c in enumerate(keys)], *newest, *rest]
+    alone = latest.where("_rows = 1").select(*out)
+    return alone.unionByName(_latest_row(latest.where("_rows > 1").select(*out), keys, newest))
