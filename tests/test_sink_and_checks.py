@@ -19,7 +19,7 @@ from tidemark.plans.refresh import MARTS, METRIC_MARTS, refresh
 from tidemark.plans.reports import breakout_report
 from tidemark.plans.store import MartStore
 from tidemark.schema import MART_KEY
-from tidemark.sinks.upsert import merge_rows, read_table, upsert
+from tidemark.sinks.upsert import alone, merge_rows, read_parts, read_table, upsert
 from tidemark.sources.catalog import Sources
 from tidemark.sources.fixtures import CONFIG, RUN
 
@@ -98,6 +98,58 @@ def test_upsert_stages_under_names_of_its_own_and_cleans_up(spark):
     assert staged == [] and sorted(os.listdir(folder)) == ["staged", "table"]
 
 
+def test_upsert_lists_and_reads_its_own_weeks_only(spark):
+    path, key = fresh() + "/table", ["k", "week_commencing_date"]
+    rows = spark.createDataFrame([("a", W1, 1.0, "x"), ("a", W2, 1.0, "x"), ("n", None, 1.0, "x")], TABLE)
+    upsert(path, rows, key, ["v"])
+    other = f"{path}/week_commencing_date={W2}/part-broken.parquet"
+    with open(other, "wb") as f:
+        f.write(b"no footer")  # whoever opens a file of this week fails
+    change = rows.where(F.col("week_commencing_date") == F.lit(W1))
+    assert upsert(path, change.withColumns({"v": F.lit(3.0), "extra": F.lit(1)}), key, None) == [W1]
+    own = read_parts(spark, path, "week_commencing_date", [W1, None, date(2030, 1, 6)])
+    assert {f.split("/")[-2] for f in own.inputFiles()} == {f"week_commencing_date={W1}", "week_commencing_date=__HIVE_DEFAULT_PARTITION__"}
+    assert {(r.k, r.v, r.extra) for r in own.collect()} == {("a", 3.0, 1), ("n", 1.0, None)}
+    read_table(spark, path).explain("formatted")  # planning opens no footer either
+    os.remove(other)
+    assert read_table(spark, path).count() == 3
+
+
+def test_columns_are_described_once_and_keep_their_types(spark):
+    path, key = fresh() + "/table", ["k", "week_commencing_date"]
+    rows = spark.createDataFrame([("a", W1, 1.0, "x")], TABLE)
+    for _ in range(2):
+        upsert(path, rows, key, None)
+    upsert(path, rows.withColumn("extra", F.lit(1)), key, None)
+    assert sorted(f for f in os.listdir(f"{path}/_columns") if not f.startswith(".")) == ["0.json", "1.json"]
+    with pytest.raises(ValueError, match="column v is double in the table, string"):
+        upsert(path, rows.withColumn("v", F.lit("x")), key, None)
+    assert read_table(spark, path).columns == ["k", "v", "note", "extra", "week_commencing_date"]
+
+
+def test_a_table_from_before_descriptions_gets_one(spark):
+    path, key = fresh() + "/table", ["k", "week_commencing_date"]
+    rows = spark.createDataFrame([("a", W1, 1.0, "x"), ("b", W2, 1.0, "x")], TABLE)
+    rows.where("k = 'a'").write.partitionBy("week_commencing_date").parquet(path)
+    rows.where("k = 'b'").withColumn("extra", F.lit(2)).write.mode("append").partitionBy("week_commencing_date").parquet(path)
+    upsert(path, rows.where("k = 'a'").withColumn("v", F.lit(4.0)), key, None)
+    assert {(r.k, r.v, r.extra) for r in read_table(spark, path).collect()} == {("a", 4.0, None), ("b", 1.0, 2)}
+
+
+def test_two_upserts_of_one_week_at_once_are_refused(spark):
+    path, key = fresh() + "/table", ["k", "week_commencing_date"]
+    rows = spark.createDataFrame([("a", W1, 1.0, "x"), ("a", W2, 1.0, "x")], TABLE)
+    first, second = (rows.where(F.col("week_commencing_date") == F.lit(w)) for w in (W1, W2))
+    upsert(path, rows, key, None)
+    with alone(spark, path, [f"week_commencing_date={W1}"]):
+        with pytest.raises(RuntimeError, match="is being written by"):
+            upsert(path, first, key, None)
+        upsert(path, second.withColumn("v", F.lit(2.0)), key, None)  # another week goes on
+    upsert(path, first.withColumn("v", F.lit(3.0)), key, None)
+    assert {r.v for r in read_table(spark, path).collect()} == {2.0, 3.0}
+    assert os.listdir(f"{path}/_writing") == []
+
+
 def test_store_tells_runs_of_one_label_apart(spark, src):
     run = RunParams(date(1999, 5, 9), date(1999, 5, 15), as_of=RUN.as_of)
     long = MartStore(spark, "one label", src, replace(RUN, run_ts=datetime(2024, 1, 1)), CONFIG).stored("supply_mart", ["DAY"])

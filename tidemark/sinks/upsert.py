@@ -2,24 +2,59 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.schema import MART_KEY, MART_UPDATE, PARTITION
 from tidemark.session import drop_table, scratch_table
+from tidemark.sinks.columns import columns_of, describe, joined
+from tidemark.sinks.files import Folder
+
+WRITING = "_writing"
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored table with every column any of its files has, or None before its first write."""
+    """The stored table with all its columns, or None before its first write; opens no footer to plan."""
+    found = columns_of(spark, path)
+    return None if found is None else spark.read.schema(found[1]).parquet(path)
+
+
+def part_name(partition: str, value) -> str:
+    return f"{partition}={NO_VALUE if value is None else value}"
+
+
+def read_parts(spark: SparkSession, path: str, partition: str, values: list) -> DataFrame | None:
+    """The rows of some partitions, listing only those; None before the table's first write."""
+    found, folder = columns_of(spark, path), Folder(spark, path)
+    if found is None:
+        return None
+    there = [f"{path}/{name}" for name in (part_name(partition, v) for v in values) if folder.exists(name)]
+    if not there:
+        return spark.createDataFrame([], found[1])
+    return spark.read.schema(found[1]).option("basePath", path).parquet(*there)
+
+
+@contextmanager
+def alone(spark: SparkSession, path: str, names: list[str]) -> Iterator[None]:
+    """Hold the partitions of these names for one writer; refused while another holds any of them.
+
+    A writer that was killed leaves its marks: the message names the file to remove.
+    """
+    marks, held = Folder(spark, f"{path}/{WRITING}"), []
     try:
-        return spark.read.option("mergeSchema", "true").parquet(path)
-    except AnalysisException as missing:
-        if "PATH_NOT_FOUND" in str(missing) or "UNABLE_TO_INFER_SCHEMA" in str(missing):
-            return None
-        raise
+        for name in sorted(names):
+            if not marks.create(name, spark.sparkContext.applicationId):
+                raise RuntimeError(f"{name} of {path} is being written by {marks.read(name)}: wait, or remove {marks.path}/{name} if that run has died")
+            held.append(name)
+        yield
+    finally:
+        for name in held:
+            marks.drop(name)
 
 
 def _whole(key: list[str]) -> Column:
@@ -61,12 +96,14 @@ def upsert(
     """Merge ``new`` into the table at ``path``, rewriting only the weeks it touches, which are returned.
 
     First and later writes go one way. The new rows are staged, which fixes them and cuts
-    their lineage; repeated keys among them are refused. The merged weeks are staged too and
-    then replace theirs by dynamic partition overwrite, so the job never reads what it is
-    writing, a lost executor only repeats tasks, and repeating the whole upsert of rows with
-    whole keys gives the same table. Staging tables have names of their own in ``staging``
-    (default: the shared folder) and go when the upsert is done, so upserts of other weeks
-    may run beside this one.
+    their lineage; repeated keys among them are refused, and so are columns of another type than
+    the table's. The merged weeks are staged too and then replace theirs by dynamic partition
+    overwrite, so the job never reads what it is writing, a lost executor only repeats tasks, and
+    repeating the whole upsert of rows with whole keys gives the same table. Of the table, the
+    touched weeks alone are listed and read; its columns come from the description beside it,
+    to which a column that drifts in is added before any row has it. Staging tables have names
+    of their own in ``staging`` (default: the shared folder) and go when the upsert is done, so
+    upserts of other weeks may run beside this one; a second one of the same week is refused.
     """
     spark = new.sparkSession
     staged, merged = (scratch_table(spark, f"upsert-{step}", staging) for step in ("new", "merged"))
@@ -76,16 +113,17 @@ def upsert(
         refuse_repeats(rows, key)
         # one date per reporting week, 53 a year: listed here so the table scan is pruned to them
         weeks = [row[0] for row in rows.select(partition).distinct().collect()]
-        touched = F.col(partition).isin([w for w in weeks if w is not None])
-        if None in weeks:
-            touched = touched | F.col(partition).isNull()
-        stored = read_table(spark, path)
-        stored = rows.where(F.lit(False)) if stored is None else stored.where(touched)
-        merge_rows(stored, rows, key, update).write.parquet(merged)
-        # rows of a week meet in one task, which writes the week's file; AQE splits a week too big for that
-        spark.read.parquet(merged).hint("rebalance", partition).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy(partition).parquet(path)
+        with alone(spark, path, [part_name(partition, w) for w in weeks]):
+            version, columns = columns_of(spark, path) or (-1, rows.schema)
+            wanted = joined(columns, rows.schema)
+            if version < 0 or wanted != columns:
+                describe(spark, path, version, wanted)
+            stored = read_parts(spark, path, partition, weeks)
+            merge_rows(stored, rows, key, update).write.parquet(merged)
+            # rows of a week meet in one task, which writes the week's file; AQE splits a week too big for that
+            spark.read.parquet(merged).hint("rebalance", partition).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).partitionBy(partition).parquet(path)
         return weeks
     finally:
         for table in (staged, merged):
