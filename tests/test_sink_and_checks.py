@@ -72,7 +72,7 @@ def test_upsert_keeps_a_column_that_drifted_in(spark):
     path, key = fresh() + "/table", ["k", "week_commencing_date"]
     rows = spark.createDataFrame([("a", W1, 1.0, "x"), ("b", W1, 1.0, "x"), ("c", W2, 1.0, "x")], TABLE)
     upsert(path, rows, key, None)
-    upsert(path, rows.where("k = 'a'").withColumn("extra", F.lit(7)), key, None)
+    upsert(path, rows.where("k = 'a'").withColumn("extra", F.lit(7)), key, ["v"])
     upsert(path, rows.withColumn("v", F.lit(5.0)), key, None)
     got = {r.k: (r.v, r.extra) for r in read_table(spark, path).collect()}
     assert got == {"a": (5.0, 7), "b": (5.0, None), "c": (5.0, None)}
@@ -107,7 +107,7 @@ def test_upsert_lists_and_reads_its_own_weeks_only(spark):
         f.write(b"no footer")  # whoever opens a file of this week fails
     change = rows.where(F.col("week_commencing_date") == F.lit(W1))
     assert upsert(path, change.withColumns({"v": F.lit(3.0), "extra": F.lit(1)}), key, None) == [W1]
-    own = read_parts(spark, path, "week_commencing_date", [W1, None, date(2030, 1, 6)])
+    own = read_parts(spark, path, read_table(spark, path).schema, "week_commencing_date", [W1, None, date(2030, 1, 6)])
     assert {f.split("/")[-2] for f in own.inputFiles()} == {f"week_commencing_date={W1}", "week_commencing_date=__HIVE_DEFAULT_PARTITION__"}
     assert {(r.k, r.v, r.extra) for r in own.collect()} == {("a", 3.0, 1), ("n", 1.0, None)}
     read_table(spark, path).explain("formatted")  # planning opens no footer either

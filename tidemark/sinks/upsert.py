@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.schema import MART_KEY, MART_UPDATE, PARTITION
 from tidemark.session import drop_table, scratch_table
@@ -28,15 +29,13 @@ def part_name(partition: str, value) -> str:
     return f"{partition}={NO_VALUE if value is None else value}"
 
 
-def read_parts(spark: SparkSession, path: str, partition: str, values: list) -> DataFrame | None:
-    """The rows of some partitions, listing only those; None before the table's first write."""
-    found, folder = columns_of(spark, path), Folder(spark, path)
-    if found is None:
-        return None
+def read_parts(spark: SparkSession, path: str, columns: StructType, partition: str, values: list) -> DataFrame:
+    """The ``columns`` of some partitions, listing only those."""
+    folder = Folder(spark, path)
     there = [f"{path}/{name}" for name in (part_name(partition, v) for v in values) if folder.exists(name)]
     if not there:
-        return spark.createDataFrame([], found[1])
-    return spark.read.schema(found[1]).option("basePath", path).parquet(*there)
+        return spark.createDataFrame([], columns)
+    return spark.read.schema(columns).option("basePath", path).parquet(*there)
 
 
 @contextmanager
@@ -118,7 +117,7 @@ def upsert(
             wanted = joined(columns, rows.schema)
             if version < 0 or wanted != columns:
                 describe(spark, path, version, wanted)
-            stored = read_parts(spark, path, partition, weeks)
+            stored = read_parts(spark, path, columns, partition, weeks)  # without what drifts in just now
             merge_rows(stored, rows, key, update).write.parquet(merged)
             # rows of a week meet in one task, which writes the week's file; AQE splits a week too big for that
             spark.read.parquet(merged).hint("rebalance", partition).write.mode("overwrite").option(
