@@ -198,7 +198,9 @@ def manifest(leaves: DataFrame, bits: int = BITS) -> DataFrame:
     Returns ``tree, id, pos, digest, claimed, subroot, steps, siblings, root, version_root``: ``fold`` of a leaf, ``steps`` and
     ``siblings`` gives ``root``; ``version_root`` is the root of the version that holds ``claimed``.
     """
-    nodes = positions(leaves.select("tree", "id", "digest", "claimed"), ["id", "digest"], "merkle-leaves")
+    # stored first: ranges are sampled before rows are dealt to them, and long texts are hashed but once
+    hashed = stored(leaves.select("tree", "id", "digest", "claimed"), "merkle-leaves")
+    nodes = positions(hashed, ["id", "digest"], "merkle-sorted")
     storeys, roots = _forest(nodes, "merkle-nodes", bits)
     if len(storeys) == 1:  # no tree has two leaves: the leaves are the roots
         storeys = [nodes, nodes.select("tree", F.lit(0).cast("long").alias("pos"), "size", "digest")]
