@@ -20,7 +20,7 @@ from tidemark.plans.reports import breakout_report
 from tidemark.plans.store import MartStore
 from tidemark.schema import MART_KEY
 from tidemark.sinks.upsert import alone, merge_rows, read_parts, read_table, upsert
-from tidemark.sources.catalog import Sources
+from tidemark.sources.catalog import FACTS, LOOKUPS, Sources
 from tidemark.sources.fixtures import CONFIG, RUN
 
 TABLE = "k string, week_commencing_date date, v double, note string"
@@ -239,6 +239,26 @@ def test_plans_hold_no_dealt_facts_nested_loops_or_multiplied_lines(spark, src,
     assert "Expand" not in plan_of(retention_plans.journey_totals(src, RUN, CONFIG))
 
 
+def test_one_scan_of_the_order_lines(spark, src, store):
+    """The marts and checks that count orders and customers share one stored extract, read once from the lines."""
+    path = fresh() + "/lines"
+    src.order_lines.where(F.col("year_month_day") < F.lit(date(1996, 1, 1))).write.parquet(path)
+    own = Sources({**{n: (lambda n=n: getattr(src, n)) for n in (*FACTS, *LOOKUPS)}, "order_lines": spark.read.parquet(path)})
+    mart = store.stored("retention_mart", ["DAY"])
+    plans = {
+        "retention": retention_plans.retention_day(own, RUN, CONFIG), "monetisation": monetisation_plans.monetisation_day(own, RUN, CONFIG),
+        **{j: retention.journey_check(j, mart, own, RUN, CONFIG) for j in retention.JOURNEYS},
+    }
+    lines = {name: len(scans(df, path)) for name, df in plans.items()}
+    assert lines == {"retention": 0, "monetisation": 1, **{j: 0 for j in retention.JOURNEYS}}
+    stored = {f.rsplit("/", 1)[0] for df in plans.values() for f in df.inputFiles() if "/order-rows-" in f}
+    assert len(stored) == 1
+    before = plans["leisure"].count()
+    own.drop_kept(spark)
+    assert not os.path.exists(stored.pop().removeprefix("file:"))
+    assert retention.journey_check("leisure", mart, own, RUN, CONFIG).count() == before
+
+
 def test_refresh_writes_marts_and_reports(spark, src):
     folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     run = RunParams(date(1999, 5, 9), date(1999, 5, 22), as_of=RUN.as_of, run_ts=datetime(2024, 5, 1))

@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from tidemark.checks.monetisation import base_pair
 from tidemark.functions.money import from_units, merge_units, sum_units
 from tidemark.functions.ratio import currency_pick
-from tidemark.functions.taxonomy import journey_class
 from tidemark.operators.calendar import in_run
 from tidemark.operators.pivot import kpi_pivot
 from tidemark.operators.rollup import count_each
 from tidemark.operators.scopes import rows_of
 from tidemark.params import ALL, DAY, WEEK, MartConfig, RunParams
-from tidemark.plans.common import DAY_KEYS, LINE_PL, LINE_REGION, is_gross_sale, qualifying_lines, round4
+from tidemark.plans.common import DAY_KEYS, LINE_PL, LINE_REGION, round4
+from tidemark.plans.extracts import order_rows
 from tidemark.plans.retention import GROWTH_NAMES, STAGES
 from tidemark.sources.catalog import Sources
 
@@ -60,9 +60,7 @@ def lifecycle_check(stage: str, mart: DataFrame, src: Sources, p: RunParams, sco
 
 
 def _class_filter(journey: str) -> Column:
-    kind = journey_class(
-        F.col("fare_train_classification_name_longest_duration"), F.col("product_travel_classification_name")
-    )
+    kind = F.col("journey_class")
     return kind.isNotNull() if journey == "summary" else kind == JOURNEYS[journey]
 
 
@@ -82,13 +80,9 @@ def journey_check(
         rows = rows.where(F.col("category") == ALL)
     stored = kpi_pivot(rows, DAY_KEYS, "metric_name", "metric_value", names)
     pl, region = base_pair(F.col(LINE_PL), F.col(LINE_REGION))
-    lines = qualifying_lines(src, cfg).where(in_run(F.col("year_month_day"), p) & _class_filter(journey))
-    # one row per customer and order before anything is counted
-    orders = lines.groupBy(
-        "year_month_day", pl.alias("product_pl"), region.alias("region"), "order_customer_id",
-        F.when(is_gross_sale(), F.col("order_id")).alias("order_id"),
-    ).agg(
-        sum_units(F.col("m_net_sales_amount_gbp")).alias("gbp"), sum_units(F.col("m_net_sales_amount_eur")).alias("eur")
+    kept = order_rows(src, p, cfg).where(in_run(F.col("year_month_day"), p) & _class_filter(journey))
+    orders = kept.select(
+        "year_month_day", pl.alias("product_pl"), region.alias("region"), "order_customer_id", "order_id", "gbp", "eur"
     ).dropna(subset=DAY_KEYS)
     money = [from_units(merge_units(F.col(c))).alias(c) for c in ("gbp", "eur")]
     source = count_each(orders, DAY_KEYS, {"customers": "order_customer_id", "orders": "order_id"}, money).withColumn(

@@ -21,9 +21,10 @@ from tidemark.operators.rollup import distinct_then_count
 from tidemark.operators.scopes import roll_to_week_by_year, running_ytd
 from tidemark.params import ALL, DAY, FYTD, WEEK, MartConfig, RunParams
 from tidemark.plans.common import (
-    CAMPAIGN_PL, CAMPAIGN_REGION, DAY_KEYS, LINE_PL, LINE_REGION, both_currencies, is_gross_sale, qualifying_lines,
-    region_totals, round4,
+    CAMPAIGN_PL, CAMPAIGN_REGION, DAY_KEYS, LINE_PL, LINE_REGION, both_currencies, qualifying_lines, region_totals,
+    round4,
 )
+from tidemark.plans.extracts import order_rows
 from tidemark.sources.catalog import Sources
 
 # Summed metrics, the partner's label, ratios with their names, the ad server's key.
@@ -97,10 +98,7 @@ def order_counts(src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
 
     Days and regions with lines but no gross sale count zero orders.
     """
-    lines = qualifying_lines(src, cfg).where(in_run(F.col("year_month_day"), p, cfg.line_lookback_days))
-    orders = lines.select(
-        "year_month_day", LINE_PL, LINE_REGION, F.when(is_gross_sale(), F.col("order_id")).alias("order_id")
-    ).distinct()
+    orders = order_rows(src, p, cfg).select("year_month_day", LINE_PL, LINE_REGION, "order_id").distinct()
     mapped = region_fanout(orders, LINE_PL, LINE_REGION, src.region_map)
     return distinct_then_count(mapped, DAY_KEYS, "order_id", "orders")
 

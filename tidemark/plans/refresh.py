@@ -98,9 +98,12 @@ def refresh(
     ``staging`` is the folder of the upserts' intermediate tables, by default the shared one.
     """
     stored, touched = {}, set()
-    for name in marts:
-        stored[name], weeks = _refresh_mart(spark, name, src, p, cfg, folder, scopes, staging)
-        touched |= weeks if name in METRIC_MARTS else set()
+    try:
+        for name in marts:
+            stored[name], weeks = _refresh_mart(spark, name, src, p, cfg, folder, scopes, staging)
+            touched |= weeks if name in METRIC_MARTS else set()
+    finally:
+        src.drop_kept(spark)
     if with_reports:
         tables = {n: stored[n] if n in stored else read_table(spark, f"{folder}/{n}") for n in METRIC_MARTS}
         stored |= refresh_reports(spark, tables, touched, p, folder, staging)

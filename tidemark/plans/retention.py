@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.money import from_units, merge_units, sum_units
 from tidemark.functions.ratio import currency_pick, plain_ratio, round_half_up
-from tidemark.functions.taxonomy import journey_class
 from tidemark.operators.calendar import in_run
 from tidemark.operators.gate import to_mart
 from tidemark.operators.pivot import unpivot_metrics
@@ -18,7 +17,8 @@ from tidemark.operators.region import line_owns_region, region_fanout
 from tidemark.operators.rollup import count_each
 from tidemark.operators.scopes import lag_previous_present, roll_to_week, running_ytd
 from tidemark.params import ALL, DAY, FYTD, WEEK, MartConfig, RunParams
-from tidemark.plans.common import DAY_KEYS, LINE_PL, LINE_REGION, is_gross_sale, qualifying_lines, round4
+from tidemark.plans.common import DAY_KEYS, LINE_PL, LINE_REGION, round4
+from tidemark.plans.extracts import order_rows
 from tidemark.sources.catalog import Sources
 
 # Lifecycle stage -> column prefix of the summary; (category, stage) -> metric name; rates and
@@ -141,20 +141,10 @@ def lifecycle_rows(src: Sources, p: RunParams, cfg: MartConfig, scope: str) -> D
 def journey_totals(src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
     """Customers, orders and net sales per journey class, day and region.
 
-    Lines are reduced to one row per customer and order before the fan-out.
+    From the run's stored order rows: one row per customer and order, with no scan of lines.
     """
-    kind = journey_class(
-        F.col("fare_train_classification_name_longest_duration"), F.col("product_travel_classification_name")
-    )
-    lines = qualifying_lines(src, cfg).where(
-        in_run(F.col("year_month_day"), p, cfg.line_lookback_days) & kind.isNotNull()
-    )
-    orders = lines.groupBy(
-        "year_month_day", LINE_PL, LINE_REGION, kind.alias("sub_category"), "order_customer_id",
-        F.when(is_gross_sale(), F.col("order_id")).alias("order_id"),
-    ).agg(
-        sum_units(F.col("m_net_sales_amount_gbp")).alias("gbp"), sum_units(F.col("m_net_sales_amount_eur")).alias("eur")
-    )
+    kind = F.col("journey_class")
+    orders = order_rows(src, p, cfg).where(kind.isNotNull()).withColumnRenamed("journey_class", "sub_category")
     mapped = region_fanout(orders, LINE_PL, LINE_REGION, src.region_map).where(
         line_owns_region(cfg.eu_regions, with_total=False)
     )

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Hashable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.session import drop_table, scratch_table
+
 FACTS = (
     "order_lines", "marketing", "customer_accounts", "journey_searches", "growth_summary", "weekly_budget",
     "monthly_budget", "ad_report", "hotel_feed", "hotel_manual", "web_events", "payback",
@@ -13,6 +15,9 @@ FACTS = (
 LOOKUPS = ("calendar", "plan_calendar", "region_map", "countries", "country_names", "fx_rates")
 
 
+_KEPT: dict[tuple, str] = {}
+
+
 class Sources:
     """Named source tables, each opened on first use.
 
@@ -20,11 +25,14 @@ class Sources:
     plan asks for it, and Catalyst prunes columns and pushes filters into each scan.
     """
 
-    def __init__(self, tables: Mapping[str, DataFrame | Callable[[], DataFrame]]):
+    def __init__(self, tables: Mapping[str, DataFrame | Callable[[], DataFrame]], label: str | None = None):
+        """Sources of one ``label`` hold the same rows for as long as the application lives, and share what is kept."""
         unknown = set(tables) - set(FACTS) - set(LOOKUPS)
         if unknown:
             raise ValueError(f"unknown source tables {sorted(unknown)}")
         self._tables = dict(tables)
+        self._label = label
+        self._kept: dict[tuple, str] = _KEPT if label is not None else {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -36,6 +44,23 @@ class Sources:
             table = self._tables[name] = table()
         return table
 
+    def kept(self, name: str, key: Hashable, build: Callable[[], DataFrame]) -> DataFrame:
+        """What ``build`` gives, stored in the shared folder on first use and read from there by all who ask with this key."""
+        rows = build()
+        spark = rows.sparkSession
+        key = (spark.sparkContext.applicationId, self._label, name, key)
+        if key not in self._kept:
+            path = scratch_table(spark, name)
+            rows.write.parquet(path)
+            self._kept[key] = path
+        return spark.read.schema(rows.schema).parquet(self._kept[key])
+
+    def drop_kept(self, spark: SparkSession) -> None:
+        """Remove what these sources have stored for themselves alone (without a label); plans that read it end here."""
+        if self._label is None:
+            while self._kept:
+                drop_table(spark, self._kept.popitem()[1])
+
     @classmethod
     def from_paths(cls, spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet") -> "Sources":
         return cls({name: (lambda path=path: spark.read.format(fmt).load(path)) for name, path in paths.items()})

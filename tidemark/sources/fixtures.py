@@ -232,4 +232,4 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
         "countries": lookups.countries(spark),
         "country_names": lookups.country_names(spark),
         "fx_rates": lookups.fx_rates(spark),
-    })
+    }, label=sf_dir)
