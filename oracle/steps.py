@@ -62,6 +62,9 @@ STEPS["join_margin_and_spend"] = f"""select *, margin - spend as margin_after_sp
  {dbl(pick('revenue', 'a.product_pl') + ' - ' + pick('costs', 'a.product_pl'))} as margin, {dbl(pick('spend', 's.product_pl'))} as spend from x_margins a join x_spend s using ({DPR})) z"""
 STEPS["join_visits"] = f"select {DPR}, {dbl('all_gbp - fees_gbp')} as non_fee_gbp, {dbl('all_eur - fees_eur')} as non_fee_eur, {dbl('visits')} as visits from x_line_extract join x_visits using ({DPR})"
 STEPS["count_orders"] = f"select {DPR}, orders from x_line_extract"
+for _n, _p in (("week", "financial_year, week_commencing_date"), ("year", "financial_year")):
+    STEPS[f"rollup_orders_{_n}"] = f"""select {_p}, {OUT}, count(distinct case when product_gross_sales_flag = 'Y' and record_type = 'SALES' then order_id end) as orders
+     from x_lines l join (select year_month_day, {_p} from x_calendar where date_scope = 'DAY') c using (year_month_day) {fan('product_pl_code', 'order_region_name')} group by all"""
 for _period, _src in (("day", "x_customers_daily"), ("week", "x_customers_weekly")):
     _col = "year_month_day" if _period == "day" else "week_commencing_date"
     STEPS[f"count_customers_{_period}"] = f"""select {_col}, product_pl, region, count(distinct case when is_new then person_id end) as new_customers,

@@ -12,8 +12,8 @@ from tidemark.functions.ratio import currency_pick, plain_ratio, safe_ratio
 from tidemark.functions.taxonomy import (
     channel_category, channel_sub_category, payback_category, payback_sub_category,
 )
-from tidemark.operators.calendar import in_run, in_window
-from tidemark.operators.customers import customer_counts, customer_flags
+from tidemark.operators.calendar import in_run
+from tidemark.operators.customers import customer_counts, customer_counts_of_sets, customer_flags
 from tidemark.operators.gate import to_mart
 from tidemark.operators.payback import BANDS, payback_months
 from tidemark.operators.pivot import unpivot_metrics
@@ -25,6 +25,7 @@ from tidemark.params import ALL, DAY, FYTD, WEEK, MartConfig, RunParams
 from tidemark.plans.common import (
     CAMPAIGN_PL, CAMPAIGN_REGION, DAY_KEYS, LINE_PL, LINE_REGION, both_currencies, qualifying_lines, region_totals,
 )
+from tidemark.plans.extracts import customer_sets, purchase_lines
 from tidemark.sources.catalog import Sources
 
 # Output column -> KPI of the marketing source.
@@ -176,26 +177,32 @@ def spend_totals(src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
 
 def customer_totals(src: Sources, p: RunParams, cfg: MartConfig, period: str) -> DataFrame:
     """Customers per day or week. Daily counts look at gross sales only, weekly ones at all lines
-    of the whole weeks touched."""
-    lines = qualifying_lines(src, cfg)
-    day, issued = F.col("year_month_day"), F.col("product_issued_date")
-    if period == "year_month_day":
-        lines = lines.where(in_run(day, p) & in_run(issued, p) & (F.col("product_gross_sales_flag") == "Y"))
-        dated = lines.withColumn(period, issued)
+    of the whole weeks touched.
+
+    Both come from stored sets of persons by day and raw pair: a week is the union of its days,
+    without another scan of the lines. Person ids that are no whole numbers close to each other
+    are reduced to distinct rows instead.
+    """
+    by_week = period != "year_month_day"
+    sets = customer_sets(src, p, cfg, by_week)
+    if sets is None:
+        first, last = (p.first_week, p.last_week + timedelta(days=6)) if by_week else (p.start, p.end)
+        rows = purchase_lines(src, p, cfg, first, last)
     else:
-        week_days = src.calendar.where((F.col("date_scope") == DAY) & run_weeks(p)).select("year_month_day", period)
-        # literal bounds of both columns: the scan skips all lines outside the run's weeks
-        first, last = p.first_week, p.last_week + timedelta(days=6)
-        whole = in_window(day, first, last) & in_window(issued, first, last)
-        dated = lines.where(whole & (day == issued)).join(week_days, "year_month_day")
-    purchases = dated.select(
-        F.col("order_customer_id").alias("customer_id"), period, "product_issued_date",
-        F.col(LINE_PL).alias("product_pl"), F.col(LINE_REGION).alias("region"),
-    )
+        rows = sets
+    if by_week:
+        week_days = src.calendar.where((F.col("date_scope") == DAY) & run_weeks(p)).select(
+            F.col("year_month_day").alias("product_issued_date"), period
+        )
+        dated = rows.where("by_week").join(week_days, "product_issued_date")
+    else:
+        dated = rows.where("by_day").withColumn(period, F.col("product_issued_date"))
+    if sets is not None:
+        return customer_counts_of_sets(dated, period, src.region_map)
     accounts = src.customer_accounts.where(
         F.col("managed_group_id").isin(*cfg.managed_groups) & (F.col("segment") == cfg.account_segment)
     )
-    return customer_counts(customer_flags(purchases, accounts, period), period, src.region_map)
+    return customer_counts(customer_flags(dated, accounts, period), period, src.region_map)
 
 
 def customer_rows(counts: DataFrame, period: str) -> DataFrame:

@@ -24,7 +24,7 @@ from tidemark.plans.common import (
     CAMPAIGN_PL, CAMPAIGN_REGION, DAY_KEYS, LINE_PL, LINE_REGION, both_currencies, qualifying_lines, region_totals,
     round4,
 )
-from tidemark.plans.extracts import order_rows
+from tidemark.plans.extracts import distinct_orders
 from tidemark.sources.catalog import Sources
 
 # Summed metrics, the partner's label, ratios with their names, the ad server's key.
@@ -94,13 +94,11 @@ def line_extract(src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
 
 
 def order_counts(src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
-    """Distinct gross orders per day and region; lines collapse to orders before the fan-out.
+    """Distinct gross orders per day and region, from the run's stored sets.
 
     Days and regions with lines but no gross sale count zero orders.
     """
-    orders = order_rows(src, p, cfg).select("year_month_day", LINE_PL, LINE_REGION, "order_id").distinct()
-    mapped = region_fanout(orders, LINE_PL, LINE_REGION, src.region_map)
-    return distinct_then_count(mapped, DAY_KEYS, "order_id", "orders")
+    return distinct_orders(src, p, cfg, "year_month_day")
 
 
 def picked(name: str, cfg: MartConfig, region: str | None = None) -> Column:

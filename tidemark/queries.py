@@ -30,6 +30,7 @@ from tidemark.plans import conversion, reports, retention, supply
 from tidemark.plans import single_metrics as single
 from tidemark.plans.common import DAY_KEYS, LINE_PL, LINE_REGION, qualifying_lines
 from tidemark.plans.conversion import conversion_budget
+from tidemark.plans.extracts import distinct_orders
 from tidemark.plans.refresh import METRIC_MARTS, refresh_mart, refresh_reports
 from tidemark.plans.store import MartStore
 from tidemark.schema import BREAKOUT_KEY, BUDGET_KEY, BUDGET_MEASURES, MART_KEY, OVERVIEW_KEY
@@ -282,6 +283,8 @@ query("join_visits")(
 query("count_orders")(lambda s: mon.order_counts(s.src, s.p, s.cfg))
 query("count_customers_day")(lambda s: acq.customer_totals(s.src, s.p, s.cfg, "year_month_day"))
 query("count_customers_week")(lambda s: acq.customer_totals(s.src, s.p, s.cfg, "week_commencing_date"))
+query("rollup_orders_week")(lambda s: distinct_orders(s.src, s.p, s.cfg, "financial_year", "week_commencing_date"))
+query("rollup_orders_year")(lambda s: distinct_orders(s.src, s.p, s.cfg, "financial_year"))
 query("count_web_events")(lambda s: mon.hotel_web_counts(s.src, s.p, s.cfg))
 query("sum_line_extract")(lambda s: mon.line_extract(s.src, s.p, s.cfg))
 query("sum_journey_classes")(lambda s: retention.journey_totals(s.src, s.p, s.cfg))
