@@ -333,3 +333,24 @@ def test_quality_checks_notice_bad_tables(store):
     bad = damaged(added_up, F.col("region") == "RoE")
     assert failing(quality.foreign_travel_check("supply_mart", added_up)).count() == 0
     assert failing(quality.foreign_travel_check("supply_mart", bad)).count() > 0
+
+
+def test_margin_after_spend_is_judged_where_no_region_lacks_a_row(spark):
+    columns = "date_scope string, financial_year int, year_month_day date, week_commencing_date date, product_pl string, region string, category string, sub_category string, metric_name string, metric_value double"
+    parts = ("Inbound", "RoE", "UK>EU")
+
+    def rows(scope, day, values, total, week=None, year=2024):
+        named = [*zip(parts, values), ("Foreign Travel", total)]
+        return [(scope, year, day, week or day, "EU", r, "All", "All", "GM - PMS", v) for r, v in named if v is not None]
+
+    table = [
+        *rows("DAY", W1, (100.0, 200.0, 300.0), 600.0), *rows("WEEK", W1, (100.0, 200.0, 300.0), 600.0), *rows("FYtD", W1, (100.0, 200.0, 300.0), 650.0),
+        *rows("DAY", W2, (100.0, None, 300.0), 900.0), *rows("WEEK", W2, (100.0, 50.0, 300.0), 900.0), *rows("FYtD", W2, (200.0, 250.0, 600.0), 1500.0),
+        *rows("DAY", W2 + timedelta(days=1), (1.0, 50.0, 1.0), 90.0, W2),
+    ]
+    found = quality.foreign_travel_check("acquisition_mart", spark.createDataFrame(table, columns)).collect()
+    assert {(r.date_scope, r.year_month_day): (r.status, r.failed) for r in found} == {
+        ("DAY", W1): ("compared", False), ("WEEK", W1): ("compared", False), ("FYtD", W1): ("compared", True),
+        ("DAY", W2): ("parts lacking", False), ("WEEK", W2): ("parts lacking", False), ("FYtD", W2): ("parts lacking", False),
+        ("DAY", W2 + timedelta(days=1)): ("compared", True),
+    }

@@ -10,16 +10,15 @@ from pyspark.sql import functions as F
 from tidemark.checks.reconcile import whole
 from tidemark.functions.money import stable_sum
 from tidemark.operators.calendar import in_run
-from tidemark.params import ALL, DAY, FYTD, REPORT_REGIONS, RunParams
+from tidemark.params import ALL, DAY, FYTD, REPORT_REGIONS, WEEK, RunParams
 from tidemark.plans.retention import RATE_NAMES
 from tidemark.sources.lookups import FOREIGN_TRAVEL
 
-# Metrics per mart whose regions do not add up: people counted once a region, quotients, and the
-# margin after spend, which a region without spend does not have.
+# Metrics per mart whose regions do not add up: people counted once a region, and quotients.
 NOT_ADDITIVE = {
     "acquisition_mart": (
         "Active Customers", "Existing Customers", "New Customers", "Incremental ROAS", "CPA", "CVR", "LC_CPA", "Cost / Click",
-        "Payback Months", "GM - PMS",
+        "Payback Months",
     ),
     "conversion_mart": ("Avg Trans Value", "Avg Trans Value Budget", "Conversion Ratio"),
     "monetisation_mart": (
@@ -28,6 +27,8 @@ NOT_ADDITIVE = {
     "retention_mart": tuple(RATE_NAMES.values()),
     "supply_mart": ("Refunds Ratio", "Unsellable Journey Ratio"),
 }
+# Metrics that a region has on some days only, as it needs spend; their parts are whole where no region lacks a row.
+PARTIAL = {"acquisition_mart": ("GM - PMS",)}
 NOT_NULL_COLUMNS = ("metric_name", "week_commencing_date", "product_pl", "region", "category", "sub_category")
 
 
@@ -45,11 +46,33 @@ def carried_forward(rows: DataFrame, keys: list[str]) -> DataFrame:
     return held.withColumn("metric_value", F.last("metric_value", ignorenulls=True).over(upto)).select(*keys, "region", "metric_value")
 
 
+def lacking_parts(rows: DataFrame, metrics: tuple[str, ...]) -> DataFrame:
+    """Scope, date and labels of rows of ``metrics`` with a day behind them on which a region has no row.
+
+    A day lacks a part by itself, a week by any of its days, a running total by any week of its
+    year so far. Window partitions are one series in one year, at most 53 weeks.
+    """
+    series = ["category", "sub_category", "metric_name"]
+    rows = rows.where(F.col("metric_name").isin(*metrics))
+    at = lambda scope: rows.where(F.col("date_scope") == scope)
+    days = at(DAY).groupBy("year_month_day", "week_commencing_date", *series).agg(
+        (F.count(F.when(F.col("region") != "Foreign Travel", 1)) < len(FOREIGN_TRAVEL)).alias("lacks")
+    )
+    weeks = days.groupBy(F.col("week_commencing_date").alias("year_month_day"), *series).agg(F.max("lacks").alias("lacks"))
+    so_far = Window.partitionBy("financial_year", *series).orderBy("year_month_day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    years = at(WEEK).select("year_month_day", "financial_year", *series).distinct().join(weeks, ["year_month_day", *series], "left")
+    running = years.withColumn("lacks", F.max("lacks").over(so_far))
+    found = [(DAY, days), (WEEK, weeks), (FYTD, running)]
+    keyed = [df.where("lacks").select(F.lit(scope).alias("date_scope"), "year_month_day", *series) for scope, df in found]
+    return reduce(DataFrame.unionByName, keyed).withColumn("lacks", F.lit(True))
+
+
 def foreign_travel_check(mart_name: str, mart: DataFrame, tolerance: float = 10.0) -> DataFrame:
     """Foreign Travel beside the sum of its three regions, for additive metrics.
 
     Running totals are carried forward to the weeks in which a region has no row. As stored
-    data is judged, a side that is missing does not fail; ``status`` shows it.
+    data is judged, a side that is missing does not fail; ``status`` shows it, and also where a
+    metric that needs spend lacks a region on some day.
     """
     keys = ["date_scope", "year_month_day", "category", "sub_category", "metric_name"]
     region = F.col("region")
@@ -59,17 +82,20 @@ def foreign_travel_check(mart_name: str, mart: DataFrame, tolerance: float = 10.
         & ~F.col("metric_name").isin(*NOT_ADDITIVE[mart_name])
     )
     running = F.col("date_scope") == FYTD
+    partial = PARTIAL.get(mart_name)
+    lacking = lacking_parts(rows, partial) if partial else None
     rows = rows.where(~running).select(*keys, "region", "metric_value").unionByName(carried_forward(rows.where(running), keys))
     # one pass instead of joining two filtered copies of the mart
     sides = rows.groupBy(*keys).agg(
         stable_sum(F.when(region != "Foreign Travel", F.col("metric_value"))).alias("parts"),
         F.max(F.when(region == "Foreign Travel", F.col("metric_value"))).alias("foreign_travel"),
     )
+    sides = sides.withColumn("lacks", F.lit(None).cast("boolean")) if lacking is None else sides.join(lacking, keys, "left")
     gap = F.abs(F.col("parts") - F.col("foreign_travel"))
-    status = F.when(F.col("parts").isNull(), "no parts").when(F.col("foreign_travel").isNull(), "no foreign travel")
+    status = F.when(F.col("parts").isNull(), "no parts").when(F.col("foreign_travel").isNull(), "no foreign travel").when(F.col("lacks"), "parts lacking")
     return sides.withColumns({
-        "difference": gap, "status": status.otherwise("compared"), "failed": F.coalesce(gap > tolerance, F.lit(False)),
-    }).orderBy(F.col("difference").desc_nulls_last(), *keys)
+        "difference": gap, "status": status.otherwise("compared"), "failed": F.coalesce((gap > tolerance) & F.col("lacks").isNull(), F.lit(False)),
+    }).drop("lacks").orderBy(F.col("difference").desc_nulls_last(), *keys)
 
 
 def completeness_check(mart: DataFrame, column: str, p: RunParams, allowed: float = 0.10) -> DataFrame:
