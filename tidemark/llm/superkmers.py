@@ -318,7 +318,7 @@ class Cutter:
         """Finished spans, dealt to the buckets one by one."""
         for a in range(0, len(row), 10_000):
             b = slice(a, a + 10_000)
-            yield mixed((keys[row[b]] + start[b]).view(np.uint64)) % np.uint64(self.shards), None, (ids[row[b]], keys[row[b]], start[b], end[b])
+            yield mixed(mixed(ids[row[b]].view(np.uint64)) + start[b].view(np.uint64)) % np.uint64(self.shards), None, (ids[row[b]], keys[row[b]], start[b], end[b])
 
 
 class Shard:
