@@ -1,5 +1,8 @@
 import html
+import math
+import random
 import re
+import time
 
 import numpy as np
 import pandas as pd
@@ -89,3 +92,58 @@ def test_words_do_not_drop_the_main_text(wrapped):
         return
     comments = f"<section class=comments><article class=comment><p>{LONG}</p></article></section>"
     assert main_text(f"<body>{wrapped.format(body)}{comments}</body>") == f"{text}\n\nYes.\n\n{text}"
+
+
+def test_a_teaser_is_no_article_and_a_short_article_is_one():
+    body = "This body is a sentence of about sixty-four characters, it is."
+    teaser = "<div><article><a href=/x>Teaser</a></article></div>"
+    assert main_text(f"<div class=c><p>{body}</p></div>{teaser}") == body
+    assert main_text(f"<div class=c><p>{body[:30]}</p></div>{teaser}") == body[:30]
+    assert main_text(f"<div class=ad>{body}</div><article><h1>Short.</h1><p>Yes.</article>") == "Short.\n\nYes."
+
+
+def test_time_is_linear_in_unclosed_elements():
+    for piece in ("<b><p>x</p>", "<b></i><p>x", "<ul><li><p>x</b>", "<p><b></u>"):
+        began = time.process_time()
+        main_text(piece * 100_000)
+        assert time.process_time() - began < 8, piece
+
+
+def slow_content(lines):
+    """The method again, one line at a time: ratio, Gaussian weights, the best of all two-part splits by means, regions."""
+    ratio = [(len(x.text) - min(x.linked, len(x.text))) / x.tags for x in lines]
+    weight = [math.exp(-0.5 * k * k) for k in range(4)]
+    smoothed = []
+    for i in range(len(lines)):
+        near = [(weight[abs(i - j)], ratio[j]) for j in range(max(0, i - 3), min(len(lines), i + 4))]
+        smoothed.append(sum(w * r for w, r in near) / sum(w for w, _ in near))
+    cut = (min(smoothed) + max(smoothed)) / 2
+    for _ in range(100):
+        low, high = [s for s in smoothed if s < cut], [s for s in smoothed if s >= cut]
+        cut = ((sum(low) / len(low) if low else min(smoothed)) + sum(high) / len(high)) / 2
+    high = [i for i in range(len(lines)) if smoothed[i] >= cut - 1e-12 and ratio[i] >= cut - 1e-12] or [ratio.index(max(ratio))]
+    letters = lambda x: len(re.sub(r"\s", "", x.text))
+    marked = [x for x in lines if x.article]
+    own = sum(max(0, letters(x) - x.linked) for x in marked)
+    outside = sum(max(0, letters(lines[i]) - lines[i].linked) for i in high if not lines[i].article and not lines[i].mark)
+    if marked and sum(x.linked for x in marked) <= own and outside <= 2 * own:
+        return marked
+    regions = {lines[i].region for i in high}
+    of = {r: [x for x in lines if x.region == r] for r in {x.region for x in lines}}
+    linked = {r for r, xs in of.items() if 2 * sum(x.linked for x in xs) > sum(map(letters, xs))}
+    return [x for i, x in enumerate(lines) if (x.region in regions or high[0] < i < high[-1]) and x.region not in linked]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_content_equals_a_plain_second_version(seed):
+    rng = random.Random(seed)
+    lines = []
+    for i in range(rng.randint(1, 30)):
+        text = " ".join("word" * rng.randint(1, 2) for _ in range(rng.choice([1, 2, 5, 40])))
+        lines.append(html_text.Line(text, rng.randint(1, 6), rng.choice([0, 0, len(text) // 2, len(text)]), rng.randint(1, 4), rng.random() < seed % 3 / 4, rng.choice([0, 0, 1])))
+    assert [id(x) for x in html_text.content(lines)] == [id(x) for x in slow_content(lines)]
+
+
+def test_columns_of_the_output_names_are_replaced(spark):
+    pages = spark.createDataFrame([(1, "<p>a</p>", "old", "k")], "page_id long, html string, Text string, url string")
+    assert [tuple(r) for r in html_text.extract(pages).collect()] == [(1, "<p>a</p>", "k", "a")]

@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -70,3 +71,37 @@ def test_learns_from_whole_texts(spark):
     model = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     assert model.predict("die katze und der hund")[0] == "de" and model.predict("les chats et le chien")[0] == "fr"
     assert len(langid.training_sample(spark.createDataFrame(rows[:1], "doc_id long, text string, lang string"))[0][0]) == len(rows[0][1])
+
+
+def slow_predict(model, text):
+    """The prediction again, feature by feature: hashed words and their parts, counted, averaged, weighed, calibrated."""
+    own, times = langid.bag(text)
+    if not len(own):
+        return langid.UNKNOWN, 0.0
+    total = float(times.sum())
+    score = [sum(float(n) / total * float(model.table[b][k]) for b, n in zip(own, times)) + float(model.bias[k]) for k in range(len(model.languages))]
+    top = max(score)
+    share = [math.exp((x - top) / model.temperature) for x in score]
+    best = max(range(len(share)), key=lambda k: share[k])
+    return model.languages[best], share[best] / sum(share)
+
+
+def test_prediction_equals_a_plain_second_version(sf_dir):
+    docs = pd.read_parquet(f"{sf_dir}/documents.parquet").dropna(subset=["lang"])
+    model = langid.train(list(zip(docs.text[:120], docs.lang[:120])))
+    for text in [*docs.text[120:150], "a", "", "1 2", None]:
+        got, want = model.predict(text), slow_predict(model, text or "")
+        assert got[0] == want[0] and got[1] == pytest.approx(want[1], abs=1e-5)
+
+
+def test_training_rows_are_bounded_in_all(spark):
+    rows = [(i, f"text number {i}", f"l{i % 40}") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    few = langid._sampled(docs, 1500, total=400).count()
+    assert 250 < few < 550 and langid._sampled(docs, 50, total=10**6).count() > 1500
+
+
+def test_columns_of_the_output_names_are_replaced(spark):
+    docs = spark.createDataFrame([(1, "some words of text", "x", 7, True)], "doc_id long, text string, Lang_pred string, score int, accepted boolean")
+    got = langid.predict(docs, langid.train([("some words", "en"), ("autre texte", "fr")] * 5))
+    assert got.columns == ["doc_id", "text", "lang_pred", "score", "accepted"] and got.first().score <= 1

@@ -73,3 +73,18 @@ def test_nulls_repeats_and_extra_columns(spark):
 def test_window_edges(n):
     text = "w " * n
     assert quality.Facts(text).n_repeat_words == slow(text)[4]
+
+
+def test_sample_comes_from_all_partitions(spark):
+    docs = spark.range(0, 40_000, 1, 8).selectExpr("id as doc_id", "cast(id as string) as text")
+    ids = sorted(map(int, quality.sample(docs)))
+    assert 300 < len(ids) < 500 and ids == sorted(map(int, quality.sample(docs)))
+    assert {i // 5000 for i in ids} == set(range(8))
+
+
+def test_columns_of_the_output_names_are_replaced_and_long_texts_pass(spark):
+    long = " ".join(f"word{i}" for i in range(200_000))
+    docs = spark.createDataFrame([(1, long, "old", 5)], "doc_id long, text string, KEPT string, n_words int")
+    got = quality.cascade(docs, measures=True)
+    assert got.columns.count("n_words") == 1 and "KEPT" not in got.columns
+    assert got.select("n_words", "kept").first() == (200_000, True)

@@ -1,8 +1,9 @@
 import numpy as np
 import pandas as pd
+import pytest
 import xxhash
 
-from tidemark.llm import graph, simhash
+from tidemark.llm import decontaminate, graph, repeats, secrets, simhash, superkmers
 from tidemark.llm.queries import op4_simhash
 
 
@@ -84,3 +85,40 @@ def test_nulls_repeats_and_extra_columns(spark):
     kept = sorted(((r.doc_id, r.text, r.component_id) for r in simhash.keep_one(docs).collect()), key=str)
     assert kept == sorted([(3, a, "y"), (None, "quite another text here", "z"), (8, "", "q")], key=str)
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_crowded_halves_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "CROWD", 20)
+    rng = np.random.default_rng(6)
+    base = int(rng.integers(0, 2**32)) << 32
+    prints = {base | int(x) for x in rng.integers(0, 2**32, 150)} | {(int(x) << 32) | 77 for x in rng.integers(0, 2**32, 60)}
+    for b in list(prints)[:60]:
+        prints |= {b ^ sum(1 << int(x) for x in rng.choice(64, k, replace=False)) for k in (1, 2, 3, 4)}
+    own = np.array(sorted(prints), dtype=np.uint64)
+    signed = own.view(np.int64).tolist()
+    want = {tuple(sorted((signed[i], signed[j]), reverse=True)) for i in range(len(own)) for j in range(i) if int(own[i] ^ own[j]).bit_count() <= 3}
+    got = [tuple(r) for r in simhash.links(spark.createDataFrame([(x,) for x in signed], "fingerprint long")).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_many_fingerprints_with_one_half(spark):
+    """All with all would be 2 * 10 ** 8 candidates."""
+    low = np.random.default_rng(7).choice(2**32, 20_000, replace=False)
+    frame = spark.createDataFrame([(int(x),) for x in low], "fingerprint long")
+    assert simhash.candidates(frame).count() < 20_000 * 40
+
+
+def test_ids_that_are_no_numbers_are_refused(spark):
+    docs = spark.createDataFrame([("d1", "a b c")], "doc_id string, text string")
+    for run in (simhash.near_duplicates, simhash.keep_one, repeats.find_spans, superkmers.find_spans):
+        with pytest.raises(ValueError, match="doc_id must be a whole number"):
+            run(docs)
+
+
+def test_helper_names_of_the_input_stay(spark):
+    docs = spark.createDataFrame([(1, "a b c", "k", "h"), (2, "a b c", "k2", "h2")], "doc_id long, text string, ID_key_ string, text_hash_ string")
+    assert [tuple(r) for r in simhash.keep_one(docs).collect()] == [(1, "a b c", "k", "h")]
+    items = spark.createDataFrame([(1, "x y z u v w")], "item_id long, text string")
+    assert sorted(tuple(r) for r in decontaminate.remove(docs, items).collect()) == [(1, "a b c", "k", "h"), (2, "a b c", "k2", "h2")]
+    masked = spark.createDataFrame([(1, "password=hunter2secret", "k", "s")], "doc_id long, text string, id_key_ string, spans_ string")
+    assert [tuple(r) for r in secrets.redact(masked).collect()] == [(1, "[secret]", "k", "s")]

@@ -39,7 +39,7 @@ def test_entries_active_at_fetch_time(spark, monkeypatch, limit, days):
     b, n = ("block", "l", "bad.org"), ("none", None, None)
     assert verdicts(spark, captures, events, bucket_days=days) == {
         1: n, 2: b, 3: b, 4: n, 5: b, 6: ("allow", "m", "bad.org/Ok/"), 7: b, 8: b, 9: ("allow", "m", "www.bad.org"), 10: n,
-        11: ("block", "a", "tie.net"), 12: ("allow", "k", "tie.net"), 13: n, 14: n, 15: n, 16: n, 17: n,
+        11: ("block", "a", "tie.net"), 12: ("allow", "k", "tie.net"), 13: n, 14: n, 15: n, 16: b, 17: n,
     }
 
 
@@ -53,6 +53,18 @@ def test_empty_tables_repeats_and_extra_columns(spark):
     assert {r.verdict for r in url_filters.decide(c, only_paths).collect()} == {"block"}
 
 
+def test_hosts_of_any_length_and_no_needless_keys(spark):
+    events = [("l", "domain", "evil.com", "block", "add", day(0)), ("l", "domain", "a.b.c.d", "block", "add", day(0))]
+    captures = [(n, f"http://{'a.' * n}evil.com/x", 5) for n in (0, 2, 122, 130, 3000)]
+    assert set(verdicts(spark, captures, events).values()) == {("block", "l", "evil.com")}
+    c = spark.createDataFrame([(1, "http://x.y.z.evil.com/", day(5)), (2, "", day(5)), (3, "http://org/", day(5))], CAPTURE)
+    found = url_filters.decide(c, spark.createDataFrame(events, EVENT))
+    keys = c.select("capture_id", url_filters.host(c.url).alias("host"), url_filters.path(c.url).alias("path")).select(url_filters._keys([2, 4], []).alias("k"))
+    assert sorted(len(r.k) for r in keys.collect()) == [0, 0, 2]  # of two and of four labels, no top-level domain
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "LeftOuter" not in plan
+
+
 def test_query_equals_its_statement(spark, sf_dir):
     got = op2_url_filter(spark, sf_dir).toPandas()
     assert set(got.verdict) == {"none", "block", "allow"}

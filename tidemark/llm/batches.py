@@ -1,10 +1,12 @@
-"""Arrow batches cut to a bounded size of text before Python touches them."""
+"""Arrow batches cut to a bounded size of text before Python touches them, and columns added to them."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 SLICE_BYTES = 4 << 20
 
@@ -23,4 +25,25 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             yield batch.slice(start)
 
 
+def free(name: str, columns: list[str]) -> str:
+    """``name``, or one made from it that no column has, whatever its case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def replaced_schema(df: DataFrame, fields: list[T.StructField]) -> T.StructType:
+    """The columns of ``df`` and ``fields``, which take the place of columns of their names."""
+    names = {f.name.lower() for f in fields}
+    return T.StructType([*[f for f in df.schema.fields if f.name.lower() not in names], *fields])
+
+
+def replaced(batch: pa.RecordBatch, columns: list[pa.Array], fields: list[T.StructField]) -> pa.RecordBatch:
+    """As ``replaced_schema``, for a batch and the arrays of ``fields``."""
+    names = {f.name.lower() for f in fields}
+    kept = [(c, n) for c, n in zip(batch.columns, batch.schema.names) if n.lower() not in names]
+    return pa.RecordBatch.from_arrays([*(c for c, _ in kept), *columns], [*(n for _, n in kept), *(f.name for f in fields)])
+
+
 import pyarrow.compute  # noqa: E402,F401  (pa.compute is a lazy submodule)

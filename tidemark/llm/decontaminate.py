@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.batches import free
 from tidemark.llm.graph import stored
 from tidemark.llm.shingles import bounded, text_key, words
 
@@ -81,8 +82,9 @@ def find(docs: DataFrame, items: DataFrame, size: int = WORDS, threshold: float
 
 
 def remove(docs: DataFrame, items: DataFrame, size: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without those that contain an item."""
-    key = {"id_key_": F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), "text_hash_": text_key()}
-    leaks = find(docs, items, size, threshold).select(key["id_key_"].alias("id_key_"), F.col("text_hash").alias("text_hash_")).distinct()
+    """``docs`` without those that contain an item, with all its columns, whatever they are named."""
+    id_key, text_hash = free("id_key_", docs.columns), free("text_hash_", docs.columns)
+    key = {id_key: F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), text_hash: text_key()}
+    leaks = find(docs, items, size, threshold).select(key[id_key].alias(id_key), F.col("text_hash").alias(text_hash)).distinct()
     leaks = stored(leaks, "leaks")
     return docs.withColumns(key).join(bounded(leaks, leaks.count()), [*key], "left_anti").drop(*key)

@@ -2,29 +2,73 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from weakref import WeakKeyDictionary
 
-from tidemark.session import scratch_table
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.session import drop_table, scratch_table
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+_SCOPE: ContextVar["Temporary | None"] = ContextVar("scope", default=None)
+
+
+class Temporary:
+    """Tables stored while it is the innermost scope."""
+
+    def __init__(self, outer: "Temporary | None"):
+        self.outer, self.tables = outer, []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Leave a stored table to the scope around this one."""
+        path = _PATHS[df]
+        self.tables = [t for t in self.tables if t[1] != path]
+        if self.outer is not None:
+            self.outer.tables.append((df.sparkSession, path))
+        return df
+
+
+@contextmanager
+def temporary() -> Iterator[Temporary]:
+    """What is stored in this scope, and not kept, goes at its end: plans that read it must have been stored by then."""
+    scope = Temporary(_SCOPE.get())
+    token = _SCOPE.set(scope)
+    try:
+        yield scope
+    finally:
+        _SCOPE.reset(token)
+        for spark, path in scope.tables:
+            drop_table(spark, path)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: cuts the lineage and survives a lost executor.
 
-    What was shuffled for it is not needed again and leaves the disk as soon as it is written.
+    What was shuffled is not needed again once a result is written and leaves the disk then: the session is told so on first use.
     """
-    spark = df.sparkSession
+    spark: SparkSession = df.sparkSession
+    if spark.conf.get(CLEANUP, "false") != "true":
+        spark.conf.set(CLEANUP, "true")
     path = scratch_table(spark, name)
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[out] = path
+    if (scope := _SCOPE.get()) is not None:
+        scope.tables.append((spark, path))
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Remove a stored table that no plan reads any more."""
+    path = _PATHS.pop(df)
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.tables = [t for t in scope.tables if t[1] != path]
+    drop_table(df.sparkSession, path)
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -48,7 +92,9 @@ def components(edges: DataFrame) -> DataFrame:
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(smallest, "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(smallest.select("u", F.col("m").alias("v")))
-        edges, before = stored(small.distinct(), "edges"), mark
+        last, before = edges, mark
+        edges = stored(small.distinct(), "edges")
+        forget(last)
         mark = _mark(edges)
         if mark == before:
             break

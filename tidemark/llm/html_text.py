@@ -10,9 +10,9 @@ or of its articles.
 Over the other lines the text-to-tag ratio is smoothed by a Gaussian and split in two clusters at a threshold found by
 two-means. A region that holds a line above it, by itself and smoothed, is content, and so is what lies between two such
 lines; all lines of content stay, so a short paragraph among long ones is never dropped. Regions made of links never are
-content. Where the clusters choose lines in ``article`` or ``main``, the choice extends to all that is so marked and to nothing
-else, whatever the lines' lengths; unless the chosen lines outside are a paragraph or more, and ``WEIGHT`` times those inside:
-then the clusters' regions alone are the content, as on a page that marks nothing.
+content. ``article`` and ``main`` are evidence: the choice extends to all that is so marked and to nothing else, unless that is
+made of links, or the chosen lines outside, those under no such word, have more than ``WEIGHT`` times its unlinked text: then the
+clusters' regions alone are the content, as on a page that marks nothing.
 
 Null and empty pages and pages without content give an empty text. Rows that repeat get the same answer, malformed markup
 (unclosed or stray tags) is read as far as it goes, extra columns pass through. Pages are read whole, one at a time.
@@ -21,7 +21,9 @@ Null and empty pages and pages without content give an empty text. Rows that rep
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
 
 import numpy as np
@@ -29,11 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidemark.llm.batches import slices
+from tidemark.llm.batches import replaced, replaced_schema, slices
 
 SIGMA = 1.0
-#: By how much unlinked text outside must exceed that inside of a marked article, and characters of a paragraph
-WEIGHT, PARAGRAPH = 2, 80
+#: by how much the unlinked text chosen outside must exceed that of a marked article
+WEIGHT = 2
 #: HTML element names by their part in a page
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset("head title script style noscript template nav header footer aside form button select option textarea input iframe object svg canvas dialog menu audio video map".split())
@@ -71,6 +73,7 @@ class Reader(HTMLParser):
         self.parts: list[str] = []
         self.tags = self.linked = self.regions = 0
         self.open: list[tuple[str, bool, int, bool, int]] = []  # element, dropped, region, inside an article, nearest mark
+        self.at: defaultdict[str, list[int]] = defaultdict(list)  # places of each element in it
         self.links = 0
         self.marks: list[int] = [0]  # of each element with a word that marks, the nearest such element around it; the first is the page
         self.mains: set[int] = set()  # nearest marks of main elements
@@ -90,20 +93,23 @@ class Reader(HTMLParser):
     def pop_to(self, depth: int) -> None:
         for element, *_ in self.open[depth:]:
             self.links -= element == "a"
+            self.at[element].pop()
         del self.open[depth:]
 
+    def last(self, tags: Iterable[str]) -> int:
+        """Place of the innermost open element of these; -1 if there is none."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=-1)
+
     def close_implied(self, tag: str) -> None:
         """What the start of ``tag`` ends: an open paragraph, the item before, anything left open outside an article."""
         if tag in ARTICLE:
-            at = next((i for i, x in enumerate(self.open) if x[0] in ("nav", "header", "footer", "head", "ul", "ol", "a")), None)
-            if at is not None and not any(x[0] in ARTICLE for x in self.open):
+            at = min((self.at[t][0] for t in ("nav", "header", "footer", "head", "ul", "ol", "a") if self.at.get(t)), default=None)
+            if at is not None and self.last(ARTICLE) < 0:
                 self.pop_to(at)
-        for i in range(len(self.open) - 1, -1, -1):
-            own = self.open[i][0]
-            if own in CLOSES.get(tag, ()) or own == "p":
-                self.pop_to(i)
-            if own in STOPS.get(tag, ()) or own in REGIONS:
-                break
+        around = self.last((*STOPS.get(tag, ()), *REGIONS))
+        ended = [self.at[t][bisect_left(self.at[t], around)] for t in ("p", *CLOSES.get(tag, ())) if self.at.get(t) and self.at[t][-1] >= around]
+        if ended:
+            self.pop_to(min(ended))
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
@@ -127,6 +133,7 @@ class Reader(HTMLParser):
             if tag == "main" and not dropped:
                 self.mains.add(mark)
         self.links += tag == "a"
+        self.at[tag].append(len(self.open))
         self.open.append((tag, dropped, region, article or (tag in ARTICLE and not dropped), mark))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -171,8 +178,8 @@ class Reader(HTMLParser):
         self.tags += 1
         if tag in BLOCKS:
             self.flush()
-        at = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == tag), None)
-        if at is None or (tag not in REGIONS and any(x[0] in REGIONS for x in self.open[at + 1 :]) and tag not in BLOCKS):
+        at = self.last((tag,))
+        if at < 0 or (tag not in BLOCKS and self.last(REGIONS) > at):
             return
         self.pop_to(at)
 
@@ -225,9 +232,11 @@ def content(lines: list[Line]) -> list[Line]:
         linked[x.region] = linked.get(x.region, 0) + x.linked
     chosen = {lines[i].region for i in high}
     inside = lambda i, x: x.region in chosen or high[0] < i < high[-1]
-    within, outside = (sum(lines[i].unlinked() for i in high if lines[i].article is side) for side in (True, False))
-    if any(x.article for x in lines) and (outside < PARAGRAPH or outside <= WEIGHT * within):
-        return [x for x in lines if x.article]
+    outside = sum(lines[i].unlinked() for i in high if not lines[i].article and not lines[i].mark)
+    marked = [x for x in lines if x.article]
+    within, of_links = sum(x.unlinked() for x in marked), sum(x.linked for x in marked)
+    if marked and of_links <= within and outside <= WEIGHT * within:
+        return marked
     return [x for i, x in enumerate(lines) if inside(i, x) and 2 * linked[x.region] <= chars[x.region]]
 
 
@@ -236,11 +245,12 @@ def main_text(html: str | None) -> str:
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:
-    """``pages`` with the main text of ``html``."""
+    """``pages`` with the main text of ``html``; a column that has the name of ``text`` is replaced."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, html):
             found = pa.array([main_text(x) for x in batch.column(html).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, text])
+            yield replaced(batch, [found], field)
 
-    return pages.mapInArrow(run, T.StructType([*pages.schema.fields, T.StructField(text, T.StringType())]))
+    field = [T.StructField(text, T.StringType())]
+    return pages.mapInArrow(run, replaced_schema(pages, field))

@@ -25,10 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.batches import slices
+from tidemark.llm.batches import replaced, replaced_schema, slices
+from tidemark.llm.shingles import bounded
 
 UNKNOWN = "und"
 PER_LANGUAGE = 1500
+TOTAL_ROWS = 4 * PER_LANGUAGE  # of all languages together; a row's bag is at most 6 bytes for each of the buckets
 GRAMS = (2, 3, 4)
 BUCKET_BITS = 16
 WIDTH = 16
@@ -174,13 +176,15 @@ def calibrate(model: Model, rows: list[Bag], lost: float = 0.001) -> Model:
     return model
 
 
-def _sampled(labelled: DataFrame, per_language: int) -> DataFrame:
-    """``text, lang`` of about ``per_language`` rows of each language, the same ones at every run: those whose hash is under its
-    language's share."""
+def _sampled(labelled: DataFrame, per_language: int, total: int = TOTAL_ROWS) -> DataFrame:
+    """``text, lang`` of about ``per_language`` rows of each language, and of ``total`` in all, the same ones at every run: those
+    whose hash is under their language's share."""
     rows = labelled.where("text is not null and lang is not null and doc_id is not null").select("doc_id", "text", "lang")
     counts = rows.groupBy("lang").agg(F.count("*").alias("rows_"))
+    languages = counts.count()
+    per_language = min(per_language, -(-total // max(1, languages)))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
-    shares = F.broadcast(counts.select("lang", (F.lit(per_language) / F.col("rows_")).alias("share_")))  # a row for each language
+    shares = bounded(counts.select("lang", (F.lit(per_language) / F.col("rows_")).alias("share_")), languages)
     return rows.join(shares, "lang").where(draw < F.col("share_")).select("text", "lang")
 
 
@@ -211,7 +215,7 @@ def learn(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred, score, accepted``: the most likely language, its calibrated probability, and whether that
-    reaches the threshold. The model is broadcast: ``2 ** BUCKET_BITS`` rows of one number a language."""
+    reaches the threshold; columns of these names are replaced. The model is broadcast: ``2 ** BUCKET_BITS`` rows of one number a language."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,7 +224,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             found = [own.predict(t) for t in batch.column(text).to_pylist()]
             names, scores = pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())
             taken = pa.array([x != UNKNOWN and s >= own.threshold for x, s in found], pa.bool_())
-            yield pa.RecordBatch.from_arrays([*batch.columns, names, scores, taken], [*batch.schema.names, "lang_pred", "score", "accepted"])
+            yield replaced(batch, [names, scores, taken], extra)
 
     extra = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("accepted", T.BooleanType())]
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *extra]))
+    return docs.mapInArrow(run, replaced_schema(docs, extra))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.graph import stored
+from tidemark.llm.graph import forget, stored
 from tidemark.llm.shingles import bounded
 
 BITS = 10
@@ -201,6 +201,7 @@ def manifest(leaves: DataFrame, bits: int = BITS) -> DataFrame:
     # stored first: ranges are sampled before rows are dealt to them, and long texts are hashed but once
     hashed = stored(leaves.select("tree", "id", "digest", "claimed"), "merkle-leaves")
     nodes = positions(hashed, ["id", "digest"], "merkle-sorted")
+    forget(hashed)
     storeys, roots = _forest(nodes, "merkle-nodes", bits)
     if len(storeys) == 1:  # no tree has two leaves: the leaves are the roots
         storeys = [nodes, nodes.select("tree", F.lit(0).cast("long").alias("pos"), "size", "digest")]

@@ -19,9 +19,10 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.batches import slices
+from tidemark.llm.batches import replaced, replaced_schema, slices
 
 SAMPLE_ROWS = 400
 WINDOW = 8
@@ -136,8 +137,10 @@ def order(texts: list[str | None], rules: tuple[Rule, ...] = RULES) -> tuple[Rul
 
 
 def sample(docs: DataFrame, rows: int = SAMPLE_ROWS, text: str = "text") -> list[str | None]:
-    share = min(1.0, 3 * rows / max(1, docs.count()))
-    return [r[0] for r in docs.select(text).sample(share, seed=1).limit(rows).collect()]
+    """About ``rows`` texts from all over ``docs``, the same ones at every run: those whose hash is under the share."""
+    key = F.xxhash64("doc_id" if "doc_id" in docs.columns else text)
+    share = min(1.0, rows / max(1, docs.count()))
+    return [r[0] for r in docs.where(F.pmod(key, F.lit(1 << 30)) < share * (1 << 30)).select(text).collect()]
 
 
 def verdict(facts: Facts, ordered: tuple[Rule, ...]) -> str | None:
@@ -148,7 +151,8 @@ def verdict(facts: Facts, ordered: tuple[Rule, ...]) -> str | None:
 def cascade(docs: DataFrame, names: list[str] | None = None, measures: bool = False, text: str = "text") -> DataFrame:
     """``docs`` with ``kept``; ``names`` is the order of the rules in ``RULES``, by default that of a sample of ``docs``.
 
-    ``measures`` adds ``MEASURES`` and ``base_failed``; they are then computed for every text, rejected or not.
+    ``measures`` adds ``MEASURES`` and ``base_failed``; they are then computed for every text, rejected or not. A column of the
+    input that has the name of an added one is replaced by it.
     """
     names = names or [r.name for r in order(sample(docs, text=text))]
     fields = [T.StructField(m, T.LongType()) for m in MEASURES] + [T.StructField("base_failed", T.BooleanType())] if measures else []
@@ -164,6 +168,6 @@ def cascade(docs: DataFrame, names: list[str] | None = None, measures: bool = Fa
                 kept = verdict(f, ordered) is None
                 found.append((*(getattr(f, m) for m in MEASURES), any(r.rejects(f) for r in BASE), kept) if measures else (kept,))
             columns = [pa.array(c, pa.bool_() if x.dataType == T.BooleanType() else pa.int64()) for c, x in zip(zip(*found), fields)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *(x.name for x in fields)])
+            yield replaced(batch, columns, fields)
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *fields]))
+    return docs.mapInArrow(run, replaced_schema(docs, fields))

@@ -12,14 +12,13 @@ reaches its shards once for every ``HELD`` bytes or ``ROWS`` rows that a task ha
 leaves the disk once the spans are written. There is a shard for each shuffle partition; a shard's text, order and queues
 are files once they are long.
 
-``doc_id`` decides alone: rows of one ``doc_id`` (repeated rows too) never remove each other's bytes; a null ``doc_id`` is larger than
+``doc_id``, a whole number (others are refused), decides alone: rows of one ``doc_id`` (repeated rows too) never remove each other's bytes; a null ``doc_id`` is larger than
 all others. Null and empty texts have no bytes, texts shorter than ``LENGTH`` lose none. Empty tables give empty results, extra
 columns are not read. Texts are bytes in UTF-8: what is left of one need not be valid UTF-8.
 """
 
 from __future__ import annotations
 
-import hashlib
 import pickle
 from collections.abc import Iterator
 
@@ -31,7 +30,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import suffix
 from tidemark.llm.batches import slices
 from tidemark.llm.graph import stored
-from tidemark.llm.shingles import text_key
+from tidemark.llm.shingles import text_key, whole_id
 
 LENGTH = 50
 GRAM = 16
@@ -361,7 +360,7 @@ def find_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataF
             doc_id = pa.array(ids[b], mask=ids[b] == NO_ID)
             yield pa.RecordBatch.from_arrays([doc_id, *(pa.array(x[b]) for x in (keys, start, end))], ["doc_id", "text_hash", "start", "end"])
 
-    own = docs.select(F.col("doc_id").cast("long"), text_key().alias("text_hash"), "text")
+    own = docs.select(whole_id(docs), text_key().alias("text_hash"), "text")
     dealt = own.mapInArrow(cut_all, "shard int, packed binary").repartition(tasks, "shard").sortWithinPartitions("shard")
     return dealt.mapInArrow(solve, "doc_id long, text_hash long, start long, end long")
 

@@ -24,6 +24,7 @@ from re import _parser as sre_parser
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.batches import free
 from tidemark.llm.graph import stored
 from tidemark.llm.shingles import bounded, text_key
 
@@ -246,10 +247,12 @@ def _between(text: Column, spans: Column, mask: str) -> Column:
 
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = "[secret]") -> DataFrame:
-    """``docs`` with every span masked, its columns as they are; only texts with a span are rewritten, from the pieces between."""
-    key = {"id_key_": F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), "text_hash_": text_key()}
-    spans = masked_spans(docs, rules).groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans_"))
-    named = stored(spans.select(key["id_key_"].alias("id_key_"), F.col("text_hash").alias("text_hash_"), "spans_").dropDuplicates(["id_key_", "text_hash_"]), "secret-documents")
-    n = named.agg(F.coalesce(F.sum(F.size("spans_")), F.lit(0))).first()[0]
+    """``docs`` with every span masked, its other columns as they are, whatever they are named; only texts with a span are
+    rewritten, from the pieces between."""
+    id_key, text_hash, cuts = (free(n, docs.columns) for n in ("id_key_", "text_hash_", "spans_"))
+    key = {id_key: F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), text_hash: text_key()}
+    spans = masked_spans(docs, rules).groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(cuts))
+    named = stored(spans.select(key[id_key].alias(id_key), F.col("text_hash").alias(text_hash), cuts).dropDuplicates([id_key, text_hash]), "secret-documents")
+    n = named.agg(F.coalesce(F.sum(F.size(cuts)), F.lit(0))).first()[0]
     told = docs.withColumns(key).join(bounded(named, n), [*key], "left")
-    return told.withColumn("text", F.when(F.col("spans_").isNotNull(), _between(F.col("text"), F.col("spans_"), mask)).otherwise(F.col("text"))).select(*docs.columns)
+    return told.withColumn("text", F.when(F.col(cuts).isNotNull(), _between(F.col("text"), F.col(cuts), mask)).otherwise(F.col("text"))).select(*docs.columns)

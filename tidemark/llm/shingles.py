@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 #: rows of two or three longs or short strings that may be broadcast, about 30 MB at most
 BROADCAST_ROWS = 200_000
@@ -22,3 +23,11 @@ def bounded(df: DataFrame, rows: int) -> DataFrame:
 def text_key(text: str = "text") -> Column:
     """Tells the rows of one ``doc_id`` apart; zero for a null text."""
     return F.coalesce(F.xxhash64(F.col(text)), F.lit(0).cast("long"))
+
+
+def whole_id(docs: DataFrame) -> Column:
+    """``doc_id`` as a long; ids of another kind are refused, as their order and names would change in a cast."""
+    kind = docs.schema["doc_id"].dataType
+    if not isinstance(kind, IntegralType):
+        raise ValueError(f"doc_id must be a whole number, not {kind.simpleString()}")
+    return F.col("doc_id").cast("long").alias("doc_id")

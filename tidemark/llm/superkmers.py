@@ -15,7 +15,7 @@ The number of buckets follows the words that travel.
 Equal strings are one already in the task that cuts them, and what it then knows to be repeated leaves as finished spans, so a text
 that a third of all documents share reaches its buckets once for every ``HELD`` words that a task has cut. Strings travel compressed.
 
-``doc_id`` (a whole number) decides alone: rows of one ``doc_id`` (repeated rows too) never remove each other's words; a null ``doc_id`` is
+``doc_id`` (a whole number, others are refused) decides alone: rows of one ``doc_id`` (repeated rows too) never remove each other's words; a null ``doc_id`` is
 larger than all others. Words are what stands between the six white spaces of ASCII, compared byte by byte. Null and empty texts have no
 words, texts of fewer than ``LENGTH`` words lose none; long texts are cut in pieces that overlap by ``LENGTH - 1`` words. Empty tables give empty
 results, extra columns are not read.
@@ -33,9 +33,9 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.llm.batches import slices
-from tidemark.llm.graph import stored
+from tidemark.llm.graph import forget, stored
 from tidemark.llm.repeats import NO_ID, gather, numbered, thin, widen
-from tidemark.llm.shingles import text_key
+from tidemark.llm.shingles import text_key, whole_id
 
 LENGTH = 50
 GRAM = 8
@@ -447,6 +447,7 @@ def hot_keys(own: DataFrame, length: int, gram: int) -> tuple[list[np.ndarray],
             limit = max(LEAST_HOT, min(SHARD_WORDS // 4, total // (2 * shards)))
         # a key beyond the list stays as it is: its windows meet in one bucket all the same
         found = many.where(F.col("words") >= limit).orderBy(F.desc("words"), "key").limit(HOT_KEYS).collect()
+        forget(many)
         if not found:
             break
         hot.append(np.sort(np.array([r.key for r in found], dtype=np.int64).view(np.uint64)))
@@ -458,7 +459,7 @@ SPANS = "doc_id long, text_hash long, start long, end long"
 
 def find_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``doc_id, text_hash, start, end``: words that go; spans of a row may touch and overlap."""
-    own = docs.select(F.col("doc_id").cast("long"), text_key().alias("text_hash"), "text")
+    own = docs.select(whole_id(docs), text_key().alias("text_hash"), "text")
     hot, shards = hot_keys(own, length, gram)
 
     def spans(found: tuple[np.ndarray, ...]) -> list[pa.Array]:

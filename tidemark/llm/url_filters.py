@@ -7,11 +7,13 @@ instant an ``add`` counts. Events with a null in any of pattern, verdict, action
 
 Captures: ``capture_id, url, fetched_at``. Of the entries active at ``fetched_at`` the most specific decides: prefixes before domains,
 longer patterns before shorter; then ``allow`` before ``block``, then the first list, then the latest listing. No entry: verdict ``none``.
-Null or malformed urls and null times meet no entry. Rows that repeat are answered once. Empty tables give empty results, an
-empty list gives ``none`` for all; extra columns are not read.
+Null or malformed urls and null times meet no entry; a host may be of any length. Rows that repeat are answered once. Empty tables
+give empty results, an empty list gives ``none`` for all; extra columns are not read.
 
 Intervals and captures meet on pattern and time bucket, so a pattern that a third of all captures share, or one with a long
-history, is spread over as many keys as there are buckets; a list counted as small is broadcast instead of shuffled.
+history, is spread over as many keys as there are buckets; a list counted as small is broadcast instead of shuffled. A capture
+asks only for suffixes of as many labels, and prefixes of as many characters, as some entry has; that there may be no entry is
+no key of the join but a row beside it.
 """
 
 from __future__ import annotations
@@ -23,14 +25,12 @@ from tidemark.llm.graph import stored
 from tidemark.llm.shingles import bounded
 
 BUCKET_DAYS = 30
-LONGEST_HOST = 253  # of a host name in DNS; a longer one is no host's
 
 
 def host(url: Column) -> Column:
     """Lower-cased host without user, port or final dot; empty if there is none."""
     found = F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]*)", 1))
-    found = F.regexp_replace(found, r"\.$", "")
-    return F.when(F.char_length(found) <= LONGEST_HOST, found).otherwise(F.lit(""))
+    return F.regexp_replace(found, r"\.$", "")
 
 
 def path(url: Column) -> Column:
@@ -57,15 +57,19 @@ def _bucket(at: Column, days: int) -> Column:
     return F.floor(F.unix_seconds(at) / (86400 * days))
 
 
-def _keys(labels: int, lengths: list[int]) -> Column:
-    """The patterns that may hold a capture: its domain's suffixes, as deep as the list goes, and its prefixes of the list's lengths."""
-    parts = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.greatest(F.lit(1), F.size(parts) - labels + 1), F.size(parts)), lambda i: F.struct(F.lit("domain").alias("kind"), F.array_join(F.slice(parts, i, F.size(parts)), ".").alias("pattern")))
-    whole = F.concat("host", "path")
-    fitting = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.char_length(whole))
-    prefixes = F.transform(fitting, lambda n: F.struct(F.lit("prefix").alias("kind"), F.substring(whole, F.lit(1), n).alias("pattern")))
-    nothing = F.array(F.struct(F.lit("none").alias("kind"), F.lit("").alias("pattern")))
-    return F.array_distinct(F.when((F.col("host") == "") | F.col("at").isNull(), nothing).otherwise(F.concat(suffixes if labels else F.slice(suffixes, 1, 0), prefixes, nothing)))
+def _keys(labels: list[int], lengths: list[int]) -> Column:
+    """The patterns that may hold a capture: suffixes of its host and prefixes of its host and path, of the list's sizes."""
+    parts, whole = F.split("host", r"\."), F.concat("host", "path")
+
+    def fitting(sizes: list[int], most: Column) -> Column:
+        return F.filter(F.array(*[F.lit(n) for n in sizes]).cast("array<int>"), lambda n: n <= most)
+
+    def key(kind: str, pattern: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), pattern.alias("pattern"))
+
+    suffixes = F.transform(fitting(labels, F.size(parts)), lambda n: key("domain", F.array_join(F.slice(parts, -n, n), ".")))
+    prefixes = F.transform(fitting(lengths, F.char_length(whole)), lambda n: key("prefix", F.substring(whole, F.lit(1), n)))
+    return F.concat(suffixes, prefixes)
 
 
 def decide(captures: DataFrame, events: DataFrame, bucket_days: int = BUCKET_DAYS) -> DataFrame:
@@ -82,19 +86,21 @@ def decide(captures: DataFrame, events: DataFrame, bucket_days: int = BUCKET_DAY
     listed = stored(active.where(begins & lasts).withColumn("bucket", F.explode(covered)), "list-intervals")
     rows, labels, lengths = listed.agg(
         F.count("*"),
-        F.coalesce(F.max(F.when(F.col("kind") == "domain", F.size(F.split("pattern", r"\.")))), F.lit(0)),
-        F.array_sort(F.collect_set(F.when(F.col("kind") == "prefix", F.char_length("pattern")))),  # as many as the longest pattern is long
+        F.array_sort(F.collect_set(F.when(F.col("kind") == "domain", F.size(F.split("pattern", r"\."))))),  # as many as the longest pattern has
+        F.array_sort(F.collect_set(F.when(F.col("kind") == "prefix", F.char_length("pattern")))),
     ).first()
-    asked = own.select("capture_id", "url", "fetched_at", "host", "at", _bucket(F.col("at"), bucket_days).alias("bucket"), F.explode(_keys(labels, lengths)).alias("key"))
-    asked = asked.select("capture_id", "url", "fetched_at", "host", "at", "bucket", "key.kind", "key.pattern")
+    capture = ["capture_id", "url", "fetched_at", "host"]
+    keyed = own.where("host <> '' and at is not null").select(*capture, "at", _bucket(F.col("at"), bucket_days).alias("bucket"), F.explode(_keys(labels, lengths)).alias("key"))
+    asked = keyed.select(*capture, "at", "bucket", "key.kind", "key.pattern")
     a, e = asked.alias("a"), bounded(listed, rows).alias("e")
     on = (F.col("a.kind") == F.col("e.kind")) & (F.col("a.pattern") == F.col("e.pattern")) & (F.col("a.bucket") == F.col("e.bucket"))
     on &= (F.col("a.at") >= F.col("e.valid_from")) & (F.col("e.valid_to").isNull() | (F.col("a.at") < F.col("e.valid_to")))
-    met = a.join(e, on, "left")
-    # the least struct decides; nulls come first in Spark, so whether there is an entry leads
+    # the least struct decides
     order = F.struct(
-        F.col("e.pattern").isNull().alias("missing"), (F.col("e.kind") == "domain").alias("domain"), (-F.char_length("e.pattern")).alias("length"), F.col("e.verdict").alias("verdict"),
+        F.lit(False).alias("missing"), (F.col("e.kind") == "domain").alias("domain"), (-F.char_length("e.pattern")).alias("length"), F.col("e.verdict").alias("verdict"),
         F.col("e.list_id").alias("list_id"), (-F.unix_micros("e.valid_from")).alias("age"), F.col("e.kind").alias("kind"), F.col("e.pattern").alias("pattern"), F.col("e.valid_from").alias("valid_from"),
     )
-    best = met.groupBy("a.capture_id", "a.url", "a.fetched_at", "a.host").agg(F.min(order).alias("b"))
+    met = a.join(e, on).select(*[F.col(f"a.{c}") for c in capture], order.alias("b"))
+    none = [F.lit(True).alias("missing"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in met.schema["b"].dataType.fields[1:]]]
+    best = met.unionByName(own.select(*capture, F.struct(*none).alias("b"))).groupBy(*capture).agg(F.min("b").alias("b"))
     return best.select("capture_id", "url", "fetched_at", "host", F.coalesce("b.verdict", F.lit("none")).alias("verdict"), "b.list_id", "b.kind", "b.pattern", "b.valid_from")
