@@ -1,7 +1,8 @@
 """From raw documents to token ids: five stages, each over all that the one before it kept.
 
 A stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as Parquet and read again as the next one's
-``docs``. All but the last return the columns of ``documents``.
+``docs``. All but the last return the columns of ``documents``, extra ones too, whatever they are named. A stage's own intermediate tables,
+and the one before it, go once it is written.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontaminate, langid, secrets, simhash
-from tidemark.llm.graph import stored
+from tidemark.llm.graph import forget, stored, temporary
 from tidemark.llm.queries import vocabulary_path
 
 #: language ID and BPE are no SQL; tests hold each stage against a brute-force version
@@ -21,8 +22,10 @@ ORACLE_SQL = None
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the documents' own labels; texts without a letter or under the calibrated score go, missing labels are filled in."""
-    told = langid.predict(docs, langid.learn(docs)).where("accepted")
-    return told.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    rows = docs.select("text", F.struct("*").alias("row"))  # apart from the columns that a prediction adds
+    told = langid.predict(rows, langid.learn(docs)).where("accepted")
+    of = lambda c: F.col(f"row.`{c}`")
+    return told.select(*[F.coalesce(of(c), "lang_pred").alias(c) if c == "lang" else of(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,6 +63,10 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+    for i, (name, stage) in enumerate(STAGES):
+        with temporary() as scope:
+            out = scope.keep(stored(stage(spark, docs, sf_dir), f"stage-{name}"))
+        if i:
+            forget(docs)
+        docs = out
     return docs
