@@ -1,3 +1,4 @@
+import os
 import re
 
 import pandas as pd
@@ -88,3 +89,22 @@ def test_nulls_repeats_and_extra_columns_go_through(spark):
 
 def test_run(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).columns == ["doc_id", "lang", "source", "n_tokens", "ids", "decoded_sha256"]
+
+
+def test_columns_of_any_name_pass(spark, tmp_path):
+    rows = [(i, f"some plain words number {i} of an english text that is long enough to be told", "en", "s", 70, 1.5, "k", "p", True) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score double, id_key_ string, lang_pred string, accepted boolean")
+    spark.createDataFrame([(1, "quite another passage of a benchmark")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        assert {(r.score, r.id_key_, r.lang_pred, r.accepted) for r in out.collect()} == {(1.5, "k", "p", True)}, name
+
+
+def test_stages_leave_only_the_result(spark, tmp_path):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    tables = lambda: {f"{d}/{n}" for d, names, _ in os.walk(folder) for n in names if re.fullmatch(r"[a-z0-9-]+-[0-9a-f]{8}", n)}
+    before = tables()
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    left = tables() - before
+    assert len(left) == 1 and "/stage-bpe-" in left.pop() and out.count() > 0
