@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.bitmaps import dense, member_sets, merged_sets, set_sizes
 from tidemark.operators.compare import future_placeholders, lagged_compare
 from tidemark.operators.dedup import latest_per_key
-from tidemark.operators.fx import fx_interval_join
+from tidemark.operators.fx import bucketed_intervals, fx_interval_join, rates_by_interval
 from tidemark.operators.ratios import Ratio, ratio_rows
 from tidemark.operators.region import region_fanout
 from tidemark.operators.rollup import grouping_levels
@@ -156,6 +156,29 @@ def test_fx_interval_join(spark):
     assert got == {1: 0.85, 2: 0.86, 3: None, 4: None}
 
 
+def test_twenty_years_of_daily_rates_meet_a_fact_week_by_week(spark):
+    start = datetime(2004, 1, 1)
+    days = 20 * 365
+    rows = [(start + timedelta(days=i), start + timedelta(days=i, hours=23, minutes=59), c, t, 1.0 + i / 1000) for i in range(days) for c in ("EUR", "USD") for t in ("GBP",)]
+    rows += [(datetime(1990, 1, 1), datetime(9999, 12, 31), "XAU", "GBP", 7.0), (start, start - timedelta(days=1), "EUR", "GBP", 99.0)]
+    rates = spark.createDataFrame(rows, "valid_from timestamp, valid_to timestamp, base_currency string, target_currency string, rate double")
+    facts = spark.createDataFrame(
+        [(i, ("EUR", "USD", "XAU", "ZZZ", None)[i % 5], None if i % 97 == 0 else start + timedelta(days=(i * 37) % (days + 400) - 200, minutes=i)) for i in range(2000)],
+        "id int, cur string, at timestamp",
+    )
+    by_interval = rates_by_interval(rates)
+    want = facts.join(by_interval, (F.col("cur") == F.col("base_currency")) & F.col("at").between(F.col("valid_from"), F.col("valid_to")), "left")
+    got = fx_interval_join(facts, rates, "cur", "at")
+    assert got.columns == [*facts.columns, "rate_gbp", "rate_eur"]
+    assert got.exceptAll(want.select(*got.columns)).count() == 0 and got.count() == want.count()
+    first, last = date(1990, 1, 1), date(2023, 12, 26)
+    met = bucketed_intervals(by_interval, first, last).groupBy("base_currency", "_bucket").count().agg(F.max("count")).first()[0]
+    assert met <= 8  # intervals of a currency in a bucket
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_fact_bucket" in plan and "(_fact_bucket" in next(line for line in plan.splitlines() if "Join LeftOuter" in line)
+    assert fx_interval_join(facts, rates.limit(0), "cur", "at").where("rate_gbp is not null").count() == 0
+
+
 def test_ratio_rows_missing_sides(spark):
     d = date(2024, 1, 7)
     rows = spark.createDataFrame(
