@@ -92,6 +92,7 @@ select s.date_scope, s.product_pl, s.region, c.financial_year, c.week_number, c.
 from (select distinct date_scope, product_pl, region, metric_name from x_overview_base where metric_name not like '%Budget%') s,
  (select distinct financial_year, week_number, year_month_day, week_commencing_date from x_calendar where year_month_day > date '2025-12-01' and week_commencing_date > date '2025-12-01') c"""
 STEPS["stored_supply_mart"] = "select * from x_supply_mart"
+STEPS["stored_carried_years"] = "select * from x_supply_mart where date_scope = 'FYtD'"
 STEPS["stored_overview_report"] = "select * from x_overview"
 STEPS["stored_breakout_report"] = "select * from x_breakout"
 STEPS["stored_dashboard"] = "select * from x_dashboard"

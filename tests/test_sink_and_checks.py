@@ -12,7 +12,7 @@ from tidemark.checks import campaigns, monetisation, quality, retention
 from tidemark.checks.reconcile import failing, reconcile, tally
 from tidemark.operators.compare import weeks_to_read, weeks_to_rebuild
 from tidemark.params import RunParams
-from tidemark.plans import acquisition, extracts
+from tidemark.plans import acquisition, extracts, ytd
 from tidemark.plans import monetisation as monetisation_plans
 from tidemark.plans import retention as retention_plans
 from tidemark.plans.refresh import MARTS, METRIC_MARTS, refresh
@@ -354,3 +354,41 @@ def test_margin_after_spend_is_judged_where_no_region_lacks_a_row(spark):
         ("DAY", W2): ("parts lacking", False), ("WEEK", W2): ("parts lacking", False), ("FYtD", W2): ("parts lacking", False),
         ("DAY", W2 + timedelta(days=1)): ("compared", True),
     }
+
+
+def test_year_to_date_is_carried_from_the_week_that_changed(spark, src, store):
+    """Runs over single weeks, in any order, with series that come, change and leave gaps: as adding up anew, week by week."""
+    folder = fresh()
+    path, state = folder + "/supply_mart", folder + "/_ytd/supply_mart"
+    cfg = replace(CONFIG, ytd_state=(path, state))
+    weekly = store.stored("supply_mart", ["WEEK"]).where(F.col("week_commencing_date").between(F.lit(date(1998, 8, 2)), F.lit(date(1999, 9, 5)))).where("region in ('France', 'RoE')")
+    keys = ["week_commencing_date", "region", "metric_name"]
+    thin = weekly.where(F.pmod(F.xxhash64(*keys), F.lit(3)) > 0)
+    week = F.col("week_commencing_date")
+    steps = [
+        (thin.where(week < F.lit(date(1999, 2, 7))), RunParams(date(1998, 8, 2), date(1999, 2, 6))),
+        (thin.where(week == F.lit(date(1999, 2, 7))), RunParams(date(1999, 2, 7), date(1999, 2, 13))),
+        (weekly.where(week == F.lit(date(1998, 10, 11))).withColumn("metric_value", F.col("metric_value") * 2), RunParams(date(1998, 10, 13), date(1998, 10, 14))),
+        (weekly.where(week == F.lit(date(1998, 11, 8))), None),  # written without carrying: the next run of the year must see it
+        (weekly.where(week == F.lit(date(1999, 1, 3))), RunParams(date(1999, 1, 3), date(1999, 1, 9))),
+        (weekly.where(week == F.lit(date(1999, 5, 9))), RunParams(date(1999, 5, 9), date(1999, 5, 15))),
+    ]
+    for rows, run in steps:
+        upsert(path, rows)
+        if run is None:
+            continue
+        run = replace(run, as_of=RUN.as_of)
+        carried = MARTS["supply_mart"].fytd(read_table(spark, path), src, run, cfg)
+        upsert(path, carried)
+        ytd.remember(spark, path, state, src.calendar, run)
+        stored = read_table(spark, path)
+        whole = MARTS["supply_mart"].fytd(stored, src, replace(RUN, start=date(1998, 8, 2), end=date(1999, 9, 11)), CONFIG).drop("last_modified")
+        held = stored.where("date_scope = 'FYtD'").drop("last_modified").select(*whole.columns)
+        years = [r[0] for r in held.select("financial_year").distinct().collect()]
+        whole = whole.where(F.col("financial_year").isin(years))
+        assert held.count() > 0 and whole.exceptAll(held).count() == 0 and held.exceptAll(whole).count() == 0
+    # a run of one week reads that week's rows, the state of the week before, and what lies behind
+    one = replace(run, start=date(1999, 2, 7), end=date(1999, 2, 13))
+    found = ytd.carried_ytd(read_table(spark, path), path, state, src.calendar, one)
+    assert min(f.split("week_commencing_date=")[1][:10] for f in found.inputFiles()) == "1999-02-07"
+    assert [p for p in scans(found, path + "/") if "PartitionFilters" not in p] == []

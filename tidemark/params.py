@@ -85,3 +85,5 @@ class MartConfig:
     # "EUR" repeats what the stored marts hold for UK & EU totals, "GBP" is the other reading
     total_currency: str = "EUR"
     null_dimension: str = field(default="Unknown")
+    # the stored mart and the state of its running totals, where a run carries them
+    ytd_state: tuple[str, str] | None = None

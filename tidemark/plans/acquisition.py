@@ -20,12 +20,13 @@ from tidemark.operators.pivot import unpivot_metrics
 from tidemark.operators.ratios import Ratio, ratio_rows, with_ratios
 from tidemark.operators.region import line_owns_region, region_fanout
 from tidemark.operators.rollup import grouping_levels, label_levels
-from tidemark.operators.scopes import roll_to_week, run_weeks, running_ytd, touched
+from tidemark.operators.scopes import roll_to_week, run_weeks, touched
 from tidemark.params import ALL, DAY, FYTD, WEEK, MartConfig, RunParams
 from tidemark.plans.common import (
     CAMPAIGN_PL, CAMPAIGN_REGION, DAY_KEYS, LINE_PL, LINE_REGION, both_currencies, qualifying_lines, region_totals,
 )
 from tidemark.plans.extracts import customer_sets, purchase_lines
+from tidemark.plans.ytd import year_to_date
 from tidemark.sources.catalog import Sources
 
 # Output column -> KPI of the marketing source.
@@ -254,7 +255,7 @@ def acquisition_week(mart: DataFrame, src: Sources, p: RunParams, cfg: MartConfi
 
 
 def acquisition_fytd(mart: DataFrame, src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
-    running = running_ytd(mart, src.calendar, p, (*FYTD_METRICS, *ROAS_INPUTS), calendar_years=True)
+    running = year_to_date(mart, src, p, cfg, (*FYTD_METRICS, *ROAS_INPUTS), calendar_years=True)
     keys = [c for c in running.columns if c not in ("metric_name", "metric_value")]
     reported = ~F.col("metric_name").isin(*ROAS_INPUTS)
     return to_mart(with_ratios(running, keys, [*EFFICIENCY, COST_PER_CLICK]).where(reported), FYTD, src.calendar, p)

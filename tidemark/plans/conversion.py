@@ -15,11 +15,12 @@ from tidemark.operators.pivot import unpivot_metrics
 from tidemark.operators.ratios import Ratio, with_ratios
 from tidemark.operators.region import region_fanout
 from tidemark.operators.rollup import grouping_levels, label_levels
-from tidemark.operators.scopes import roll_to_week, running_ytd
+from tidemark.operators.scopes import roll_to_week
 from tidemark.params import ALL, DAY, FYTD, WEEK, MartConfig, RunParams
 from tidemark.plans.common import (
     CAMPAIGN_PL, CAMPAIGN_REGION, DAY_KEYS, LINE_PL, LINE_REGION, is_gross_sale, qualifying_lines,
 )
+from tidemark.plans.ytd import year_to_date
 from tidemark.sources.catalog import Sources
 
 ADDITIVE = ("Gross Sales", "WBR Gross Transactions", "Total Visits", "Transactions Tracked")
@@ -122,7 +123,7 @@ def conversion_week(mart: DataFrame, src: Sources, p: RunParams, cfg: MartConfig
 
 def conversion_fytd(mart: DataFrame, src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
     """Gross sales budget is summed only to price the average; it is not reported at this scope."""
-    running = running_ytd(mart, src.calendar, p, (*ADDITIVE, "Gross Transactions Budget", "Gross Sales Budget"))
+    running = year_to_date(mart, src, p, cfg, (*ADDITIVE, "Gross Transactions Budget", "Gross Sales Budget"))
     keys = [c for c in running.columns if c not in ("metric_name", "metric_value")]
     reported = F.col("metric_name") != "Gross Sales Budget"
     return to_mart(with_ratios(running, keys, [*RATIOS, PLAN_RATIO]).where(reported), FYTD, src.calendar, p)

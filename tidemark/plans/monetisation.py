@@ -18,13 +18,14 @@ from tidemark.operators.pivot import unpivot_metrics
 from tidemark.operators.ratios import Ratio, with_ratios
 from tidemark.operators.region import pair_fanout, region_fanout
 from tidemark.operators.rollup import distinct_then_count
-from tidemark.operators.scopes import roll_to_week_by_year, running_ytd
+from tidemark.operators.scopes import roll_to_week_by_year
 from tidemark.params import ALL, DAY, FYTD, WEEK, MartConfig, RunParams
 from tidemark.plans.common import (
     CAMPAIGN_PL, CAMPAIGN_REGION, DAY_KEYS, LINE_PL, LINE_REGION, both_currencies, qualifying_lines, region_totals,
     round4,
 )
 from tidemark.plans.extracts import distinct_orders
+from tidemark.plans.ytd import year_to_date
 from tidemark.sources.catalog import Sources
 
 # Summed metrics, the partner's label, ratios with their names, the ad server's key.
@@ -369,6 +370,6 @@ def monetisation_week(mart: DataFrame, src: Sources, p: RunParams, cfg: MartConf
 
 
 def monetisation_fytd(mart: DataFrame, src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
-    running = running_ytd(mart, src.calendar, p, ADDITIVE)
+    running = year_to_date(mart, src, p, cfg, ADDITIVE)
     keys = ["financial_year", "week_number", "week_commencing_date", "product_pl", "region", "category"]
     return to_mart(with_ratios(running, keys, RATIOS), FYTD, src.calendar, p)

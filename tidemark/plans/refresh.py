@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.params import DAY, FYTD, WEEK, MartConfig, RunParams
 from tidemark.plans import acquisition, budget, conversion, monetisation, reports, retention, supply
+from tidemark.plans.ytd import remember
 from tidemark.schema import BREAKOUT_KEY, BUDGET_KEY, BUDGET_MEASURES, MART_KEY, MART_UPDATE, OVERVIEW_KEY, PARTITION
 from tidemark.sinks.upsert import read_table, upsert
 from tidemark.sources.catalog import Sources
@@ -51,8 +52,12 @@ def _refresh_mart(
         build = builders[scope]
         if scope not in scopes or build is None:
             continue
-        rows = build(src, p, cfg) if scope == DAY else build(read_table(spark, path), src, p, cfg)
+        state = f"{folder}/_ytd/{name}"
+        own = replace(cfg, ytd_state=(path, state)) if scope == FYTD else cfg
+        rows = build(src, p, own) if scope == DAY else build(read_table(spark, path), src, p, own)
         weeks.update(upsert(path, rows, list(mart.key), list(mart.update), staging=staging))
+        if scope == FYTD:
+            remember(spark, path, state, src.calendar, p)
     return read_table(spark, path), weeks
 
 

@@ -15,10 +15,11 @@ from tidemark.operators.pivot import unpivot_metrics
 from tidemark.operators.ratios import Ratio, ratio_rows
 from tidemark.operators.region import line_owns_region, region_fanout
 from tidemark.operators.rollup import count_each
-from tidemark.operators.scopes import lag_previous_present, roll_to_week, running_ytd
+from tidemark.operators.scopes import lag_previous_present, roll_to_week
 from tidemark.params import ALL, DAY, FYTD, WEEK, MartConfig, RunParams
 from tidemark.plans.common import DAY_KEYS, LINE_PL, LINE_REGION, round4
 from tidemark.plans.extracts import order_rows
+from tidemark.plans.ytd import year_to_date
 from tidemark.sources.catalog import Sources
 
 # Lifecycle stage -> column prefix of the summary; (category, stage) -> metric name; rates and
@@ -201,6 +202,6 @@ def retention_week(mart: DataFrame, src: Sources, p: RunParams, cfg: MartConfig)
 
 
 def retention_fytd(mart: DataFrame, src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
-    running = running_ytd(mart, src.calendar, p, (*GROWTH_NAMES.values(), *JOURNEY_ADDITIVE))
+    running = year_to_date(mart, src, p, cfg, (*GROWTH_NAMES.values(), *JOURNEY_ADDITIVE))
     keys = ["financial_year", "week_number", "week_commencing_date", "product_pl", "region", "sub_category"]
     return to_mart(running.unionByName(frequency_rows(running, keys)), FYTD, src.calendar, p)

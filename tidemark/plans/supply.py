@@ -11,11 +11,12 @@ from tidemark.operators.calendar import in_run, in_window
 from tidemark.operators.gate import to_mart
 from tidemark.operators.pivot import unpivot_metrics
 from tidemark.operators.ratios import Ratio, with_ratios
-from tidemark.operators.scopes import roll_to_week, running_ytd
+from tidemark.operators.scopes import roll_to_week
 from tidemark.params import ALL, DAY, FYTD, WEEK, MartConfig, RunParams
 from tidemark.plans.common import (
     DAY_KEYS, LINE_PL, LINE_REGION, both_currencies, qualifying_lines, region_totals, round4,
 )
+from tidemark.plans.ytd import year_to_date
 from tidemark.sources.catalog import Sources
 
 SALES = {"gross_sales": "m_gross_sales_amount", "net_sales": "m_net_sales_amount", "refunds": "m_refunded_amount"}
@@ -97,6 +98,6 @@ def supply_week(mart: DataFrame, src: Sources, p: RunParams, cfg: MartConfig) ->
 
 
 def supply_fytd(mart: DataFrame, src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
-    running = running_ytd(mart, src.calendar, p, (*ADDITIVE, *BUDGET_METRICS))
+    running = year_to_date(mart, src, p, cfg, (*ADDITIVE, *BUDGET_METRICS))
     keys = [c for c in running.columns if c not in ("metric_name", "metric_value")]
     return to_mart(with_ratios(running, keys, RATIOS), FYTD, src.calendar, p)

@@ -33,6 +33,7 @@ from tidemark.plans.conversion import conversion_budget
 from tidemark.plans.extracts import distinct_orders
 from tidemark.plans.refresh import METRIC_MARTS, refresh_mart, refresh_reports
 from tidemark.plans.store import MartStore
+from tidemark.plans.ytd import remember
 from tidemark.schema import BREAKOUT_KEY, BUDGET_KEY, BUDGET_MEASURES, MART_KEY, OVERVIEW_KEY
 from tidemark.session import scratch_table
 from tidemark.sinks.upsert import read_table, upsert
@@ -384,6 +385,23 @@ def _(s: Setup) -> DataFrame:
 query("stored_dashboard")(lambda s: refresh_reports(s.spark, s.marts, [], s.p, scratch_table(s.spark, "dashboard"))["dashboard"])
 
 
+@query("stored_carried_years")
+def _(s: Setup) -> DataFrame:
+    """Running totals of supply carried by three runs: over weeks of which some are wrong or missing, then over those alone."""
+    folder = scratch_table(s.spark, "carried")
+    path, weekly = f"{folder}/supply_mart", s.store.stored("supply_mart", [WEEK])
+    cfg = replace(s.cfg, ytd_state=(path, f"{folder}/_ytd/supply_mart"))
+    wrong, missing = [date(1998, 5, 3)], [date(1997, 8, 10)]
+    week = F.col("week_commencing_date")
+    bad = F.when(week.isin(wrong), F.col("metric_value") + 1).otherwise(F.col("metric_value"))
+    first = weekly.where(~week.isin(missing)).withColumn("metric_value", bad)
+    for rows, run in ((first, s.p), *[(weekly.where(week.isin(w)), replace(s.p, start=w, end=w)) for w in (*wrong, *missing)]):
+        upsert(path, rows)
+        upsert(path, supply.supply_fytd(read_table(s.spark, path), s.src, run, cfg))
+        remember(s.spark, *cfg.ytd_state, s.src.calendar, run)
+    return read_table(s.spark, path).where(F.col("date_scope") == FYTD)
+
+
 @query("stored_drift")
 def _(s: Setup) -> DataFrame:
     """Three upserts of supply rows: the second brings a column, the third, of the same weeks, has none."""
