@@ -8,7 +8,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.checks import campaigns, monetisation, quality, retention
+from tidemark.checks import campaigns, monetisation, moved, quality, retention
 from tidemark.checks.reconcile import failing, reconcile, tally
 from tidemark.operators.compare import weeks_to_read, weeks_to_rebuild
 from tidemark.params import RunParams
@@ -18,7 +18,7 @@ from tidemark.plans import retention as retention_plans
 from tidemark.plans.refresh import MARTS, METRIC_MARTS, refresh
 from tidemark.plans.reports import breakout_report
 from tidemark.plans.store import MartStore
-from tidemark.schema import MART_KEY
+from tidemark.schema import MART_KEY, OVERVIEW_KEY
 from tidemark.sinks.upsert import alone, merge_rows, read_parts, read_table, upsert
 from tidemark.sources.catalog import FACTS, LOOKUPS, Sources
 from tidemark.sources.fixtures import CONFIG, RUN
@@ -392,3 +392,44 @@ def test_year_to_date_is_carried_from_the_week_that_changed(spark, src, store):
     found = ytd.carried_ytd(read_table(spark, path), path, state, src.calendar, one)
     assert min(f.split("week_commencing_date=")[1][:10] for f in found.inputFiles()) == "1999-02-07"
     assert [p for p in scans(found, path + "/") if "PartitionFilters" not in p] == []
+
+
+def test_checks_look_at_moved_weeks_only(spark):
+    path, key = fresh() + "/table", ["k", "week_commencing_date"]
+    note = path + "/_checked/keys"
+    rows = spark.createDataFrame([("a", W1, 1.0, "x"), ("b", W1, 1.0, "x"), ("a", W2, 1.0, "x")], TABLE)
+    upsert(path, rows, key, None)
+    check = lambda: moved.unique_keys_where_moved(spark, note, path, key)
+    weeks, found = check()
+    assert weeks == [W1, W2] and {(r.week_commencing_date, r.records, r.failed) for r in found.collect()} == {(W1, 2, False), (W2, 1, False)}
+    weeks, found = check()
+    assert weeks == [] and found.count() == 0 and not found.inputFiles()
+    upsert(path, rows.where("k = 'b'"), key, None)  # other files, the same rows
+    assert check()[0] == [] and check()[0] == []
+    rows.where(F.col("week_commencing_date") == F.lit(W2)).write.mode("append").partitionBy("week_commencing_date").parquet(path)
+    for _ in range(2):  # until it is mended
+        weeks, found = check()
+        assert weeks == [W2] and [(r.records, r.repeated_keys, r.failed) for r in found.collect()] == [(2, 1, True)]
+        assert {f.split("/")[-2] for f in found.inputFiles()} == {f"week_commencing_date={W2}"}
+
+
+def test_reports_are_compared_where_they_or_the_mart_moved(spark, store):
+    folder, v1, v2 = fresh(), date(1999, 5, 9), date(1999, 5, 16)
+    mart = store.whole("acquisition_mart").where(F.col("week_commencing_date").isin(v1, v2))
+    upsert(f"{folder}/mart", mart)
+    upsert(f"{folder}/report", store.report("overview_status").where(F.col("week_commencing_date").isin(v1, v2)), OVERVIEW_KEY, None)
+    check = lambda: moved.report_where_moved(spark, f"{folder}/_checked/overview", f"{folder}/report", f"{folder}/mart", RUN, False)
+    weeks, found = check()
+    assert weeks == [v1, v2] and found.count() > 0 and found.where("failed").count() == 0
+    assert check()[0] == []
+    upsert(f"{folder}/mart", damaged(mart.where(F.col("week_commencing_date") == F.lit(v2)), F.lit(True)))
+    weeks, found = check()
+    assert weeks == [v2] and found.where("failed").count() > 0
+
+
+def test_fingerprints_ignore_order_and_stamps(spark):
+    rows = spark.createDataFrame([(i % 3, W1 if i % 2 else W2, float(i)) for i in range(50)], "k int, week_commencing_date date, v double")
+    a = moved.fingerprints(rows.withColumn("last_modified", F.lit(1)))
+    b = moved.fingerprints(rows.orderBy(F.desc("v")).repartition(5).withColumn("last_modified", F.lit(2)).select("last_modified", "v", "k", "week_commencing_date"))
+    assert a.exceptAll(b).count() == 0 and a.count() == 2
+    assert moved.fingerprints(rows.where("v < 49")).exceptAll(a).count() == 1

@@ -8,7 +8,6 @@ decimals, so carrying gives the bits of adding up anew.
 
 from __future__ import annotations
 
-import json
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -18,8 +17,8 @@ from tidemark.operators.scopes import SERIES, rows_of, running_ytd
 from tidemark.params import WEEK, MartConfig, RunParams
 from tidemark.schema import PARTITION
 from tidemark.sinks.columns import columns_of
-from tidemark.sinks.files import Folder
 from tidemark.sinks.upsert import read_parts, upsert
+from tidemark.sinks.weeks import newest_note, signature, stored_weeks, write_note
 from tidemark.sources.catalog import Sources
 
 KEY = ["financial_year", "week_number", PARTITION, *SERIES]
@@ -27,34 +26,12 @@ TOTAL = "decimal(28,8)"
 SEEN = "_seen"
 
 
-def stored_weeks(spark: SparkSession, path: str) -> list[date]:
-    """Weeks a table has a partition of, by the folders' names."""
-    names = [n.split("=", 1)[1] for n in Folder(spark, path).names() if n.startswith(f"{PARTITION}=")]
-    return sorted(date.fromisoformat(n) for n in names if n[:1].isdigit())
-
-
-def signature(spark: SparkSession, path: str, week: date) -> list:
-    """Names and sizes of a week's files: differs once the week has been written again."""
-    return [[n, size] for n, size, _ in Folder(spark, path).listing(f"{PARTITION}={week}") if not n.startswith((".", "_"))]
-
-
-def _seen(spark: SparkSession, state: str) -> dict[str, list]:
-    folder = Folder(spark, f"{state}/{SEEN}")
-    names = folder.names()
-    return json.loads(folder.read(max(names))) if names else {}
-
-
 def remember(spark: SparkSession, mart: str, state: str, calendar: DataFrame, p: RunParams) -> None:
     """Note what the mart's weeks look like now that the state holds them: to be called once the running totals are written."""
     weeks = {w for _, _, w in run_years(calendar, p)}
-    held = _seen(spark, state) | {str(w): signature(spark, mart, w) for w in stored_weeks(spark, mart) if w in weeks}
-    folder = Folder(spark, f"{state}/{SEEN}")
-    before = folder.names()
-    number = int(max(before).removesuffix(".json")) + 1 if before else 0
-    if not folder.create(f"{number:08d}.json", json.dumps(held)):
-        raise RuntimeError(f"another run has carried totals of {state} meanwhile: repeat this one")
-    for name in before:
-        folder.drop(name)
+    number, held = newest_note(spark, f"{state}/{SEEN}")
+    held |= {str(w): signature(spark, mart, w) for w in stored_weeks(spark, mart) if w in weeks}
+    write_note(spark, f"{state}/{SEEN}", number, held)
 
 
 def run_years(calendar: DataFrame, p: RunParams) -> list[tuple[int, int, date]]:
@@ -73,7 +50,7 @@ def carried_ytd(mart: DataFrame, mart_path: str, state: str, calendar: DataFrame
     """
     spark = mart.sparkSession
     years = run_years(calendar, p)
-    known, seen = set(stored_weeks(spark, state)), _seen(spark, state)
+    known, seen = set(stored_weeks(spark, state)), newest_note(spark, f"{state}/{SEEN}")[1]
     moved = [w for _, _, w in years if p.first_week <= w <= p.last_week or signature(spark, mart_path, w) != seen.get(str(w), [])]
     if not moved:
         return mart.where(F.lit(False)).select(*KEY, F.lit(0.0).alias("metric_value"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.checks import campaigns, quality
 from tidemark.checks import monetisation as mon_checks
 from tidemark.checks import retention as ret_checks
+from tidemark.checks.moved import unique_keys_where_moved
 from tidemark.checks.reconcile import tally
 from tidemark.functions.money import from_units, sum_units
 from tidemark.functions.taxonomy import journey_class, journey_type, payback_category, payback_sub_category
@@ -36,7 +38,7 @@ from tidemark.plans.store import MartStore
 from tidemark.plans.ytd import remember
 from tidemark.schema import BREAKOUT_KEY, BUDGET_KEY, BUDGET_MEASURES, MART_KEY, OVERVIEW_KEY
 from tidemark.session import scratch_table
-from tidemark.sinks.upsert import read_table, upsert
+from tidemark.sinks.upsert import read_parts, read_table, upsert
 from tidemark.sources.fixtures import CONFIG, KPIS, RUN, fixture_sources
 from tidemark.sources.profile import PROFILES, profile
 
@@ -402,6 +404,28 @@ def _(s: Setup) -> DataFrame:
     return read_table(s.spark, path).where(F.col("date_scope") == FYTD)
 
 
+@query("stored_checks")
+def _(s: Setup) -> DataFrame:
+    """Keys of the stored supply mart checked four times: all weeks, none, one whose rows came twice, and that one mended."""
+    folder = scratch_table(s.spark, "checked")
+    path, note, week = f"{folder}/supply_mart", f"{folder}/_checked/unique_keys", date(1998, 5, 3)
+    rows = s.store.stored("supply_mart", [DAY])
+    out = []
+    for run in range(1, 5):
+        if run == 1:
+            upsert(path, rows)
+        elif run == 3:
+            again = read_parts(s.spark, path, read_table(s.spark, path).schema, "week_commencing_date", [week])
+            again.write.mode("append").partitionBy("week_commencing_date").parquet(path)
+        elif run == 4:
+            upsert(path, rows.where(F.col("week_commencing_date") == F.lit(week)))
+        _, found = unique_keys_where_moved(s.spark, note, path, MART_KEY)
+        kept = scratch_table(s.spark, f"check-run-{run}")
+        found.withColumn("run", F.lit(run)).write.parquet(kept)
+        out.append(s.spark.read.schema("week_commencing_date date, records long, repeated_keys long, failed boolean, run int").parquet(kept))
+    return reduce(DataFrame.unionByName, out)
+
+
 @query("stored_drift")
 def _(s: Setup) -> DataFrame:
     """Three upserts of supply rows: the second brings a column, the third, of the same weeks, has none."""
