@@ -95,6 +95,7 @@ STEPS["stored_supply_mart"] = "select * from x_supply_mart"
 STEPS["stored_carried_years"] = "select * from x_supply_mart where date_scope = 'FYtD'"
 STEPS["stored_checks"] = """select week_commencing_date, count(*) * t as records, (t - 1) * count(*) as repeated_keys, t = 2 as failed, run
 from x_supply_day join (values (1, 1), (3, 2), (4, 1)) r(run, t) on run = 1 or week_commencing_date = date '1998-05-03' group by week_commencing_date, run, t"""
+STEPS["stored_late_rows"] = "select * from x_retention_day where year_month_day between date '1999-03-28' and date '1999-05-15'"
 STEPS["stored_overview_report"] = "select * from x_overview"
 STEPS["stored_breakout_report"] = "select * from x_breakout"
 STEPS["stored_dashboard"] = "select * from x_dashboard"

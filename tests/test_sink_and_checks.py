@@ -15,6 +15,7 @@ from tidemark.params import RunParams
 from tidemark.plans import acquisition, extracts, ytd
 from tidemark.plans import monetisation as monetisation_plans
 from tidemark.plans import retention as retention_plans
+from tidemark.plans.late import LateDays
 from tidemark.plans.refresh import MARTS, METRIC_MARTS, refresh
 from tidemark.plans.reports import breakout_report
 from tidemark.plans.store import MartStore
@@ -433,3 +434,27 @@ def test_fingerprints_ignore_order_and_stamps(spark):
     b = moved.fingerprints(rows.orderBy(F.desc("v")).repartition(5).withColumn("last_modified", F.lit(2)).select("last_modified", "v", "k", "week_commencing_date"))
     assert a.exceptAll(b).count() == 0 and a.count() == 2
     assert moved.fingerprints(rows.where("v < 49")).exceptAll(a).count() == 1
+
+
+def test_a_late_row_changes_only_its_weeks(spark, src):
+    """Two runs; between them lines of one day come late. As a run over the whole look-back, other weeks' files untouched."""
+    day, late = F.col("year_month_day"), date(1999, 4, 20)
+    tables = {n: (lambda n=n: getattr(src, n)) for n in (*FACTS, *LOOKUPS)}
+    runs = [RunParams(date(1999, 3, 14), date(1999, 5, 8), as_of=RUN.as_of), replace(ONE_WEEK, run_ts=datetime(2024, 5, 5))]
+    thin = Sources({**tables, "order_lines": src.order_lines.where((day != F.lit(late)) | (F.col("order_id") % 2 == 0))})
+    full = Sources(tables)
+    folders = {only: fresh() for only in (True, False)}
+    files, built = {}, []
+    for only, folder in folders.items():
+        run = lambda own, p: refresh(spark, own, p, folder, CONFIG, ["retention_mart"], ["DAY"], with_reports=False, changed_days_only=only)  # noqa: E731, B023
+        run(thin, runs[0])
+        before = set(read_table(spark, folder + "/retention_mart").inputFiles())
+        if only:
+            built.append(LateDays(spark, full, runs[1], CONFIG, folder).days)
+        run(full, runs[1])
+        after = set(read_table(spark, folder + "/retention_mart").inputFiles())
+        files[only] = {f.split("week_commencing_date=")[1][:10] for f in after - before}
+    assert built == [(late,)] and files[True] == {"1999-04-18", "1999-05-09"} and len(files[False]) > 5
+    own, whole = (read_table(spark, folders[only] + "/retention_mart").drop("last_modified") for only in (True, False))
+    assert own.count() > 0 and own.exceptAll(whole).count() == 0 and whole.exceptAll(own).count() == 0
+    assert LateDays(spark, full, runs[1], CONFIG, folders[True]).days == ()

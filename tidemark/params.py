@@ -78,6 +78,8 @@ class MartConfig:
     plan_regions: tuple[str, ...] = ("France", "Germany", "ROW", "Italy", "ROE", "Spain", "UK>EU", "United Kingdom")
     # the line-item look-back that re-reads late refunds and amendments
     line_lookback_days: int = 45
+    # days of the look-back to read again; None reads them all
+    late_days: tuple[date, ...] | None = None
     # hotel bookings come from a manual file before this date and from the feed after it
     hotel_feed_cutover: date = date(2024, 8, 1)
     web_outages: tuple[tuple[date, date], ...] = ((date(2024, 9, 15), date(2024, 10, 12)),)

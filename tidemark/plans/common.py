@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.money import from_units, merge_units, sum_units
 from tidemark.functions.ratio import round_half_up
+from tidemark.operators.calendar import in_run
 from tidemark.operators.region import region_fanout
-from tidemark.params import MartConfig
+from tidemark.params import MartConfig, RunParams
 from tidemark.sources.catalog import Sources
 
 DAY_KEYS = ["year_month_day", "product_pl", "region"]
@@ -26,6 +27,14 @@ def qualifying_lines(src: Sources, cfg: MartConfig) -> DataFrame:
     )
 
 
+def looked_at(p: RunParams, cfg: MartConfig) -> Column:
+    """The run's days and its look-back, or of that the days known to have changed."""
+    day = F.col("year_month_day")
+    if cfg.late_days is None:
+        return in_run(day, p, cfg.line_lookback_days)
+    return in_run(day, p) | day.isin(*cfg.late_days) if cfg.late_days else in_run(day, p)
+
+
 def is_gross_sale() -> Column:
     return (F.col("product_gross_sales_flag") == "Y") & (F.col("record_type") == "SALES")
 

@@ -15,7 +15,7 @@ from tidemark.operators.customers import customer_flags
 from tidemark.operators.region import region_fanout
 from tidemark.operators.rollup import distinct_then_count
 from tidemark.params import DAY, MartConfig, RunParams
-from tidemark.plans.common import LINE_PL, LINE_REGION, is_gross_sale, qualifying_lines
+from tidemark.plans.common import LINE_PL, LINE_REGION, is_gross_sale, looked_at, qualifying_lines
 from tidemark.sources.catalog import Sources
 
 ORDER_KEYS = ["year_month_day", LINE_PL, LINE_REGION, "journey_class", "order_customer_id", "order_id"]
@@ -34,7 +34,7 @@ def order_rows(src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
         kind = journey_class(
             F.col("fare_train_classification_name_longest_duration"), F.col("product_travel_classification_name")
         )
-        lines = qualifying_lines(src, cfg).where(in_run(F.col("year_month_day"), p, cfg.line_lookback_days))
+        lines = qualifying_lines(src, cfg).where(looked_at(p, cfg))
         return lines.groupBy(
             "year_month_day", LINE_PL, LINE_REGION, kind.alias("journey_class"), "order_customer_id",
             F.when(is_gross_sale(), F.col("order_id")).alias("order_id"),

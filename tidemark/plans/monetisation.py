@@ -21,8 +21,8 @@ from tidemark.operators.rollup import distinct_then_count
 from tidemark.operators.scopes import roll_to_week_by_year
 from tidemark.params import ALL, DAY, FYTD, WEEK, MartConfig, RunParams
 from tidemark.plans.common import (
-    CAMPAIGN_PL, CAMPAIGN_REGION, DAY_KEYS, LINE_PL, LINE_REGION, both_currencies, qualifying_lines, region_totals,
-    round4,
+    CAMPAIGN_PL, CAMPAIGN_REGION, DAY_KEYS, LINE_PL, LINE_REGION, both_currencies, looked_at, qualifying_lines,
+    region_totals, round4,
 )
 from tidemark.plans.extracts import distinct_orders
 from tidemark.plans.ytd import year_to_date
@@ -79,7 +79,7 @@ def fee_key(fee: str) -> str:
 
 def line_extract(src: Sources, p: RunParams, cfg: MartConfig) -> DataFrame:
     """Money, ticket and order totals per day and region over the run and its look-back."""
-    lines = qualifying_lines(src, cfg).where(in_run(F.col("year_month_day"), p, cfg.line_lookback_days))
+    lines = qualifying_lines(src, cfg).where(looked_at(p, cfg))
     money = both_currencies({
         "total": "m_revenue_total", "fees": "m_revenue_total_fees", "net_sales": "m_net_sales_amount",
         **{fee_key(fee): column for fee, (column, _) in FEES.items()},

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.params import DAY, FYTD, WEEK, MartConfig, RunParams
 from tidemark.plans import acquisition, budget, conversion, monetisation, reports, retention, supply
+from tidemark.plans.late import LateDays
 from tidemark.plans.ytd import remember
 from tidemark.schema import BREAKOUT_KEY, BUDGET_KEY, BUDGET_MEASURES, MART_KEY, MART_UPDATE, OVERVIEW_KEY, PARTITION
 from tidemark.sinks.upsert import read_table, upsert
@@ -95,18 +96,25 @@ def refresh_reports(
 def refresh(
     spark: SparkSession, src: Sources, p: RunParams, folder: str, cfg: MartConfig = MartConfig(),
     marts: Iterable[str] = tuple(MARTS), scopes: Iterable[str] = (DAY, WEEK, FYTD), with_reports: bool = True,
-    staging: str | None = None,
+    staging: str | None = None, changed_days_only: bool = False,
 ) -> dict[str, DataFrame]:
     """Run the chosen marts over a date range of any length, then both reports and the dashboard.
 
     A backfill is the same call with a longer range: the range is one job, not one per day.
     ``staging`` is the folder of the upserts' intermediate tables, by default the shared one.
+    ``changed_days_only`` builds of the look-back the days whose lines are not those of the run before; the
+    result is that of the whole look-back. All runs over a folder should then choose it, and all marts.
     """
     stored, touched = {}, set()
+    late = LateDays(spark, src, p, cfg, folder) if changed_days_only else None
+    if late is not None:
+        cfg = replace(cfg, late_days=late.days)
     try:
         for name in marts:
             stored[name], weeks = _refresh_mart(spark, name, src, p, cfg, folder, scopes, staging)
             touched |= weeks if name in METRIC_MARTS else set()
+        if late is not None:
+            late.remember()
     finally:
         src.drop_kept(spark)
     if with_reports:

@@ -33,12 +33,13 @@ from tidemark.plans import single_metrics as single
 from tidemark.plans.common import DAY_KEYS, LINE_PL, LINE_REGION, qualifying_lines
 from tidemark.plans.conversion import conversion_budget
 from tidemark.plans.extracts import distinct_orders
-from tidemark.plans.refresh import METRIC_MARTS, refresh_mart, refresh_reports
+from tidemark.plans.refresh import METRIC_MARTS, refresh, refresh_mart, refresh_reports
 from tidemark.plans.store import MartStore
 from tidemark.plans.ytd import remember
 from tidemark.schema import BREAKOUT_KEY, BUDGET_KEY, BUDGET_MEASURES, MART_KEY, OVERVIEW_KEY
 from tidemark.session import scratch_table
 from tidemark.sinks.upsert import read_parts, read_table, upsert
+from tidemark.sources.catalog import FACTS, LOOKUPS, Sources
 from tidemark.sources.fixtures import CONFIG, KPIS, RUN, fixture_sources
 from tidemark.sources.profile import PROFILES, profile
 
@@ -426,6 +427,20 @@ def _(s: Setup) -> DataFrame:
     return reduce(DataFrame.unionByName, out)
 
 
+@query("stored_late_rows")
+def _(s: Setup) -> DataFrame:
+    """Retention by day after two runs, of which the second finds that lines of two days before it came late."""
+    folder = scratch_table(s.spark, "late")
+    day, late = F.col("year_month_day"), [date(1999, 4, 20), date(1999, 5, 1)]
+    before = s.src.order_lines.where(~(day.isin(late) & (F.col("order_id") % 3 == 0)))
+    tables = {n: (lambda n=n: getattr(s.src, n)) for n in (*FACTS, *LOOKUPS)}
+    first, second = (replace(s.p, start=a, end=b) for a, b in ((date(1999, 3, 14), date(1999, 5, 8)), (date(1999, 5, 9), date(1999, 5, 15))))
+    for lines, run in ((before, first), (s.src.order_lines, second)):
+        src = Sources({**tables, "order_lines": lines})
+        refresh(s.spark, src, run, folder, s.cfg, ["retention_mart"], [DAY], with_reports=False, changed_days_only=True)
+    return read_table(s.spark, f"{folder}/retention_mart").where(day >= F.lit(date(1999, 3, 28)))
+
+
 @query("stored_drift")
 def _(s: Setup) -> DataFrame:
     """Three upserts of supply rows: the second brings a column, the third, of the same weeks, has none."""
