@@ -1,11 +1,12 @@
 import hashlib
 import random
+import resource
 
 import numpy as np
 import pandas as pd
 import pytest
 
-from tidemark.llm import repeats, suffix
+from tidemark.llm import ranges, repeats, suffix
 from tidemark.llm.queries import op7_repeats
 
 
@@ -41,10 +42,10 @@ def random_rows(rnd, n):
     return rows
 
 
-def solved(rows, shards, length, gram):
+def solved(rows, shards, length, gram, hot=None):
     """The operator's own steps without Spark: cut in slices of three rows, solve every shard, drop."""
     own = [(repeats.NO_ID if d is None else d, i, (t or "").encode()) for i, (d, t) in enumerate(rows)]
-    cutter = repeats.Cutter(shards, length, gram)
+    cutter = repeats.Cutter(shards, length, gram, hot)
     blobs = [b for k in range(0, len(own), 3) for b in cutter.add(own[k : k + 3])] + list(cutter.flush())
     spans = {i: [] for i in range(len(rows))}
     for s in {s for s, _ in blobs}:
@@ -94,7 +95,74 @@ def test_numbers_travel_thin():
         assert repeats.widen(repeats.thin(own)).tolist() == values
 
 
-def test_labels_reach_every_partition(spark):
-    labels = repeats.shard_labels(spark, 13)
-    got = spark.createDataFrame([(x,) for x in labels], "shard int").repartition(13, "shard").rdd.glom().map(len).collect()
-    assert got == [1] * 13
+def test_a_shard_is_a_partition(spark):
+    dealt = spark.range(13).selectExpr("cast(id as int) as shard").repartitionById(13, "shard")
+    assert [r.shard for r in dealt.selectExpr("shard", "spark_partition_id() as p").where("shard <> p").collect()] == []
+
+
+def hot_by_hand(rows, length, gram, share):
+    hot = []
+    for _ in range(ranges.levels(length, gram)):
+        counting = repeats.counter(length, gram, hot)
+        sums = {}
+        for keys, units, _ in [*counting.add([r[2] for r in rows]), counting.flush()]:
+            for k, n in zip(keys.view(np.uint64).tolist(), units.tolist()):
+                sums[k] = sums.get(k, 0) + n
+        level = sorted(k for k, n in sums.items() if n >= share)
+        if not level:
+            break
+        hot.append(np.array(level, dtype=np.uint64))
+    return hot
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_hot_anchors_and_short_runs_equal_brute_force(monkeypatch, seed):
+    rnd = random.Random(seed)
+    monkeypatch.setattr(repeats, "RUN", rnd.choice([2, 7, 4096]))
+    length = rnd.choice([16, 20, 50])
+    rows = random_rows(rnd, rnd.randint(2, 14))
+    phrase = "".join(rnd.choices("abcdef", k=rnd.randint(8, 60)))
+    rows += [(50 + i, "".join(rnd.choices("abcdefgh", k=30)) + phrase + "".join(rnd.choices("abcdefgh", k=30))) for i in range(6)]
+    own = [(repeats.NO_ID if d is None else d, i, (t or "").encode()) for i, (d, t) in enumerate(rows)]
+    want = slow(rows, length)
+    gram = rnd.choice([8, 12])
+    hot = hot_by_hand(own, length, gram, 1)
+    assert hot and solved(rows, 3, length, gram) == want and solved(rows, 3, length, gram, hot) == want
+
+
+@pytest.mark.parametrize("period", [1, 3, 10])
+def test_runs_of_a_period_stay_small(period):
+    """16 MB of blanks, of a period of three and of ten."""
+    piece = "".join(chr(32 + i) for i in range(period)).encode()
+    text = (piece * ((16 << 20) // period))[: 16 << 20]
+    cutter = repeats.Cutter(4, 50, 16)
+    began = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    boxes = [*cutter.add([(1, 1, text), (2, 2, text)]), *cutter.flush()]
+    assert sum(len(b) for _, b in boxes) < 4 << 20  # they travel as a few equal strings
+    found = 0
+    for s in range(4):
+        shard = repeats.Shard()
+        for t, blob in boxes:
+            if t == s:
+                shard.add(blob)
+        if shard.parts:
+            ids, _, start, end = shard.spans(50, 16)
+            assert (ids == 2).all()
+            found += int((end - start).sum())
+    assert found >= len(text) and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - began < 700_000  # kB
+
+
+def test_one_phrase_in_many_documents_is_dealt_out():
+    rnd = random.Random(3)
+    phrase = "a phrase that a third of all documents have "
+    rows = [(i, i, ("".join(rnd.choices("abcdefghijklmnop", k=80)) + phrase + "".join(rnd.choices("abcdefghijklmnop", k=80))).encode()) for i in range(4000)]
+    hot = hot_by_hand(rows, 50, 16, 20_000)
+
+    def largest(hot):
+        text = np.frombuffer(b"".join(r[2] for r in rows) + bytes(8), dtype=np.uint8)[:-8]
+        sizes = np.array([len(r[2]) for r in rows])
+        _, count, _, key = repeats.segments(text, np.cumsum(sizes) - sizes, sizes, 50, 16, hot)
+        return np.bincount(np.unique(key, return_inverse=True)[1], weights=count + 49).max(), (count + 49).sum()
+
+    (before, all_before), (after, all_after) = largest([]), largest(hot)
+    assert hot and before > 8 * after and all_after < 2 * all_before

@@ -44,10 +44,10 @@ def hot_by_hand(rows, length, gram, share):
     """Keys by level of at least ``share`` words, as the Spark job finds them."""
     hot = []
     for _ in range(superkmers.levels(length, gram)):
-        counter = superkmers.Counter(length, gram, hot)
+        counter = superkmers.counter(length, gram, hot)
         found = [*counter.add([r[2] for r in rows]), counter.flush()]
         sums = {}
-        for keys, words in found:
+        for keys, words, _ in found:
             for k, n in zip(keys.view(np.uint64).tolist(), words.tolist()):
                 sums[k] = sums.get(k, 0) + n
         level = sorted(k for k, n in sums.items() if n >= share)
@@ -157,7 +157,7 @@ def test_spark_job_equals_brute_force(spark):
     line = " ".join(f"l{i}" for i in range(30))
     text = lambda k: " ".join(f"w{rnd.randrange(900)}" for _ in range(k))
     rows = [(i, f"{text(40)} {line} {text(40)}" if i % 3 else rows_text) for rows_text in [text(400)] for i in range(400)]
-    got = superkmers.hot_keys(frame(spark, rows).select("doc_id", "text", "start").withColumnRenamed("start", "text_hash"), 50, 8)
+    got = superkmers.hot_keys(frame(spark, rows).select("text"), lambda hot: superkmers.counter(50, 8, hot), 6, superkmers.SHARD_WORDS, superkmers.LEAST_HOT)
     assert len(got[0]) >= 1  # the line is hot, so the job below goes by more words
     assert sorted(result(superkmers.deduplicate(frame(spark, rows)))) == sorted(slow(rows, 50))
 

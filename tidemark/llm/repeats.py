@@ -1,16 +1,21 @@
 """Suffix-array dedup: removes bytes that a string of ``LENGTH`` bytes covers which also starts in an earlier document.
 
 Where such a string starts is found shard by shard. Every string of ``LENGTH`` bytes has an anchor, the part of ``GRAM`` bytes with
-the least hash; strings in a row with one anchor are cut out together, as a segment, and go to the shard of the anchor's hash. So
-equal strings always meet, whatever documents they are in, and a segment repeats only ``LENGTH - 1`` bytes of its neighbours.
+the least hash; strings in a row whose anchors are equal are cut out together, as a segment, and go to the shard of the anchor's
+hash. So equal strings always meet, whatever documents they are in, and a segment repeats only ``LENGTH - 1`` bytes of its neighbours.
+As anchors count by what they are and not by where, a run of one byte or of a short period is a segment for each ``RUN`` strings,
+and those are equal but for the first ones.
+
+Anchors that different segments of a task share are counted beforehand, over all documents; strings of a hot one go by more of
+their bytes, half of what surrounds the anchor and so on (``tidemark.llm.ranges``), so a phrase that a third of all documents have is
+dealt out by what stands around it. The number of shards follows the bytes that travel.
 A shard keeps of equal segments those of the smallest ``doc_id`` (the others are repeats as a whole) and leaves out what cannot
 hold a shared string: an equal string agrees with the anchor and, on one side of it, half of the remaining bytes. Then it sorts all suffixes of the rest by external induction (``tidemark.llm.suffix``): strings that are equal stand
 side by side, told by the common-prefix values, and each string of a larger ``doc_id`` than its group's smallest is a repeat.
 
 Equal segments are dropped where they are cut already, before the shuffle, so a passage that a third of all documents share
 reaches its shards once for every ``HELD`` bytes or ``ROWS`` rows that a task has cut. Segments travel packed and compressed, and what was shuffled
-leaves the disk once the spans are written. There is a shard for each shuffle partition; a shard's text, order and queues
-are files once they are long.
+leaves the disk once the spans are written. A shard's text, order and queues are files once they are long, spans that touch are one.
 
 ``doc_id``, a whole number (others are refused), decides alone: rows of one ``doc_id`` (repeated rows too) never remove each other's bytes; a null ``doc_id`` is larger than
 all others. Null and empty texts have no bytes, texts shorter than ``LENGTH`` lose none. Empty tables give empty results, extra
@@ -24,12 +29,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import suffix
 from tidemark.llm.batches import slices
 from tidemark.llm.graph import stored
+from tidemark.llm.ranges import BYTES, RUN, Counter, Ranges, hot_keys, levels, merged, mixed, refined, runs
 from tidemark.llm.shingles import text_key, whole_id
 
 LENGTH = 50
@@ -38,6 +44,8 @@ PIECE = 1 << 20  # bytes cut at once; two of them must have places below 2 ** PL
 HELD = 32 << 20
 ROWS = 200_000
 LEVEL = 3
+SHARD_BYTES = 40 << 20  # of segments
+LEAST_HOT = 200_000  # bytes of an anchor's segments that are never too many
 NO_ID = np.iinfo(np.int64).max
 PLACE_BITS = np.uint64(22)
 PLACE = np.uint64((1 << 22) - 1)
@@ -69,8 +77,11 @@ def anchors(text: np.ndarray, length: int, gram: int) -> np.ndarray:
     return h
 
 
-def segments(text: np.ndarray, starts: np.ndarray, sizes: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """``first, count, offset, anchor``: places of segments in ``text``, how many strings start in each, where its anchor is in it."""
+def segments(
+    text: np.ndarray, starts: np.ndarray, sizes: np.ndarray, length: int, gram: int, hot: list[np.ndarray] | None = None, deepest: bool = False
+) -> tuple[np.ndarray, ...]:
+    """``first, count, offset, key``: places of segments in ``text``, how many strings start in each, where its anchor is in it
+    (``length`` if it has several), and what it is dealt by. With ``deepest``, only those that go by as many bytes as ``hot`` asks for."""
     if len(text) < length:
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
     least = anchors(text, length, gram)
@@ -79,13 +90,14 @@ def segments(text: np.ndarray, starts: np.ndarray, sizes: np.ndarray, length: in
     np.add.at(inside, starts[long], 1)
     np.add.at(inside, starts[long] + sizes[long] - length + 1, -1)
     inside = np.cumsum(inside[:-1], dtype=np.int8) > 0
-    change = np.ones(len(least), dtype=bool)
-    change[1:] = (least[1:] != least[:-1]) | ~inside[:-1]
-    change[starts[long]] = True
-    first = np.flatnonzero(change & inside)
-    stops = np.append(np.flatnonzero(change | ~inside), len(least))
-    count = stops[np.searchsorted(stops, first, side="right")] - first
-    return first, count, (least[first] & PLACE).astype(np.int64) - first, least[first] >> PLACE_BITS
+    key = least >> PLACE_BITS
+    if hot:
+        key, deep = refined(Ranges(BYTES[text]), least, np.flatnonzero(inside), length, gram, hot)
+        if deepest:
+            inside &= deep
+    first, count = runs(key, inside, starts[long], RUN)
+    place, last = ((least[x] & PLACE).astype(np.int64) for x in (first, first + count - 1))
+    return first, count, np.where(place == last, place - first, length), key[first]
 
 
 def gather(text: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -141,8 +153,8 @@ def widen(packed: tuple[str, int, bytes]) -> np.ndarray:
 class Cutter:
     """Cuts rows (id, text key, bytes) into segments and holds them by shard until they are packed."""
 
-    def __init__(self, shards: int, length: int, gram: int):
-        self.shards, self.length, self.gram = shards, length, gram
+    def __init__(self, shards: int, length: int, gram: int, hot: list[np.ndarray] | None = None):
+        self.shards, self.length, self.gram, self.hot = shards, length, gram, hot
         self.clear()
 
     def clear(self) -> None:
@@ -161,10 +173,10 @@ class Cutter:
             text = np.frombuffer(b"".join(texts) + bytes(8), dtype=np.uint8)
             sizes = np.array([len(t) for t in texts], dtype=np.int64)
             starts = np.cumsum(sizes) - sizes
-            first, count, offset, anchor = segments(text[: len(text) - 8], starts, sizes, self.length, self.gram)
+            first, count, offset, key = segments(text[: len(text) - 8], starts, sizes, self.length, self.gram, self.hot)
             piece = np.searchsorted(starts, first, side="right") - 1
             row_of, place_of = np.array(row, dtype=np.int64)[piece] + base, np.array(place, dtype=np.int64)[piece] + first - starts[piece]
-            shard = (anchor % np.uint64(self.shards)).astype(np.int64)
+            shard = (mixed(key) % np.uint64(self.shards)).astype(np.int64)
             by = np.argsort(shard, kind="stable")
             shard, row_of, place_of, first, count, offset = (x[by] for x in (shard, row_of, place_of, first, count, offset))
             data, begins = gather(text, first, count + self.length - 1)
@@ -261,16 +273,22 @@ class Shard:
         """Segments that agree with one of another document in the anchor and half of the other bytes before or behind it."""
         half = -(-(length - gram) // 2)
         keep = np.zeros(len(begins), dtype=bool)
+        # a segment of several anchors has a context for each of them
+        several = np.flatnonzero(offset == length)
+        places = [np.unique(anchors(data[begins[i] : begins[i] + sizes[i]], length, gram) & PLACE).astype(np.int64) for i in several.tolist()]
+        single = np.flatnonzero(offset != length)
+        owner = np.concatenate([single, np.repeat(several, [len(x) for x in places])]).astype(np.int64)
+        offset = np.concatenate([offset[single], *places])
         for before in (0, half):
-            own = np.flatnonzero((offset >= before) & (offset - before + gram + half <= sizes))
+            own = np.flatnonzero((offset >= before) & (offset - before + gram + half <= sizes[owner]))
             if len(own) == 0:
                 continue
-            context, starts = gather(data, (begins + offset)[own] - before, np.full(len(own), gram + half))
+            context, starts = gather(data, begins[owner[own]] + offset[own] - before, np.full(len(own), gram + half))
             group = numbered(context, starts)
             low, high = np.full(group.max() + 1, NO_ID), np.full(group.max() + 1, np.iinfo(np.int64).min)
-            np.minimum.at(low, group, least[own])
-            np.maximum.at(high, group, least[own])
-            keep[own[low[group] < high[group]]] = True
+            np.minimum.at(low, group, least[owner[own]])
+            np.maximum.at(high, group, least[owner[own]])
+            keep[owner[own[low[group] < high[group]]]] = True
         return np.flatnonzero(keep)
 
     @staticmethod
@@ -316,21 +334,28 @@ class Shard:
         return segment[first], first - starts[segment[first]], last - first
 
 
-def shard_labels(spark: SparkSession, tasks: int) -> list[int]:
-    """A number for each shuffle partition that Spark's hash deals to it, so that no partition gets two shards and another none."""
-    dealt = spark.range(tasks * 24).select(F.col("id").cast("int").alias("label")).withColumn("task", F.expr(f"pmod(hash(label), {tasks})"))
-    found = {r.task: r.label for r in dealt.groupBy("task").agg(F.min("label").alias("label")).collect()}
-    return [found.get(t, tasks * 24 + t) for t in range(tasks)]
+def counter(length: int, gram: int, hot: list[np.ndarray]) -> Counter:
+    """Counts bytes of segments by key, for keys that different segments of a task share."""
+
+    def strings(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        for _, _, parts in pieces([(0, 0, t) for t in texts if len(t) >= length], length):
+            raw = np.frombuffer(b"".join(parts) + bytes(8), dtype=np.uint8)  # anchors read whole words of memory
+            sizes = np.array([len(t) for t in parts], dtype=np.int64)
+            text = raw[: len(raw) - 8]
+            first, count, _, key = segments(text, np.cumsum(sizes) - sizes, sizes, length, gram, hot, deepest=bool(hot))
+            size = count + length - 1
+            yield key, Ranges(BYTES[text]).of(first, size) if len(size) else key, size
+
+    return Counter(strings, least=2)
 
 
 def find_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``doc_id, text_hash, start, end``: bytes that go; spans of a row may touch and overlap."""
-    spark = docs.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    labels = shard_labels(spark, tasks)
+    own = docs.select(whole_id(docs), text_key().alias("text_hash"), "text")
+    hot, shards = hot_keys(own, lambda below: counter(length, gram, below), levels(length, gram), SHARD_BYTES, LEAST_HOT)
 
     def cut_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter = Cutter(tasks, length, gram)
+        cutter = Cutter(shards, length, gram, hot)
         for batch in slices(batches, "text"):
             ids = batch.column("doc_id").fill_null(int(NO_ID)).to_pylist()
             rows = [(i, k, t.encode()) for i, k, t in zip(ids, batch.column("text_hash").to_pylist(), batch.column("text").to_pylist()) if t]
@@ -339,29 +364,26 @@ def find_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataF
 
     def boxed(found: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
         for s, blob in found:
-            yield pa.RecordBatch.from_arrays([pa.array([labels[s]], pa.int32()), pa.array([blob], pa.binary())], ["shard", "packed"])
+            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([blob], pa.binary())], ["shard", "packed"])
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, shard = None, Shard()
+        shard = Shard()  # a partition is a shard
         for batch in batches:
-            for s, blob in zip(batch.column("shard").to_pylist(), batch.column("packed")):
-                if s != now and shard.parts:
-                    yield from told(shard)
-                now = s
+            for blob in batch.column("packed"):
                 shard.add(blob.as_py())
         if shard.parts:
-            yield from told(shard)
-
-    def told(shard: Shard) -> Iterator[pa.RecordBatch]:
-        ids, keys, start, end = shard.spans(length, gram)
-        shard.rows = 0
-        for a in range(0, len(ids), 100_000):
-            b = slice(a, a + 100_000)
-            doc_id = pa.array(ids[b], mask=ids[b] == NO_ID)
-            yield pa.RecordBatch.from_arrays([doc_id, *(pa.array(x[b]) for x in (keys, start, end))], ["doc_id", "text_hash", "start", "end"])
-
-    own = docs.select(whole_id(docs), text_key().alias("text_hash"), "text")
-    dealt = own.mapInArrow(cut_all, "shard int, packed binary").repartition(tasks, "shard").sortWithinPartitions("shard")
+            ids, keys, start, end = shard.spans(length, gram)
+            number = np.unique(np.stack([ids, keys]), axis=1, return_inverse=True)[1].ravel() if len(ids) else ids
+            lead = np.zeros(int(number.max(initial=-1)) + 1, dtype=np.int64)
+            lead[number] = np.arange(len(number))
+            row, start, end = merged(number, start, end)
+            ids, keys = ids[lead[row]], keys[lead[row]]
+            for a in range(0, len(ids), 100_000):
+                b = slice(a, a + 100_000)
+                doc_id = pa.array(ids[b], mask=ids[b] == NO_ID)
+                yield pa.RecordBatch.from_arrays([doc_id, *(pa.array(x[b]) for x in (keys, start, end))], ["doc_id", "text_hash", "start", "end"])
+
+    dealt = own.mapInArrow(cut_all, "shard int, packed binary").repartitionById(shards, F.col("shard"))
     return dealt.mapInArrow(solve, "doc_id long, text_hash long, start long, end long")
 
 

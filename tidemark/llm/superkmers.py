@@ -29,11 +29,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.batches import slices
-from tidemark.llm.graph import forget, stored
+from tidemark.llm.graph import stored
+from tidemark.llm.ranges import BYTES, ODD, PLACE, RUN, Counter, Ranges, hot_keys, levels, merged, mixed, refined, runs
 from tidemark.llm.repeats import NO_ID, gather, numbered, thin, widen
 from tidemark.llm.shingles import text_key, whole_id
 
@@ -41,44 +42,13 @@ LENGTH = 50
 GRAM = 8
 PIECE = 1 << 20  # bytes cut at once
 HELD = 5_000_000  # words of strings held by a task before they are packed
-RUN = 4096  # windows of a string at most: longer ones repeat themselves, and so do their parts
 SHARD_WORDS = 2_000_000
-HOT_KEYS = 100_000
 LEAST_HOT = 10_000
-PLACE_BITS = np.uint64(22)
-PLACE = np.uint64((1 << 22) - 1)
-ODD = 0x9E3779B97F4A7C15
-INVERSE = pow(ODD, -1, 1 << 64)
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
-BYTES = np.random.default_rng(50).integers(0, 1 << 64, 256, dtype=np.uint64)  # hashes of single bytes
 BLANK = re.compile(rb"[\x20\x09-\x0d]")
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class Ranges:
-    """Hashes of any ranges of a row of numbers: equal for equal ranges, wherever they stand."""
-
-    powers = np.ones(1, dtype=np.uint64)
-    inverses = np.ones(1, dtype=np.uint64)
-
-    def __init__(self, values: np.ndarray):
-        n = len(values) + 1
-        if len(Ranges.powers) < n:
-            size = max(n, 1 << 18)
-            Ranges.powers, Ranges.inverses = (np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, f, dtype=np.uint64)]), dtype=np.uint64) for f in (ODD, INVERSE))
-        self.sums = np.zeros(n, dtype=np.uint64)
-        np.cumsum(values * Ranges.powers[: n - 1], out=self.sums[1:])
-
-    def of(self, first: np.ndarray, size: np.ndarray | int) -> np.ndarray:
-        return mixed((self.sums[first + size] - self.sums[first]) * Ranges.inverses[first])
-
-
 def normal(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes of the words, a blank behind each; where each word ends there, its blank included; and where each begins in ``raw``."""
     data = np.frombuffer(raw + b" ", dtype=np.uint8)
@@ -165,88 +135,22 @@ class Cut:
         np.add.at(inside, self.starts[long], 1)
         np.add.at(inside, self.starts[long] + words[long] - length + 1, -1)
         inside = np.cumsum(inside[:-1]) > 0
-        key, deep = self.keys(least, np.flatnonzero(inside), length, gram, hot)
+        key, deep = refined(self.ranges, least, np.flatnonzero(inside), length, gram, hot)
         if deepest:
             inside &= deep
-        change = np.ones(len(key), dtype=bool)
-        change[1:] = (key[1:] != key[:-1]) | ~inside[:-1]
-        change[self.starts[long]] = True
-        self.first = np.flatnonzero(change & inside)
-        stops = np.append(np.flatnonzero(change | ~inside), len(key))
-        count = stops[np.searchsorted(stops, self.first, side="right")] - self.first
-        times = -(-count // RUN)
-        done = RUN * (np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times))
-        self.first = np.repeat(self.first, times) + done
-        self.count = np.minimum(np.repeat(count, times) - done, RUN)
+        self.first, self.count = runs(key, inside, self.starts[long], RUN)
         self.key = key[self.first]
 
-    def keys(self, least: np.ndarray, windows: np.ndarray, length: int, gram: int, hot: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Key of every window; and whether it is by as many words as all of ``hot`` ask for."""
-        key, place = least >> PLACE_BITS, (least & PLACE).astype(np.int64)
-        left, right = np.zeros(len(windows), np.int64), np.full(len(windows), gram, np.int64)  # known words from the minimiser's first
-        rest = length - gram
-        for level in hot:
-            at = np.searchsorted(level, key[windows])
-            many = level[np.minimum(at, len(level) - 1)] == key[windows]
-            windows, left, right = windows[many], left[many], right[many]
-            take = (rest + 1) // 2
-            before = place[windows] - windows - left >= take
-            begin = place[windows] + np.where(before, -left - take, right)
-            key[windows] = mixed(key[windows] * np.uint64(3) + before + self.ranges.of(begin, take))
-            left, right = left + take * before, right + take * ~before
-            rest -= take
-        deep = np.zeros(len(key), dtype=bool)
-        deep[windows] = True
-        return key, deep
-
-
-def levels(length: int, gram: int) -> int:
-    """How often keys can be made of more words, until they are of the whole window."""
-    rest, n = length - gram, 0
-    while rest:
-        rest, n = rest - (rest + 1) // 2, n + 1
-    return n
-
-
-def merged(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Spans of rows, those that touch or overlap as one."""
-    if not len(row):
-        return row, start, end
-    by = np.lexsort((start, row))
-    row, start, end = row[by], start[by], end[by]
-    rank = np.cumsum(np.diff(row, prepend=row[0]) != 0) << 40
-    reach = np.maximum.accumulate(rank + end)
-    new = np.ones(len(row), dtype=bool)
-    new[1:] = (rank + start)[1:] > reach[:-1]
-    last = np.append(np.flatnonzero(new)[1:], len(row)) - 1
-    return row[new], start[new], reach[last] - rank[last]
-
-
-class Counter:
-    """Words that travel by key, equal strings of a task counted once."""
-
-    def __init__(self, length: int, gram: int, hot: list[np.ndarray]):
-        self.length, self.gram, self.hot = length, gram, hot
-        self.held, self.rows = [], 0
-
-    def add(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for _, _, group in pieces(texts, self.length):
-            cut = Cut(group, self.length, self.gram, self.hot, deepest=bool(self.hot))
-            if len(cut.first):
-                size = cut.count + self.length - 1
-                self.held.append((cut.key, cut.ranges.of(cut.first, size), size))
-                self.rows += len(size)
-            if self.rows > 1_000_000:
-                yield self.flush()
-
-    def flush(self) -> tuple[np.ndarray, np.ndarray]:
-        if not self.held:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        key, content, size = (np.concatenate([h[k] for h in self.held]) for k in range(3))
-        self.held, self.rows = [], 0
-        _, one = np.unique(mixed(key) ^ content, return_index=True)
-        key, back = np.unique(key[one], return_inverse=True)
-        return key.view(np.int64), np.bincount(back, weights=size[one]).astype(np.int64)
+def counter(length: int, gram: int, hot: list[np.ndarray]) -> Counter:
+    """Counts words by key; with ``hot``, those of the windows that the last of its levels has made of more words."""
+
+    def strings(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        for _, _, group in pieces(texts, length):
+            cut = Cut(group, length, gram, hot, deepest=bool(hot))
+            size = cut.count + length - 1
+            yield cut.key, cut.ranges.of(cut.first, size) if len(size) else cut.key, size
+
+    return Counter(strings)
 
 
 class Cutter:
@@ -420,47 +324,13 @@ def rows_of(batch: pa.RecordBatch) -> list[tuple[int, int, bytes]]:
     return [(i, k, t.encode()) for i, k, t in zip(ids, batch.column("text_hash").to_pylist(), batch.column("text").to_pylist()) if t]
 
 
-def hot_keys(own: DataFrame, length: int, gram: int) -> tuple[list[np.ndarray], int]:
-    """By level the keys of too many words, ascending, and the number of buckets; both for the routing alone."""
-    spark = own.sparkSession
-    shards, hot = int(spark.conf.get("spark.sql.shuffle.partitions")), []
-    limit = LEAST_HOT
-    for level in range(levels(length, gram)):
-        below = list(hot)
-
-        def count(batches: Iterator[pa.RecordBatch], below=below) -> Iterator[pa.RecordBatch]:
-            counter = Counter(length, gram, below)
-            for batch in slices(batches, "text"):
-                for found in counter.add([r[2] for r in rows_of(batch)]):
-                    yield told(found)
-            yield told(counter.flush())
-
-        def told(found: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["key", "words"])
-
-        seen = Observation()
-        counted = own.mapInArrow(count, "key long, words long").groupBy("key").agg(F.sum("words").alias("words"))
-        many = stored(counted.observe(seen, F.sum("words").alias("words")).where(F.col("words") >= limit), f"hot-minimisers-{level}")
-        if level == 0:
-            total = seen.get["words"] or 0
-            shards = max(shards, -(-total // SHARD_WORDS))
-            limit = max(LEAST_HOT, min(SHARD_WORDS // 4, total // (2 * shards)))
-        # a key beyond the list stays as it is: its windows meet in one bucket all the same
-        found = many.where(F.col("words") >= limit).orderBy(F.desc("words"), "key").limit(HOT_KEYS).collect()
-        forget(many)
-        if not found:
-            break
-        hot.append(np.sort(np.array([r.key for r in found], dtype=np.int64).view(np.uint64)))
-    return hot, shards
-
-
 SPANS = "doc_id long, text_hash long, start long, end long"
 
 
 def find_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``doc_id, text_hash, start, end``: words that go; spans of a row may touch and overlap."""
     own = docs.select(whole_id(docs), text_key().alias("text_hash"), "text")
-    hot, shards = hot_keys(own, length, gram)
+    hot, shards = hot_keys(own, lambda below: counter(length, gram, below), levels(length, gram), SHARD_WORDS, LEAST_HOT)
 
     def spans(found: tuple[np.ndarray, ...]) -> list[pa.Array]:
         return [pa.array(found[0], mask=found[0] == NO_ID), *(pa.array(x) for x in found[1:])]
