@@ -1,15 +1,16 @@
+import os
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
 import xxhash
 
-from tidemark.llm import decontaminate, graph, repeats, secrets, simhash, superkmers
+from tidemark.llm import decontaminate, graph, queries, repeats, secrets, simhash, superkmers
 from tidemark.llm.queries import op4_simhash
 
 
 def slow_fingerprint(text):
-    import re
-
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
     hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
@@ -122,3 +123,17 @@ def test_helper_names_of_the_input_stay(spark):
     assert sorted(tuple(r) for r in decontaminate.remove(docs, items).collect()) == [(1, "a b c", "k", "h"), (2, "a b c", "k2", "h2")]
     masked = spark.createDataFrame([(1, "password=hunter2secret", "k", "s")], "doc_id long, text string, id_key_ string, spans_ string")
     assert [tuple(r) for r in secrets.redact(masked).collect()] == [(1, "[secret]", "k", "s")]
+
+
+@pytest.mark.parametrize("query,reads", [
+    (queries.op4_simhash, {"fingerprints", "edges"}), (queries.op7_repeats, {"repeat-spans"}), (queries.op12_windows, {"window-spans"}),
+    (queries.op13_merkle, {"merkle-sorted", "merkle-sorted-runs", "merkle-nodes", "merkle-roots", "merkle-roots-runs", "merkle-upper", "merkle-tree-proofs"}),
+    (queries.op11_whitening, set()),
+])
+def test_a_query_leaves_only_what_its_result_reads(spark, sf_dir, query, reads):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    tables = lambda: {n for _, names, _ in os.walk(folder) for n in names if re.fullmatch(r"[a-z0-9-]+-[0-9a-f]{8}", n)}
+    before = tables()
+    query(spark, sf_dir).write.format("noop").mode("overwrite").save()
+    left = {re.sub(r"(-\d+)?-[0-9a-f]{8}$", "", n) for n in tables() - before}
+    assert left <= reads
