@@ -95,18 +95,21 @@ def runs(key: np.ndarray, inside: np.ndarray, starts: np.ndarray, most: int) ->
     return np.repeat(first, times) + done, np.minimum(np.repeat(count, times) - done, most)
 
 
-def merged(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Spans of rows, those that touch or overlap as one."""
-    if not len(row):
-        return row, start, end
-    by = np.lexsort((start, row))
-    row, start, end = row[by], start[by], end[by]
-    rank = np.cumsum(np.diff(row, prepend=row[0]) != 0) << 40
+def merged(start: np.ndarray, end: np.ndarray, *row: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Spans of rows, told apart by the numbers ``row``; those of a row that touch or overlap as one, start and end first."""
+    if not len(start):
+        return start, end, *row
+    by = np.lexsort((start, *row))
+    start, end, row = start[by], end[by], [x[by] for x in row]
+    other = np.zeros(len(by), dtype=bool)
+    for x in row:
+        other[1:] |= x[1:] != x[:-1]
+    rank = np.cumsum(other) << 40
     reach = np.maximum.accumulate(rank + end)
-    new = np.ones(len(row), dtype=bool)
+    new = np.ones(len(by), dtype=bool)
     new[1:] = (rank + start)[1:] > reach[:-1]
-    last = np.append(np.flatnonzero(new)[1:], len(row)) - 1
-    return row[new], start[new], reach[last] - rank[last]
+    last = np.append(np.flatnonzero(new)[1:], len(by)) - 1
+    return start[new], reach[last] - rank[last], *[x[new] for x in row]
 
 
 class Counter:

@@ -373,11 +373,7 @@ def find_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataF
                 shard.add(blob.as_py())
         if shard.parts:
             ids, keys, start, end = shard.spans(length, gram)
-            number = np.unique(np.stack([ids, keys]), axis=1, return_inverse=True)[1].ravel() if len(ids) else ids
-            lead = np.zeros(int(number.max(initial=-1)) + 1, dtype=np.int64)
-            lead[number] = np.arange(len(number))
-            row, start, end = merged(number, start, end)
-            ids, keys = ids[lead[row]], keys[lead[row]]
+            start, end, keys, ids = merged(start, end, keys, ids)
             for a in range(0, len(ids), 100_000):
                 b = slice(a, a + 100_000)
                 doc_id = pa.array(ids[b], mask=ids[b] == NO_ID)

@@ -200,7 +200,8 @@ class Cutter:
             least = np.full(int(number.max()) + 1, NO_ID, dtype=np.int64)
             np.minimum.at(least, number, ids[row])
             again = ids[row] > least[number]
-            yield from self.known(ids, keys, *merged(row[again], place[again], place[again] + sizes[again]))
+            start, end, known = merged(place[again], place[again] + sizes[again], row[again])
+            yield from self.known(ids, keys, known, start, end)
             text = data.tobytes()
             own = np.flatnonzero(~again)
             own = own[np.lexsort((number[own], shard[own]))]
@@ -355,13 +356,10 @@ def find_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataF
 
         def told(found: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
             ids, keys, start, end = found
-            number = np.unique(np.stack([ids, keys]), axis=1, return_inverse=True)[1].ravel() if len(ids) else ids
-            lead = np.zeros(int(number.max(initial=-1)) + 1, dtype=np.int64)
-            lead[number] = np.arange(len(number))
-            row, start, end = merged(number, start, end)
-            for a in range(0, len(row), 50_000):
+            start, end, keys, ids = merged(start, end, keys, ids)
+            for a in range(0, len(ids), 50_000):
                 b = slice(a, a + 50_000)
-                yield pa.RecordBatch.from_arrays(spans((ids[lead[row[b]]], keys[lead[row[b]]], start[b], end[b])), names[2:])
+                yield pa.RecordBatch.from_arrays(spans((ids[b], keys[b], start[b], end[b])), names[2:])
 
         for batch in batches:
             ready = batch.filter(pa.compute.is_null(batch.column("packed")))
