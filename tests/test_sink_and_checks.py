@@ -273,6 +273,10 @@ def test_refresh_writes_marts_and_reports(spark, src):
     assert again["supply_mart"].count() == rows["supply_mart"]
     assert again["supply_mart"].groupBy(*MART_KEY).count().where("count > 1").count() == 0
     assert {r[0] for r in again["supply_mart"].select("last_modified").distinct().collect()} == {datetime(2024, 5, 2)}
+    assert os.path.isdir(f"{folder}/_ytd/supply_mart")
+    long = replace(run, start=date(1998, 1, 4), run_ts=datetime(2024, 5, 3))  # a backfill does not carry
+    refresh(spark, src, long, folder, CONFIG, marts=["supply_mart"], scopes=("FYtD",), with_reports=False)
+    assert not os.path.exists(f"{folder}/_ytd/supply_mart")
 
 
 def test_reconcile_notices_differences_and_missing_sides(spark):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.params import DAY, FYTD, WEEK, MartConfig, RunParams
 from tidemark.plans import acquisition, budget, conversion, monetisation, reports, retention, supply
 from tidemark.plans.late import LateDays
-from tidemark.plans.ytd import remember
+from tidemark.plans.ytd import carries, forget_state, remember
 from tidemark.schema import BREAKOUT_KEY, BUDGET_KEY, BUDGET_MEASURES, MART_KEY, MART_UPDATE, OVERVIEW_KEY, PARTITION
 from tidemark.sinks.upsert import read_table, upsert
 from tidemark.sources.catalog import Sources
@@ -54,10 +54,13 @@ def _refresh_mart(
         if scope not in scopes or build is None:
             continue
         state = f"{folder}/_ytd/{name}"
-        own = replace(cfg, ytd_state=(path, state)) if scope == FYTD else cfg
+        carried = scope == FYTD and carries(p)
+        own = replace(cfg, ytd_state=(path, state)) if carried else cfg
+        if scope == FYTD and not carried:
+            forget_state(spark, state)
         rows = build(src, p, own) if scope == DAY else build(read_table(spark, path), src, p, own)
         weeks.update(upsert(path, rows, list(mart.key), list(mart.update), staging=staging))
-        if scope == FYTD:
+        if carried:
             remember(spark, path, state, src.calendar, p)
     return read_table(spark, path), weeks
 

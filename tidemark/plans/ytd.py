@@ -17,10 +17,13 @@ from tidemark.operators.scopes import SERIES, rows_of, running_ytd
 from tidemark.params import WEEK, MartConfig, RunParams
 from tidemark.schema import PARTITION
 from tidemark.sinks.columns import columns_of
+from tidemark.sinks.files import Folder
 from tidemark.sinks.upsert import read_parts, upsert
 from tidemark.sinks.weeks import newest_note, signature, stored_weeks, write_note
 from tidemark.sources.catalog import Sources
 
+#: days of a run that still carries totals; a longer one, a backfill, adds its years up and lets the state go
+LONGEST_RUN = 400
 KEY = ["financial_year", "week_number", PARTITION, *SERIES]
 TOTAL = "decimal(28,8)"
 SEEN = "_seen"
@@ -34,6 +37,15 @@ def remember(spark: SparkSession, mart: str, state: str, calendar: DataFrame, p:
     write_note(spark, f"{state}/{SEEN}", number, held)
 
 
+def carries(p: RunParams) -> bool:
+    return (p.end - p.start).days <= LONGEST_RUN
+
+
+def forget_state(spark: SparkSession, state: str) -> None:
+    """After totals were written without it; the next run that carries starts from the beginning of its year."""
+    Folder(spark, state).drop()
+
+
 def run_years(calendar: DataFrame, p: RunParams) -> list[tuple[int, int, date]]:
     """Financial year, number and start of all weeks of the years the run's weeks are in: 53 a year."""
     weeks = calendar.where(F.col("date_scope") == WEEK).select("financial_year", "week_number", PARTITION).distinct()
