@@ -44,7 +44,7 @@ PIECE = 1 << 20  # bytes cut at once; two of them must have places below 2 ** PL
 HELD = 32 << 20
 ROWS = 200_000
 LEVEL = 3
-SHARD_BYTES = 40 << 20  # of segments
+SHARD_BYTES = 64 << 20  # of segments
 LEAST_HOT = 200_000  # bytes of an anchor's segments that are never too many
 NO_ID = np.iinfo(np.int64).max
 PLACE_BITS = np.uint64(22)

@@ -220,7 +220,9 @@ class Induction:
             r = np.searchsorted(self.bounds, r, side="right") - 1
         by = np.argsort(r, kind="stable")
         at, previous, r = at[by], previous[by].astype(self.place), r[by].astype(np.int64)
-        heads = np.flatnonzero(np.diff(r, prepend=-1))
+        change = np.ones(len(r), dtype=bool)
+        np.not_equal(r[1:], r[:-1], out=change[1:])
+        heads = np.flatnonzero(change)
         carried = None
         if self.cap is not None:
             first = np.empty(len(at), dtype=np.int64)
