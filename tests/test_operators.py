@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.bitmaps import dense, member_sets, merged_sets, set_sizes
+from tidemark.operators.bitmaps import MEMBERS, TASK_ROWS, dealt, dense, member_sets, merged_sets, set_sizes
 from tidemark.operators.compare import future_placeholders, lagged_compare
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.fx import bucketed_intervals, fx_interval_join, rates_by_interval
@@ -123,6 +123,24 @@ def test_sets_merge_and_count_like_distinct_rows(spark):
     assert set_sizes(member_sets(none.limit(0), ["day"], "id"), ["day"], n="members").count() == 0
 
 
+def test_sparse_sets_cost_a_long_each_and_are_hashed(spark):
+    """Numbers alone in their bucket take two longs, not kilobytes of bits, and no task sorts sets."""
+    df = spark.createDataFrame([(i % 7, i * 1000 - 9000) for i in range(200)], "day int, id long")
+    sets = member_sets(df, ["day"], "id")
+    assert sets.schema[MEMBERS].dataType.simpleString() == "bigint" and sets.count() == 200
+    united = set_sizes(merged_sets(sets, ["day"], few=F.col("day") < 3), ["day"], n="members", few="few")
+    plan = united._jdf.queryExecution().sparkPlan().toString()
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    close = spark.createDataFrame([(1, i) for i in range(-64, 128)], "day int, id long")
+    assert member_sets(close, ["day"], "id").count() == 3  # 64 to a row
+    assert set_sizes(member_sets(close, ["day"], "id"), ["day"], n="members").first().n == 192
+
+
+def test_stored_rows_are_dealt_to_tasks_by_their_number(spark):
+    assert dealt(spark.range(2 * TASK_ROWS + 1), "id").rdd.getNumPartitions() == 3
+    assert dealt(spark.range(0), "id").rdd.getNumPartitions() == 1
+
+
 def test_only_close_numbers_become_bits(spark):
     frame = lambda ids, kind="long": spark.createDataFrame([(i,) for i in ids], f"id {kind}")
     assert dense(frame(range(100)), "id") and dense(frame([]), "id") and dense(frame([None]), "id")
