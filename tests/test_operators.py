@@ -2,6 +2,7 @@
 
 from dataclasses import replace
 from datetime import date, datetime, timedelta
+from itertools import combinations
 
 import pytest
 from pyspark.sql import Window
@@ -13,7 +14,7 @@ from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.fx import bucketed_intervals, fx_interval_join, rates_by_interval
 from tidemark.operators.ratios import Ratio, ratio_rows
 from tidemark.operators.region import region_fanout
-from tidemark.operators.rollup import grouping_levels
+from tidemark.operators.rollup import count_levels, grouping_levels, label_chains
 from tidemark.operators.scopes import lag_previous_present, roll_to_week, running_ytd
 from tidemark.operators.spread import complete_weeks_only, spread_budget, weekday_weights
 from tidemark.params import RunParams
@@ -21,6 +22,7 @@ from tidemark.plans.acquisition import customer_totals
 from tidemark.plans.common import qualifying_lines
 from tidemark.plans.extracts import distinct_orders, order_sets
 from tidemark.plans.monetisation import ad_rows
+from tidemark.queries import QUERIES
 from tidemark.sources import lookups
 from tidemark.sources.catalog import Sources
 from tidemark.sources.fixtures import CONFIG, RUN
@@ -335,3 +337,34 @@ def test_a_shorter_run_repeats_the_longer_ones_rows(src):
     whole = supply_day(src, RUN, CONFIG).where(F.col("year_month_day").between(short.start, short.end))
     part = supply_day(src, short, CONFIG)
     assert part.exceptAll(whole).count() == 0 and whole.exceptAll(part).count() == 0
+
+
+def test_chains_of_labels_begin_with_every_subset():
+    for n in range(1, 6):
+        labels = list("abcde"[:n])
+        chains = label_chains(labels)
+        assert {frozenset(c[:k]) for c in chains for k in range(1, len(c) + 1)} == {
+            frozenset(s) for k in range(1, n + 1) for s in combinations(labels, k)
+        }
+    assert len(label_chains(list("abc"))) == 3
+
+
+@pytest.mark.parametrize("labels", [["a"], ["a", "b"], ["a", "b", "c"]])
+def test_counted_levels_equal_distinct_counts(spark, labels):
+    """Rows that repeat, items and labels that are missing, and a label that is called All."""
+    names = ("All", None, "x", "y")
+    rows = [(i % 3 or None, (i * 31) % 23 if i % 10 else None, *[names[(i * k) % 4] for k in (1, 3, 7)], float(i)) for i in range(400)]
+    df = spark.createDataFrame(rows, "day int, id long, a string, b string, c string, v double")
+    df = df.union(df.limit(50)).select("day", "id", *labels, "v")
+    want = grouping_levels(df, ["day"], labels, [F.sum("v").alias("v"), F.countDistinct("id").alias("ids")])
+    got = count_levels(df, ["day"], labels, "id", "ids", {"v": F.sum("v")})
+    assert got.columns == want.columns and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_levels_multiply_sums_and_not_orders(spark, sf_dir, src):
+    """Neither the levels nor the distinct counts repeat order rows: what they expand was aggregated before."""
+    for df in (QUERIES["level_sets"](spark, sf_dir),):
+        plan = df._jdf.queryExecution().sparkPlan().toString().splitlines()
+        at = [n for n, line in enumerate(plan) if "Expand" in line]
+        assert at and all("HashAggregate" in next(x for x in plan[n + 1 :] if "Aggregate" in x or "Window" in x) for n in at)
+        assert not any("distinct" in line for line in plan) and any("Window" in line for line in plan)
