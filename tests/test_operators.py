@@ -20,6 +20,7 @@ from tidemark.operators.spread import complete_weeks_only, spread_budget, weekda
 from tidemark.params import RunParams
 from tidemark.plans.acquisition import customer_totals
 from tidemark.plans.common import qualifying_lines
+from tidemark.plans.conversion import journey_sales
 from tidemark.plans.extracts import distinct_orders, order_sets
 from tidemark.plans.monetisation import ad_rows
 from tidemark.queries import QUERIES
@@ -363,7 +364,7 @@ def test_counted_levels_equal_distinct_counts(spark, labels):
 
 def test_levels_multiply_sums_and_not_orders(spark, sf_dir, src):
     """Neither the levels nor the distinct counts repeat order rows: what they expand was aggregated before."""
-    for df in (QUERIES["level_sets"](spark, sf_dir),):
+    for df in (QUERIES["level_sets"](spark, sf_dir), journey_sales(src, RUN, CONFIG)):
         plan = df._jdf.queryExecution().sparkPlan().toString().splitlines()
         at = [n for n, line in enumerate(plan) if "Expand" in line]
         assert at and all("HashAggregate" in next(x for x in plan[n + 1 :] if "Aggregate" in x or "Window" in x) for n in at)
