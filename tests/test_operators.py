@@ -26,7 +26,7 @@ from tidemark.plans.monetisation import ad_rows
 from tidemark.queries import QUERIES
 from tidemark.sources import lookups
 from tidemark.sources.catalog import Sources
-from tidemark.sources.fixtures import CONFIG, RUN
+from tidemark.sources.fixtures import CONFIG, RUN, SQL, fixture_sources, lines_of_orders
 
 MART = (
     "date_scope string, financial_year int, week_number int, year_month_day date, week_commencing_date date, "
@@ -369,3 +369,29 @@ def test_levels_multiply_sums_and_not_orders(spark, sf_dir, src):
         at = [n for n, line in enumerate(plan) if "Expand" in line]
         assert at and all("HashAggregate" in next(x for x in plan[n + 1 :] if "Aggregate" in x or "Window" in x) for n in at)
         assert not any("distinct" in line for line in plan) and any("Window" in line for line in plan)
+
+
+def test_order_lines_are_joined_once_and_lie_by_order(spark, tmp_path):
+    """Stored rows are those of the table's SQL, also where keys are missing or repeat, and groupings by order shuffle nothing."""
+    line = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    day = datetime(1999, 5, 9)
+    tables = {
+        "lineitem": spark.createDataFrame(
+            [(o, o or 7, o or 8, n, 1.0, 10.0, 0.5, 0.25, "R", "F", day) for o in (1, 2, 2, 3, 9, None) for n in (1, 7)], line
+        ),
+        "orders": spark.createDataFrame([(1, 10), (1, 11), (2, 10), (3, None), (None, 10), (4, 11)], "o_orderkey long, o_custkey long"),
+        "customer": spark.createDataFrame(
+            [(10, 1, "MACHINERY"), (11, 2, None), (11, 2, None), (12, 1, "x")], "c_custkey long, c_nationkey int, c_mktsegment string"
+        ),
+        "nation": spark.createDataFrame([(1, 4), (2, 3), (3, None)], "n_nationkey int, n_regionkey int"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    lines = fixture_sources(spark, str(tmp_path)).order_lines
+    want = spark.sql(SQL["order_lines"], **tables)
+    assert lines.schema == want.schema and lines.count() == want.count() == 10
+    assert lines.exceptAll(want).count() == 0 and want.exceptAll(lines).count() == 0
+    text = lines.groupBy("year_month_day", "order_id").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "Join" not in text and "Bucketed: true" in text
+    parts = lines_of_orders(*tables.values(), tasks=3)
+    assert parts.rdd.getNumPartitions() == 3
