@@ -14,7 +14,7 @@ from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.fx import bucketed_intervals, fx_interval_join, rates_by_interval
 from tidemark.operators.ratios import Ratio, ratio_rows
 from tidemark.operators.region import region_fanout
-from tidemark.operators.rollup import count_levels, grouping_levels, label_chains
+from tidemark.operators.rollup import count_levels, grouping_levels, label_chains, over_all_tasks
 from tidemark.operators.scopes import lag_previous_present, roll_to_week, running_ytd
 from tidemark.operators.spread import complete_weeks_only, spread_budget, weekday_weights
 from tidemark.params import RunParams
@@ -371,6 +371,11 @@ def test_levels_multiply_sums_and_not_orders(spark, sf_dir, src):
         assert not any("distinct" in line for line in plan) and any("Window" in line for line in plan)
 
 
+def test_tasks_of_sorted_lines_follow_their_number(spark):
+    assert over_all_tasks(spark.range(5 * TASK_ROWS + 1), "id").rdd.getNumPartitions() == 6
+    assert over_all_tasks(spark.range(10), "id").rdd.getNumPartitions() == 4
+
+
 def test_order_lines_are_joined_once_and_lie_by_order(spark, tmp_path):
     """Stored rows are those of the table's SQL, also where keys are missing or repeat, and groupings by order shuffle nothing."""
     line = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
