@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemark.operators import bitmaps
 from tidemark.operators.bitmaps import MEMBERS, TASK_ROWS, dealt, dense, member_sets, merged_sets, set_sizes
 from tidemark.operators.compare import future_placeholders, lagged_compare
 from tidemark.operators.dedup import latest_per_key
@@ -18,11 +19,12 @@ from tidemark.operators.rollup import count_levels, grouping_levels, label_chain
 from tidemark.operators.scopes import lag_previous_present, roll_to_week, running_ytd
 from tidemark.operators.spread import complete_weeks_only, spread_budget, weekday_weights
 from tidemark.params import RunParams
+from tidemark.plans import extracts
 from tidemark.plans.acquisition import customer_totals
 from tidemark.plans.common import qualifying_lines
 from tidemark.plans.conversion import journey_sales
 from tidemark.plans.extracts import distinct_orders, order_sets
-from tidemark.plans.monetisation import ad_rows
+from tidemark.plans.monetisation import ad_rows, hotel_web_counts
 from tidemark.queries import QUERIES
 from tidemark.sources import lookups
 from tidemark.sources.catalog import Sources
@@ -113,6 +115,45 @@ def test_latest_per_key_hashes_raw_rows(spark, src):
         assert any("Join" in text for text in below[:2])
 
 
+def _hashed_before_a_shuffle(df):
+    """Aggregates of the plan with no shuffle below them."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-*(0123456789)")) for line in lines]
+    below = [next((j for j in range(k + 1, len(lines)) if depth[j] <= depth[k]), len(lines)) for k in range(len(lines))]
+    return [line for k, line in enumerate(lines) if "Aggregate" in line and not any("Exchange" in x for x in lines[k + 1 : below[k]])]
+
+
+def test_many_rows_are_dealt_before_they_are_hashed(spark, src, monkeypatch):
+    """No task hashes what a scan's part of a file holds: ad rows, web events and order sets, with the rows of undealt ones."""
+    run = replace(RUN, start=date(1999, 1, 1))
+    builds = [
+        lambda: ad_rows(src, run), lambda: hotel_web_counts(src, run, CONFIG), lambda: distinct_orders(src, run, CONFIG, "year_month_day"),
+        lambda: distinct_orders(src, run, CONFIG, "financial_year"),
+    ]
+    few = [build().localCheckpoint() for build in builds]
+    monkeypatch.setattr(bitmaps, "TASK_ROWS", 150)
+    for build, want in zip(builds, few, strict=True):
+        got = build()
+        assert not _hashed_before_a_shuffle(got)
+        if build is builds[0]:  # nothing is dealt to the session's number of tasks
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert "REPARTITION_BY_NUM" in plan and "ENSURE_REQUIREMENTS" not in plan and "ShuffledHashJoin" in plan
+        assert want.count() > 0 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_latest_of_dealt_rows_equals_a_ranked_window(spark, monkeypatch):
+    """As below one task: ties, copies, NULL keys and times; versions of one key and rows without an order lie in many tasks."""
+    monkeypatch.setattr(bitmaps, "TASK_ROWS", 60)
+    test_latest_per_key_equals_a_ranked_window(spark)
+    hot = spark.range(3000).select(F.lit(1).alias("k"), F.timestamp_seconds("id").alias("at"), F.col("id").alias("v"))
+    got = latest_per_key(hot, ["k"], ["at"])
+    assert [tuple(r)[::2] for r in got.collect()] == [(1, 2999)]
+    orders = spark.createDataFrame([(date(1999, 1, 1 + i % 31), "EU", "France", None) for i in range(600)], "year_month_day date, product_pl_code string, order_region_name string, order_id long")
+    monkeypatch.setattr(extracts, "order_rows", lambda *_: orders)
+    parts = order_sets(None, RUN, CONFIG).rdd.glom().map(len).collect()
+    assert len(parts) == 10 and max(parts) < 300
+
+
 def test_sets_merge_and_count_like_distinct_rows(spark):
     rows = [(i % 5, "ab"[i % 2], (i * 7919) % 70_000 - 500 if i % 11 else None, i % 3) for i in range(3000)]
     df = spark.createDataFrame(rows, "day int, raw string, id long, kind int")
