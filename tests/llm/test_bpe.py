@@ -1,12 +1,16 @@
+import gc
 import hashlib
+import tracemalloc
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tidemark.llm import bpe
+from tidemark.llm.batches import SLICE_BYTES
 from tidemark.llm.queries import op5_bpe, vocabulary_path
 
 PATH = vocabulary_path()
@@ -53,6 +57,32 @@ def test_every_cut_is_certain():
     assert cut > 0
 
 
+def test_remembered_words_are_small():
+    """Four bytes an id beside the word and its place: workers keep these while other stages run."""
+    own = bpe.Encoder(bpe.read_vocabulary(PATH))
+    words = [hashlib.md5(str(i).encode()).hexdigest().translate(str.maketrans("0123456789", "ghijklmnop")) for i in range(20_000)]
+    own.encode(" ".join(words[:10]))
+    gc.collect()
+    tracemalloc.start()
+    try:
+        for word in words:
+            own.word(word)
+        held, _ = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert len(own.words) == len(words) and held / len(words) < 200
+    assert own.encode(words[5]) == LIBRARY.encode(words[5], add_special_tokens=False).ids
+
+
+def test_batches_are_bounded_in_bytes(spark):
+    """Ten thousand rows of long texts are not one batch, neither in the executor nor in its worker."""
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id AS doc_id", "repeat('abcd efgh ', 1000) AS text")
+    coded = bpe.encode_decode(docs, PATH)
+    sizes = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long")
+    assert max(r.n for r in sizes.collect()) < 2 * SLICE_BYTES
+    assert coded.where("size(ids) > 0").count() == 3000
+
+
 def test_memory_is_bounded(monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 10)
     own = bpe.Encoder(bpe.read_vocabulary(PATH))

@@ -3,7 +3,7 @@
 A text is normalised (NFC, lower case), cut into words, which leaves white space out, and each word is cut again wherever two
 neighbouring symbols never stand side by side inside any token: no merge can cross such a place, so the fragments are
 encoded alone and their ids put one after the other. Words recur, so each worker keeps a bounded memory of those it has
-encoded.
+encoded: four bytes an id, as a worker keeps it while it waits for its next task, whatever that is.
 
 Null text: no ids. Empty text: no ids; no ids decode to an empty text. Repeated rows give repeated rows. Other columns
 pass through under their own names, so ``ids`` (and ``decoded``) must be free. A text is held whole in its task,
@@ -16,6 +16,7 @@ from __future__ import annotations
 import heapq
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -26,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidemark.llm.batches import SLICE_BYTES, slices
+from tidemark.llm.batches import SLICE_BYTES, mapped, slices
 
 END = "</w>"
 REMEMBERED = 200_000
@@ -70,8 +71,8 @@ class Encoder:
             for k, (a, b) in enumerate(zip(own, own[1:]), 2):
                 self.pairs.add(a << 9 | b + 256 * (ends and k == len(own)))
         self.split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def cuts(self, word: bytes) -> list[int]:
         """Places in the word that no token spans."""
@@ -120,13 +121,13 @@ class Encoder:
                 heapq.heappush(heap, (m, h, ids[h], new))
         return [i for i in ids if i >= 0]
 
-    def word(self, word: str) -> tuple[int, ...]:
-        """Its ids, remembered in two generations: the older one goes when the newer is full."""
+    def word(self, word: str) -> bytes:
+        """Its ids as ``packed`` has them, remembered in two generations: the older one goes when the newer is full."""
         ids = self.older.get(word)
         if ids is None:
             own = word.encode()
             places = [0, *self.cuts(own), len(own)]
-            ids = tuple(chain.from_iterable([self.fragment(own[a:b], b == len(own)) for a, b in zip(places, places[1:])]))
+            ids = array("i", chain.from_iterable([self.fragment(own[a:b], b == len(own)) for a, b in zip(places, places[1:])])).tobytes()
         if len(word) <= 64:
             if len(self.words) >= REMEMBERED:
                 self.older = dict(self.words)
@@ -135,19 +136,23 @@ class Encoder:
         return ids
 
     def encode(self, text: str) -> list[int]:
+        return self.packed(text).tolist()
+
+    def packed(self, text: str) -> np.ndarray:
+        """The ids of ``text``, each in four bytes."""
         if self.split and "<" in text:
             parts = self.split.split(text)
         else:
             parts = [text]
-        out: list[int] = []
+        out: list[bytes] = []
         known = self.words
         for k, part in enumerate(parts):
             if k % 2:
-                out.append(self.special[part])
+                out.append(array("i", [self.special[part]]).tobytes())
                 continue
             part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-            out += chain.from_iterable([known.get(w) or self.word(w) for w in WORD.findall(part)])
-        return out
+            out += [known.get(w) or self.word(w) for w in WORD.findall(part)]
+        return np.frombuffer(b"".join(out), dtype=np.int32)
 
 
 @lru_cache(maxsize=1)
@@ -190,10 +195,10 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(shared.value)
         for batch in slices(batches, text):
-            column = id_lists([np.array(own.encode(x) if x else (), dtype=np.int32) for x in batch.column(text).to_pylist()])
+            column = id_lists([own.packed(x or "") for x in batch.column(text).to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, ids])
 
-    return docs.mapInArrow(run, with_field(docs, ids, T.ArrayType(T.IntegerType())))
+    return mapped(docs, run, with_field(docs, ids, T.ArrayType(T.IntegerType())))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -208,7 +213,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
                 texts = [spell(x.values.to_numpy(zero_copy_only=False).tolist(), known) if x.is_valid else None for x in part.column(part.schema.get_field_index(ids))]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, decoded])
 
-    return df.mapInArrow(run, with_field(df, decoded, T.StringType()))
+    return mapped(df, run, with_field(df, decoded, T.StringType()))
 
 
 def encode_decode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -218,11 +223,11 @@ def encode_decode(docs: DataFrame, path: str, text: str = "text", ids: str = "id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, known = encoder(shared.value), tokens(shared.value)
         for batch in slices(batches, text, SLICE_BYTES // 4):
-            found = [own.encode(x) if x else [] for x in batch.column(text).to_pylist()]
-            texts = pa.array([spell(x, known) for x in found], pa.string())
+            found = [own.packed(x or "") for x in batch.column(text).to_pylist()]
+            texts = pa.array([spell(x.tolist(), known) for x in found], pa.string())
             rest = [i for i, name in enumerate(batch.schema.names) if name != text]
-            columns = [*(batch.column(i) for i in rest), id_lists([np.array(x, dtype=np.int32) for x in found]), texts]
+            columns = [*(batch.column(i) for i in rest), id_lists(found), texts]
             yield pa.RecordBatch.from_arrays(columns, [*(batch.schema.names[i] for i in rest), ids, decoded])
 
     fields = [f for f in docs.schema.fields if f.name != text]
-    return docs.mapInArrow(run, T.StructType([*fields, T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded, T.StringType())]))
+    return mapped(docs, run, T.StructType([*fields, T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded, T.StringType())]))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.batches import replaced, replaced_schema, slices
+from tidemark.llm.batches import mapped, replaced, replaced_schema, slices
 from tidemark.llm.shingles import bounded
 
 UNKNOWN = "und"
@@ -204,7 +204,7 @@ def training_bags(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> list
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("lang"), own, part], ["key", "lang", "own", "part"])
 
     keyed = _sampled(labelled, per_language).select(F.sha2("text", 256).alias("key"), "lang", "text")
-    bags = keyed.mapInArrow(run, "key string, lang string, own binary, part binary").where("length(own) > 0").collect()
+    bags = mapped(keyed, run, "key string, lang string, own binary, part binary").where("length(own) > 0").collect()
     bags.sort(key=lambda r: (r.key, r.lang))
     return [(np.frombuffer(r.own, np.uint16), np.frombuffer(r.part, np.float32), r.lang) for r in bags]
 
@@ -227,4 +227,4 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             yield replaced(batch, [names, scores, taken], extra)
 
     extra = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("accepted", T.BooleanType())]
-    return docs.mapInArrow(run, replaced_schema(docs, extra))
+    return mapped(docs, run, replaced_schema(docs, extra))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.batches import free, slices
+from tidemark.llm.batches import free, mapped, slices
 from tidemark.llm.graph import components, forget, stored, temporary
 from tidemark.llm.shingles import bounded, whole_id
 
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(found)], ["doc_id", "text_hash", "fingerprint"])
 
     rows = docs.select(whole_id(docs), F.xxhash64("text").alias("text_hash"), "text")
-    return rows.mapInArrow(run, "doc_id long, text_hash long, fingerprint long")
+    return mapped(rows, run, "doc_id long, text_hash long, fingerprint long")
 
 
 def _half(name: str, segment: int) -> Column:
